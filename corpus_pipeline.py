@@ -1,11 +1,73 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input.
+
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import uuid
+
+from pyspark.sql import functions as F
+
+from reachmill.llm import best_fit, exact_dedup, language_id, minhash, personal_data
+from reachmill.llm.common import cut, ensure_checkpoint_dir, table
+
+
+def _without(docs, dropped):
+    """docs without the rows whose doc_id is in dropped; rows without a doc_id stay."""
+    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def identify_language(spark, docs, sf_dir):
+    """Documents whose language can be told; those without any letter go."""
+    return language_id.keep_identified(docs)
+
+
+def drop_exact_copies(spark, docs, sf_dir):
+    """One row of each group of equal texts."""
+    found = cut(exact_dedup.exact_duplicates(docs))
+    out = _without(docs, found.where("not kept"))
+    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.limit(1).count():
+        norm = F.sha2(exact_dedup.normalise(F.col("text")).cast("binary"), 256)
+        again = out.join(repeated, "doc_id", "left_semi").withColumn("_norm", norm).dropDuplicates(["doc_id", "_norm"])
+        out = _without(out, repeated).unionByName(again.select(docs.columns))
+    return out
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    """One document of each group of near duplicates: that with the smallest doc_id."""
+    return _without(docs, minhash.near_duplicates(docs).where("not kept"))
+
+
+def mask_personal_data(spark, docs, sf_dir):
+    """All documents, with personal data replaced by its kind; n_chars is that of the new text."""
+    return personal_data.mask_documents(docs)
+
+
+def pack(spark, docs, sf_dir):
+    """The token pieces of all documents, packed."""
+    return best_fit.pack_documents(docs)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("personal_data", mask_personal_data),
+    ("packing", pack),
+]
 
+#: Trained models decide in two stages, so SQL can't express the rows.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    """The last stage's rows."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from reachmill.llm import minhash
+from pyspark.sql import functions as F
+
+from reachmill.llm import best_fit, binary_output, chat, exact_dedup, language_id, minhash, nearest, personal_data, quality, sentencepiece_codec
 from reachmill.llm.common import table
 
 
@@ -10,9 +12,78 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_personal_data(spark, sf_dir):
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op4_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.encode_digests(table(spark, sf_dir, "documents"))
+
+
+def op5_nearest_neighbours(spark, sf_dir):
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op6_packed_matrices(spark, sf_dir):
+    packed = binary_output.packed_matrices(table(spark, sf_dir, "documents"))
+    used = F.element_at("cu_seqlens", -1)
+    return packed.select("sequence_id", "doc_ids", "pieces", "cu_seqlens", used.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"))
+
+
+def op7_chat_format(spark, sf_dir):
+    turns = chat.render(table(spark, sf_dir, "conversations"))
+    return turns.select("conv_id", "n_turns", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def op8_best_fit_packing(spark, sf_dir):
+    return best_fit.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
+
+
 def queries():
-    return {name: f for name, f in sorted(globals().items()) if name.startswith("op")}
+    return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()}
+
+
+_CHAT_SQL = """
+WITH turns AS (
+  SELECT conv_id, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), lines AS (
+  SELECT conv_id, place, '<|startoftext|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|endoftext|>' || chr(10) AS line,
+         coalesce(role, '<none>') || chr(1) || coalesce(text, '<none>') AS own
+  FROM turns
+), whole AS (
+  SELECT conv_id, count(*) AS n, list(own ORDER BY place) AS owns, string_agg(line, '' ORDER BY place) AS text
+  FROM lines GROUP BY conv_id
+), firsts AS (
+  SELECT * FROM whole w WHERE conv_id = (SELECT min(conv_id) FROM whole v WHERE v.owns = w.owns)
+)
+SELECT conv_id, CAST(n AS BIGINT) AS n_turns, CAST(length(text) AS BIGINT) AS n_chars, sha256(text) AS text_sha256
+FROM firsts a
+WHERE NOT EXISTS (SELECT 1 FROM whole b WHERE b.n > a.n AND b.owns[1] = a.owns[1] AND list_slice(b.owns, 1, a.n) = a.owns)
+"""
+
+_EXACT_SQL = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), g AS (
+  SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, CAST(count(*) OVER (PARTITION BY t) AS BIGINT) AS group_size, sha256(t) AS text_sha256 FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
 
 
 def oracle_sql():
-    return {}
+    return {"op7_chat_format": _CHAT_SQL, "op10_exact_dedup": _EXACT_SQL}
