@@ -1,11 +1,592 @@
-"""Every registered query of the engine and its SQL."""
+"""Every registered query of the engine beside its SQL."""
 
 from __future__ import annotations
 
+import io as _bytes
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from reachmill.functions import geo
+from reachmill.functions.contracts import ATOMIC, LEVELS, RUNGS, gain_report, matrix_report
+from reachmill.operators import aggregates, deltas, gtfs, matrix, monolith, routing, universe
+from reachmill.plans.adapters import CLUSTERS, KEPT, METRICS, as_query, frame
+from reachmill.plans.runner import run_metadata
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+DATE, PROBS = "2026-09-16", (0.1, 0.5, 0.9)
+POLICY = {
+    "whole_feeds": [],
+    "route_ids": {"demo": ["3", "4"]},
+    "route_short_name_patterns": {"demo": "^P"},
+    "trip_text_patterns": {"demo": "renfort scol$"},
+    "bus_route_types": gtfs.BUS_ROUTE_TYPES + gtfs.EXCLUDED_ROUTE_TYPES,
+}
+
+
+def query(sql: str | None = None, name: str | None = None):
+    """Registers f(get), where get(name) is a table or canonical input, under its name."""
+
+    def register(f):
+        key = name or f.__name__
+        _QUERIES[key] = lambda spark, sf_dir: f(lambda n: frame(spark, sf_dir, n))
+        if sql:
+            _SQL[key] = as_query(sql)
+        return f
+
+    return register
+
 
 def queries():
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(_SQL)
+
+
+def _in(names) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+def _ladder(column: str, suffix: str = "") -> str:
+    return ", ".join(f"CAST(sum(CASE WHEN {column} <= {r} THEN 1 ELSE 0 END) AS INT) AS count_{r}{suffix}" for r in RUNGS)
+
+
+# pairs and matrices
+
+
+@query("SELECT * FROM {collapsed}")
+def pair_collapse(get):
+    return matrix.collapse_pairs(get("pairs"), ["from_id", "to_id", "mode"])
+
+
+def _matrix(get):
+    return matrix.derive_matrix(matrix.collapse_pairs(get("pairs"), ["from_id", "to_id", "mode"]), get("dest_map"))
+
+
+query("SELECT * FROM {matrix}", "matrix_single")(_matrix)
+
+_TRANSIT = f"""SELECT p.from_id AS batiment_id, d.TYPEQU, min(travel_time_p1) AS tt_nearest, min(travel_time_p50) AS travel_time_p50, {_ladder("travel_time_p1")}, {_ladder("travel_time_p50", "_p50")},
+  'transit' AS mode, min(travel_time_p1) AS travel_time_p1
+  FROM {{transit_pairs}} p JOIN {{dest_map}} d ON p.to_id = d.id WHERE travel_time_p1 IS NOT NULL AND travel_time_p50 IS NOT NULL GROUP BY p.from_id, d.TYPEQU"""
+
+
+@query(_TRANSIT)
+def matrix_transit(get):
+    return matrix.derive_transit_matrix(get("transit_pairs"), get("dest_map"))
+
+
+@query("SELECT 'o' || from_id AS from_id, 'd' || to_id AS to_id, travel_time FROM {collapsed} WHERE mode = 'walk'")
+def matrix_orientation(get):
+    pairs = matrix.collapse_pairs(get("pairs").where("mode = 'walk'"))
+    o, d = F.concat(F.lit("o"), "from_id"), F.concat(F.lit("d"), "to_id")
+    swapped = pairs.select(d.alias("from_id"), o.alias("to_id"), "travel_time")
+    return matrix.orient_pairs(swapped, get("origins").select(F.concat(F.lit("o"), "id").alias("id")), get("dest_map").select(F.concat(F.lit("d"), "id").alias("id")))
+
+
+@query("SELECT 'bad' AS violation, CAST(0 AS BIGINT) AS n WHERE false UNION ALL SELECT v, CAST(0 AS BIGINT) FROM (VALUES ('empty_id'), ('mode'), ('cap'), ('count'), ('nearest'), ('monotone'), ('duplicate_key')) t(v)")
+def validate_matrix_report(get):
+    return matrix_report(_matrix(get))
+
+
+@query("""SELECT 'cap' AS violation, CAST(count(CASE WHEN tt_nearest > 17 THEN 1 END) AS BIGINT) AS n FROM {matrix}
+  UNION ALL SELECT 'nearest', CAST(count(CASE WHEN tt_nearest > 17 OR count_5 > 0 THEN 1 END) AS BIGINT) FROM {matrix} UNION ALL SELECT 'count', CAST(0 AS BIGINT)""")
+def validate_matrix_broken(get):
+    rows = _matrix(get).withColumn("tt_nearest", F.when(F.col("tt_nearest") > 17, 40.0).when(F.col("count_5") > 0, 6.0).otherwise(F.col("tt_nearest")))
+    return matrix_report(rows).where("violation in ('cap', 'nearest', 'count')")
+
+
+# routing
+
+
+@query("SELECT printf('coord_o_%06d', row_number() OVER (ORDER BY first)) AS id, lon, lat FROM (SELECT lon, lat, min(ord) AS first FROM {origins} GROUP BY lon, lat) x")
+def coord_plan_points(get):
+    return routing.coordinate_plan(get("origins"), "coord_o")[0]
+
+
+_PLAN = "SELECT lon, lat, printf('{p}_%06d', row_number() OVER (ORDER BY first)) AS point_id FROM (SELECT lon, lat, min(ord) AS first FROM {{{t}}} GROUP BY lon, lat) x"
+_OPLAN, _DPLAN = _PLAN.format(p="coord_o", t="origins"), _PLAN.format(p="coord_d", t="destinations")
+
+
+@query(f"SELECT o.id, p.point_id FROM {{origins}} o JOIN ({_OPLAN}) p ON o.lon = p.lon AND o.lat = p.lat")
+def coord_plan_link(get):
+    return routing.coordinate_plan(get("origins"), "coord_o")[1]
+
+
+_ROUTE = "SELECT o.id AS from_id, d.id AS to_id, 2 + ceil(sqrt(((o.lon - d.lon) * 80) * ((o.lon - d.lon) * 80) + ((o.lat - d.lat) * 111) * ((o.lat - d.lat) * 111)) / 30 * 60) AS travel_time FROM {origins} o, {destinations} d"
+
+
+@query(f"SELECT from_id, to_id, CAST(travel_time AS DOUBLE) AS travel_time FROM ({_ROUTE}) x WHERE travel_time <= 20")
+def stub_route(get):
+    return routing.stub_route(get("origins"), get("destinations"))
+
+
+@query(f"SELECT from_id, to_id, CAST(travel_time AS DOUBLE) AS travel_time FROM ({_ROUTE}) x WHERE travel_time <= 20")
+def route_unique(get):
+    return routing.route_unique(get("origins"), get("destinations"), routing.stub_route)
+
+
+@query(f"SELECT from_id, to_id, CAST(travel_time AS DOUBLE) AS travel_time_p1, CAST(travel_time + 5 AS DOUBLE) AS travel_time_p50 FROM ({_ROUTE}) x WHERE travel_time <= 20")
+def stub_transit_route(get):
+    return routing.stub_transit_route(get("origins"), get("destinations"))
+
+
+@query(f"""SELECT o.id AS from_id, d.id AS to_id, CAST(f.ord AS DOUBLE) AS travel_time FROM
+  (SELECT point_id, min(o.ord) AS ord FROM {{origins}} o JOIN ({_OPLAN}) p ON o.lon = p.lon AND o.lat = p.lat GROUP BY point_id) f
+  JOIN (SELECT o.id, p.point_id FROM {{origins}} o JOIN ({_OPLAN}) p ON o.lon = p.lon AND o.lat = p.lat) o ON o.point_id = f.point_id
+  JOIN (SELECT o.id, p.point_id FROM {{destinations}} o JOIN ({_DPLAN}) p ON o.lon = p.lon AND o.lat = p.lat) d ON substr(d.point_id, 9) = substr(o.point_id, 9)""")
+def expand_pairs(get):
+    ol, dl = routing.coordinate_plan(get("origins"), "coord_o")[1], routing.coordinate_plan(get("destinations"), "coord_d")[1]
+    first = get("origins").join(ol, "id").groupBy("point_id").agg(F.min("ord").alias("ord"))
+    pairs = first.select(F.col("point_id").alias("from_id"), F.regexp_replace("point_id", "coord_o", "coord_d").alias("to_id"), F.col("ord").cast("double").alias("travel_time"))
+    return routing.expand_pairs(pairs, ol, dl)
+
+
+@query("SELECT id, CAST(floor((row_number() OVER (ORDER BY id) - 1) / 100) + 1 AS INT) AS chunk_id FROM {origins}")
+def chunk_slice(get):
+    return routing.chunk_ids(get("origins").select("id"), 100)
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n_identities, CAST(count(DISTINCT (lon, lat)) AS BIGINT) AS n_coordinates, CAST(ceil(count(DISTINCT (lon, lat)) / 100.0) AS BIGINT) AS n_chunks FROM {origins}")
+def plan_census(get):
+    return routing.census(get("origins"), routing.coordinate_plan(get("origins"), "c")[0], 100)
+
+
+@query("""WITH r AS (SELECT sha256(id || '|' || CAST(CAST(ord AS BIGINT) AS STRING) || '|' || CAST(CAST(ord AS BIGINT) % 7 AS STRING)) AS h FROM {origins}),
+  g AS (SELECT substr(h, 1, 3) AS g, sha256(string_agg(h, ',' ORDER BY h)) AS d FROM r GROUP BY 1) SELECT sha256(string_agg(d, ',' ORDER BY g)) AS content_key FROM g""")
+def content_key(get):
+    return routing.universe_key(get("origins").select("id", F.col("ord").alias("lon"), (F.col("ord") % 7).alias("lat")))
+
+
+@query("SELECT mode, CAST(count(*) AS BIGINT) AS n_chunks, CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(route_seconds) AS BIGINT) AS route_seconds FROM {chunk_entries} GROUP BY mode", "run_metadata")
+def _run_metadata(get):
+    return run_metadata(get("chunk_entries"))
+
+
+# buildings and territories
+
+_REACHED = f"(TYPEQU IN {_in(KEPT)} AND count_20 >= 1)"
+_FLAGS = ", ".join(f"coalesce(bool_or({_REACHED} AND TYPEQU IN {_in(t)}), false) AS has_{n}" for n, t in CLUSTERS.items())
+_BUILDING = f"""
+  WITH b AS (SELECT batiment_id, mode, count(DISTINCT CASE WHEN {_REACHED} THEN TYPEQU END) AS diversity, coalesce(sum(CASE WHEN {_REACHED} THEN count_20 END), 0) AS total, {_FLAGS} FROM {{matrix}} GROUP BY batiment_id, mode),
+  g AS (SELECT * FROM (SELECT DISTINCT batiment_id FROM {{matrix}}) x, (SELECT DISTINCT mode FROM {{matrix}}) y),
+  f AS (SELECT g.batiment_id, g.mode, coalesce(b.diversity, 0) AS diversity, coalesce(b.total, 0) AS total, {", ".join(f"coalesce(has_{n}, false) AS has_{n}" for n in CLUSTERS)}
+        FROM g LEFT JOIN b ON g.batiment_id = b.batiment_id AND g.mode = b.mode),
+  bm AS (SELECT f.batiment_id, f.mode, CAST(f.diversity AS BIGINT) AS diversity, CAST(f.total AS BIGINT) AS total, CAST(r.diversity - f.diversity AS BIGINT) AS div_loss, CAST(r.total - f.total AS BIGINT) AS tot_loss, {", ".join(f"f.has_{n}" for n in CLUSTERS)}
+        FROM f LEFT JOIN f r ON f.batiment_id = r.batiment_id AND r.mode = 'car')"""
+
+
+def _building(get):
+    return matrix.building_metrics(_matrix(get), KEPT, 20, "car", CLUSTERS)
+
+
+query(_BUILDING + " SELECT * FROM bm", "building_metrics")(_building)
+
+for _level, _keys in LEVELS.items():
+    _k = _keys[0]
+    _shares = ", ".join(f"avg(CAST(m.has_{n} AS INT)) AS share_{n}, avg(CAST(r.has_{n} AND NOT m.has_{n} AS INT)) AS pct_iso_{n}" for n in CLUSTERS)
+    query(
+        _BUILDING
+        + f""" SELECT c.{_k}, m.mode, CAST(count(DISTINCT m.batiment_id) AS BIGINT) AS nb_buildings, {_shares}, avg(CAST(m.total = 0 AS INT)) AS pct_iso_full, avg(m.diversity) AS avg_diversity, avg(m.total) AS avg_total,
+        avg(m.div_loss) AS avg_div_loss, quantile_cont(CAST(m.div_loss AS DOUBLE), 0.5) AS med_div_loss, avg(m.tot_loss) AS avg_tot_loss, quantile_cont(CAST(m.tot_loss AS DOUBLE), 0.5) AS med_tot_loss
+        FROM bm m JOIN {{crosswalk}} c ON m.batiment_id = c.batiment_id JOIN bm r ON r.batiment_id = m.batiment_id AND r.mode = 'car' WHERE c.{_k} IS NOT NULL GROUP BY c.{_k}, m.mode""",
+        f"territory_{_level}",
+    )(lambda get, level=_level: matrix.territory_aggregates(_building(get), get("crosswalk"), level, "car", CLUSTERS))
+
+
+# gains
+
+_GAIN = f"""SELECT t.batiment_id, t.TYPEQU, 'transit_gain' AS mode, w.tt_nearest IS NOT NULL AS walk_available, w.tt_nearest - t.travel_time_p1 AS time_gain_p1, w.tt_nearest - t.travel_time_p50 AS time_gain_p50,
+  {", ".join(f"CAST(t.count_{r} - coalesce(w.count_{r}, 0) AS INT) AS count_gain_{r}_p1, CAST(t.count_{r}_p50 - coalesce(w.count_{r}, 0) AS INT) AS count_gain_{r}_p50" for r in RUNGS)}
+  FROM ({_TRANSIT}) t LEFT JOIN (SELECT * FROM {{matrix}} WHERE mode = 'walk') w ON t.batiment_id = w.batiment_id AND t.TYPEQU = w.TYPEQU"""
+
+
+def _gains(get):
+    return matrix.transit_gains(matrix_transit(get), _matrix(get).where("mode = 'walk'"))
+
+
+query(_GAIN, "transit_gain")(_gains)
+
+
+@query("SELECT v AS violation, CAST(0 AS BIGINT) AS n FROM (VALUES ('mode'), ('time_gain'), ('whole'), ('duplicate_key')) t(v)")
+def validate_gain_report(get):
+    return gain_report(_gains(get))
+
+
+# the address table
+
+
+@query("SELECT batiment_id, TYPEQU, tt_nearest AS nearest_bike, " + ", ".join(f"count_{r} AS count_{r}_bike" for r in RUNGS) + " FROM {matrix} WHERE mode = 'bike'")
+def normalize_atomic(get):
+    return monolith.normalise_atomic(_matrix(get).where("mode = 'bike'"), "bike")
+
+
+_NGAIN = "SELECT batiment_id, TYPEQU, walk_available AS transit_gain_walk_available, time_gain_p1 AS transit_gain_time_p1, time_gain_p50 AS transit_gain_time_p50, " + ", ".join(f"count_gain_{r}_{p} AS transit_gain_count_{r}_{p}" for p in ("p1", "p50") for r in RUNGS) + f" FROM ({_GAIN}) g"
+
+
+@query(_NGAIN)
+def normalize_gain(get):
+    return monolith.normalise_gains(_gains(get))
+
+
+@query("SELECT DISTINCT o_custkey AS k, o_orderstatus AS v FROM {orders}")
+def collapse_rows(get):
+    once = get("orders").select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("v"))
+    return monolith.collapse(once.unionByName(once), ["k"])
+
+
+@query("SELECT o_custkey AS k, CAST(count(DISTINCT coalesce(CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END, '~')) AS BIGINT) AS n_versions FROM {orders} GROUP BY 1 HAVING count(DISTINCT coalesce(CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END, '~')) > 1")
+def collapse_conflicts(get):
+    v = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus"))
+    return monolith.conflicts(get("orders").select(F.col("o_custkey").alias("k"), v.alias("v")), ["k"])
+
+
+_FAMILY = "SELECT batiment_id AS address_id, TYPEQU, tt_nearest AS nearest_{m}, " + ", ".join(f"count_{r} AS count_{r}_{{m}}" for r in RUNGS) + " FROM {{matrix}} WHERE mode = '{m}'"
+_WIDE = "SELECT coalesce(w.address_id, b.address_id) AS address_id, coalesce(w.TYPEQU, b.TYPEQU) AS TYPEQU, nearest_walk, nearest_bike, " + ", ".join(f"count_{r}_{m}" for m in ("walk", "bike") for r in RUNGS) + f" FROM ({_FAMILY.format(m='walk')}) w FULL JOIN ({_FAMILY.format(m='bike')}) b ON w.address_id = b.address_id AND w.TYPEQU = b.TYPEQU"
+
+
+@query(_WIDE)
+def monolith_upsert(get):
+    rows = _matrix(get).withColumnRenamed("batiment_id", "address_id")
+    return monolith.merge([monolith.normalise_atomic(rows.where(f"mode = '{m}'"), m) for m in ("walk", "bike")], strict=True)
+
+
+@query("""SELECT k AS address_id, t AS TYPEQU, max(nw) AS nearest_walk, CASE WHEN min(av) <> max(av) AND max(nw) IS NOT NULL THEN max(CASE WHEN nw IS NOT NULL THEN av END) ELSE max(av) END = 1 AS transit_gain_walk_available,
+  CASE WHEN min(av) <> max(av) AND max(nw) IS NOT NULL THEN max(CASE WHEN nw IS NOT NULL THEN g END) ELSE max(g) END AS transit_gain_count_5_p1
+  FROM (SELECT o_custkey AS k, o_orderstatus AS t, CASE WHEN o_orderkey % 2 = 0 THEN CAST(7 AS DOUBLE) END AS nw, CAST(o_orderkey % 2 = 0 AS INT) AS av, CAST(o_orderkey % 2 AS INT) + 3 AS g FROM {orders}) x GROUP BY 1, 2""")
+def monolith_gain_preference(get):
+    even = F.col("o_orderkey") % 2 == 0
+    rows = get("orders").select(F.col("o_custkey").alias("address_id"), F.col("o_orderstatus").alias("TYPEQU"), F.when(even, 7.0).alias("nearest_walk"), even.alias("transit_gain_walk_available"), ((F.col("o_orderkey") % 2).cast("int") + 3).alias("transit_gain_count_5_p1"))
+    return monolith.merge([rows.where(even), rows.where(~even)], strict=True)
+
+
+_BASE = "SELECT a.address_id, m.* EXCLUDE (batiment_id) FROM ({rows}) m JOIN {{monolith_addresses}} a ON a.routing_source = 'existing' AND a.routing_point_id = 'p' || m.batiment_id"
+
+
+@query("SELECT a.address_id, m.TYPEQU, m.mode, m.tt_nearest, m.count_5, m.count_10, m.count_15, m.count_20 FROM {matrix} m JOIN {monolith_addresses} a ON a.routing_source = 'existing' AND a.routing_point_id = 'p' || m.batiment_id")
+def project_base(get):
+    return monolith.project_base(_matrix(get), get("origin_link"), get("monolith_addresses"))
+
+
+@query("SELECT 'a' || m.batiment_id AS address_id, m.TYPEQU, m.tt_nearest FROM {matrix} m JOIN {monolith_addresses} a ON a.routing_source = 'reroute' AND a.address_id = 'a' || m.batiment_id WHERE mode = 'walk'")
+def project_reroute(get):
+    rows = _matrix(get).where("mode = 'walk'").select(F.concat(F.lit("a"), "batiment_id").alias("batiment_id"), "TYPEQU", "tt_nearest")
+    return monolith.project_reroute(rows, get("monolith_addresses"))
+
+
+_FINAL_COUNTS = [f"count_{r}_{m}" for m in ATOMIC for r in RUNGS] + [f"transit_gain_count_{r}_{p}" for p in ("p1", "p50") for r in RUNGS]
+_FINAL_SIDE = f"""k AS (SELECT DISTINCT batiment_id, TYPEQU FROM {{matrix}} WHERE mode <> 'transit' UNION SELECT batiment_id, TYPEQU FROM gn),
+  {", ".join(f"f{m} AS (SELECT * FROM {{matrix}} WHERE mode = '{m}')" for m in ATOMIC)}"""
+
+
+@query(f"""WITH gn AS ({_NGAIN}), {_FINAL_SIDE}
+  SELECT a.address_id, a.lon, a.lat, a.n_non_dependance_constructions AS n_linked_constructions, a.n_residential_groups AS n_linked_groups, a.routing_source, k.TYPEQU,
+  {", ".join(f"f{m}.tt_nearest AS nearest_{m}" for m in ATOMIC)}, {", ".join(f"coalesce(f{m}.count_{r}, 0) AS count_{r}_{m}" for m in ATOMIC for r in RUNGS)},
+  coalesce(gn.transit_gain_walk_available, false) AS transit_gain_walk_available, gn.transit_gain_time_p1, gn.transit_gain_time_p50, {", ".join(f"coalesce(gn.transit_gain_count_{r}_{p}, 0) AS transit_gain_count_{r}_{p}" for p in ("p1", "p50") for r in RUNGS)}
+  FROM k JOIN {{monolith_addresses}} a ON a.routing_source = 'existing' AND a.routing_point_id = 'p' || k.batiment_id
+  {" ".join(f"LEFT JOIN f{m} ON f{m}.batiment_id = k.batiment_id AND f{m}.TYPEQU = k.TYPEQU" for m in ATOMIC)} LEFT JOIN gn ON gn.batiment_id = k.batiment_id AND gn.TYPEQU = k.TYPEQU""")
+def monolith_final(get):
+    rows = _matrix(get)
+    return monolith.build({m: rows.where(f"mode = '{m}'") for m in ATOMIC}, _gains(get), get("origin_link"), get("monolith_addresses"))
+
+
+@query("SELECT 'p' || CAST(o_custkey AS STRING) AS point_id, CAST(count(DISTINCT o_orderkey % 2) AS BIGINT) AS n_chunks FROM {orders} GROUP BY 1 HAVING count(DISTINCT o_orderkey % 2) > 1")
+def chunk_overlap(get):
+    return monolith.points_in_several_chunks(get("orders").select(F.concat(F.lit("p"), F.col("o_custkey").cast("string")).alias("point_id"), (F.col("o_orderkey") % 2).alias("chunk_id")))
+
+
+# dense territory statistics
+
+
+def _rounded(df):
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@query("SELECT s.code_insee, m.TYPEQU, 'count_20_car' AS metric, CAST(m.count_20_car AS DOUBLE) AS value, CAST(count(*) AS BIGINT) AS weight FROM {metrics} m JOIN {spine} s ON m.address_id = s.address_id WHERE m.count_20_car IS NOT NULL GROUP BY 1, 2, 4")
+def hist_metric(get):
+    return aggregates.histogram(get("metrics"), get("spine"), ["code_insee"], ["count_20_car"])
+
+
+def _dense_sql(keys, columns=METRICS, first="code_insee", where=""):
+    k = ", ".join(keys)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+    stats = []
+    for c in columns:
+        # rows whose finest key is null count as addresses but have no values at coarser levels
+        v = f"coalesce(CASE WHEN {first} IS NOT NULL THEN m.{c} END, 0)"
+        stats.append(f"round(avg(CAST({v} AS DOUBLE)), 6) AS {c}_mean")
+        stats += [f"round(quantile_cont(CAST({v} AS DOUBLE), {p}), 6) AS {c}_p{round(100 * p)}" for p in PROBS]
+        stats.append(f"round(greatest(0.0, max(CAST({v} AS DOUBLE))), 6) AS {c}_max")
+        stats.append(f"round(CAST(sum(CASE WHEN {v} > 0 THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 6) AS {c}_share")
+    return f"""SELECT {k}, t.TYPEQU, CAST(count(*) AS BIGINT) AS n_addresses, CAST(count(CASE WHEN {first} IS NOT NULL THEN m.{columns[0]} END) AS BIGINT) AS n_observed, {", ".join(stats)}
+      FROM {{spine}} s CROSS JOIN {{types}} t LEFT JOIN {{metrics}} m ON m.address_id = s.address_id AND m.TYPEQU = t.TYPEQU WHERE {known} GROUP BY {k}, t.TYPEQU"""
+
+
+@query(_dense_sql(["code_insee", "nom_commune"]))
+def dense_stats(get):
+    return _rounded(aggregates.dense(get("metrics"), get("spine"), get("types"), ["code_insee", "nom_commune"], METRICS, PROBS))
+
+
+for _level, _keys in LEVELS.items():
+    query(_dense_sql(_keys), f"dense_levels_{_level}")(lambda get, level=_level: _rounded(aggregates.dense_levels(get("metrics"), get("spine"), get("types"), METRICS, probs=PROBS)[level]))
+
+
+@query("SELECT m.TYPEQU, " + ", ".join(f"round(quantile_cont(CAST(m.v AS DOUBLE), {p}), 6) AS p{round(100 * p)}" for p in PROBS) + " FROM (SELECT t.TYPEQU, coalesce(m.count_20_walk, 0) AS v FROM {spine} s CROSS JOIN {types} t LEFT JOIN {metrics} m ON m.address_id = s.address_id AND m.TYPEQU = t.TYPEQU) m GROUP BY m.TYPEQU")
+def implicit_zero_quantile(get):
+    values = get("metrics").where("count_20_walk is not null").groupBy("TYPEQU", F.col("count_20_walk").alias("value")).agg(F.count("*").alias("weight"))
+    totals = get("types").join(F.broadcast(get("spine").agg(F.count("*").alias("n_total"))))
+    return _rounded(aggregates.implicit_zero_quantiles(values, ["TYPEQU"], totals, PROBS))
+
+
+@query(f"""WITH d AS ({_dense_sql(["code_insee"], ["count_20_car"], where="")}) SELECT a.code_insee, t.TYPEQU, coalesce(d.n_addresses, 0) AS n_addresses, coalesce(d.n_observed, 0) AS n_observed, d.count_20_car_mean,
+  {", ".join(f"d.count_20_car_p{round(100 * p)}" for p in PROBS)}, d.count_20_car_max, d.count_20_car_share, CASE WHEN coalesce(d.n_addresses, 0) = 0 THEN 'no_address' WHEN d.n_observed = 0 THEN 'no_observation' ELSE 'observed' END AS coverage_status
+  FROM (SELECT n_name AS code_insee FROM {{nation}} UNION ALL SELECT 'EMPTY') a CROSS JOIN {{types}} t LEFT JOIN d ON d.code_insee = a.code_insee AND d.TYPEQU = t.TYPEQU""")
+def publish_axis(get):
+    stats = aggregates.dense(get("metrics"), get("spine"), get("types"), ["code_insee"], ["count_20_car"], PROBS)
+    axis = get("nation").select(F.col("n_name").alias("code_insee"))
+    axis = axis.unionByName(axis.limit(1).select(F.lit("EMPTY").alias("code_insee")))
+    return _rounded(aggregates.publish_axis(stats, axis, get("types"), ["code_insee"]))
+
+
+# universes
+
+
+@query(f"""SELECT CASE WHEN u.usage_principal_bdnb_open IS NULL THEN 'unknown_coverage' WHEN u.usage_principal_bdnb_open IN ('HOUSEHOLD', 'FURNITURE') THEN 'residential' ELSE 'non_residential' END AS usage_status,
+  CAST(count(*) AS BIGINT) AS n_groups FROM {{groups}} g LEFT JOIN {{usage}} u ON g.batiment_groupe_id = u.batiment_groupe_id GROUP BY 1""")
+def usage_audit(get):
+    return universe.usage_audit(get("groups"), get("usage"), ["HOUSEHOLD", "FURNITURE"])
+
+
+@query("SELECT batiment_groupe_id, address_id, fiabilite, ord FROM (SELECT *, row_number() OVER (PARTITION BY batiment_groupe_id ORDER BY fiabilite DESC NULLS LAST, ord) AS n FROM {relations}) x WHERE n = 1")
+def best_relation(get):
+    return universe.best_relation(get("relations"))
+
+
+@query("SELECT batiment_construction_id, batiment_groupe_id, has_address, fictive FROM (SELECT *, row_number() OVER (PARTITION BY batiment_groupe_id ORDER BY batiment_construction_id) AS n FROM {constructions} WHERE NOT fictive) x WHERE n = 1")
+def first_construction(get):
+    return universe.first_construction(get("constructions"))
+
+
+@query("SELECT *, count(*) OVER w >= 2 AND sum(CAST(has_address AS INT)) OVER w >= 1 AND NOT has_address AS is_dependance_candidate FROM {constructions} WINDOW w AS (PARTITION BY batiment_groupe_id)")
+def dependance_flag(get):
+    return universe.dependance_flags(get("constructions"))
+
+
+@query("""WITH c AS (SELECT g.batiment_groupe_id, r.n FROM {groups} g LEFT JOIN (SELECT batiment_groupe_id, count(*) AS n FROM {relations} GROUP BY 1) r ON g.batiment_groupe_id = r.batiment_groupe_id)
+  SELECT CAST(n AS BIGINT) AS n_addresses, CAST(count(*) AS BIGINT) AS n_groups, round_even(CAST(100 AS DOUBLE) * count(*) / (SELECT count(*) FROM c), 2) AS pct FROM c GROUP BY n""")
+def group_address_metrics(get):
+    return universe.group_address_metrics(get("groups"), get("relations"))
+
+
+@query("""SELECT origin_id, CASE WHEN s = 'geom_adresse' THEN ax WHEN s IN ('geom_cstr', 'geom_cstr_fictive') THEN x WHEN s IS NOT NULL THEN gx END AS x,
+  CASE WHEN s = 'geom_adresse' THEN ay WHEN s IN ('geom_cstr', 'geom_cstr_fictive') THEN y WHEN s IS NOT NULL THEN gy END AS y, s AS geometry_source
+  FROM (SELECT *, CASE WHEN ax IS NOT NULL AND fiabilite >= 12 THEN 'geom_adresse' WHEN x IS NOT NULL AND fictive_cstr = 0 THEN 'geom_cstr' WHEN gx IS NOT NULL AND fictive_groupe = 0 THEN 'geom_groupe'
+        WHEN x IS NOT NULL THEN 'geom_cstr_fictive' WHEN gx IS NOT NULL THEN 'geom_groupe_fictive' END AS s FROM {geometry_candidates}) q""")
+def geometry_precedence(get):
+    return get("geometry_candidates").withColumn("g", geo.resolve_geometry(12)).select("origin_id", "g.*")
+
+
+_ZONED = f"SELECT *, CASE WHEN DEP IN ('1', '2', '3') THEN 'region' WHEN distance_m < 25000 THEN 'strip' END AS zone FROM {{equipment}}"
+_KEPT_EQUIPMENT = f"SELECT * FROM ({_ZONED}) z WHERE zone IS NOT NULL AND (QUALITE_GEOLOC IN ('11', '12', '21', '22', '_U') OR coalesce(length(LIBVOIE) > 0, false))"
+
+
+@query(f"SELECT universe_row, zone FROM ({_ZONED}) z WHERE zone IS NOT NULL")
+def zone_classify(get):
+    e = get("equipment")
+    return e.select("universe_row", universe.classify_zone(F.col("DEP"), F.col("distance_m"), ["1", "2", "3"]).alias("zone")).where("zone is not null")
+
+
+def _equipment(get):
+    return universe.equipment_universe(get("equipment"), F.col("distance_m"), ["1", "2", "3"])
+
+
+query(_KEPT_EQUIPMENT, "geoloc_filter")(_equipment)
+
+
+@query(f"SELECT DISTINCT TYPEQU FROM ({_KEPT_EQUIPMENT}) a WHERE zone = 'strip' AND TYPEQU NOT IN (SELECT TYPEQU FROM ({_KEPT_EQUIPMENT}) b WHERE zone = 'region')")
+def strip_only_types(get):
+    return universe.strip_only_types(_equipment(get))
+
+
+_LISTED = ["TYPEQU", "SIRET", "LONGITUDE", "LATITUDE", "DEP"]
+_REGISTRY = f"""WITH r AS (SELECT * FROM {{equipment}} WHERE LONGITUDE IS NOT NULL AND LATITUDE IS NOT NULL), f AS (SELECT {", ".join(_LISTED)}, min(universe_row) AS first FROM r GROUP BY ALL),
+  i AS (SELECT *, printf('bpe_listing_%06d', row_number() OVER (ORDER BY first)) AS id FROM f)
+  SELECT r.*, i.id FROM r JOIN i ON {" AND ".join(f"r.{c} IS NOT DISTINCT FROM i.{c}" for c in _LISTED)}"""
+
+
+@query(_REGISTRY)
+def listing_registry(get):
+    return universe.listing_registry(get("equipment"), _LISTED)
+
+
+@query(f"""SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT id) AS BIGINT) AS n_listings, CAST(count(DISTINCT (LONGITUDE, LATITUDE)) AS BIGINT) AS n_points, CAST(count(CASE WHEN coalesce(SIRET, '') = '' THEN 1 END) AS BIGINT) AS n_empty_siret,
+  CAST(count(CASE WHEN zone = 'region' THEN 1 END) AS BIGINT) AS n_region, CAST(count(CASE WHEN zone = 'strip' THEN 1 END) AS BIGINT) AS n_strip
+  FROM (SELECT *, CASE WHEN DEP = '1' THEN 'region' ELSE 'strip' END AS zone FROM ({_REGISTRY}) q) z""")
+def destination_facts(get):
+    return universe.destination_facts(universe.listing_registry(get("equipment"), _LISTED).withColumn("zone", F.when(F.col("DEP") == "1", "region").otherwise("strip")))
+
+
+_ADDRESSES = """SELECT c.address_id, p.lon, p.lat, c.n_non_dependance_constructions, c.n_residential_groups, CASE WHEN e.id IS NULL THEN 'reroute' ELSE 'existing' END AS routing_source, e.id AS routing_point_id FROM
+  (SELECT l.address_id, CAST(count(DISTINCT o.origin_id) AS BIGINT) AS n_non_dependance_constructions, CAST(count(DISTINCT o.batiment_groupe_id) AS BIGINT) AS n_residential_groups
+   FROM {reroute_links} l JOIN {reroute_origins} o ON l.origin_id = o.origin_id WHERE o.is_dependance_candidate = false GROUP BY 1) c
+  LEFT JOIN {address_points} p ON p.address_id = c.address_id LEFT JOIN {existing_points} e ON e.lon = p.lon AND e.lat = p.lat"""
+
+
+@query(_ADDRESSES)
+def address_universe(get):
+    return universe.address_universe(get("reroute_origins"), get("reroute_links"), get("address_points"), get("existing_points"))
+
+
+@query("""WITH l AS (SELECT l.address_id, o.code_commune_insee AS c, o.code_departement_insee AS d FROM {reroute_links} l JOIN {reroute_origins} o ON l.origin_id = o.origin_id)
+  SELECT address_id, CASE WHEN count(DISTINCT c) = 1 THEN min(c) ELSE min(CASE WHEN c = substr(address_id, 1, 5) THEN c END) END AS code_insee,
+  CASE WHEN count(DISTINCT c) = 1 THEN min(d) ELSE min(CASE WHEN c = substr(address_id, 1, 5) THEN d END) END AS code_departement FROM l GROUP BY address_id""")
+def territory_crosswalk(get):
+    return universe.territory_crosswalk(get("address_points"), get("reroute_links"), get("reroute_origins"), "prefix")
+
+
+# deltas
+
+
+def _deltas(get):
+    agg = matrix.territory_aggregates(_building(get), get("crosswalk"), "commune", "car", CLUSTERS)
+    return deltas.deltas(agg, get("snapshot"), nb_prior=1.2, border=["NATION_1", "NATION_2", "NATION_3"])
+
+
+_D_OURS = " UNION ALL ".join(f"SELECT code_insee, '{m}' AS metric, CAST({m} AS DOUBLE) AS derived FROM agg WHERE mode = 'car'" for m in deltas.SNAPSHOT_MAP)
+_D_THEIRS = " UNION ALL ".join(f"SELECT code_insee, nom_commune, '{m}' AS metric, CAST({s} AS DOUBLE) AS snapshot FROM {{snapshot}}" for m, s in deltas.SNAPSHOT_MAP.items())
+_DELTAS = (
+    _BUILDING
+    + f""", agg AS (SELECT c.code_insee, m.mode, count(DISTINCT m.batiment_id) AS nb_buildings, {", ".join(f"avg(CAST(m.has_{n} AS INT)) AS share_{n}" for n in CLUSTERS)}, avg(CAST(m.total = 0 AS INT)) AS pct_iso_full, avg(m.diversity) AS avg_diversity, avg(m.total) AS avg_total
+    FROM bm m JOIN {{crosswalk}} c ON m.batiment_id = c.batiment_id GROUP BY 1, 2), ours AS ({_D_OURS}), theirs AS ({_D_THEIRS}),
+    j AS (SELECT coalesce(o.code_insee, t.code_insee) AS code_insee, coalesce(o.metric, t.metric) AS metric, t.snapshot, o.derived, o.derived - t.snapshot AS delta_abs, CASE WHEN t.snapshot <> 0 THEN (o.derived - t.snapshot) / t.snapshot END AS delta_rel
+      FROM ours o FULL JOIN theirs t ON o.code_insee = t.code_insee AND o.metric = t.metric),
+    k AS (SELECT j.*, n.nom_commune, CASE WHEN snapshot IS NULL OR derived IS NULL THEN 'missing' WHEN metric = 'nb_buildings' THEN CASE WHEN coalesce(abs(derived / nullif(snapshot, 0) - CAST(1.2 AS DOUBLE)) / CAST(1.2 AS DOUBLE) <= CAST(0.3 AS DOUBLE), false) THEN 'expected' ELSE 'flag' END
+      WHEN (metric LIKE 'share%' OR metric = 'pct_iso_full') THEN CASE WHEN abs(delta_abs) <= CAST(0.1 AS DOUBLE) THEN 'expected' ELSE 'flag' END
+      WHEN coalesce(abs(delta_rel) <= CASE WHEN metric = 'avg_total' THEN CAST(0.4 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END, false) THEN 'expected'
+      WHEN j.code_insee IN ('NATION_1', 'NATION_2', 'NATION_3') AND coalesce(delta_rel > 0, false) THEN 'expected' ELSE 'flag' END AS classification FROM j LEFT JOIN (SELECT DISTINCT code_insee, nom_commune FROM {{snapshot}}) n ON n.code_insee = j.code_insee)"""
+)
+
+
+@query(_DELTAS + " SELECT code_insee, nom_commune, metric, snapshot, derived, round(delta_abs, 9) AS delta_abs, round(delta_rel, 9) AS delta_rel, classification FROM k", "deltas")
+def _deltas_query(get):
+    return _deltas(get).drop("reason").withColumn("delta_abs", F.round("delta_abs", 9)).withColumn("delta_rel", F.round("delta_rel", 9))
+
+
+@query(_DELTAS + " SELECT metric, classification, CAST(count(*) AS BIGINT) AS n FROM k GROUP BY metric, classification")
+def delta_counts(get):
+    return deltas.delta_counts(_deltas(get))
+
+
+# timetables
+
+_ACTIVE = """SELECT service_id FROM (SELECT service_id FROM {calendar} WHERE wednesday = '1' AND start_date <= '20260916' AND end_date >= '20260916'
+  EXCEPT SELECT service_id FROM {calendar_dates} WHERE replace(date, '-', '') = '20260916' AND exception_type = '2') x UNION SELECT service_id FROM {calendar_dates} WHERE replace(date, '-', '') = '20260916' AND exception_type = '1'"""
+
+
+def _active(get):
+    return gtfs.active_services(get("calendar"), get("calendar_dates"), DATE)
+
+
+query(_ACTIVE, "gtfs_active_services")(_active)
+
+
+@query(f"""WITH t AS (SELECT DISTINCT trip_id FROM {{trips}} WHERE service_id IN ({_ACTIVE})),
+  c AS (SELECT s.*, CASE WHEN CAST(substr(departure_time, 4, 2) AS INT) < 60 THEN CAST(substr(departure_time, 1, 2) AS INT) * 3600 + CAST(substr(departure_time, 4, 2) AS INT) * 60 END AS secs FROM {{stop_times}} s WHERE trip_id IN (SELECT trip_id FROM t))
+  SELECT (SELECT CAST(count(*) AS BIGINT) FROM t) AS n_active_trips, CAST(count(DISTINCT CASE WHEN secs >= 36000 AND secs < 39600 THEN trip_id END) AS BIGINT) AS n_window_trips, CAST(count(DISTINCT stop_id) AS BIGINT) AS n_active_stops FROM c""")
+def gtfs_activity(get):
+    return gtfs.activity(_active(get), get("trips"), get("stop_times"))
+
+
+@query(f"SELECT service_id, date, exception_type FROM {{calendar_dates}} WHERE replace(date, '-', '') <> '20260917' UNION ALL SELECT service_id, '20260917', '1' FROM ({_ACTIVE}) a")
+def gtfs_project(get):
+    return gtfs.project_services(get("calendar_dates"), _active(get), "20260917")
+
+
+@query("SELECT stop_id, parent_station FROM {stops} WHERE parent_station IS NOT NULL AND parent_station <> '' AND parent_station NOT IN (SELECT stop_id FROM {stops})")
+def gtfs_parent_orphans(get):
+    return gtfs.parent_orphans(get("stops"))
+
+
+@query("SELECT * FROM {stop_times} WHERE trip_id NOT IN (SELECT trip_id FROM {trips} t JOIN {routes} r ON t.route_id = r.route_id WHERE r.route_type = '715')")
+def route_type_cascade(get):
+    return gtfs.route_type_cascade(get("routes"), get("trips"), get("stop_times"))["stop_times"]
+
+
+@query("""SELECT * FROM {trips} WHERE route_id NOT IN (SELECT route_id FROM {routes} WHERE route_id IN ('3', '4') OR lower(route_short_name) LIKE 'p%') AND NOT lower(trip_headsign) LIKE '%renfort scol'""")
+def school_filter(get):
+    return gtfs.school_filter(get("routes"), get("trips"), "demo", POLICY)[1]
+
+
+@query("SELECT 'gtfsx_' || n_name AS id FROM {nation} WHERE n_nationkey % 3 <> 0 AND n_name NOT IN ('NATION_1', 'NATION_2')")
+def feed_selection(get):
+    feeds = get("nation").select(F.concat(F.lit("gtfsx_"), "n_name").alias("id"), F.when(F.col("n_nationkey") % 3 != 0, F.array(F.lit("r5r-transit"))).otherwise(F.array(F.lit("audit"))).alias("readers"), F.lit("x").alias("pin_key_role"))
+    return gtfs.select_feeds(feeds, "derived", ["gtfsx_NATION_1", "gtfsx_NATION_2"]).select("id")
+
+
+# set operations
+
+
+@query("SELECT o_custkey AS k FROM {orders} WHERE o_orderkey % 2 = 0 UNION SELECT c_custkey FROM {customer} WHERE c_custkey % 3 = 0")
+def set_union(get):
+    return get("orders").where("o_orderkey % 2 = 0").select(F.col("o_custkey").alias("k")).union(get("customer").where("c_custkey % 3 = 0").select("c_custkey")).distinct()
+
+
+@query("SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey FROM {orders}")
+def set_except(get):
+    return get("customer").select(F.col("c_custkey").alias("k")).subtract(get("orders").select("o_custkey"))
+
+
+@query("SELECT c_custkey AS k FROM {customer} WHERE c_custkey % 2 = 0 INTERSECT SELECT o_custkey FROM {orders}")
+def set_intersect(get):
+    return get("customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k")).intersect(get("orders").select("o_custkey"))
+
+
+@query("SELECT c_custkey AS k, c_mktsegment AS a, NULL AS b FROM {customer} UNION ALL SELECT s_suppkey, NULL, CAST(s_acctbal AS STRING) FROM {supplier} WHERE false")
+def set_union_fill(get):
+    left = get("customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("a"), F.lit(None).cast("string").alias("b"))
+    return left.unionByName(get("supplier").where("false").select(F.col("s_suppkey").alias("k")), allowMissingColumns=True)
+
+
+# geometry and archives: rows only
+
+
+@query()
+def lambert93(get):
+    o = get("origins")
+    return o.select("id", geo.lambert93_to_wgs84(F.lit(700000.0) + F.col("ord") * 10, F.lit(6600000.0) - F.col("ord") * 7).alias("p")).select("id", "p.*")
+
+
+@query()
+def wkt_centroid(get):
+    x, y = F.col("ord").cast("string"), (F.col("ord") % 10).cast("string")
+    wkt = F.concat(F.lit("POLYGON(("), x, F.lit(" "), y, F.lit(","), x, F.lit(" 20,"), F.lit("99999 20,"), F.lit("99999 "), y, F.lit(","), x, F.lit(" "), y, F.lit("))"))
+    return get("origins").select("id", geo.wkt_centroid(wkt).alias("c")).select("id", "c.*")
+
+
+@query()
+def strip_distance(get):
+    ring = [(-1.4, 48.1), (-1.2, 48.1), (-1.2, 48.3), (-1.4, 48.3)]
+    return get("origins").select("id", geo.distance_to_ring_m(F.col("lon"), F.col("lat"), ring).alias("distance_m"))
+
+
+def zip_members(spark, sf_dir):
+    """A timetable archive written and read back; the table is small by its nature."""
+    from reachmill.sources import io
+
+    text = _bytes.StringIO()
+    text.write("﻿service_id,wednesday\n")
+    for r in frame(spark, sf_dir, "calendar").orderBy("service_id").collect():
+        text.write(f"{r.service_id},{r.wednesday}\n")
+    rows = []
+    with tempfile.TemporaryDirectory() as folder:
+        path = os.path.join(folder, "feed.zip")
+        io.write_zip({"feed/Calendar.txt": text.getvalue().encode()}, path)
+        rows = io.read_zip_member(spark, path, "calendar.txt").collect()
+    return spark.createDataFrame(rows, "service_id string, wednesday string")
+
+
+_QUERIES["zip_members"] = zip_members
+_SQL["zip_members"] = as_query("SELECT service_id, wednesday FROM {calendar}")
