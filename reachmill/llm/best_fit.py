@@ -10,10 +10,11 @@ from reachmill.llm.packing import minimum_bin_slack, pack
 from reachmill.llm.word_tokens import WordTokenizer
 
 
-def _pieces(size, end_id, tokenizer_file, with_ids):
+def _pieces(size, end_id, tokenizer_file, with_ids, short):
     def run(batches):
         import zlib
 
+        import numpy as np
         import pyarrow as pa
 
         tokenizer, last = WordTokenizer(tokenizer_file), end_id.to_bytes(4, "little")
@@ -25,19 +26,20 @@ def _pieces(size, end_id, tokenizer_file, with_ids):
                 ids = tokenizer.ids(text.as_py() or "") + last
                 for piece, at in enumerate(range(0, len(ids), 4 * size)):
                     own = ids[at : at + 4 * size]
-                    for column, value in zip(out, (doc.as_py(), piece, at // 4, len(own) // 4, zlib.crc32(own), own)):
+                    kept = np.frombuffer(own, "<u4").astype("<u2").tobytes() if short else own
+                    for column, value in zip(out, (doc.as_py(), piece, at // 4, len(own) // 4, zlib.crc32(own), kept)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
 
     return run
 
 
-def token_pieces(docs: DataFrame, size: int = 4096, end_id: int = 1, tokenizer_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids, little-endian unsigned 32-bit): every document's ids and end_id, cut after every ``size`` ids."""
+def token_pieces(docs: DataFrame, size: int = 4096, end_id: int = 1, tokenizer_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, short: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (and ids, little-endian unsigned, 32-bit or, if short, 16-bit): every document's ids and end_id, cut after every ``size`` ids."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, piece long, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return rows.mapInArrow(_pieces(size, end_id, tokenizer_file, with_ids), schema)
+    return rows.mapInArrow(_pieces(size, end_id, tokenizer_file, with_ids, short), schema)
 
 
 def pack_documents(docs: DataFrame, size: int = 4096, end_id: int = 1, tokenizer_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

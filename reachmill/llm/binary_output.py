@@ -13,24 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachmill.llm.best_fit import token_pieces
-from reachmill.llm.common import cut
+from reachmill.llm.common import store
 from reachmill.llm.packing import best_fit_decreasing, pack
 
 #: Sequences that one task puts together at a time.
 SHEET = 512
 
 
-def _halve(batches):
-    """ids from 32 to 16 bits."""
-    import numpy as np
-    import pyarrow as pa
-
-    for batch in batches:
-        ids = [np.frombuffer(v.as_py(), "<u4").astype("<u2").tobytes() for v in batch.column("ids")]
-        keep = [n for n in batch.schema.names if n != "ids"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(ids, pa.binary())], names=[*keep, "ids"])
-
-
 def _sheet(size, pad_id):
     def run(group):
         import numpy as np
@@ -67,9 +56,8 @@ def packed_matrices(docs: DataFrame, size: int = 2048, end_id: int = 49407, pad_
     as they occur and null ids stay null in doc_ids.  Sequence lengths and ids
     must be under 65,536.  Other columns are not read.
     """
-    pieces = token_pieces(docs, size, end_id, tokenizer_file, id_col, text_col, with_ids=True)
-    pieces = pieces.withColumn("row", F.monotonically_increasing_id())
-    pieces = cut(pieces.mapInArrow(_halve, "doc_id long, piece long, start long, length long, ids_crc32 long, row long, ids binary"))
+    pieces = token_pieces(docs, size, end_id, tokenizer_file, id_col, text_col, with_ids=True, short=True)
+    pieces = store(pieces.select("doc_id", "piece", "length", "ids", F.monotonically_increasing_id().alias("row")))
     slots = pack(pieces.select("doc_id", "piece", "length", "row"), size, best_fit_decreasing).select("row", "sequence_id", "offset")
     placed = pieces.join(slots, "row").select("sequence_id", "offset", "length", "doc_id", F.coalesce("doc_id", F.lit(0)).alias("doc"), "piece", "ids")
     placed = placed.withColumn("sheet", F.floor(F.col("sequence_id") / SHEET))
