@@ -21,7 +21,7 @@ from reachmill.llm.common import small_batches
 
 MARK = "▁"
 #: Words kept in an executor process's table before it is emptied.
-TABLE_WORDS = 200_000
+TABLE_WORDS = 400_000
 
 
 class CharacterMap:
@@ -71,8 +71,11 @@ class Codec:
         self.prefix, self.squeeze, self.escape = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
         self.plain = not self.map.units and not self.squeeze and self.prefix and self.escape
         pieces = [p.piece for p in proto.pieces if p.type in (1, 4, 5)]
-        self.lengths = [len(p.piece) for p in proto.pieces]
-        self.bytes_at = {i: 1 for i, p in enumerate(proto.pieces) if p.type == 6}
+        import numpy as np
+
+        #: bytes that a piece takes up in the normalised text; a byte piece takes one, an unknown piece's are not known
+        self.widths = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in proto.pieces], np.int64)
+        self.unknown = {i for i, p in enumerate(proto.pieces) if p.type == 2}
         self.by_word = self.plain and proto.trainer_spec.model_type == 2 and not any(MARK in p.lstrip(MARK) for p in pieces) and not any(p.type == 4 for p in proto.pieces)
         self.table: dict = {}
         self.table_words = table_words
@@ -153,29 +156,30 @@ class Codec:
 
         ids, decimals = self.ids(text)
         normal, source = self.normalise(text)
+        if not ids:
+            return ids, decimals, source[:0], source[:0]
+        points = np.frombuffer(normal.encode("utf-32-le", "replace"), "<u4")
+        wide = 1 + (points > 0x7F).astype(np.int8) + (points > 0x7FF) + (points > 0xFFFF)
         own = np.array(ids, np.intp)
-        known = np.array(self.lengths, np.int64)
-        is_byte = np.zeros(len(known), bool)
-        is_byte[list(self.bytes_at)] = True
-        step = known[own]
-        single = is_byte[own]
-        unknown = own == self.library.unk_id()
-        if single.any() or unknown.any():
-            step, place, i = step.copy(), 0, 0
-            spans = np.zeros((len(own), 2), np.int64)
-            while i < len(own):
-                run = 1
-                if single[i]:
-                    run = len(normal[place].encode("utf-8", "replace"))
-                    step[i] = 1
-                elif unknown[i]:
-                    step[i] = 1
-                spans[i : i + run] = source[place], source[place + step[i]]
-                place += step[i]
-                i += run
-            return ids, decimals, spans[:, 0], spans[:, 1]
+        step = self.widths[own]
+        if not self.unknown.isdisjoint(ids):
+            step = self._with_unknown(own, step, wide)
         ends = np.cumsum(step)
-        return ids, decimals, source[ends - step], source[ends]
+        owner = np.repeat(np.arange(len(points), dtype=np.int32), wide)  # the character of each normalised byte
+        return ids, decimals, source[owner[ends - step]], source[owner[ends - 1] + 1]
+
+    def _with_unknown(self, own, step, wide):
+        """Bytes of each piece where some are unknown: an unknown piece takes up the one character it stands for."""
+        step, starts, at = step.copy(), {}, 0
+        for c, w in enumerate(wide.tolist()):
+            starts[at] = w
+            at += w
+        at = 0
+        for i, piece in enumerate(own.tolist()):
+            if piece in self.unknown:
+                step[i] = starts[at]
+            at += int(step[i])
+        return step
 
     def decode(self, ids):
         return self.library.decode(ids)
@@ -197,21 +201,17 @@ def _encoder(model_file, spans):
 
         codec = Codec(_model_file(model_file))
         for batch in batches:
-            out = [[] for _ in range(6 if spans else 3)]
+            out = [[] for _ in range(4 if spans else 3)]
             for text in batch.column(1):
                 text = text.as_py() or ""
+                ids, decimals, begins, ends = codec.encode(text)
+                decoded = codec.decode(ids)
                 if spans:
-                    ids, _, begins, ends = codec.encode(text)
-                    row = ids, begins, ends, codec.decode(ids)
-                    for column, value in zip(out, (*row[:3], row[3], len(ids), None)):
-                        column.append(value)
+                    row = ids, begins, ends, decoded
                 else:
-                    ids, decimals, begins, ends = codec.encode(text)
-                    if len(ends) and ends[-1] > 4 * len(text):
-                        raise ValueError("a span ends outside its text")
-                    row = len(ids), hashlib.sha256(decimals).hexdigest(), hashlib.sha256(codec.decode(ids).encode("utf-8")).hexdigest()
-                    for column, value in zip(out, row):
-                        column.append(value)
+                    row = len(ids), hashlib.sha256(decimals).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()
+                for column, value in zip(out, row):
+                    column.append(value)
             if spans:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(out[i], pa.list_(pa.int32())) for i in range(3)), pa.array(out[3], pa.string())], names=["doc_id", "ids", "begins", "ends", "decoded"])
             else:
