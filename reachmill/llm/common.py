@@ -1,4 +1,4 @@
-"""What the operators of this subpackage share: shipping, lineage cuts, tables."""
+"""What the operators of this subpackage share: lineage cuts and tables."""
 
 from __future__ import annotations
 
@@ -7,24 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-import pyspark.cloudpickle as cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-import reachmill.llm as _package
-
-
-def ship() -> None:
-    """Pickle this subpackage's functions by value.
-
-    Executors then need the third-party libraries only, not this repository
-    on their path.
-    """
-    if _package.__name__ not in cloudpickle.list_registry_pickle_by_value():
-        cloudpickle.register_pickle_by_value(_package)
-
-
-ship()
-
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where it is unset."""
