@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime
 import hashlib
-import json
 import os
 
 from pyspark.sql import DataFrame
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from reachmill.functions.contracts import MODES, ContractError, validate_matrix
 from reachmill.operators import matrix, routing
+from reachmill.plans.identity import digest, first_mismatch
 from reachmill.sources import io
 
 PENDING, RUNNING, COMPLETE, FAILED = "pending", "running", "complete", "failed"
@@ -52,9 +52,9 @@ class Run:
         self.path = os.path.join(folder, "manifest.json")
         if os.path.exists(self.path):
             self.manifest = io.read_json(self.path, "run")
-            for part in IDENTITY:
-                if self.manifest["identity"][part] != self.identity[part]:
-                    raise ContractError(f"run cannot be resumed: {part} differs")
+            mismatch = first_mismatch(self.identity, self.manifest["identity"], IDENTITY)
+            if mismatch:
+                raise ContractError(f"run cannot be resumed: {mismatch['reason']}")
         else:
             points, link = routing.coordinate_plan(origins, "coord_o")
             dpoints, dlink = routing.coordinate_plan(destinations, "coord_d")
@@ -138,8 +138,7 @@ class Run:
             m["chunks"] += 1
             m["complete"] += e["status"] == COMPLETE
             m["n_rows"] += e.get("n_rows") or 0
-        digest = hashlib.sha256(json.dumps(self.identity, sort_keys=True).encode()).hexdigest()
-        return {"kind": "run_metadata", "identity": digest, "modes": by}
+        return {"kind": "run_metadata", "identity": digest(self.identity), "modes": by}
 
 
 def run_metadata(entries: DataFrame) -> DataFrame:
