@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachmill.functions.contracts import CAP, assert_within_cap, require_none
+from reachmill.operators.ranking import numbered
 
 
 class Router(Protocol):
@@ -19,12 +20,11 @@ class Router(Protocol):
 def coordinate_plan(points: DataFrame, prefix: str, order: str = "ord") -> tuple[DataFrame, DataFrame]:
     """(points(id, lon, lat), link(id, point_id)): one routed point per exact coordinate, numbered by first appearance.
 
-    Numbers need a total order; they are made from one sort of the distinct
-    coordinates, not of the identities.
+    Only the distinct coordinates are numbered, not the identities.
     """
     first = points.groupBy("lon", "lat").agg(F.min(order).alias("first"))
-    number = F.row_number().over(Window.orderBy("first"))
-    planned = first.withColumn("point_id", F.format_string(f"{prefix}_%06d", number)).drop("first")
+    planned = numbered(first, "first", "number", points.select(F.col(order).alias("first")))
+    planned = planned.select("lon", "lat", F.format_string(f"{prefix}_%06d", "number").alias("point_id"))
     link = points.join(planned, ["lon", "lat"]).select("id", "point_id")
     return planned.select(F.col("point_id").alias("id"), "lon", "lat"), link
 
@@ -72,7 +72,7 @@ def route_unique(origins: DataFrame, destinations: DataFrame, router: Router, or
 
 def chunk_ids(points: DataFrame, size: int, order: str = "id") -> DataFrame:
     """points with chunk_id from 1: consecutive runs of ``size`` in plan order."""
-    return points.withColumn("chunk_id", (F.floor((F.row_number().over(Window.orderBy(order)) - 1) / size) + 1).cast("int"))
+    return numbered(points, order, "_number").withColumn("chunk_id", (F.floor((F.col("_number") - 1) / size) + 1).cast("int")).drop("_number")
 
 
 def census(identities: DataFrame, points: DataFrame, size: int) -> DataFrame:

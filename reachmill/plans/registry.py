@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io as _bytes
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from reachmill.functions import geo
 from reachmill.functions.contracts import ATOMIC, LEVELS, RUNGS, gain_report, matrix_report
 from reachmill.operators import aggregates, deltas, gtfs, matrix, monolith, routing, universe
 from reachmill.plans.adapters import CLUSTERS, KEPT, METRICS, as_query, frame
-from reachmill.plans.runner import run_metadata
+from reachmill.plans.runner import Run, run_metadata
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -589,4 +591,23 @@ def zip_members(spark, sf_dir):
 
 
 _QUERIES["zip_members"] = zip_members
+
+
+def resume_runner(spark, sf_dir):
+    """A run of several chunks that stops after one and is taken up again; its matrix is that of one pass."""
+    origins, destinations, types = (frame(spark, sf_dir, n) for n in ("origins", "destinations", "dest_map"))
+    parent = (spark.sparkContext.getConf().get("spark.checkpoint.dir") or "").removeprefix("file:") or None  # the folder that driver and executors share
+    if parent:
+        os.makedirs(parent, exist_ok=True)
+    folder = tempfile.mkdtemp(prefix="run-", dir=parent)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    size = max(1, -(-origins.select("lon", "lat").distinct().count() // 3))
+    for limit in (1, None):
+        run = Run(folder, origins, destinations, types, modes=["car"], chunk_size=size)
+        run.execute(limit)
+    return run.matrix().select("batiment_id", "TYPEQU", F.lit("car").alias("mode"), "tt_nearest", *[f"count_{r}" for r in RUNGS])
+
+
+_QUERIES["resume_runner"] = resume_runner
+_SQL["resume_runner"] = as_query(f"SELECT p.from_id AS batiment_id, d.TYPEQU, 'car' AS mode, CAST(min(travel_time) AS DOUBLE) AS tt_nearest, {_ladder('travel_time')} FROM ({_ROUTE}) p JOIN {{dest_map}} d ON p.to_id = d.id WHERE travel_time <= 20 GROUP BY p.from_id, d.TYPEQU")
 _SQL["zip_members"] = as_query("SELECT service_id, wednesday FROM {calendar}")

@@ -1,4 +1,4 @@
-"""Identities, configuration and staging: no Spark session needed."""
+"""Identities, configuration, staging and numbering."""
 
 import os
 
@@ -100,3 +100,14 @@ def test_staging_copies_prunes_and_refuses(feeds, tmp_path):
     block = staging.stage(feeds, target, data, transform=lambda feed, path: None if feed["id"] == "a" else path)
     assert block["skipped"] == ["a"] and sorted(os.listdir(target)) == ["b.zip", "c.zip", "own.zip", "staged.json"]
     assert [f["sha256"] for f in block["feeds"]] == [f["sha256"] for f in feeds[1:]]
+
+
+def test_numbered_runs_over_stretches(spark):
+    from reachmill.operators.ranking import numbered
+
+    values = [(i * 7919) % 100_003 for i in range(20_000)]
+    got = numbered(spark.createDataFrame([(v,) for v in values] + [(None,)], "v long"), "v").collect()
+    assert sorted((r.place, r.v) for r in got)[1:] == list(enumerate(sorted(values), 2)) and min(got, key=lambda r: r.place).v is None
+    words = spark.createDataFrame([(str(v),) for v in values], "v string")
+    assert [r.v for r in sorted(numbered(words, "v", "n").collect(), key=lambda r: r.n)] == sorted(map(str, values))
+    assert numbered(words.limit(0), "v").count() == 0
