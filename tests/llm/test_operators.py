@@ -395,5 +395,16 @@ def test_pipeline_stages(spark, docs, awkward, nothing):
         assert len(ids) == len(set(ids))
 
 
+def test_near_copies_by_either_rule(spark):
+    words = [f"b{i}" for i in range(1000)]
+    edited = [f"e{i}" if i % 40 == 20 else w for i, w in enumerate(words)]  # 0.86 on three words, 0.777 on five
+    longer = words + [f"c{i}" for i in range(200)]  # 0.833 on either
+    stage = lambda rows: {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string"), SF).collect()}
+    other = [f"d{i}" for i in range(300)]
+    assert stage([(1, words), (2, longer), (8, other)]) == {1, 8}
+    assert stage([(1, words), (2, edited), (8, other)]) == {1, 8}
+    assert stage([(1, longer), (2, edited), (3, words), (8, other)]) == {1, 8}  # 3 joins 1 and 2
+
+
 def test_queries_have_their_names():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 11))
