@@ -89,13 +89,14 @@ def delta_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("metric", "classification").agg(F.count("*").alias("n"))
 
 
-def render_report(found: DataFrame, title: str = "Deltas against the snapshot", rows: int = 200) -> str:
-    """A Markdown report: counts by metric and the flagged rows.  Unclassified rows raise."""
+def render_report(found: DataFrame, title: str = "Deltas against the snapshot") -> str:
+    """A Markdown report: counts by metric, all flagged rows and all missing comparisons.  Unclassified rows raise."""
     if found.where("classification is null or reason is null").limit(1).count():
         raise ContractError("report: unclassified rows")
     out = [f"# {title}", "", "| metric | expected | flag | missing |", "|---|---|---|---|"]
     table = found.groupBy("metric").pivot("classification", ["expected", "flag", "missing"]).count().fillna(0).orderBy("metric")
     out += [f"| {r.metric} | {r.expected} | {r.flag} | {r.missing} |" for r in table.collect()]
-    flags = found.where("classification = 'flag'").orderBy("code_insee", "metric")
-    out += ["", "## Flags", ""] + [f"- {r.code_insee} {r.nom_commune or ''}: {r.metric} {r.snapshot:g} to {r.derived:g} ({r.reason})" for r in flags.limit(rows).collect()]
+    flags, missing = (found.where(F.col("classification") == kind).orderBy("code_insee", "metric").toLocalIterator() for kind in ("flag", "missing"))
+    out += ["", "## Flags", ""] + [f"- {r.code_insee} {r.nom_commune or ''}: {r.metric} {r.snapshot:g} to {r.derived:g} ({r.reason})" for r in flags]
+    out += ["", "## Missing", ""] + [f"- {r.code_insee} {r.nom_commune or ''}: {r.metric} ({r.reason})" for r in missing]
     return "\n".join(out) + "\n"

@@ -174,6 +174,14 @@ def test_deltas_example(spark):
     assert "| nb_buildings | 1 | 1 | 1 |" in report and "35002" in report
 
 
+def test_report_lists_every_row(spark):
+    schema = "code_insee string, nom_commune string, metric string, snapshot double, derived double, classification string, reason string"
+    rows = [(f"{i:05}", "n", "avg_total", 2.0, 9.0, "flag", "outside the band") for i in range(450)] + [(f"{i:05}", None, "avg_total", 2.0, None, "missing", "not derived") for i in range(450, 700)]
+    report = deltas.render_report(spark.createDataFrame(rows, schema)).splitlines()
+    listed = [line[2:7] for line in report if line.startswith("- ")]
+    assert listed == [r[0] for r in rows] and "- 00699 : avg_total (not derived)" in report
+
+
 def test_timetables(spark):
     calendar = spark.createDataFrame([("weekday", "1", "20260101", "20261231"), ("saturday", "0", "20260101", "20261231")], "Service_ID string, wednesday string, start_date string, end_date string")
     dates = spark.createDataFrame([("weekday", "20260916", "2"), ("saturday", "2026-09-16", "1"), ("special", "20260916", "1")], "service_id string, date string, exception_type string")
