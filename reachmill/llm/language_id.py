@@ -29,7 +29,6 @@ FAMILIES = {
 
 BITS = 12
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 64
 UNDETERMINED = "und"
 
 
@@ -127,23 +126,20 @@ def _features(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["lang", "f"])
 
 
-def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Hierarchy:
-    """The machines, from about per_language texts of each of the max_languages most frequent languages, chosen by a hash of the id."""
+def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> Hierarchy:
+    """The machines, from about per_language texts of every language, chosen by a hash of the id."""
     import numpy as np
 
     small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000))
+    wanted = rows.join(F.broadcast(counts), "lang").where(share < (F.lit(1_000_000 * per_language) / F.col("n")).cast("long") + 1)
+    got = wanted.select("lang", "text").mapInArrow(_features, "lang string, f binary").toPandas()
     model = Hierarchy()
-    if not counts:
+    if got.empty:
         model.families = []
         return model
-    share = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000))
-    wanted = None
-    for r in counts:
-        own = (F.col("lang") == r[0]) & (share < int(1_000_000 * per_language / r[1]) + 1)
-        wanted = own if wanted is None else wanted | own
-    got = rows.where(wanted).select("lang", "text").mapInArrow(_features, "lang string, f binary").toPandas()
     got = got.sort_values(["lang", "f"], kind="stable")
     x = np.frombuffer(b"".join(got["f"]), np.float16).reshape(len(got), 1 << BITS).astype(np.float32)
     return model.fit(x, list(got["lang"]))

@@ -378,6 +378,17 @@ def test_language_accuracy(spark, awkward, nothing):
     assert language_id.identify(nothing).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    random = np.random.default_rng(6)
+    names = [f"l{i:02}" for i in range(70)]
+    rows = []
+    for n in names:
+        words = ["".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(4)]
+        rows += [(n, " ".join(words))] * 8
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    assert {r.lang_pred for r in language_id.identify(docs).collect()} == set(names)
+
+
 def test_pipeline_stages(spark, docs, awkward, nothing):
     kept = docs
     for _, stage in corpus_pipeline.STAGES[:-1]:
