@@ -189,14 +189,17 @@ def _keep(shared, at):
         model = shared.value
         for batch in batches:
             langs = (t.as_py() for t in batch.column(at))
-            mask = [bool(t) and has_letter(t) and model.predict(features(t))[0] != UNDETERMINED for t in langs]
+            mask = [bool(t) and has_letter(t) and (not model.families or model.predict(features(t))[0] != UNDETERMINED) for t in langs]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
     return run
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The rows of docs, all columns, whose language identify can tell: those that are not "und"."""
+    """The rows of docs, all columns, whose language identify can tell: those that are not "und".
+
+    If no row teaches a language, every text with a letter stays.
+    """
     model = fit(docs.where(~held_out(id_col) & F.col(id_col).isNotNull()), lang_col, text_col, id_col, per_language)
     small_batches(docs.sparkSession)
     return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)), docs.schema)

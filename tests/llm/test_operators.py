@@ -389,6 +389,12 @@ def test_every_language_is_learned(spark):
     assert {r.lang_pred for r in language_id.identify(docs).collect()} == set(names)
 
 
+def test_language_stage_without_labels(spark):
+    rows = [(1, "some text", None), (2, None, None), (3, "12 34", None), (4, "mehr Text", None)]
+    got = language_id.keep_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.doc_id for r in got.collect()} == {1, 4}
+
+
 def test_pipeline_stages(spark, docs, awkward, nothing):
     kept = docs
     for _, stage in corpus_pipeline.STAGES[:-1]:
