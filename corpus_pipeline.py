@@ -22,21 +22,31 @@ def _without(docs, dropped):
     return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
+def _joined(keyed, texts, how):
+    """keyed joined with texts on (doc_id, _norm), where null ids are equal."""
+    texts = texts.select(F.col("doc_id").alias("_id"), F.col("_norm").alias("_text")).distinct()
+    return keyed.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_norm") == F.col("_text")), how)
+
+
+def _without_texts(keyed, dropped):
+    return _joined(keyed, dropped, "left_anti")
+
+
 def identify_language(spark, docs, sf_dir):
     """Documents whose language can be told; those without any letter go."""
     return language_id.keep_identified(docs)
 
 
 def drop_exact_copies(spark, docs, sf_dir):
-    """One row of each group of equal texts."""
-    found = cut(exact_dedup.exact_duplicates(docs))
-    out = _without(docs, found.where("not kept"))
-    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    """One row of each group of equal texts; rows are told apart by doc_id, null or not, and text."""
+    found = cut(exact_dedup.exact_duplicates(docs)).where("group_size > 1").select("doc_id", F.col("text_sha256").alias("_norm"), "kept")
+    keyed = docs.withColumn("_norm", F.sha2(exact_dedup.normalise(F.col("text")).cast("binary"), 256))
+    out = _without_texts(keyed, found.where("not kept"))
+    repeated = found.where("kept").groupBy("doc_id", "_norm").count().where("count > 1")
     if repeated.limit(1).count():
-        norm = F.sha2(exact_dedup.normalise(F.col("text")).cast("binary"), 256)
-        again = out.join(repeated, "doc_id", "left_semi").withColumn("_norm", norm).dropDuplicates(["doc_id", "_norm"])
-        out = _without(out, repeated).unionByName(again.select(docs.columns))
-    return out
+        again = _joined(keyed, repeated, "left_semi").dropDuplicates(["doc_id", "_norm"])
+        out = _without_texts(out, repeated).unionByName(again)
+    return out.select(docs.columns)
 
 
 def drop_near_copies(spark, docs, sf_dir):

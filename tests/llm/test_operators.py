@@ -395,6 +395,12 @@ def test_language_stage_without_labels(spark):
     assert {r.doc_id for r in got.collect()} == {1, 4}
 
 
+def test_exact_copies_by_id_and_text(spark):
+    rows = [(5, "x"), (9, "X"), (5, "y"), (None, "x"), (None, "only null"), (None, "ONLY null"), (None, "own"), (7, "z"), (7, "Z")]
+    got = corpus_pipeline.drop_exact_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted((r.doc_id or 0, r.text.lower()) for r in got) == [(0, "only null"), (0, "own"), (5, "y"), (7, "z"), (9, "x")]
+
+
 def test_pipeline_stages(spark, docs, awkward, nothing):
     kept = docs
     for _, stage in corpus_pipeline.STAGES[:-1]:
