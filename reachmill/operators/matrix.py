@@ -78,7 +78,10 @@ def building_metrics(matrix: DataFrame, kept, threshold: int = 20, ref_mode: str
     found = matrix.groupBy("batiment_id", "mode").agg(
         F.count_distinct(F.when(reached, F.col("TYPEQU"))).alias("diversity"), F.coalesce(F.sum(F.when(reached, F.col(f"count_{threshold}"))), F.lit(0)).cast("long").alias("total"), *flags
     )
-    modes = [r[0] for r in matrix.select("mode").distinct().limit(64).collect()]
+    modes = [r[0] for r in matrix.select("mode").distinct().limit(len(MODES) + 1).collect()]  # more than len(MODES) hold an unknown one
+    unknown = [str(m) for m in modes if m not in MODES]
+    if unknown:
+        raise ContractError(f"building metrics: unknown mode {unknown[0]}")
     values = F.struct(*[c for c in found.columns if c not in ("batiment_id", "mode")])
     by_building = found.groupBy("batiment_id").agg(F.map_from_entries(F.collect_list(F.struct("mode", values.alias("v")))).alias("m"))
     grid = by_building.withColumn("mode", F.explode(F.array(*[F.lit(m) for m in sorted(modes)]))).withColumn("v", F.col("m")[F.col("mode")]).withColumn("ref", F.col("m")[F.lit(ref_mode)])

@@ -174,6 +174,12 @@ def test_deltas_example(spark):
     assert "| nb_buildings | 1 | 1 | 1 |" in report and "35002" in report
 
 
+def test_metrics_refuse_an_unknown_mode(spark):
+    rows = [("b1", "T", "car", 1), ("b1", "T", "boat", 1)]
+    with pytest.raises(ContractError):
+        matrix.building_metrics(spark.createDataFrame(rows, "batiment_id string, TYPEQU string, mode string, count_20 int"), ["T"])
+
+
 def test_report_lists_every_row(spark):
     schema = "code_insee string, nom_commune string, metric string, snapshot double, derived double, classification string, reason string"
     rows = [(f"{i:05}", "n", "avg_total", 2.0, 9.0, "flag", "outside the band") for i in range(450)] + [(f"{i:05}", None, "avg_total", 2.0, None, "missing", "not derived") for i in range(450, 700)]
