@@ -19,10 +19,13 @@ STRETCH = 1024
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
-    """turns(conv_id, turn, role, text) with place (from 1) and two running sums that identify the prefix up to it."""
+    """turns(conv_id, turn, role, text) with place (from 1) and two running sums that identify the prefix up to it.
+
+    The sums are of 64-bit hashes with unlike seeds, so two unlike prefixes of one length agree with a chance of about 2 ** -128.
+    """
     # equal turn numbers are ordered by role and text
     order = [F.asc_nulls_first("turn"), F.asc_nulls_first("role"), F.asc_nulls_first("text")]
-    part = F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / STRETCH)
+    part = F.coalesce(F.floor(F.col("turn") / STRETCH), F.lit(-(2**62)))  # before every turn's
     rows = turns.withColumn("part", part)
     inner = Window.partitionBy("conv_id", "part").orderBy(*order)
     rows = rows.withColumn("nth", F.row_number().over(inner))
@@ -31,9 +34,9 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
     before = before.select("conv_id", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skip"))
     rows = rows.join(before.withColumnsRenamed({"conv_id": "c", "part": "p"}), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).drop("c", "p")
     rows = rows.withColumn("place", (F.col("skip") + F.col("nth")).cast("int"))
-    absent = lambda c: F.coalesce(F.col(c), F.lit("\u0000"))
+    told = [x for c in ("role", "text") for x in (F.col(c).isNull(), F.coalesce(c, F.lit("")))]
     for name, salt in (("h1", 1), ("h2", 2)):
-        rows = rows.withColumn(name, F.xxhash64("place", absent("role"), absent("text"), F.lit(salt)).cast("decimal(38,0)"))
+        rows = rows.withColumn(name, F.xxhash64("place", *told, F.lit(salt)).cast("decimal(38,0)"))
     running = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = rows.groupBy("conv_id", "part").agg(F.sum("h1").alias("s1"), F.sum("h2").alias("s2"))
     sums = sums.select("conv_id", "part", *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).cast("decimal(38,0)").alias(s) for s in ("s1", "s2")])
