@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.common import small_batches
+from reachmill.llm.common import ship, small_batches, unpack
 
 # Languages by family.  A language that is not listed is a family of its own.
 FAMILIES = {
@@ -28,7 +28,8 @@ FAMILIES = {
 }
 
 BITS = 12
-PER_LANGUAGE = 400
+#: Texts that are learned from: so many a language, and so many in all as long as that leaves FEWEST a language.
+PER_LANGUAGE, IN_ALL, FEWEST = 400, 8000, 20
 UNDETERMINED = "und"
 
 
@@ -127,12 +128,13 @@ def _features(batches):
 
 
 def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> Hierarchy:
-    """The machines, from about per_language texts of every language, chosen by a hash of the id."""
+    """The machines, from about per_language texts of every language (fewer if there are many), chosen by a hash of the id."""
     import numpy as np
 
     small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    per_language = min(per_language, max(FEWEST, IN_ALL // max(1, counts.count())))
     share = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000))
     wanted = rows.join(F.broadcast(counts), "lang").where(share < (F.lit(1_000_000 * per_language) / F.col("n")).cast("long") + 1)
     got = wanted.select("lang", "text").mapInArrow(_features, "lang string, f binary").toPandas()
@@ -149,7 +151,7 @@ def _predict(shared):
     def run(batches):
         import pyarrow as pa
 
-        model = shared.value
+        model = unpack(shared)
         for batch in batches:
             langs, scores = [], []
             for text in batch.column(1):
@@ -178,7 +180,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     model = fit(docs.where(~held_out(id_col) & F.col(id_col).isNotNull()), lang_col, text_col, id_col, per_language)
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), "doc_id long, lang_pred string, score double")
+    out = rows.mapInArrow(_predict(ship(docs.sparkSession, model)), "doc_id long, lang_pred string, score double")
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
@@ -186,7 +188,7 @@ def _keep(shared, at):
     def run(batches):
         import pyarrow as pa
 
-        model = shared.value
+        model = unpack(shared)
         for batch in batches:
             langs = (t.as_py() for t in batch.column(at))
             mask = [bool(t) and has_letter(t) and (not model.families or model.predict(features(t))[0] != UNDETERMINED) for t in langs]
@@ -202,4 +204,4 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     model = fit(docs.where(~held_out(id_col) & F.col(id_col).isNotNull()), lang_col, text_col, id_col, per_language)
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)), docs.schema)
+    return docs.mapInArrow(_keep(ship(docs.sparkSession, model), docs.columns.index(text_col)), docs.schema)

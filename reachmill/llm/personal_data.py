@@ -16,7 +16,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.common import small_batches
+from reachmill.llm.common import ship, small_batches, unpack
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 24
@@ -316,7 +316,7 @@ def _scan(shared, masked):
 
         import pyarrow as pa
 
-        field = shared.value
+        field = unpack(shared)
         for batch in batches:
             out = [[] for _ in range(6 + 1)]
             for text in batch.column(1):
@@ -346,14 +346,14 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     field = fit(rows, sample)
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string" + ", text string" * with_masked
-    return rows.mapInArrow(_scan(spark.sparkContext.broadcast(field), with_masked), schema)
+    return rows.mapInArrow(_scan(ship(spark, field), with_masked), schema)
 
 
 def _mask(shared, text_at, size_at):
     def run(batches):
         import pyarrow as pa
 
-        field = shared.value
+        field = unpack(shared)
         for batch in batches:
             texts = [None if t is None else mask(t, find_spans(t, field)[1]) for t in batch.column(text_at).to_pylist()]
             columns = list(batch.columns)
@@ -371,4 +371,4 @@ def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small_batches(spark)
     field = fit(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), sample)
     size_at = docs.columns.index(size_col) if size_col in docs.columns else None
-    return docs.mapInArrow(_mask(spark.sparkContext.broadcast(field), docs.columns.index(text_col), size_at), docs.schema)
+    return docs.mapInArrow(_mask(ship(spark, field), docs.columns.index(text_col), size_at), docs.schema)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.common import small_batches
+from reachmill.llm.common import ship, small_batches, unpack
 
 #: Labelled documents that the trees are fitted on, about.
 SAMPLE = 16_000
@@ -127,7 +127,7 @@ def _score(shared):
         import numpy as np
         import pyarrow as pa
 
-        trees = shared.value
+        trees = unpack(shared)
         for batch in batches:
             x = np.array([statistics(t.as_py() or "") for t in batch.column(1)])
             score = trees.predict(x) if len(x) else np.empty(0)
@@ -166,5 +166,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     trees = fit(docs, labels, id_col, text_col, sample=sample)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(trees)), "doc_id long, score double")
+    out = rows.mapInArrow(_score(ship(docs.sparkSession, trees)), "doc_id long, score double")
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
