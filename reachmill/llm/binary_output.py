@@ -25,26 +25,29 @@ def _sheet(size, pad_id):
         import numpy as np
         import pyarrow as pa
 
-        group = group.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
-        sequence, length, doc, piece = (group.column(n).to_numpy() for n in ("sequence_id", "length", "doc", "piece"))
-        null = group.column("doc_id").is_null().to_numpy()
-        ids = group.column("ids")
-        start = np.flatnonzero(np.concatenate([[True], sequence[1:] != sequence[:-1]]))
-        out = {n: [] for n in ("sequence_id", "doc_ids", "pieces", "cu_seqlens", "ids", "positions")}
-        for a, b in zip(start, [*start[1:], len(sequence)]):
-            row = np.full(size, pad_id, "<u2")
-            place = np.zeros(size, "<u2")
-            data = np.frombuffer(b"".join(ids[int(i)].as_py() for i in range(a, b)), "<u2")
-            row[: len(data)] = data
-            place[: len(data)] = np.concatenate([np.arange(n) for n in length[a:b]])
-            out["sequence_id"].append(int(sequence[a]))
-            out["doc_ids"].append([None if null[i] else int(doc[i]) for i in range(a, b)])
-            out["pieces"].append(piece[a:b].tolist())
-            out["cu_seqlens"].append([0, *np.cumsum(length[a:b]).tolist()])
-            out["ids"].append(row.tobytes())
-            out["positions"].append(place.tobytes())
-        types = {"sequence_id": pa.int64(), "doc_ids": pa.list_(pa.int64()), "pieces": pa.list_(pa.int64()), "cu_seqlens": pa.list_(pa.int32()), "ids": pa.binary(), "positions": pa.binary()}
-        return pa.table({n: pa.array(v, types[n]) for n, v in out.items()})
+        group = group.sort_by([("sequence_id", "ascending"), ("offset", "ascending")]).combine_chunks()
+        sequence, length, offset = (group.column(n).to_numpy() for n in ("sequence_id", "length", "offset"))
+        names, row, segments = np.unique(sequence, return_inverse=True, return_counts=True)
+        ids, places = np.full(len(names) * size, pad_id, "<u2"), np.zeros(len(names) * size, "<u2")
+        count = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        at = np.repeat(row * size + offset, length) + count
+        ids[at] = np.frombuffer(b"".join(group.column("ids").to_pylist()), "<u2")
+        places[at] = count
+        bounds = np.concatenate([[0], np.cumsum(segments)])
+        ends = np.empty(len(length) + len(names), np.int32)  # every row's zero, then the ends of its segments
+        ends[bounds[:-1] + np.arange(len(names))] = 0
+        ends[np.arange(len(length)) + row + 1] = offset + length
+        lists = lambda values, per: pa.ListArray.from_arrays(pa.array(per, pa.int32()), values)
+        rows = lambda matrix: pa.Array.from_buffers(pa.binary(), len(names), [None, pa.py_buffer((np.arange(len(names) + 1) * 2 * size).astype(np.int32)), pa.py_buffer(matrix)])
+        columns = {
+            "sequence_id": pa.array(names),
+            "doc_ids": lists(group.column("doc_id").chunk(0), bounds),
+            "pieces": lists(group.column("piece").chunk(0), bounds),
+            "cu_seqlens": lists(pa.array(ends), bounds + np.arange(len(bounds))),
+            "ids": rows(ids),
+            "positions": rows(places),
+        }
+        return pa.table(columns)
 
     return run
 
@@ -56,10 +59,10 @@ def packed_matrices(docs: DataFrame, size: int = 2048, end_id: int = 49407, pad_
     as they occur and null ids stay null in doc_ids.  Sequence lengths and ids
     must be under 65,536.  Other columns are not read.
     """
-    pieces = token_pieces(docs, size, end_id, tokenizer_file, id_col, text_col, with_ids=True, short=True)
+    pieces = token_pieces(docs, size, end_id, tokenizer_file, id_col, text_col, with_ids=True, with_crc=False)
     pieces = store(pieces.select("doc_id", "piece", "length", "ids", F.monotonically_increasing_id().alias("row")))
     slots = pack(pieces.select("doc_id", "piece", "length", "row"), size, best_fit_decreasing).select("row", "sequence_id", "offset")
-    placed = pieces.join(slots, "row").select("sequence_id", "offset", "length", "doc_id", F.coalesce("doc_id", F.lit(0)).alias("doc"), "piece", "ids")
+    placed = pieces.join(slots, "row").select("sequence_id", "offset", "length", "doc_id", "piece", "ids")
     placed = placed.withColumn("sheet", F.floor(F.col("sequence_id") / SHEET))
     schema = "sequence_id long, doc_ids array<long>, pieces array<long>, cu_seqlens array<int>, ids binary, positions binary"
     return placed.groupBy("sheet").applyInArrow(_sheet(size, pad_id), schema)

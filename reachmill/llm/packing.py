@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from reachmill.llm.common import cut
 
 
+#: Pieces in a task, about.
+PART_ROWS = 2_000_000
+
+
 def minimum_bin_slack(counts: dict[int, int], size: int):
     """Slots by minimum bin slack.
 
@@ -163,7 +167,7 @@ def pack(pieces: DataFrame, size: int, plan=minimum_bin_slack) -> DataFrame:
     import numpy as np
 
     spark = pieces.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), pieces.count() // PART_ROWS + 1)
     rows = cut(pieces.repartitionByRange(parts, "length", "doc_id", "piece").sortWithinPartitions("length", "doc_id", "piece"))
     counts = {r[0]: r[1] for r in rows.groupBy("length").count().collect()}  # at most ``size`` rows
     slots, _ = plan(counts, size)

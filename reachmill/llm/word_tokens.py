@@ -2,16 +2,20 @@
 
 The tokenizer's rules never look across white space, so the ids of a text are
 those of its blank-separated chunks in sequence, and those of a chunk are those
-of its letter, digit and symbol runs.  Chunks and runs are looked up in tables
-that are emptied when full; a run that is not there goes through the file's
-byte-pair model.  Texts with characters for which this shortcut is not proven
-(outside ASCII and Latin letters, or with special tokens) go to the library as
-a whole.
+of its letter, digit and symbol runs, each a chunk of its own.  Chunks are
+looked up in a table of two generations: a full young one becomes the old one,
+from which what is still in use is taken over.  A run that is in neither goes
+through the file's byte-pair model.  Texts with characters for which this
+shortcut is not proven (outside ASCII and Latin letters, or with special tokens)
+go to the library as a whole.
 """
 
 from __future__ import annotations
 
-TABLE_WORDS = 200_000
+import string
+
+#: Chunks in one generation of the table, and characters of the longest chunk that it takes.
+TABLE_WORDS, LONGEST = 150_000, 64
 
 
 class WordTokenizer:
@@ -19,6 +23,7 @@ class WordTokenizer:
 
     def __init__(self, file=None, table_words=TABLE_WORDS):
         import os
+        import re
 
         import regex
         from tokenizers import Tokenizer
@@ -30,29 +35,36 @@ class WordTokenizer:
             file = public_tokenizers.path("word_bpe_49k.json")
         self.library = Tokenizer.from_file(file)
         self.runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.proven = regex.compile(r"[\t\n\r -~¡-įı-ſ]*").fullmatch
+        self.unproven = re.compile(r"[^\t\n\r -~¡-įı-ſ]|<\|").search
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
-        self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.chunk_table: dict = {}
-        self.run_table: dict = {}
+        self.alphabet = {b: 256 + i for i, b in enumerate(others)}
+        self.packed = [i.to_bytes(4, "little") for i in range(max(self.library.get_vocab().values()) + 1)]
+        self.young: dict = {}
+        self.old: dict = {}
         self.table_words = table_words
 
     def _run(self, run):
-        got = self.run_table.get(run)
-        if got is None:
-            if len(self.run_table) >= self.table_words:
-                self.run_table.clear()
-            spelled = run if run.isascii() else "".join(map(self.alphabet.__getitem__, run.encode()))
-            got = b"".join([t.id.to_bytes(4, "little") for t in self.library.model.tokenize(spelled)])
-            self.run_table[run] = got
-        return got
+        spelled = run if run.isascii() else run.encode().decode("latin-1").translate(self.alphabet)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.library.model.tokenize(spelled)])
 
     def _chunk(self, chunk):
-        got = b"".join(map(self._run, self.runs(chunk)))
-        if len(self.chunk_table) >= self.table_words:
-            self.chunk_table.clear()
-        self.chunk_table[chunk] = got
+        got = self.young.get(chunk)  # since the generations changed
+        if got is not None:
+            return got
+        got = self.old.get(chunk)
+        if got is None:
+            word = chunk.rstrip(string.punctuation)
+            runs = (word, chunk[len(word) :]) if word.isalpha() else self.runs(chunk)
+            if word == chunk and word.isalpha() or len(runs) == 1:
+                got = self._run(chunk)
+            else:
+                got = b"".join([self.young.get(r) or self._chunk(r) for r in runs])
+        if len(chunk) <= LONGEST:
+            if len(self.young) >= self.table_words:
+                self.young, self.old = {}, self.young
+            self.young[chunk] = got
         return got
 
     def whole(self, text):
@@ -62,7 +74,7 @@ class WordTokenizer:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text):
-        if "<|" in text or not self.proven(text):
+        if self.unproven(text):
             return self.whole(text)
-        find = self.chunk_table.get
+        find = self.young.get
         return b"".join([find(c) or self._chunk(c) for c in text.lower().split()])
