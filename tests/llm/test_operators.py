@@ -101,6 +101,42 @@ def test_near_duplicates_awkward(awkward, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_with_shared_ids(spark):
+    """Rows that share an id are one node, whichever of their texts links."""
+    texts = {c: " ".join(f"{c}{i}" for i in range(30)) for c in "abcd"}
+    for rows, want in (
+        ([(1, "a"), (5, "a"), (5, "b"), (7, "b")], {1: {1}, 5: {1}, 7: {1}}),
+        ([(3, "a"), (5, "a"), (5, "b"), (4, "b"), (9, "c")], {3: {3}, 5: {3}, 4: {3}, 9: {9}}),
+        ([(2, "a"), (2, "b"), (6, "b"), (6, "c"), (8, "c"), (8, "d"), (8, "a")], {2: {2}, 6: {2}, 8: {2}}),
+    ):
+        got = {}
+        for r in minhash.near_duplicates(spark.createDataFrame([(i, texts[c]) for i, c in rows], "doc_id long, text string")).collect():
+            got.setdefault(r.doc_id, set()).add(r.component_id)
+        assert got == want
+
+
+def test_components_with_hot_ids(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT_LINKS", 3)
+    random = np.random.default_rng(8)
+    links = [(0, i) for i in range(1, 40)] + [(100 + i, 101 + i) for i in range(25)] + [(int(a), int(b)) for a, b in random.integers(200, 260, (40, 2))] + [(-5, 300), (-5, 301), (300, -7)]
+    parent = {}
+    find = lambda i: i if parent.setdefault(i, i) == i else find(parent[i])
+    for a, b in links:
+        p, q = find(a), find(b)
+        parent[max(p, q)] = min(p, q)
+    got = minhash.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.id: r.component for r in got} == {i: find(i) for a, b in links if a != b for i in (a, b)}
+
+
+def test_confirm_with_a_hot_centre(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT_LINKS", 3)
+    made = [(i, near(i, i % 9)) for i in range(40)]
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 40)], "a long, b long")
+    got = {r.b for r in minhash.confirm(pairs, spark.createDataFrame(made, "doc_id long, text string"), 85, 3).collect()}
+    sets = [shingles(t) for _, t in made]
+    assert got == {i for i in range(1, 40) if 100 * len(sets[0] & sets[i]) >= 85 * len(sets[0] | sets[i])}
+
+
 def test_sketch_estimates_similarity():
     sketcher, random = minhash.Sketcher(64, 4), np.random.default_rng(1)
     both, own = random.integers(0, 2**63, 700, dtype=np.uint64), random.integers(0, 2**63, 300, dtype=np.uint64)
@@ -242,20 +278,51 @@ def test_character_map_is_the_longest_prefix():
         assert len(source) == len(normal) + 1 and source[-1] <= len(text.encode()) and (np.diff(source) >= 0).all()
 
 
-def test_nearest_recall(spark):
-    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+def nearest_recall(spark, vectors, **options):
+    """Recall by scores, after a check of ranks and of scores against plain products."""
+    got = nearest.nearest(vectors, F.col("vec_id") % 20 == 0, **options).toPandas()
     pdf = vectors.toPandas()
     x, ids = np.stack(pdf.embedding).astype(float), pdf.vec_id.to_numpy()
-    for block in (8192, 128):
-        got = nearest.nearest(vectors, F.col("vec_id") % 20 == 0, block=block, query_block=16).toPandas()
-        hits = 0
-        for q in ids[ids % 20 == 0]:
-            score = x @ x[ids == q][0]
-            best = [i for i in ids[np.lexsort((ids, -score))] if i != q][:20]
-            mine = got[got.query_id == q].sort_values("rank")
-            assert len(mine) == 20 and list(mine["rank"]) == list(range(1, 21)) and (mine.score.diff().dropna() <= 0).all()
-            hits += len(set(best) & set(mine.vec_id))
-        assert hits >= 0.9 * 20 * (ids % 20 == 0).sum()
+    hits, queries = 0, ids[ids % 20 == 0]
+    for q in queries:
+        score = x @ x[ids == q][0]
+        best = np.sort(score[ids != q])[::-1][:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert len(mine) == 20 and list(mine["rank"]) == list(range(1, 21)) and (mine.score.diff().dropna() <= 0).all()
+        assert np.allclose(mine.score, score[[int(np.flatnonzero(ids == v)[0]) for v in mine.vec_id]], rtol=1e-9, atol=1e-12)
+        hits += (mine.score.to_numpy() >= best[-1] - 1e-12).sum()
+    return hits / 20 / len(queries)
+
+
+def test_nearest_recall(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    for options in ({}, {"block": 512, "query_block": 40}):
+        assert nearest_recall(spark, vectors, **options) >= 0.9
+
+
+def test_nearest_with_unlike_lengths(spark):
+    longer = F.exp(0.6 * F.randn(3))
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").withColumn("by", longer)
+    vectors = spark.createDataFrame(vectors.select("vec_id", F.transform("embedding", lambda c: c * F.col("by")).alias("embedding")).collect())
+    assert nearest_recall(spark, vectors, stratum=256) >= 0.9
+
+
+def test_nearest_visits_less_than_half():
+    random = np.random.default_rng(4)
+    x = random.standard_normal((6000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ((forest, _),) = nearest.forests(x, nearest.TREES, nearest.STRATUM)
+    visited, hits = 0, 0
+    for q, rows in zip(x[:60], forest.candidates(x[:60], nearest.ENOUGH * len(x) + nearest.FLOOR * 20)):
+        visited += len(rows)
+        hits += len(set(rows.tolist()) & set(np.argsort(-(x @ q))[:21].tolist()))
+    assert visited < 0.45 * 60 * 6000 and hits >= 0.9 * 60 * 21
+
+
+def test_nearest_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 1.0]), (1, [2.0, 1.0])]
+    got = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    assert sorted(map(tuple, got)) == sorted([(0, 1, 1, 2.0), (0, 2, 1, 2.0), (0, 3, 0, 0.0), (0, 1, 1, 1.0), (0, 2, 1, 1.0), (0, 3, 0, 0.0)])
 
 
 def test_nearest_awkward(spark):
@@ -305,6 +372,47 @@ def test_packing_plans():
     assert packing.minimum_bin_slack({}, 10) == ([], 0)
 
 
+def test_each_bin_is_the_fullest(monkeypatch):
+    """Every round's combination fills its bin as well as any combination of the pieces left does."""
+    from itertools import combinations_with_replacement
+
+    random = np.random.default_rng(11)
+    for _ in range(40):
+        size = int(random.integers(12, 40))
+        counts = {int(k): int(v) for k, v in zip(*np.unique(random.integers(1, size + 1, 12), return_counts=True))}
+        slots, bins = packing.minimum_bin_slack(counts, size)
+        content = spread(slots, counts, size)
+        left = dict(counts)
+        for b in range(bins):
+            own = [n for _, n in content[b]]
+            longest = max(n for n, c in left.items() if c)
+            assert longest in own
+            left[longest] -= 1
+            usable, best = [n for n, c in left.items() if c], 0
+            for many in range(1, size - longest + 1):
+                for pick in combinations_with_replacement(usable, many):
+                    if sum(pick) <= size - longest and all(pick.count(n) <= left[n] for n in set(pick)):
+                        best = max(best, sum(pick))
+                if many >= 5:
+                    break
+            assert sum(own) - longest >= best
+            own.remove(longest)
+            for n in own:
+                left[n] -= 1
+
+
+def test_written_matrices_read_back(spark, docs, tmp_path):
+    import pyarrow.parquet as pq
+
+    packed = binary_output.packed_matrices(docs, size=256)
+    binary_output.write_packed(packed, str(tmp_path / "packed"))
+    back = {r["sequence_id"]: r for f in sorted((tmp_path / "packed").glob("*.parquet")) for r in pq.read_table(f).to_pylist()}
+    assert len(back) == packed.count() and set(back) == set(range(len(back)))
+    assert sum(r["cu_seqlens"][-1] for r in back.values()) == best_fit.token_pieces(docs, 256).agg(F.sum("length")).first()[0]
+    for r in back.values():
+        assert len(r["ids"]) == len(r["positions"]) == 512 and r["cu_seqlens"][0] == 0 and len(r["doc_ids"]) == len(r["pieces"]) == len(r["cu_seqlens"]) - 1
+
+
 def test_best_fit_packs_every_id(docs, rows, awkward, nothing):
     tokenizer = word_tokens.WordTokenizer()
     got = best_fit.pack_documents(docs, size=512).collect()
@@ -361,6 +469,12 @@ def test_chat_keeps_maximal(spark):
     assert chat.render(turns.limit(0)).count() == 0
 
 
+def test_chat_puts_null_turns_first(spark):
+    rows = [(1, None, "user", "none"), (1, -5000, "user", "low"), (1, 3, "user", "last"), (2, None, "user", "none"), (2, -5000, "user", "low"), (3, 0, "\x00", "x"), (4, 0, None, "x"), (4, 1, "user", "y")]
+    got = {r.conv_id: r.text for r in chat.render(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), "<", ">").collect()}
+    assert got == {1: "<user\nnone>\n<user\nlow>\n<user\nlast>\n", 3: "<\x00\nx>\n", 4: "<unknown\nx>\n<user\ny>\n"}
+
+
 def test_chat_sums_stretches(spark, monkeypatch):
     rows = [(c, t, "user", str(t)) for c, n in ((1, 10), (2, 7), (3, 12)) for t in range(n)]
     monkeypatch.setattr(chat, "STRETCH", 3)
@@ -429,5 +543,31 @@ def test_near_copies_by_either_rule(spark):
     assert stage([(1, longer), (2, edited), (3, words), (8, other)]) == {1, 8}  # 3 joins 1 and 2
 
 
+ELSEWHERE = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {folder!r}).getOrCreate()
+import corpus_pipeline
+from reachmill.llm import queries
+for name, query in [*queries.queries().items(), ("pipeline", corpus_pipeline.run)]:
+    print("ROWS", name, query(spark, {sf!r}).count())
+"""
+
+
+def test_workers_need_no_repository(tmp_path):
+    """All queries run where the driver alone can import this package."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    script = ELSEWHERE.format(repo=repo, folder=str(tmp_path / "shared"), sf=SF)
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    rows = [line.split()[1:] for line in out.stdout.splitlines() if line.startswith("ROWS ")]
+    assert len(rows) == 11 and all(int(n) > 0 for _, n in rows), out.stderr[-3000:]
+
+
 def test_queries_have_their_names():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 11))
