@@ -3,25 +3,29 @@
 Normalisation walks the model's compiled character map (a double-array trie
 over UTF-8 with replacement strings) taking the longest prefix that it holds
 at each place, and records for every normalised character the source byte it
-came from; pieces are then projected through that record to byte spans of the
-original text.  A model without a map keeps its characters.
-
-A byte-pair model whose pieces hold the space mark only at their start can
-never merge across a word's start, so a text's ids are those of its words in
-sequence.  Words are encoded by the library once and kept in a bounded table.
-Models that do not meet this are encoded by the library text by text.
+came from.  What is cut into pieces is the normalised text, by the model without
+its own normaliser; the pieces are then projected through the record to byte
+spans of the original text.  A model without a map keeps its characters.
+
+A byte-pair model whose pieces hold the space mark only at their start can never
+merge across the start of a unit (space marks and what follows up to the next
+one), so a text's pieces are those of its units in sequence.  Units are cut and
+projected once and kept in a bounded table.  Texts of other models are cut as a
+whole.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachmill.llm.common import small_batches
 
 MARK = "▁"
-#: Words kept in an executor process's table before it is emptied.
-TABLE_WORDS = 400_000
+#: Units in one generation of an executor process's table, and characters of the longest unit that it takes.
+TABLE_WORDS, LONGEST = 150_000, 64
 
 
 class CharacterMap:
@@ -60,24 +64,30 @@ class Codec:
     """encode(text) and decode(ids) of one model file."""
 
     def __init__(self, model_file, table_words=TABLE_WORDS):
+        import numpy as np
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(self.library.serialized_model_proto())
+        if proto.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError("models with the space mark at the end of words are not supported")
         spec = proto.normalizer_spec
         self.map = CharacterMap(spec.precompiled_charsmap)
         self.prefix, self.squeeze, self.escape = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
-        self.plain = not self.map.units and not self.squeeze and self.prefix and self.escape
-        pieces = [p.piece for p in proto.pieces if p.type in (1, 4, 5)]
-        import numpy as np
-
+        #: symbols that normalisation leaves as they are
+        self.symbols = sorted((p.piece.encode() for p in proto.pieces if p.type == 4), key=len, reverse=True)
+        self.plain = not self.map.units and not self.squeeze and self.prefix and self.escape and not self.symbols
         #: bytes that a piece takes up in the normalised text; a byte piece takes one, an unknown piece's are not known
         self.widths = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in proto.pieces], np.int64)
         self.unknown = {i for i, p in enumerate(proto.pieces) if p.type == 2}
-        self.by_word = self.plain and proto.trainer_spec.model_type == 2 and not any(MARK in p.lstrip(MARK) for p in pieces) and not any(p.type == 4 for p in proto.pieces)
-        self.table: dict = {}
+        pieces = [p.piece for p in proto.pieces if p.type in (1, 4, 5)]
+        self.by_unit = proto.trainer_spec.model_type == 2 and proto.trainer_spec.byte_fallback and not self.symbols and not any(MARK in p.lstrip(MARK) for p in pieces)
+        spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces = b"", False, False, False
+        self.bare = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+        self.young: dict = {}
+        self.old: dict = {}
         self.table_words = table_words
 
     def normalise(self, text):
@@ -95,7 +105,8 @@ class Codec:
         end = len(data)
         pairs = []
         while at < end:
-            found = self.map.longest(data, at)
+            symbol = next((k for k in self.symbols if data.startswith(k, at)), None)
+            found = (len(symbol), symbol) if symbol else self.map.longest(data, at)
             if found is None:
                 width = 1 + (data[at] >= 0xC0) + (data[at] >= 0xE0) + (data[at] >= 0xF0)
                 found = width, data[at : at + width]
@@ -117,47 +128,82 @@ class Codec:
             source.append(at)
         return "".join(out), np.array([*source, end], np.int64)
 
-    def words(self, text):
-        """The words of a text in sequence, as the library takes them; None where its blanks need care."""
-        words = text.split(" ")
-        return None if MARK in text or "" in words else words
-
-    def _fill(self, words):
-        missing = [w for w in dict.fromkeys(words) if w not in self.table]
-        if not missing:
-            return
-        if len(self.table) + len(missing) > self.table_words:
-            self.table.clear()
-            missing = list(dict.fromkeys(words))
-        for w, ids in zip(missing, self.library.encode(missing, num_threads=1)):
-            self.table[w] = ids, ",".join(map(str, ids)).encode()
-
-    def ids(self, text):
-        """(ids, their decimals joined by commas)."""
-        if not text:
-            return [], b""
-        words = self.words(text) if self.by_word else None
-        if words is None:
-            ids = self.library.encode(text, num_threads=1)
-            return ids, ",".join(map(str, ids)).encode()
-        self._fill(words)
-        got = [self.table[w] for w in words]
-        ids: list = []
-        for own, _ in got:
-            ids += own
-        return ids, b",".join([d for _, d in got])
+    def _learn(self, missing):
+        """Put units that start with a mark, given without it, into the table.
+
+        A unit's entry is its rows (id, begin, end) as 32-bit numbers, its ids
+        in decimals and the bytes it takes up in a text where each of its marks
+        is a blank; places count from the first blank.
+        """
+        import numpy as np
+
+        if len(self.young) + len(missing) > self.table_words:
+            self.young, self.old = {}, self.young
+        fresh = [w for w in missing if w not in self.old]
+        for w in missing:
+            if w in self.old:
+                self.young[w] = self.old[w]
+        if not fresh:
+            return {}
+        cut = self.bare.encode([MARK + w for w in fresh], num_threads=1)
+        blank = MARK + MARK.join(fresh)
+        points = np.frombuffer(blank.encode("utf-32-le"), "<u4")
+        width = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+        width[points == ord(MARK)] = 1
+        begins, ends = self._project([i for own in cut for i in own], blank, np.concatenate([[0], np.cumsum(width)]))
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        size = np.array([len(w.encode()) - 2 * w.count(MARK) + 1 for w in fresh], np.int64)
+        start = np.repeat(np.cumsum(size) - size, n)
+        data = np.column_stack([np.concatenate(cut), begins - start, ends - start]).astype("<i4").tobytes()
+        stops = (12 * np.cumsum(n)).tolist()
+        long = {}
+        for w, ids, a, b, bytes_ in zip(fresh, cut, [0, *stops], stops, size.tolist()):
+            (self.young if len(w) <= LONGEST else long)[w] = data[a:b], ",".join(map(str, ids)).encode(), bytes_
+        return long
+
+    def _entries(self, units):
+        got = list(map(self.young.get, units))
+        if None in got:
+            long = self._learn(list(dict.fromkeys(w for w, own in zip(units, got) if own is None)))
+            young = self.young
+            got = [own or young.get(w) or long[w] for w, own in zip(units, got)]
+        return zip(*got)
 
     def encode(self, text):
-        """(ids, decimals, begins, ends): byte spans of the original text, end exclusive.
+        """(rows, decimals): rows of id, begin and end, byte spans of the original text, end exclusive; the ids' decimals joined by commas.
 
         The pieces that make up one character by its bytes share its span.
         """
         import numpy as np
 
-        ids, decimals = self.ids(text)
+        if not text:
+            return np.empty((0, 3), np.int64), b""
+        if self.plain and self.by_unit and MARK not in text:
+            units = text.split(" ") if "  " not in text and text[0] != " " and text[-1] != " " else [u[1:] for u in _units(MARK + text.replace(" ", MARK))]
+            data, decimals, size = self._entries(units)
+            rows = np.frombuffer(b"".join(data), "<i4").reshape(-1, 3).astype(np.int64)
+            size = np.array(size, np.int64)
+            start = np.repeat(np.cumsum(size) - size - 1, np.fromiter(map(len, data), np.int64, len(data)) // 12)  # the first mark is no blank
+            rows[:, 1] += start
+            rows[:, 2] += start
+            np.maximum(rows, 0, out=rows)
+            return rows, b",".join(decimals)
         normal, source = self.normalise(text)
-        if not ids:
-            return ids, decimals, source[:0], source[:0]
+        if not normal:
+            return np.empty((0, 3), np.int64), b""
+        if self.by_unit:
+            units = _units(normal)
+            first = self.bare.encode(units.pop(0), num_threads=1) if normal[0] != MARK else []
+            data = next(self._entries([u[1:] for u in units])) if units else ()
+            ids = [*first, *np.frombuffer(b"".join(data), "<i4").reshape(-1, 3)[:, 0].tolist()]
+        else:
+            ids = self.bare.encode(normal, num_threads=1)
+        return np.column_stack([np.array(ids, np.int64), *self._project(ids, normal, source)]), ",".join(map(str, ids)).encode()
+
+    def _project(self, ids, normal, source):
+        """Source bytes at which the pieces of a normalised text begin and end."""
+        import numpy as np
+
         points = np.frombuffer(normal.encode("utf-32-le", "replace"), "<u4")
         wide = 1 + (points > 0x7F).astype(np.int8) + (points > 0x7FF) + (points > 0xFFFF)
         own = np.array(ids, np.intp)
@@ -166,7 +212,7 @@ class Codec:
             step = self._with_unknown(own, step, wide)
         ends = np.cumsum(step)
         owner = np.repeat(np.arange(len(points), dtype=np.int32), wide)  # the character of each normalised byte
-        return ids, decimals, source[owner[ends - step]], source[owner[ends - 1] + 1]
+        return source[owner[ends - step]], source[owner[ends - 1] + 1]
 
     def _with_unknown(self, own, step, wide):
         """Bytes of each piece where some are unknown: an unknown piece takes up the one character it stands for."""
@@ -193,29 +239,35 @@ def _model_file(model_file):
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _encoder(model_file, spans):
+#: Units of a normalised text: marks and what follows them, or what comes before the first mark.
+_units = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
+
+
+def _encoder(model_file, digests):
     def run(batches):
         import hashlib
 
         import pyarrow as pa
 
         codec = Codec(_model_file(model_file))
+        sha = lambda data: hashlib.sha256(data).hexdigest()
         for batch in batches:
-            out = [[] for _ in range(4 if spans else 3)]
+            out = [[] for _ in range(4)]
             for text in batch.column(1):
-                text = text.as_py() or ""
-                ids, decimals, begins, ends = codec.encode(text)
-                decoded = codec.decode(ids)
-                if spans:
-                    row = ids, begins, ends, decoded
+                rows, decimals = codec.encode(text.as_py() or "")
+                decoded = codec.decode(rows[:, 0].tolist())
+                if digests:
+                    row = len(rows), sha(decimals), sha(decoded.encode("utf-8")), sha(rows[:, 1:].astype("<u4").tobytes())
                 else:
-                    row = len(ids), hashlib.sha256(decimals).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()
+                    row = *rows.T, decoded
                 for column, value in zip(out, row):
                     column.append(value)
-            if spans:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(out[i], pa.list_(pa.int32())) for i in range(3)), pa.array(out[3], pa.string())], names=["doc_id", "ids", "begins", "ends", "decoded"])
+            if digests:
+                columns, names = [pa.array(out[0], pa.int64()), *map(pa.array, out[1:])], ["n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"]
+                columns[1:] = [c.cast(pa.string()) for c in columns[1:]]
             else:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1]), pa.array(out[2])], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                columns, names = [*(pa.array(c, pa.list_(pa.int32())) for c in out[:3]), pa.array(out[3], pa.string())], ["ids", "begins", "ends", "decoded"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names])
 
     return run
 
@@ -229,11 +281,15 @@ def encode(docs: DataFrame, model_file: str | None = None, id_col: str = "doc_id
     """doc_id, ids, begins, ends, decoded of every row of docs; see Codec.encode.
 
     Null and empty texts give no ids and an empty decoded text.  Rows and ids
-    repeat as in docs, null ids stay null, other columns are not read.
+    repeat as in docs, null ids stay null, other columns are not read; an empty
+    table gives an empty table.
     """
-    return _rows(docs, id_col, text_col).mapInArrow(_encoder(model_file, True), "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string")
+    return _rows(docs, id_col, text_col).mapInArrow(_encoder(model_file, False), "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, model_file: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of what encode gives, made where it is made."""
-    return _rows(docs, id_col, text_col).mapInArrow(_encoder(model_file, False), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    """doc_id, n_tokens and the digests ids_sha256, decoded_sha256 and spans_sha256 of what encode gives, made where it is made.
+
+    spans_sha256 is of the spans' begins and ends in turn, as little-endian unsigned 32-bit numbers.
+    """
+    return _rows(docs, id_col, text_col).mapInArrow(_encoder(model_file, True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")

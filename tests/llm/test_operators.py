@@ -248,34 +248,51 @@ def test_sentencepiece_is_the_library(docs, rows, awkward, nothing):
         ids = library.encode(text or "")
         assert got[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() and got[i].n_tokens == len(ids)
         assert got[i].decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
-    codec = sentencepiece_codec.Codec(public_tokenizers.path("piece_bpe_32k.model"), table_words=50)
-    for text in [*(r[1] or "" for r in AWKWARD), " lead", "trail ", "a  b   c", "▁x ▁▁ y", "日本 語\n\n<0x41> <s> é", "\U0001f600 ok", "tab\there"]:
-        ids, _, begins, ends = codec.encode(text)
-        assert ids == library.encode(text)
-        data = text.encode()
-        assert len(begins) == len(ends) == len(ids)
-        covered = b"".join(data[a:b] for k, (a, b) in enumerate(zip(begins, ends)) if k == 0 or (a, b) != (begins[k - 1], ends[k - 1]))
-        assert covered == data
     full = {r.doc_id: r for r in sentencepiece_codec.encode(awkward).collect()}
-    assert full[1].ids == [] and full[1].decoded == "" and full[3].decoded == "one two"
+    assert full[1].ids == [] and full[1].decoded == "" and full[3].decoded == "one two" and list(zip(full[3].begins, full[3].ends))[-1][1] == 7
+    digests = {r.doc_id: r for r in sentencepiece_codec.encode_digests(awkward).collect()}
+    for i in (1, 6, 7):
+        spans = np.array([full[i].begins, full[i].ends], "<u4").T.tobytes()
+        assert digests[i].spans_sha256 == hashlib.sha256(spans).hexdigest()
     assert sentencepiece_codec.encode_digests(nothing).count() == 0
 
 
-def test_character_map_is_the_longest_prefix():
+def mapped_model(folder, **options):
+    """The public model with the character map of NFKC normalisation."""
+    import public_tokenizers
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
 
-    library = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
-    proto = sentencepiece_model_pb2.ModelProto()
-    proto.ParseFromString(library.serialized_model_proto())
-    codec = sentencepiece_codec.Codec.__new__(sentencepiece_codec.Codec)
-    codec.map = sentencepiece_codec.CharacterMap(proto.normalizer_spec.precompiled_charsmap)
-    spec = proto.normalizer_spec
-    codec.prefix, codec.squeeze, codec.escape, codec.plain = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces, False
-    for text in ["ＡＢＣ ﬁne ①②", "ｶﾞ が", "½ ㌔ plain", "é é"]:
-        normal, source = codec.normalise(text)
-        assert normal == library.normalize(text)
-        assert len(source) == len(normal) + 1 and source[-1] <= len(text.encode()) and (np.diff(source) >= 0).all()
+    proto, rules = sentencepiece_model_pb2.ModelProto(), sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")).serialized_model_proto())
+    if options.pop("mapped", True):
+        rules.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto())
+        proto.normalizer_spec.CopyFrom(rules.normalizer_spec)
+    for name, value in options.items():
+        setattr(proto.normalizer_spec, name, value)
+    (folder / "mapped.model").write_bytes(proto.SerializeToString())
+    return str(folder / "mapped.model")
+
+
+@pytest.mark.parametrize("options", [{"mapped": False}, {}, {"remove_extra_whitespaces": False}, {"add_dummy_prefix": False}])
+def test_sentencepiece_ids_and_spans(rows, tmp_path, options):
+    """Ids and spans are the library's, through the character map where the model has one."""
+    import random
+
+    import sentencepiece
+
+    file = mapped_model(tmp_path, **options)
+    library, codec, dice = sentencepiece.SentencePieceProcessor(model_file=file), sentencepiece_codec.Codec(file, table_words=50), random.Random(1)
+    texts = [*(r[1] or "" for r in AWKWARD), *(r[1] for r in rows[:40]), " lead", "trail ", "a  b   c", "▁x ▁▁ y", "日本 語\n\n<0x41> <s> é", "\U0001f600 ok", "ＡＢＣ ﬁne ①②", "½ ㌔ plain", "ﷺ ﷺ", "   "]
+    texts += ["".join(dice.choice("abc  \n\té▁ＡﬁｶﾞŁ½①日\U0001f600\u3000\u00a0\u200b\u0301") for _ in range(dice.randint(1, 25))) for _ in range(400)]
+    for text in texts:
+        got, decimals = codec.encode(text)
+        assert got[:, 0].tolist() == library.encode(text) and decimals.decode() == ",".join(map(str, got[:, 0].tolist()))
+        for (i, begin, end), piece in zip(got.tolist(), library.encode(text, return_type="proto").pieces):
+            assert library.is_byte(i) or (begin, end) == (piece.begin, piece.end)
+        if not codec.map.units:
+            spans = dict.fromkeys((b, e) for _, b, e in got.tolist())
+            assert b"".join(text.encode()[b:e] for b, e in spans) == text.encode()
 
 
 def nearest_recall(spark, vectors, **options):
