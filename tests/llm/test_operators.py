@@ -226,6 +226,56 @@ def test_base_spans_on_noise(alphabet):
         assert personal_data.base_spans(text) == slow_spans(text)
 
 
+def enumerated(field, text, start, end):
+    """All segmentations of a place as (score, arcs), by brute force."""
+    bounds, arcs = field.lattice(text, start, end)
+
+    def paths(j):
+        if not j:
+            yield 0.0, ()
+        for i, kind, score, _ in arcs[j] if j else ():
+            for s, done in paths(i):
+                yield s + score, (*done, (i, j, kind))
+
+    return bounds, list(paths(len(bounds)))
+
+
+def test_field_against_all_segmentations():
+    field = personal_data.Field().fit(personal_data.made_examples(120))
+    for text in ("+1 (743) 55-38", "jo @ ab.cd", "10 . 2 . 3 . 44", "1234 5678 9", "(200) 555-1234"):
+        bounds, every = enumerated(field, text, 0, len(text))
+        assert len(every) > 1
+        _, arcs = field.lattice(text, 0, len(text))
+        total = np.logaddexp.reduce([s for s, _ in every])
+        alpha, beta = field.forward(arcs), field.backward(arcs)
+        assert abs(alpha[-1] - total) < 1e-9 and abs(beta[0] - total) < 1e-9
+        best = max(every, key=lambda p: p[0])[1]
+        chance = lambda arc: np.exp(np.logaddexp.reduce([s for s, path in every if arc in path]) - total)
+        for sure in (0.0, 0.5, 0.9):
+            want = [(personal_data.KINDS[k], bounds[i][0], bounds[j - 1][1]) for i, j, k in best if k is not None and chance((i, j, k)) >= sure]
+            assert field.best(text, 0, len(text), sure=sure) == want
+
+
+def test_field_finds_disguised_entities(docs):
+    """Recall of planted spans that the patterns miss, and precision on look-alikes and between plain words."""
+    import random
+
+    field, dice = personal_data.fit(docs), random.Random(77)
+    found = planted = wrong = 0
+    for i in range(400):
+        kind = personal_data.KINDS[i % 4]
+        for span in (personal_data.disguised(kind, dice), None):
+            before, own = "wort here ", span or personal_data.look_alike(dice)
+            base, spans = personal_data.find_spans(f"{before}{own} et puis", field)
+            assert set(base) <= set(spans)
+            planted += span is not None
+            found += span is not None and (kind, len(before), len(before) + len(own)) in spans
+            wrong += span is None and len(spans) > len(base)
+    assert found >= 0.95 * planted and wrong <= 0.01 * planted
+    text = "write to " + "a" * 100 + " @ host.org now"
+    assert personal_data.find_spans(text, field)[1] == [("email", 9, 120)]
+
+
 def test_field_learns_and_stays_sure():
     examples = []
     random = np.random.default_rng(2)
