@@ -31,6 +31,8 @@ BITS = 12
 #: Texts that are learned from: so many a language, and so many in all as long as that leaves FEWEST a language.
 PER_LANGUAGE, IN_ALL, FEWEST = 400, 8000, 20
 UNDETERMINED = "und"
+#: A text's score under which keep_identified takes its language for unknown; two families at a tie give 0.5.
+LEAST = 0.4
 
 
 def family(lang: str) -> str:
@@ -184,24 +186,34 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-def _keep(shared, at):
+def _keep(shared, at, lang_at, least):
     def run(batches):
         import pyarrow as pa
 
         model = unpack(shared)
         for batch in batches:
-            langs = (t.as_py() for t in batch.column(at))
-            mask = [bool(t) and has_letter(t) and (not model.families or model.predict(features(t))[0] != UNDETERMINED) for t in langs]
+            mask, langs = [], []
+            for text in batch.column(at):
+                text = text.as_py()
+                lang, score = None, 0.0
+                if text and has_letter(text):
+                    lang, score = model.predict(features(text)) if model.families else (None, 1.0)
+                mask.append(score >= least)
+                langs.append(lang)
+            if lang_at is not None and model.families:
+                batch = batch.set_column(lang_at, batch.schema.field(lang_at), pa.array(langs, pa.string()).cast(batch.schema.field(lang_at).type))
             yield batch.filter(pa.array(mask, pa.bool_()))
 
     return run
 
 
-def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The rows of docs, all columns, whose language identify can tell: those that are not "und".
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, least: float = LEAST) -> DataFrame:
+    """The rows of docs, all columns, whose language can be told, with that language in lang_col.
 
-    If no row teaches a language, every text with a letter stays.
+    Rejected are null texts, texts without a letter and texts whose score is
+    under ``least``.  If no row teaches a language, every text with a letter
+    stays as it is.  Repeated rows are judged alike.
     """
     model = fit(docs.where(~held_out(id_col) & F.col(id_col).isNotNull()), lang_col, text_col, id_col, per_language)
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(_keep(ship(docs.sparkSession, model), docs.columns.index(text_col)), docs.schema)
+    return docs.mapInArrow(_keep(ship(docs.sparkSession, model), docs.columns.index(text_col), docs.columns.index(lang_col), least), docs.schema)

@@ -599,15 +599,105 @@ def test_pipeline_stages(spark, docs, awkward, nothing):
         assert len(ids) == len(set(ids))
 
 
-def test_near_copies_by_either_rule(spark):
+def test_near_copies_of_the_pipeline(spark):
     words = [f"b{i}" for i in range(1000)]
-    edited = [f"e{i}" if i % 40 == 20 else w for i, w in enumerate(words)]  # 0.86 on three words, 0.777 on five
-    longer = words + [f"c{i}" for i in range(200)]  # 0.833 on either
-    stage = lambda rows: {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string"), SF).collect()}
+    edited = [f"e{i}" if i % 40 == 20 else w for i, w in enumerate(words)]  # 0.777 on five words
+    longer = words + [f"c{i}" for i in range(200)]  # 0.833
+    stage = lambda rows: sorted((r.doc_id or 0) for r in corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string"), SF).collect())
     other = [f"d{i}" for i in range(300)]
-    assert stage([(1, words), (2, longer), (8, other)]) == {1, 8}
-    assert stage([(1, words), (2, edited), (8, other)]) == {1, 8}
-    assert stage([(1, longer), (2, edited), (3, words), (8, other)]) == {1, 8}  # 3 joins 1 and 2
+    assert stage([(1, words), (2, longer), (8, other)]) == [1, 8]
+    assert stage([(1, words), (2, edited), (8, other)]) == [1, 2, 8]
+    assert stage([(4, longer), (2, words), (None, words), (9, []), (10, [])]) == [0, 2, 9, 10]
+
+
+def slow_machine_votes(model, v):
+    """Hierarchy.predict in steps of its own: the family with the largest margin, then a vote of each pair within it."""
+    margins = {g: float(np.dot(v, w) + b) for g, (w, b) in zip(model.families, model.top)}
+    best = max(margins.values())
+    name = next(g for g in model.families if margins[g] == best)
+    wins, sums = {}, {}
+    for (a, c), (w, b) in model.pairs.items():
+        if a in model.members[name]:
+            m = float(np.dot(v, w) + b)
+            for lang, own in ((a, m), (c, -m)):
+                wins[lang] = wins.get(lang, 0) + (own > 0 or (own == 0 and lang == a))
+                sums[lang] = sums.get(lang, 0.0) + own
+    langs = model.members[name]
+    return max(langs, key=lambda g: (wins.get(g, 0), sums.get(g, 0.0), g))
+
+
+def test_family_comes_first_then_votes():
+    random = np.random.default_rng(12)
+    langs = ["en", "de", "nl", "sv", "fr", "es", "it", "fi", "xx"]
+    alphabets = {g: "".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), 9)) for g in langs}
+    write = lambda g, n: " ".join("".join(random.choice(list(alphabets[g]), 5)) for _ in range(n))
+    labels = [g for g in langs for _ in range(30)]
+    model = language_id.Hierarchy().fit(np.stack([language_id.features(write(g, 25)) for g in labels]), labels)
+    assert set(model.families) == {"germanic", "romance", "uralic", "xx"} and model.members["germanic"] == ["de", "en", "nl", "sv"]
+    assert set(model.pairs) == {(a, c) for m in model.members.values() for a in m for c in m if a < c}
+    hits = 0
+    for g in langs:
+        for n in (1, 3, 25):
+            v = language_id.features(write(g, n))
+            lang, score = model.predict(v)
+            assert lang == slow_machine_votes(model, v) and 0 <= score <= 1
+            hits += n == 25 and lang == g
+    assert hits >= 8
+
+
+def test_language_stage_writes_what_it_found(spark):
+    texts = {"en": "the house and the tree are in the garden with the dog", "fr": "la maison et les arbres sont dans le jardin avec le chien"}
+    rows = [(i, texts[g], g, "x") for i, g in enumerate(["en", "fr"] * 30)] + [(100, texts["en"], None, "x"), (101, texts["fr"], "en", "x"), (102, "12 + 3", "en", "x"), (103, None, "en", "x")]
+    got = {r.doc_id: r for r in language_id.keep_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")).collect()}
+    assert got[100].lang == "en" and got[101].lang == "fr" and got[100].score == "x" and not {102, 103} & set(got)
+
+
+def slow_split(x, g, h, edges, shrink):
+    """The best (gain, feature, cut) of a node, trying every edge of every feature."""
+    best = (1e-6, None, None)
+    value = lambda m: g[m].sum() ** 2 / (h[m].sum() + shrink)
+    for f in range(x.shape[1]):
+        for edge in edges[f]:
+            left = x[:, f] <= edge
+            if h[left].sum() >= 1 and h[~left].sum() >= 1:
+                gain = value(left) + value(~left) - value(np.ones(len(x), bool))
+                if gain > best[0] + 1e-9:
+                    best = (gain, f, edge)
+    return best
+
+
+def test_trees_against_slow_splits_and_walks():
+    random = np.random.default_rng(13)
+    x = np.round(random.standard_normal((300, 4)), 1)
+    y = ((x[:, 1] > 0.3) ^ (x[:, 2] < -0.5)).astype(float)
+    trees = quality.Trees().fit(x, y, trees=3, depth=2, bins=8, rate=0.3, shrink=5.0)
+    score = np.full(len(x), trees.start)
+    for t in range(3):
+        prob = 1 / (1 + np.exp(-score))
+        g, h = prob - y, prob * (1 - prob)
+        members = {0: np.ones(len(x), bool)}
+        for node in range(3):
+            own = members[node]
+            gain, feature, cut = slow_split(x[own], g[own], h[own], trees.edges, 5.0) if own.any() else (0, None, None)
+            if feature is None:
+                assert np.isinf(trees.cut[t, node])
+            else:
+                assert (trees.feature[t, node], trees.cut[t, node]) == (feature, cut)
+            right = x[:, trees.feature[t, node]] > trees.cut[t, node]
+            members[2 * node + 1], members[2 * node + 2] = own & ~right, own & right
+        for leaf in range(3, 7):
+            own = members[leaf]
+            assert np.isclose(trees.value[t, leaf], -0.3 * g[own].sum() / (h[own].sum() + 5.0))
+            score[own] += trees.value[t, leaf]
+    assert np.allclose(trees.predict(x), 1 / (1 + np.exp(-score)))
+    for row, got in zip(x, trees.predict(x)):  # node by node
+        total = trees.start
+        for feature, cut, value in zip(trees.feature, trees.cut, trees.value):
+            node = 0
+            while 2 * node + 2 < len(value):
+                node = 2 * node + 1 + int(row[feature[node]] > cut[node])
+            total += value[node]
+        assert np.isclose(got, 1 / (1 + np.exp(-total)))
 
 
 ELSEWHERE = """
