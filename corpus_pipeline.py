@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input.
 
 Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last
-return the columns of documents.
+return the columns of documents.  An empty table passes all stages as one.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from reachmill.llm import best_fit, exact_dedup, language_id, minhash, personal_data
 from reachmill.llm.common import cut, ensure_checkpoint_dir, table
 
-#: Percent and words of a shingle of the two rules for near copies.
-NEAR = ((85, 3), (80, 5))
+#: The rule for near copies: so many percent alike in shingles of so many words.
+PERCENT, WIDTH = 80, 5
 
 
 def _without(docs, dropped):
@@ -33,7 +33,11 @@ def _without_texts(keyed, dropped):
 
 
 def identify_language(spark, docs, sf_dir):
-    """Documents whose language can be told; those without any letter go."""
+    """Documents whose language can be told, with that language as their lang.
+
+    Null texts, texts without a letter (empty ones too) and texts whose score is
+    under language_id.LEAST go.  Repeated rows and null ids are judged by their text.
+    """
     return language_id.keep_identified(docs)
 
 
@@ -52,25 +56,27 @@ def drop_exact_copies(spark, docs, sf_dir):
 def drop_near_copies(spark, docs, sf_dir):
     """One document of each group of near duplicates: that with the smallest doc_id.
 
-    Linked are documents at 0.85 on three words or at 0.8 on five: the first
-    finds scattered edits, the second added or removed blocks.  Groups are the
-    components of both kinds of links together.
+    Documents are linked at a similarity of 0.8 on shingles of five words.  Rows
+    that share a doc_id are one document; rows without a doc_id and texts
+    without words (null and empty ones too) stay.
     """
-    three, five = (cut(minhash.near_duplicates(docs, percent=percent, width=width)) for percent, width in NEAR)
-    a, b = (found.where("doc_id is not null").select("doc_id", F.col("component_id").alias(name)).distinct() for found, name in ((three, "a"), (five, "b")))
-    # a group's smallest document by each rule; where the two differ, they join two groups
-    joined = minhash.components(a.join(b, "doc_id").where("a <> b").select("a", "b"))
-    dropped = three.unionByName(five).where("not kept").select("doc_id").unionByName(joined.where("id <> component").select(F.col("id").alias("doc_id")))
-    return _without(docs, dropped)
+    found = minhash.near_duplicates(docs, percent=PERCENT, width=WIDTH)
+    return _without(docs, cut(found.where("not kept").select("doc_id")))
 
 
 def mask_personal_data(spark, docs, sf_dir):
-    """All documents, with personal data replaced by its kind; n_chars is that of the new text."""
+    """All documents, with personal data replaced by its kind; n_chars is that of the new text.
+
+    Null and empty texts and null ids pass as they are; repeated rows are masked alike.
+    """
     return personal_data.mask_documents(docs)
 
 
 def pack(spark, docs, sf_dir):
-    """The token pieces of all documents, packed."""
+    """The token pieces of all documents, packed.
+
+    Null and empty texts are the end id alone; repeated rows are packed as often as they occur, a null doc_id is carried along.
+    """
     return best_fit.pack_documents(docs)
 
 
@@ -86,11 +92,21 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _remove(spark, path):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def run(spark, sf_dir):
-    """The last stage's rows."""
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows.  A stage's table goes once the next one is written; the last stage checkpoints what it reads."""
+    docs, before = table(spark, sf_dir, "documents"), None
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before:
+            _remove(spark, before)
+        before = f"{folder}/{name}"
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    _remove(spark, folder)
+    return packed
