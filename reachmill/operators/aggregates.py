@@ -17,10 +17,18 @@ from reachmill.functions.contracts import LEVELS, PROBS, ContractError, assert_p
 
 
 def implicit_zero_quantiles(values: DataFrame, keys, totals: DataFrame, probs=PROBS, value: str = "value", weight: str = "weight") -> DataFrame:
-    """keys and p10.. columns: type-7 quantiles of values with weights among n_total, absent ones 0."""
+    """keys and p10.. columns: type-7 quantiles of values with weights among n_total, absent ones 0.
+
+    Null values, weights that are null, negative or no whole numbers, and
+    weights that sum to more than n_total raise when the result is made.
+    """
     probs = assert_probs(probs)
+    sound = F.col(value).isNotNull() & F.coalesce((F.col(weight) >= 0) & (F.col(weight) == F.floor(weight)), F.lit(False))
+    values = values.withColumn(weight, F.when(sound, F.col(weight)).otherwise(F.raise_error(F.lit("quantiles: null value, or a weight that is no whole number"))))
     seen = values.groupBy(*keys).agg(F.sum(weight).alias("seen"))
-    zeros = totals.join(seen, list(keys), "left").select(*keys, F.lit(0.0).alias(value), (F.col("n_total") - F.coalesce("seen", F.lit(0))).cast("long").alias(weight))
+    left = F.col("n_total") - F.coalesce("seen", F.lit(0))
+    left = F.when(left >= 0, left).otherwise(F.raise_error(F.lit("quantiles: weights sum to more than n_total")))
+    zeros = totals.join(seen, list(keys), "left").select(*keys, F.lit(0.0).alias(value), left.cast("long").alias(weight))
     rows = values.select(*keys, F.col(value).cast("double").alias(value), F.col(weight).cast("long").alias(weight)).unionByName(zeros.where(F.col(weight) > 0))
     q = F.percentile(value, F.array(*[F.lit(p) for p in probs]), F.col(weight))
     return rows.groupBy(*keys).agg(q.alias("q")).select(*keys, *[F.col("q")[i].alias(f"p{round(100 * p):g}") for i, p in enumerate(probs)])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import zoneinfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +38,26 @@ def service_date(value) -> datetime.date:
     raise ContractError(f"not a service date: {value}")
 
 
+def local_date(instant: Column, zone: str = WINDOW[2]) -> Column:
+    """The date that a UTC instant has in a time zone."""
+    return F.to_date(F.from_utc_timestamp(instant, zone))
+
+
+def resolve_service_date(departure=None, explicit=None, zone: str = WINDOW[2]) -> datetime.date:
+    """An explicit date, or the local date of a departure instant; an instant without a zone is UTC."""
+    if explicit is not None:
+        return service_date(explicit)
+    if not isinstance(departure, datetime.datetime):
+        raise ContractError("a service date needs an explicit date or a departure instant")
+    if departure.tzinfo is None:
+        departure = departure.replace(tzinfo=datetime.timezone.utc)
+    return departure.astimezone(zoneinfo.ZoneInfo(zone)).date()
+
+
 def seconds(clock: Column) -> Column:
     """HH:MM:SS to seconds of the service day; hours may pass 24; anything else is null."""
     part = F.split(F.trim(clock), ":")
-    valid = F.trim(clock).rlike(r"^[0-9]{1,3}:[0-5]?[0-9]:[0-5]?[0-9]$")
+    valid = F.trim(clock).rlike(r"^[0-9]+:[0-5]?[0-9]:[0-5]?[0-9]$")
     n = lambda i: F.try_element_at(part, F.lit(i)).try_cast("long")
     return F.when(valid, n(1) * 3600 + n(2) * 60 + n(3))
 

@@ -40,12 +40,19 @@ def _counts(column: str, suffix: str = ""):
     return [F.count_if(F.col(column) <= r).cast("int").alias(f"count_{r}{suffix}") for r in RUNGS]
 
 
-def derive_matrix(pairs: DataFrame, dest_map: DataFrame, mode: str | None = None) -> DataFrame:
+def pair_views(pairs: DataFrame, keys=("from_id", "to_id")) -> tuple[DataFrame, DataFrame]:
+    """The raw pairs and the collapsed ones."""
+    return pairs, collapse_pairs(pairs, keys)
+
+
+def derive_matrix(pairs: DataFrame, dest_map: DataFrame, mode: str | None = None, strict: bool = False) -> DataFrame:
     """Nearest time and counts per rung of each (origin, type, mode); unmapped destinations are dropped.
 
     ``pairs`` holds one time per pair and, without ``mode``, a mode column.  The
-    type map is joined by id, which must be unique in it.
+    type map is joined by id; an id that it holds twice raises when strict.
     """
+    if strict:
+        require_unique(dest_map, ["id"], "destination types")
     rows = pairs if mode is None else pairs.withColumn("mode", F.lit(mode))
     typed = rows.join(dest_map.select(F.col("id").alias("to_id"), "TYPEQU"), "to_id")
     return typed.groupBy(F.col("from_id").alias("batiment_id"), "TYPEQU", "mode").agg(F.min("travel_time").alias("tt_nearest"), *_counts("travel_time"))
@@ -56,6 +63,7 @@ def derive_transit_matrix(pairs: DataFrame, dest_map: DataFrame, strict: bool =
     p1, p50 = percentile_column(pairs.columns, 1), percentile_column(pairs.columns, 50)
     rows = pairs.withColumnsRenamed({p1: "travel_time_p1", p50: "travel_time_p50"}).dropna("any", subset=["travel_time_p1", "travel_time_p50"])
     if strict:
+        require_unique(dest_map, ["id"], "destination types")
         require_none(rows.where("travel_time_p1 > travel_time_p50"), "percentile 1 above percentile 50")
     typed = rows.join(dest_map.select(F.col("id").alias("to_id"), "TYPEQU"), "to_id")
     out = typed.groupBy(F.col("from_id").alias("batiment_id"), "TYPEQU").agg(
@@ -64,11 +72,13 @@ def derive_transit_matrix(pairs: DataFrame, dest_map: DataFrame, strict: bool =
     return out.withColumn("mode", F.lit("transit")).withColumn("travel_time_p1", F.col("tt_nearest"))
 
 
-def building_metrics(matrix: DataFrame, kept, threshold: int = 20, ref_mode: str = "car", clusters=None) -> DataFrame:
+def building_metrics(matrix: DataFrame, kept, threshold: int = 20, ref_mode: str = "car", clusters=None, with_ref: bool = False) -> DataFrame:
     """Diversity, total, loss against ref_mode and cluster flags of every building and mode of the whole matrix.
 
-    Both sides of the grid come from one aggregation: the modes are a bounded
-    list, so the grid is made by exploding them per building.
+    The modes that occur and the grid of buildings by modes come from one
+    aggregation, whose result the plan uses twice; no job runs before the
+    result is asked for.  An unknown mode raises then.  ``with_ref`` adds the
+    building's flags in ref_mode as ref_<cluster>.
     """
     if threshold not in RUNGS or ref_mode not in MODES:
         raise ContractError("threshold must be a rung and ref_mode a mode")
@@ -78,30 +88,37 @@ def building_metrics(matrix: DataFrame, kept, threshold: int = 20, ref_mode: str
     found = matrix.groupBy("batiment_id", "mode").agg(
         F.count_distinct(F.when(reached, F.col("TYPEQU"))).alias("diversity"), F.coalesce(F.sum(F.when(reached, F.col(f"count_{threshold}"))), F.lit(0)).cast("long").alias("total"), *flags
     )
-    modes = [r[0] for r in matrix.select("mode").distinct().limit(len(MODES) + 1).collect()]  # more than len(MODES) hold an unknown one
-    unknown = [str(m) for m in modes if m not in MODES]
-    if unknown:
-        raise ContractError(f"building metrics: unknown mode {unknown[0]}")
+    mode = F.coalesce("mode", F.lit("null"))
+    known_mode = F.when(mode.isin(*MODES), mode).otherwise(F.raise_error(F.concat(F.lit("building metrics: unknown mode "), mode)).cast("string"))
+    found = found.withColumn("mode", known_mode)
+    present = F.broadcast(found.agg(F.collect_set("mode").alias("present")))  # one row of at most len(MODES) modes
     values = F.struct(*[c for c in found.columns if c not in ("batiment_id", "mode")])
     by_building = found.groupBy("batiment_id").agg(F.map_from_entries(F.collect_list(F.struct("mode", values.alias("v")))).alias("m"))
-    grid = by_building.withColumn("mode", F.explode(F.array(*[F.lit(m) for m in sorted(modes)]))).withColumn("v", F.col("m")[F.col("mode")]).withColumn("ref", F.col("m")[F.lit(ref_mode)])
+    grid = by_building.join(present).withColumn("mode", F.explode("present")).withColumn("v", F.col("m")[F.col("mode")]).withColumn("ref", F.col("m")[F.lit(ref_mode)])
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    known = F.lit(ref_mode in modes)
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    known = F.array_contains("present", ref_mode)
     loss = lambda n: F.when(known, zero(F.col(f"ref.{n}")) - zero(F.col(f"v.{n}")))
     return grid.select(
         "batiment_id", "mode", zero(F.col("v.diversity")).alias("diversity"), zero(F.col("v.total")).alias("total"), loss("diversity").alias("div_loss"), loss("total").alias("tot_loss"),
-        *[F.coalesce(F.col(f"v.has_{n}"), F.lit(False)).alias(f"has_{n}") for n in clusters],
+        *[flag(f"v.has_{n}").alias(f"has_{n}") for n in clusters], *[flag(f"ref.has_{n}").alias(f"ref_{n}") for n in clusters if with_ref],
     )
 
 
 def territory_aggregates(metrics: DataFrame, crosswalk: DataFrame, level: str, ref_mode: str = "car", clusters=None) -> DataFrame:
-    """Shares, means and medians of building metrics by territory and mode."""
+    """Shares, means and medians of building metrics by territory and mode.
+
+    The flags of ref_mode are taken from the columns ref_<cluster> that
+    building_metrics gives with_ref, and by a join of metrics with itself without them.
+    """
     if level not in LEVELS:
         raise ContractError(f"level must be one of {', '.join(LEVELS)}")
     key, clusters = LEVELS[level][0], clusters or CLUSTERS
     located = metrics.join(crosswalk.select("batiment_id", key), "batiment_id").where(F.col(key).isNotNull())
-    ref = metrics.where(F.col("mode") == ref_mode).select("batiment_id", *[F.col(f"has_{n}").alias(f"ref_{n}") for n in clusters])
-    rows = located.join(ref, "batiment_id", "left")
+    rows = located
+    if not all(f"ref_{n}" in metrics.columns for n in clusters):
+        ref = metrics.where(F.col("mode") == ref_mode).select("batiment_id", *[F.col(f"has_{n}").alias(f"ref_{n}") for n in clusters])
+        rows = located.join(ref, "batiment_id", "left")
     share = lambda c: F.avg(c.cast("double"))
     return rows.groupBy(key, "mode").agg(
         F.count_distinct("batiment_id").alias("nb_buildings"),

@@ -145,6 +145,48 @@ def build(atomic: dict[str, DataFrame], gains: DataFrame | None, origin_link: Da
     return finish(merge(sides, strict=strict), addresses, strict)
 
 
+def widen(matrix: DataFrame) -> DataFrame:
+    """batiment_id, TYPEQU and the columns of all atomic modes, from the rows of all modes in one aggregation."""
+    of = lambda mode, c: F.max(F.when(F.col("mode") == mode, F.col(c)))
+    rows = matrix.where(F.col("mode").isin(*ATOMIC)).groupBy("batiment_id", "TYPEQU")
+    return rows.agg(*[of(m, "tt_nearest").alias(f"nearest_{m}") for m in ATOMIC], *[of(m, f"count_{r}").alias(f"count_{r}_{m}") for m in ATOMIC for r in RUNGS])
+
+
+def with_gains(wide: DataFrame, transit: DataFrame) -> DataFrame:
+    """The wide rows and those of the transit matrix alone, with the gains of transit over the walk of the same row."""
+    t = transit.select("batiment_id", "TYPEQU", F.lit(True).alias("_t"), F.col("travel_time_p1").alias("_p1"), F.col("travel_time_p50").alias("_p50"), *[F.col(f"count_{r}{s}").alias(f"_{r}_{p}") for s, p in (("", "p1"), ("_p50", "p50")) for r in RUNGS])
+    rows = wide.join(t, ["batiment_id", "TYPEQU"], "full")
+    walk = F.col("nearest_walk")
+    gains = [F.when(F.col("_t"), walk.isNotNull()).alias("transit_gain_walk_available"), *[(walk - F.col(f"_{p}")).alias(f"transit_gain_time_{p}") for p in ("p1", "p50")]]
+    gains += [(F.col(f"_{r}_{p}") - F.coalesce(f"count_{r}_walk", F.lit(0))).cast("int").alias(f"transit_gain_count_{r}_{p}") for p in ("p1", "p50") for r in RUNGS]
+    return rows.select(*wide.columns, *gains)
+
+
+def build_wide(matrix: DataFrame, transit: DataFrame, origin_link: DataFrame, addresses: DataFrame, rerouted: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """What build gives, from the matrix of all modes and the transit matrix, each read once.
+
+    Modes and gains are columns before anything is projected; rows of one
+    routing point are folded there, before they fan out to its addresses.
+    ``rerouted`` holds wide rows under their address ids.
+    """
+    rows = with_gains(widen(matrix), transit).join(origin_link.select(F.col("id").alias("batiment_id"), "point_id"), "batiment_id").drop("batiment_id")
+    at_point = merge([rows], ["point_id", "TYPEQU"], strict)
+    existing = addresses.where("routing_source = 'existing'").select("address_id", F.col("routing_point_id").alias("point_id"))
+    out = at_point.join(existing, "point_id").drop("point_id")
+    if rerouted is not None:
+        out = out.unionByName(project_reroute(rerouted, addresses, strict), allowMissingColumns=True)
+    return finish(out, addresses, strict)
+
+
+def base_point_ids(rows: DataFrame, origin_link: DataFrame, strict: bool = False) -> DataFrame:
+    """The distinct routing points that rows(batiment_id) touch; an id without a link raises when strict."""
+    link = origin_link.select(F.col("id").alias("batiment_id"), "point_id")
+    ids = rows.select("batiment_id").distinct()
+    if strict:
+        require_none(ids.join(link, "batiment_id", "left_anti"), "no routing point")
+    return ids.join(link, "batiment_id").select("point_id").distinct()
+
+
 def points_in_several_chunks(rows: DataFrame) -> DataFrame:
     """point_id, n_chunks of routing points that more than one chunk touches."""
     return rows.groupBy("point_id").agg(F.count_distinct("chunk_id").alias("n_chunks")).where("n_chunks > 1")

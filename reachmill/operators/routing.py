@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+import hashlib
 from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.functions.contracts import CAP, assert_within_cap, require_none
+from reachmill.functions.contracts import CAP, MODES, ContractError, assert_within_cap, require_none
 from reachmill.operators.ranking import numbered
 
 
@@ -58,6 +60,28 @@ def stub_route(origins: DataFrame, destinations: DataFrame, cap: float = CAP, ba
     return o.join(d, ["cx", "cy"]).select("from_id", "to_id", minutes.cast("double").alias("travel_time")).where(F.col("travel_time") <= cap)
 
 
+#: Kilometres an hour of the modes that go at a speed of their own; the car's is that of the stub.
+SPEEDS = {"walk": 4.0, "bike": 12.0, "car": 30.0}
+
+
+def probe_modes(modes, departure=None) -> list[str]:
+    """The modes, if all are known and transit has an instant of departure (with a time, not a date alone)."""
+    unknown = [m for m in modes if m not in MODES]
+    if unknown or not modes:
+        raise ContractError(f"unknown mode(s) {', '.join(unknown)}" if unknown else "no mode")
+    if "transit" in modes and not isinstance(departure, datetime.datetime):
+        raise ContractError("transit needs an instant of departure")
+    return list(modes)
+
+
+def stub_dispatch(origins: DataFrame, destinations: DataFrame, cap: float = CAP, mode: str = "car", departure=None, speeds=None) -> DataFrame:
+    """The stub's pairs of a mode: planar times at the mode's speed, and both percentiles for transit."""
+    probe_modes([mode], departure)
+    if mode == "transit":
+        return stub_transit_route(origins, destinations, cap=cap)
+    return stub_route(origins, destinations, cap=cap, speed_kmh=(speeds or SPEEDS)[mode])
+
+
 def stub_transit_route(origins: DataFrame, destinations: DataFrame, **how) -> DataFrame:
     pairs = stub_route(origins, destinations, **how)
     return pairs.select("from_id", "to_id", F.col("travel_time").alias("travel_time_p1"), (F.col("travel_time") + 5).alias("travel_time_p50"))
@@ -75,10 +99,37 @@ def chunk_ids(points: DataFrame, size: int, order: str = "id") -> DataFrame:
     return numbered(points, order, "_number").withColumn("chunk_id", (F.floor((F.col("_number") - 1) / size) + 1).cast("int")).drop("_number")
 
 
+def chunk_slice(points: DataFrame, chunk_id: int, size: int, order: str = "id") -> DataFrame:
+    """The points of one chunk, numbers (chunk_id - 1) * size + 1 to chunk_id * size; a chunk that is not there raises."""
+    found = chunk_ids(points, size, order).where(F.col("chunk_id") == chunk_id).drop("chunk_id")
+    if not found.limit(1).count():
+        raise ContractError(f"there is no chunk {chunk_id}")
+    return found
+
+
 def census(identities: DataFrame, points: DataFrame, size: int) -> DataFrame:
-    """n_identities, n_coordinates, n_chunks."""
+    """n_identities, n_coordinates, n_chunks; more coordinates than identities, or none for some, raise when the result is made."""
     a, b = identities.agg(F.count("*").alias("n_identities")), points.agg(F.count("*").alias("n_coordinates"))
-    return a.join(b).select("n_identities", "n_coordinates", F.ceil(F.col("n_coordinates") / size).alias("n_chunks"))
+    possible = (F.col("n_coordinates") <= F.col("n_identities")) & ((F.col("n_coordinates") > 0) | (F.col("n_identities") == 0))
+    coordinates = F.when(possible, F.col("n_coordinates")).otherwise(F.raise_error(F.lit("census: impossible number of coordinates")).cast("long"))
+    return a.join(b).select("n_identities", coordinates.alias("n_coordinates"), F.ceil(F.col("n_coordinates") / size).alias("n_chunks"))
+
+
+def table_fingerprint(table: DataFrame, columns=None) -> DataFrame:
+    """content_key: a digest of a table that depends on neither the order of its rows nor that of its columns.
+
+    A row's line holds the named columns (all, if None are) in order of name, each as
+    its name and its text, with null told from the empty text.
+    """
+    names = sorted(columns or table.columns)
+    parts = [F.concat(F.lit(f"{c}="), F.coalesce(F.concat(F.lit("'"), F.col(c).cast("string")), F.lit("-"))) for c in names]
+    return _set_digest(table.select(F.sha2(F.concat_ws("|", *parts), 256).alias("h")))
+
+
+def plan_key(tables: dict[str, DataFrame]) -> str:
+    """One digest of several tables by name."""
+    lines = [f"{name}={table_fingerprint(df).first()[0]}" for name, df in sorted(tables.items())]
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
 def universe_key(points: DataFrame) -> DataFrame:
@@ -87,6 +138,10 @@ def universe_key(points: DataFrame) -> DataFrame:
     Two levels keep what one task collects to a share of the table.
     """
     line = F.sha2(F.concat_ws("|", "id", F.col("lon").cast("string"), F.col("lat").cast("string")), 256)
-    rows = points.select(line.alias("h")).withColumn("g", F.substring("h", 1, 3))
+    return _set_digest(points.select(line.alias("h")))
+
+
+def _set_digest(lines: DataFrame) -> DataFrame:
+    rows = lines.withColumn("g", F.substring("h", 1, 3))
     some = rows.groupBy("g").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ","), 256).alias("d"))
     return some.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "d"))), lambda x: x["d"]), ","), 256).alias("content_key"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reachmill.functions.contracts import BORDER_WIDTH_M, ContractError, require, require_none, require_unique
-from reachmill.functions.geo import resolve_geometry
+from reachmill.functions.geo import distance_to_ring_m, lambert93_to_wgs84, resolve_geometry, wkt_centroid
 from reachmill.operators.ranking import numbered
 
 # Usages that count as residential, quality codes of a location that are kept.
@@ -123,13 +124,62 @@ def destination_facts(registry: DataFrame) -> DataFrame:
 
 
 def select_origins(origins: DataFrame, ids) -> DataFrame:
+    """The origins with the requested ids; none at all raises, some that are missing give a warning with their number."""
     wanted = sorted(set(ids))
     found = origins.where(F.col("origin_id").isin(*wanted))
-    if not wanted or not found.limit(1).count():
+    matched = found.select("origin_id").distinct().count() if wanted else 0
+    if not matched:
         raise ContractError("no origin matches the requested ids")
+    if matched < len(wanted):
+        warnings.warn(f"{len(wanted) - matched} of {len(wanted)} requested origins are unknown", stacklevel=2)
     return found
 
 
+def routable(points: DataFrame, what: str = "origin") -> DataFrame:
+    """The points with both coordinates; a warning tells how many were dropped."""
+    dropped = points.where("lon is null or lat is null").count()
+    if dropped:
+        warnings.warn(f"{dropped} {what}(s) without coordinates", stacklevel=2)
+    return points.dropna("any", subset=["lon", "lat"])
+
+
+def warn_strip_only(universe: DataFrame) -> DataFrame:
+    """strip_only_types, with a warning that names up to ten of them."""
+    types = strip_only_types(universe)
+    some = [r[0] for r in types.orderBy("TYPEQU").limit(11).collect()]
+    if some:
+        warnings.warn(f"types of the strip only: {', '.join(some[:10])}{' and more' if len(some) > 10 else ''}", stacklevel=2)
+    return types
+
+
+def address_points_from_wkt(rows: DataFrame, strict: bool = True) -> DataFrame:
+    """address_id, lon, lat of rows(address_id, wkt) in EPSG:2154, one per address.
+
+    Empty geometry and unlike geometries of one address raise when strict, and
+    are left out, or the first by coordinates kept, otherwise.
+    """
+    points = rows.select("address_id", wkt_centroid(F.col("wkt")).alias("c")).select("address_id", F.col("c.x").alias("x"), F.col("c.y").alias("y")).distinct()
+    if strict:
+        require_none(points.where("x is null or y is null").select("address_id"), "address without geometry")
+        require_unique(points, ["address_id"], "address geometries")
+    points = points.where("x is not null and y is not null").groupBy("address_id").agg(F.min(F.struct("x", "y")).alias("p"))
+    return points.select("address_id", lambert93_to_wgs84(F.col("p.x"), F.col("p.y")).alias("w")).select("address_id", "w.lon", "w.lat")
+
+
+def one_feature(layer: DataFrame, column: str, code: str) -> DataFrame:
+    """The feature of a layer with a code; none or several raise."""
+    found = layer.where(F.col(column) == code)
+    n = found.limit(2).count()
+    if n != 1:
+        raise ContractError(f"expected one feature with {column} {code}, got {'several' if n else 'none'}")
+    return found
+
+
+def region_universe(equipment: DataFrame, ring, departements, width: float = BORDER_WIDTH_M) -> DataFrame:
+    """equipment_universe with distances computed from the region's ring of (lon, lat)."""
+    return equipment_universe(equipment, distance_to_ring_m(F.col("LONGITUDE").cast("double"), F.col("LATITUDE").cast("double"), ring), departements, width)
+
+
 def address_universe(origins: DataFrame, links: DataFrame, address_points: DataFrame, existing_points: DataFrame, strict: bool = False) -> DataFrame:
     """Addresses of eligible constructions: coordinates, counts, and whether a routed point already stands there.
 
@@ -185,9 +235,12 @@ def communes_of_body(communes: DataFrame, siren: str) -> DataFrame:
     return communes.where(F.coalesce(F.col("codes_siren_des_epci").contains(siren), F.lit(False)))
 
 
-def territory_names(crosswalk: DataFrame, names: dict[str, DataFrame]) -> DataFrame:
-    """The crosswalk with nom_<level> of each lookup(code, nom)."""
+def territory_names(crosswalk: DataFrame, names: dict[str, DataFrame], strict: bool = False) -> DataFrame:
+    """The crosswalk with nom_<level> of each lookup(code, nom); repeated codes and codes without a name raise when strict."""
     for level, lookup in names.items():
+        if strict:
+            require_unique(lookup, ["code"], f"names of {level}")
+            require_none(lookup.where("code is null or nom is null or nom = ''").select("code"), f"{level} without a name")
         key = {"epci": "epci", "departement": "code_departement", "region": "region"}[level]
         crosswalk = crosswalk.join(lookup.select(F.col("code").alias(key), F.col("nom").alias(f"nom_{level}")), key, "left")
     return crosswalk

@@ -11,8 +11,9 @@ import tempfile
 from pyspark.sql import functions as F
 
 from reachmill.functions import geo
-from reachmill.functions.contracts import ATOMIC, LEVELS, RUNGS, gain_report, matrix_report
+from reachmill.functions.contracts import ATOMIC, LEVELS, RUNGS, ContractError, gain_report, matrix_report
 from reachmill.operators import aggregates, deltas, gtfs, matrix, monolith, routing, universe
+from reachmill.plans import publisher, reroute
 from reachmill.plans.adapters import CLUSTERS, KEPT, METRICS, as_query, frame
 from reachmill.plans.runner import Run, run_metadata
 
@@ -181,8 +182,8 @@ _BUILDING = f"""
         FROM f LEFT JOIN f r ON f.batiment_id = r.batiment_id AND r.mode = 'car')"""
 
 
-def _building(get):
-    return matrix.building_metrics(_matrix(get), KEPT, 20, "car", CLUSTERS)
+def _building(get, with_ref=False):
+    return matrix.building_metrics(_matrix(get), KEPT, 20, "car", CLUSTERS, with_ref)
 
 
 query(_BUILDING + " SELECT * FROM bm", "building_metrics")(_building)
@@ -196,7 +197,7 @@ for _level, _keys in LEVELS.items():
         avg(m.div_loss) AS avg_div_loss, quantile_cont(CAST(m.div_loss AS DOUBLE), 0.5) AS med_div_loss, avg(m.tot_loss) AS avg_tot_loss, quantile_cont(CAST(m.tot_loss AS DOUBLE), 0.5) AS med_tot_loss
         FROM bm m JOIN {{crosswalk}} c ON m.batiment_id = c.batiment_id JOIN bm r ON r.batiment_id = m.batiment_id AND r.mode = 'car' WHERE c.{_k} IS NOT NULL GROUP BY c.{_k}, m.mode""",
         f"territory_{_level}",
-    )(lambda get, level=_level: matrix.territory_aggregates(_building(get), get("crosswalk"), level, "car", CLUSTERS))
+    )(lambda get, level=_level: matrix.territory_aggregates(_building(get, True), get("crosswalk"), level, "car", CLUSTERS))
 
 
 # gains
@@ -291,8 +292,7 @@ _FINAL_SIDE = f"""k AS (SELECT DISTINCT batiment_id, TYPEQU FROM {{matrix}} WHER
   FROM k JOIN {{monolith_addresses}} a ON a.routing_source = 'existing' AND a.routing_point_id = 'p' || k.batiment_id
   {" ".join(f"LEFT JOIN f{m} ON f{m}.batiment_id = k.batiment_id AND f{m}.TYPEQU = k.TYPEQU" for m in ATOMIC)} LEFT JOIN gn ON gn.batiment_id = k.batiment_id AND gn.TYPEQU = k.TYPEQU""")
 def monolith_final(get):
-    rows = _matrix(get)
-    return monolith.build({m: rows.where(f"mode = '{m}'") for m in ATOMIC}, _gains(get), get("origin_link"), get("monolith_addresses"))
+    return monolith.build_wide(_matrix(get), matrix_transit(get), get("origin_link"), get("monolith_addresses"))
 
 
 @query("SELECT 'p' || CAST(o_custkey AS STRING) AS point_id, CAST(count(DISTINCT o_orderkey % 2) AS BIGINT) AS n_chunks FROM {orders} GROUP BY 1 HAVING count(DISTINCT o_orderkey % 2) > 1")
@@ -528,6 +528,54 @@ def feed_selection(get):
     return gtfs.select_feeds(feeds, "derived", ["gtfsx_NATION_1", "gtfsx_NATION_2"]).select("id")
 
 
+# publishing and reroutes
+
+
+@query("""WITH r AS (SELECT sha256('lat=' || '''' || CAST(CAST(ord AS BIGINT) % 7 AS STRING) || '|lon=' || '''' || CAST(CAST(ord AS BIGINT) AS STRING) || '|name=' || CASE WHEN CAST(ord AS BIGINT) % 5 = 0 THEN '-' ELSE '''' || id END) AS h FROM {origins}),
+  g AS (SELECT substr(h, 1, 3) AS g, sha256(string_agg(h, ',' ORDER BY h)) AS d FROM r GROUP BY 1) SELECT sha256(string_agg(d, ',' ORDER BY g)) AS content_key FROM g""")
+def table_fingerprint(get):
+    o = get("origins").select(F.when(F.col("ord") % 5 != 0, F.col("id")).alias("name"), F.col("ord").alias("lon"), (F.col("ord") % 7).alias("lat"))
+    return routing.table_fingerprint(o)
+
+
+for _level, _keys in LEVELS.items():
+    _by = ", ".join(f"a.{k}" for k in _keys)
+    _on = " AND ".join(f"d.{k} = a.{k}" for k in _keys)
+
+    def _published(get, level=_level, keys=tuple(_keys)):
+        labels = get("types").select("TYPEQU", F.concat(F.lit("Type "), "TYPEQU").alias("nom_typequ"))
+        axis = get("spine").select(*keys).dropna("any").distinct()
+        extra = axis.limit(1).select(*[F.lit("EMPTY").alias(k) for k in keys])
+        return _rounded(publisher.level_table(get("metrics"), get("spine"), get("types"), labels, axis.unionByName(extra), level, METRICS, PROBS, strict=False))
+
+    query(
+        f"""WITH d AS ({_dense_sql(_keys)}) SELECT {_by}, t.TYPEQU, 'Type ' || t.TYPEQU AS nom_typequ, coalesce(d.n_addresses, 0) AS n_addresses, coalesce(d.n_observed, 0) AS n_observed,
+  d.* EXCLUDE ({", ".join(_keys)}, TYPEQU, n_addresses, n_observed), CASE WHEN coalesce(d.n_addresses, 0) = 0 THEN 'no_address' WHEN d.n_observed = 0 THEN 'no_observation' ELSE 'observed' END AS coverage_status
+  FROM (SELECT DISTINCT {", ".join(_keys)} FROM {{spine}} WHERE {" AND ".join(f"{k} IS NOT NULL" for k in _keys)} UNION ALL SELECT {", ".join("'EMPTY'" for _ in _keys)}) a CROSS JOIN {{types}} t LEFT JOIN d ON {_on} AND d.TYPEQU = t.TYPEQU""",
+        f"published_{_level}",
+    )(_published)
+
+
+@query("""WITH o AS (SELECT * FROM {reroute_origins} WHERE code_departement_insee IN ('1', '2') AND NOT coalesce(is_dependance_candidate, true)),
+  c AS (SELECT l.address_id, count(DISTINCT o.origin_id) AS nc, count(DISTINCT o.batiment_groupe_id) AS ng FROM {reroute_links} l JOIN o ON l.origin_id = o.origin_id GROUP BY 1)
+  SELECT c.address_id, p.lon, p.lat, CAST(nc AS BIGINT) AS n_non_dependance_constructions, CAST(ng AS BIGINT) AS n_residential_groups, CASE WHEN e.id IS NULL THEN 'reroute' ELSE 'existing' END AS routing_source, e.id AS routing_point_id
+  FROM c LEFT JOIN {address_points} p ON p.address_id = c.address_id LEFT JOIN {existing_points} e ON e.lon = p.lon AND e.lat = p.lat""")
+def reroute_inputs(get):
+    return reroute.reroute_inputs(get("reroute_origins"), get("reroute_links"), get("address_points"), get("existing_points"), ["1", "2"])
+
+
+@query("SELECT DISTINCT l.point_id FROM {matrix} m JOIN {origin_link} l ON l.id = m.batiment_id WHERE m.mode = 'car' AND m.count_5 > 0")
+def base_points(get):
+    return monolith.base_point_ids(_matrix(get).where("mode = 'car' and count_5 > 0"), get("origin_link"))
+
+
+@query("SELECT * FROM (SELECT o.from_id, o.to_id, o.mode, 'raw' AS view, o.travel_time FROM {pairs} o UNION ALL SELECT from_id, to_id, mode, 'collapsed', travel_time FROM {collapsed}) x WHERE mode = 'bike'")
+def pair_views(get):
+    raw, collapsed = matrix.pair_views(get("pairs").where("mode = 'bike'"), ["from_id", "to_id", "mode"])
+    columns = lambda df, name: df.select("from_id", "to_id", "mode", F.lit(name).alias("view"), "travel_time")
+    return columns(raw, "raw").unionByName(columns(collapsed, "collapsed"))
+
+
 # set operations
 
 
@@ -536,9 +584,9 @@ def set_union(get):
     return get("orders").where("o_orderkey % 2 = 0").select(F.col("o_custkey").alias("k")).union(get("customer").where("c_custkey % 3 = 0").select("c_custkey")).distinct()
 
 
-@query("SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey FROM {orders}")
+@query("SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey FROM {orders} WHERE o_orderkey % 9 = 0")
 def set_except(get):
-    return get("customer").select(F.col("c_custkey").alias("k")).subtract(get("orders").select("o_custkey"))
+    return get("customer").select(F.col("c_custkey").alias("k")).subtract(get("orders").where("o_orderkey % 9 = 0").select("o_custkey"))
 
 
 @query("SELECT c_custkey AS k FROM {customer} WHERE c_custkey % 2 = 0 INTERSECT SELECT o_custkey FROM {orders}")
@@ -546,10 +594,10 @@ def set_intersect(get):
     return get("customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k")).intersect(get("orders").select("o_custkey"))
 
 
-@query("SELECT c_custkey AS k, c_mktsegment AS a, NULL AS b FROM {customer} UNION ALL SELECT s_suppkey, NULL, CAST(s_acctbal AS STRING) FROM {supplier} WHERE false")
+@query("SELECT c_custkey AS k, c_mktsegment AS a, NULL AS b FROM {customer} UNION ALL SELECT s_suppkey, NULL, s_name FROM {supplier}")
 def set_union_fill(get):
-    left = get("customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("a"), F.lit(None).cast("string").alias("b"))
-    return left.unionByName(get("supplier").where("false").select(F.col("s_suppkey").alias("k")), allowMissingColumns=True)
+    left = get("customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("a"))
+    return left.unionByName(get("supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("b")), allowMissingColumns=True)
 
 
 # geometry and archives: rows only
@@ -597,8 +645,12 @@ def resume_runner(spark, sf_dir):
     """A run of several chunks that stops after one and is taken up again; its matrix is that of one pass."""
     origins, destinations, types = (frame(spark, sf_dir, n) for n in ("origins", "destinations", "dest_map"))
     parent = (spark.sparkContext.getConf().get("spark.checkpoint.dir") or "").removeprefix("file:") or None  # the folder that driver and executors share
+    if parent and "://" in parent.removeprefix("//"):
+        raise ContractError(f"a run needs a mounted folder, not {parent}")
     if parent:
         os.makedirs(parent, exist_ok=True)
+    elif not spark.sparkContext.master.startswith("local"):
+        raise ContractError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="run-", dir=parent)
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     size = max(1, -(-origins.select("lon", "lat").distinct().count() // 3))

@@ -15,14 +15,14 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.functions.contracts import MODES, ContractError, validate_matrix
+from reachmill.functions.contracts import MATRIX_KEY, ContractError, ladder, validate_gains, validate_matrix
 from reachmill.operators import matrix, routing
 from reachmill.plans.identity import digest, first_mismatch
 from reachmill.sources import io
 
 PENDING, RUNNING, COMPLETE, FAILED = "pending", "running", "complete", "failed"
 #: Identity parts in the order in which a difference is reported.
-IDENTITY = ("modes", "chunk_size", "cap", "origins", "destinations", "router")
+IDENTITY = ("modes", "chunk_size", "cap", "departure", "plan_key", "origins", "destinations", "router")
 
 
 def _now() -> str:
@@ -40,14 +40,12 @@ def folder_sha(path: str) -> str | None:
 class Run:
     """One run in a folder: manifest.json, plan tables and chunks/mode=<m>/chunk_id=<n>."""
 
-    def __init__(self, folder: str, origins: DataFrame, destinations: DataFrame, dest_map: DataFrame, modes=("walk", "bike", "car"), chunk_size: int = 50_000, cap: float = 20, router=routing.stub_route, router_name: str = "stub"):
-        unknown = [m for m in modes if m not in MODES]
-        if unknown:
-            raise ContractError(f"unknown mode(s) {', '.join(unknown)}")
+    def __init__(self, folder: str, origins: DataFrame, destinations: DataFrame, dest_map: DataFrame, modes=("walk", "bike", "car"), chunk_size: int = 50_000, cap: float = 20, router=routing.stub_dispatch, router_name: str = "stub", departure=None, plan_key: str | None = None):
+        routing.probe_modes(modes, departure)
         routing.assert_within_cap(cap)
-        self.folder, self.modes, self.chunk_size, self.cap, self.router = folder, list(modes), chunk_size, cap, router
+        self.folder, self.modes, self.chunk_size, self.cap, self.router, self.departure = folder, list(modes), chunk_size, cap, router, departure
         self.spark, self.dest_map = origins.sparkSession, dest_map
-        self.identity = {"modes": sorted(modes), "chunk_size": chunk_size, "cap": cap, "origins": self._key(origins), "destinations": self._key(destinations), "router": router_name}
+        self.identity = {"modes": sorted(modes), "chunk_size": chunk_size, "cap": cap, "departure": departure.isoformat() if departure else None, "plan_key": plan_key, "origins": self._key(origins), "destinations": self._key(destinations), "router": router_name}
         os.makedirs(folder, exist_ok=True)
         self.path = os.path.join(folder, "manifest.json")
         if os.path.exists(self.path):
@@ -99,7 +97,10 @@ class Run:
     def _rows(self, mode: str, chunk_id: int) -> DataFrame:
         read = lambda n: self.spark.read.parquet(self._plan(n))
         points = read("points").where(F.col("chunk_id") == chunk_id).drop("chunk_id")
-        pairs = routing.expand_pairs(self.router(points, read("dest_points"), cap=self.cap), read("link"), read("dest_link"))
+        routed = self.router(points, read("dest_points"), cap=self.cap, mode=mode, departure=self.departure)
+        pairs = routing.expand_pairs(routed, read("link"), read("dest_link"))
+        if mode == "transit":
+            return matrix.derive_transit_matrix(pairs, self.dest_map)
         return matrix.derive_matrix(matrix.collapse_pairs(pairs), self.dest_map, mode)
 
     def _accept(self, entry: dict) -> None:
@@ -127,8 +128,48 @@ class Run:
             self.save()
         return self.manifest["entries"]
 
+    def _chunks(self, modes) -> DataFrame:
+        paths = [self.chunk_path(e["mode"], e["chunk_id"]) for e in self.manifest["entries"] if e["status"] == COMPLETE and e["mode"] in modes]
+        if not paths:
+            raise ContractError(f"no complete chunk of {', '.join(modes)}")
+        return self.spark.read.option("basePath", os.path.join(self.folder, "chunks")).parquet(*paths)
+
     def matrix(self) -> DataFrame:
-        return self.spark.read.option("basePath", os.path.join(self.folder, "chunks")).parquet(*[self.chunk_path(e["mode"], e["chunk_id"]) for e in self.manifest["entries"] if e["status"] == COMPLETE])
+        """The complete chunks of all modes, with the columns that they share."""
+        parts = [self._chunks(own) for own in ([m for m in self.modes if m != "transit"], [m for m in self.modes if m == "transit"]) if own]
+        columns = [*MATRIX_KEY, "chunk_id", "tt_nearest", *ladder()]
+        rows = parts[0].select(columns)
+        return rows.unionByName(parts[1].select(columns)) if len(parts) > 1 else rows
+
+    def transit(self) -> DataFrame:
+        """The complete transit chunks with both percentiles."""
+        return self._chunks(["transit"])
+
+    def gains(self) -> DataFrame:
+        """The gains of transit over the walk of all complete chunks, kept by chunk; chunks that are there and valid are not done again."""
+        path = os.path.join(self.folder, "gains")
+        transit, done = self.transit(), []
+        if os.path.isdir(path):
+            kept = self.spark.read.parquet(path)
+            try:
+                validate_gains(kept)
+                done = [r[0] for r in kept.select("chunk_id").distinct().collect()]
+            except ContractError:
+                done = []
+        owed = transit.where(~F.col("chunk_id").isin(done)) if done else transit
+        if owed.limit(1).count():
+            walk = self._chunks(["walk"]).where(~F.col("chunk_id").isin(done)) if done else self._chunks(["walk"])
+            made = matrix.transit_gains(owed, walk).join(owed.select("batiment_id", "TYPEQU", "chunk_id"), ["batiment_id", "TYPEQU"])
+            made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_id").parquet(path)
+        return self.spark.read.parquet(path)
+
+    @staticmethod
+    def dry_run(origins: DataFrame, destinations: DataFrame, modes=("walk", "bike", "car"), chunk_size: int = 50_000, departure=None) -> dict:
+        """What a run would do, without a folder: numbers of identities, coordinates and chunks by side and mode."""
+        routing.probe_modes(modes, departure)
+        sides = {"origins": origins, "destinations": destinations}
+        out = {name: routing.census(df, df.select("lon", "lat").distinct(), chunk_size).first().asDict() for name, df in sides.items()}
+        return {"kind": "dry_run", "modes": list(modes), **out, "chunks": out["origins"]["n_chunks"] * len(modes)}
 
     def metadata(self) -> dict:
         """Sums over the manifest by mode, with the identity's digest."""

@@ -53,10 +53,21 @@ def read_nomenclature(spark: SparkSession, path: str, sep: str = ",") -> DataFra
 def read_snapshot(spark: SparkSession, path: str, columns, codes=None, key: str = "code_insee") -> DataFrame:
     """The frozen snapshot: five-character codes, doubles, optionally some communes only."""
     rows = read_delimited(spark, path, [key, "nom_commune", *columns])
-    rows = rows.withColumn(key, F.lpad(key, 5, "0")).select(key, "nom_commune", *[F.col(c).try_cast("double").alias(c) for c in columns])
+    rows = rows.withColumn(key, F.when(F.length(key) < 5, F.lpad(key, 5, "0")).otherwise(F.col(key))).select(key, "nom_commune", *[F.col(c).try_cast("double").alias(c) for c in columns])
     return rows.where(F.col(key).isin(*codes)) if codes is not None else rows
 
 
+# The columns of the equipment table that are read, all as text but the coordinates.
+EQUIPMENT_COLUMNS = ["AN", "DEP", "DEPCOM", "LIBCOM", "TYPEQU", "SIRET", "NOMRS", "STATUT_DIFFUSION", "LIBVOIE", "QUALITE_GEOLOC", "QUALITE_XY", "LONGITUDE", "LATITUDE", "LAMBERT_X", "LAMBERT_Y", "EPSG", "EPCI"]
+
+
+def read_equipment(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """The equipment table: its 17 columns of many, codes as text, coordinates as doubles."""
+    rows = read_delimited(spark, path, EQUIPMENT_COLUMNS, sep)
+    numbers = ("LONGITUDE", "LATITUDE", "LAMBERT_X", "LAMBERT_Y")
+    return rows.select(*[F.col(c).try_cast("double").alias(c) if c in numbers else F.col(c) for c in EQUIPMENT_COLUMNS])
+
+
 def read_codes(spark: SparkSession, path: str) -> list[str]:
     """The first column of a short delimited file."""
     return [r[0] for r in spark.read.option("header", True).csv(path).collect()]
@@ -88,10 +99,38 @@ def write_pairs(pairs: DataFrame, path: str, mode: str, chunk_id: int, run_label
     write_chunks(typed, path, mode, chunk_id)
 
 
-def write_table(df: DataFrame, path: str) -> None:
+def write_table(df: DataFrame, path: str, order=None) -> None:
+    """A table, in byte order of the columns ``order`` over all its files if given."""
+    df = df.orderBy(*order) if order else df
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def write_checkpoint(rows: DataFrame, path: str, name: str) -> None:
+    """One part of a set of tables with one schema; a part that is there already is replaced."""
+    write_table(rows, os.path.join(path, f"part={name}"))
+
+
+def read_checkpoint(spark: SparkSession, path: str, key, names=None) -> DataFrame:
+    """The parts (the named ones) as one table; a key that occurs twice raises."""
+    rows = spark.read.parquet(path)
+    if names is not None:
+        rows = rows.where(F.col("part").isin(*names))
+    require_unique(rows, list(key), "checkpoint")
+    return rows.drop("part")
+
+
+def write_poly(rings, path: str, name: str = "crop") -> None:
+    """Rings of (lon, lat) as a polygon filter file: a name, numbered rings closed by END, and END."""
+    lines = [name]
+    for i, ring in enumerate(rings, 1):
+        ring = [*ring, ring[0]] if ring[0] != ring[-1] else ring
+        lines += [str(i), *[f"   {x:.7E}   {y:.7E}" for x, y in ring], "END"]
+    part = f"{path}.{os.getpid()}.part"
+    with open(part, "w", encoding="ascii") as f:
+        f.write("\n".join([*lines, "END"]) + "\n")
+    os.replace(part, path)
+
+
 def write_json(value, path: str) -> None:
     """A document by a temporary file and a rename."""
     part = f"{path}.{os.getpid()}.part"

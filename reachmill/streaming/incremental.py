@@ -1,4 +1,4 @@
-"""Chunks as a stream of files: the batch derivations over whatever has arrived since the last call."""
+"""Chunks as a stream of files: the batch derivations over whatever has arrived."""
 
 from __future__ import annotations
 
@@ -7,20 +7,26 @@ from pyspark.sql import functions as F
 
 from reachmill.operators.matrix import collapse_pairs, derive_matrix
 
+KEYS = ["from_id", "to_id", "mode"]
+
 
 def derive_new_pairs(spark: SparkSession, pairs_path: str, schema: str, dest_map: DataFrame, out_path: str, checkpoint: str) -> int:
-    """Derives the matrix of the pair files that are new since the last call, one batch folder each; returns the number of batches.
+    """Takes in the pair files that are new since the last call and derives the matrix of all; returns the number of batches.
 
-    Batches are keyed by origin chunk, as files are; a batch that is repeated
-    after a failure overwrites its own folder, so each is committed once.
+    Every batch keeps its collapsed pairs in a folder of its own below
+    out_path/pairs (a batch that is repeated after a failure overwrites it), so
+    each is counted once.  An origin may arrive in several batches: the matrix
+    in out_path/matrix comes from the pairs of all batches, collapsed again.
     """
     done = []
 
     def batch(rows: DataFrame, number: int) -> None:
-        derived = derive_matrix(collapse_pairs(rows, ["from_id", "to_id", "mode"]), dest_map)
-        derived.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+        collapse_pairs(rows, KEYS).withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out_path}/pairs/batch={number}")
         done.append(number)
 
     stream = spark.readStream.schema(schema).parquet(pairs_path)
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    if done:
+        pairs = spark.read.parquet(*[f"{out_path}/pairs"])
+        derive_matrix(collapse_pairs(pairs, KEYS), dest_map).write.mode("overwrite").parquet(f"{out_path}/matrix")
     return len(done)

@@ -176,8 +176,9 @@ def test_deltas_example(spark):
 
 def test_metrics_refuse_an_unknown_mode(spark):
     rows = [("b1", "T", "car", 1), ("b1", "T", "boat", 1)]
-    with pytest.raises(ContractError):
-        matrix.building_metrics(spark.createDataFrame(rows, "batiment_id string, TYPEQU string, mode string, count_20 int"), ["T"])
+    for broken in (rows, [*rows[:1], ("b2", "T", None, 1)]):
+        with pytest.raises(Exception, match="unknown mode"):
+            matrix.building_metrics(spark.createDataFrame(broken, "batiment_id string, TYPEQU string, mode string, count_20 int"), ["T"]).collect()
 
 
 def test_report_lists_every_row(spark):
@@ -253,7 +254,7 @@ def test_runner_resumes(spark, tmp_path):
     assert [e["status"] for e in run.manifest["entries"]] == ["complete", "pending", "pending"]
     again = Run(str(tmp_path / "r"), o, d, types, modes=["walk"], chunk_size=2)
     again.execute()
-    whole = matrix.derive_matrix(matrix.collapse_pairs(routing.stub_route(o, d)), types, "walk")
+    whole = matrix.derive_matrix(matrix.collapse_pairs(routing.stub_dispatch(o, d, mode="walk")), types, "walk")
     assert {tuple(r) for r in again.matrix().select(whole.columns).collect()} == {tuple(r) for r in whole.collect()}
     folder = again.chunk_path("walk", 2)
     victim = next(f for f in os.listdir(folder) if f.endswith(".parquet"))
@@ -272,10 +273,13 @@ def test_incremental(spark, tmp_path):
 
     types = spark.createDataFrame([("d", "A")], "id string, TYPEQU string")
     schema = "from_id string, to_id string, mode string, travel_time double"
-    for n in (1, 2):
-        spark.createDataFrame([(f"o{n}", "d", "walk", float(n))], schema).write.mode("append").parquet(str(tmp_path / "in"))
-        assert derive_new_pairs(spark, str(tmp_path / "in"), schema, types, str(tmp_path / "out"), str(tmp_path / "cp")) == 1
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    for n in (1, 2, 3):
+        rows = [(f"o{n}", "d", "walk", float(n)), ("again", "d", "walk", 9.0 - n), ("again", f"e{n}", "walk", 7.0)]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(tmp_path / "in"))
+        assert derive_new_pairs(spark, str(tmp_path / "in"), schema, types.unionByName(spark.createDataFrame([(f"e{i}", "A") for i in (1, 2, 3)], types.schema)), str(tmp_path / "out"), str(tmp_path / "cp")) == 1
+    assert derive_new_pairs(spark, str(tmp_path / "in"), schema, types, str(tmp_path / "out"), str(tmp_path / "cp")) == 0
+    got = {r.batiment_id: (r.tt_nearest, r.count_5, r.count_20) for r in spark.read.parquet(str(tmp_path / "out" / "matrix")).collect()}
+    assert got == {"o1": (1.0, 1, 1), "o2": (2.0, 1, 1), "o3": (3.0, 1, 1), "again": (6.0, 0, 4)}
 
 
 def test_universe_examples(spark):
