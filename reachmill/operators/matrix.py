@@ -72,36 +72,40 @@ def derive_transit_matrix(pairs: DataFrame, dest_map: DataFrame, strict: bool =
     return out.withColumn("mode", F.lit("transit")).withColumn("travel_time_p1", F.col("tt_nearest"))
 
 
-def building_metrics(matrix: DataFrame, kept, threshold: int = 20, ref_mode: str = "car", clusters=None, with_ref: bool = False) -> DataFrame:
+def building_metrics(matrix: DataFrame, kept, threshold: int = 20, ref_mode: str = "car", clusters=None, with_ref: bool = False, modes=None) -> DataFrame:
     """Diversity, total, loss against ref_mode and cluster flags of every building and mode of the whole matrix.
 
-    The modes that occur and the grid of buildings by modes come from one
-    aggregation, whose result the plan uses twice; no job runs before the
-    result is asked for.  An unknown mode raises then.  ``with_ref`` adds the
-    building's flags in ref_mode as ref_<cluster>.
+    A key occurs once, as validate_matrix demands.  One aggregation by building
+    has a column for each mode, so the grid of buildings by modes needs no join.
+    ``modes`` are those of the grid; without them they are looked up in the
+    matrix, which reads its modes once more.  A row of another mode raises when
+    the result is made.  ``with_ref`` adds the building's flags in ref_mode as
+    ref_<cluster>.
     """
     if threshold not in RUNGS or ref_mode not in MODES:
         raise ContractError("threshold must be a rung and ref_mode a mode")
-    clusters = clusters or CLUSTERS
-    reached = F.coalesce(F.col("TYPEQU").isin(*kept), F.lit(False)) & (F.col(f"count_{threshold}") >= 1)
-    flags = [F.coalesce(F.bool_or(reached & F.coalesce(F.col("TYPEQU").isin(*types), F.lit(False))), F.lit(False)).alias(f"has_{name}") for name, types in clusters.items()]
-    found = matrix.groupBy("batiment_id", "mode").agg(
-        F.count_distinct(F.when(reached, F.col("TYPEQU"))).alias("diversity"), F.coalesce(F.sum(F.when(reached, F.col(f"count_{threshold}"))), F.lit(0)).cast("long").alias("total"), *flags
-    )
+    clusters, grid = clusters or CLUSTERS, tuple(modes or MODES)
     mode = F.coalesce("mode", F.lit("null"))
-    known_mode = F.when(mode.isin(*MODES), mode).otherwise(F.raise_error(F.concat(F.lit("building metrics: unknown mode "), mode)).cast("string"))
-    found = found.withColumn("mode", known_mode)
-    present = F.broadcast(found.agg(F.collect_set("mode").alias("present")))  # one row of at most len(MODES) modes
-    values = F.struct(*[c for c in found.columns if c not in ("batiment_id", "mode")])
-    by_building = found.groupBy("batiment_id").agg(F.map_from_entries(F.collect_list(F.struct("mode", values.alias("v")))).alias("m"))
-    grid = by_building.join(present).withColumn("mode", F.explode("present")).withColumn("v", F.col("m")[F.col("mode")]).withColumn("ref", F.col("m")[F.lit(ref_mode)])
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
-    known = F.array_contains("present", ref_mode)
-    loss = lambda n: F.when(known, zero(F.col(f"ref.{n}")) - zero(F.col(f"v.{n}")))
-    return grid.select(
-        "batiment_id", "mode", zero(F.col("v.diversity")).alias("diversity"), zero(F.col("v.total")).alias("total"), loss("diversity").alias("div_loss"), loss("total").alias("tot_loss"),
-        *[flag(f"v.has_{n}").alias(f"has_{n}") for n in clusters], *[flag(f"ref.has_{n}").alias(f"ref_{n}") for n in clusters if with_ref],
+    checked = F.when(mode.isin(*grid), mode).otherwise(F.raise_error(F.concat(F.lit("building metrics: unknown mode "), mode)).cast("string"))
+    typed = lambda types: F.coalesce(F.col("TYPEQU").isin(*types), F.lit(False))
+    rows = matrix.select("batiment_id", checked.alias("mode"), F.when(typed(kept) & (F.col(f"count_{threshold}") >= 1), F.col(f"count_{threshold}")).alias("n"), *[typed(types).alias(name) for name, types in clusters.items()])
+    of = lambda m, c: (F.col("mode") == m) & F.col("n").isNotNull() & c
+    wide = rows.groupBy("batiment_id").agg(*[
+        F.struct(F.lit(m).alias("mode"), F.count_if(of(m, F.lit(True))).alias("diversity"), F.coalesce(F.sum(F.when(F.col("mode") == m, F.col("n"))), F.lit(0)).cast("long").alias("total"),
+                 *[F.coalesce(F.bool_or(of(m, F.col(name))), F.lit(False)).alias(f"has_{name}") for name in clusters]).alias(f"m_{m}")
+        for m in dict.fromkeys([*grid, ref_mode])
+    ])
+    wide = wide.withColumn("v", F.array(*[f"m_{m}" for m in grid])).withColumn("ref", F.col(f"m_{ref_mode}"))
+    known = F.lit(ref_mode in grid)
+    if modes is None:
+        present = rows.agg(F.collect_set("mode").alias("present"))  # one row of at most len(MODES) modes
+        wide = wide.join(F.broadcast(present)).withColumn("v", F.filter("v", lambda x: F.array_contains("present", x["mode"])))
+        known = F.array_contains("present", ref_mode)
+    out = wide.select("batiment_id", F.explode("v").alias("v"), "ref", known.alias("known"))
+    loss = lambda n: F.when(F.col("known"), F.col(f"ref.{n}") - F.col(f"v.{n}"))
+    return out.select(
+        "batiment_id", "v.mode", "v.diversity", "v.total", loss("diversity").alias("div_loss"), loss("total").alias("tot_loss"),
+        *[F.col(f"v.has_{n}") for n in clusters], *[F.col(f"ref.has_{n}").alias(f"ref_{n}") for n in clusters if with_ref],
     )
 
 

@@ -11,7 +11,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from reachmill.functions import geo
-from reachmill.functions.contracts import ATOMIC, LEVELS, RUNGS, ContractError, gain_report, matrix_report
+from reachmill.functions.contracts import ATOMIC, LEVELS, MODES, RUNGS, ContractError, gain_report, matrix_report
 from reachmill.operators import aggregates, deltas, gtfs, matrix, monolith, routing, universe
 from reachmill.plans import publisher, reroute
 from reachmill.plans.adapters import CLUSTERS, KEPT, METRICS, as_query, frame
@@ -183,7 +183,7 @@ _BUILDING = f"""
 
 
 def _building(get, with_ref=False):
-    return matrix.building_metrics(_matrix(get), KEPT, 20, "car", CLUSTERS, with_ref)
+    return matrix.building_metrics(_matrix(get), KEPT, 20, "car", CLUSTERS, with_ref, MODES)
 
 
 query(_BUILDING + " SELECT * FROM bm", "building_metrics")(_building)
