@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.common import cut, small_batches, stretches
+from reachmill.llm.common import cut, small_batches, stretches, tidy
 from reachmill.llm.packing import minimum_bin_slack, pack
 from reachmill.llm.word_tokens import WordTokenizer
 
@@ -46,7 +46,7 @@ def token_pieces(docs: DataFrame, size: int = 4096, end_id: int = 1, tokenizer_f
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, piece long, start long, length long" + ", ids_crc32 long" * with_crc + ", ids binary" * with_ids
-    return rows.mapInArrow(_pieces(size, end_id, tokenizer_file, with_ids, with_crc), schema)
+    return rows.mapInArrow(tidy(_pieces(size, end_id, tokenizer_file, with_ids, with_crc)), schema)
 
 
 def pack_documents(docs: DataFrame, size: int = 4096, end_id: int = 1, tokenizer_file: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

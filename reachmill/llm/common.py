@@ -71,6 +71,24 @@ def stretches(texts, most: int = 8_000_000):
         yield first, len(texts)
 
 
+def tidy(run):
+    """The batches of run, whose memory goes back to the system at the end: Python workers outlive their tasks."""
+
+    def tidied(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return tidied
+
+
 def ship(spark: SparkSession, model):
     """A broadcast of model as bytes, its classes with it, so that a worker without this repository can read it."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))

@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.common import ship, small_batches, unpack
+from reachmill.llm.common import ship, small_batches, tidy, unpack
 
 # Languages by family.  A language that is not listed is a family of its own.
 FAMILIES = {
@@ -31,8 +31,8 @@ BITS = 12
 #: Texts that are learned from: so many a language, and so many in all as long as that leaves FEWEST a language.
 PER_LANGUAGE, IN_ALL, FEWEST = 400, 8000, 20
 UNDETERMINED = "und"
-#: A text's score under which keep_identified takes its language for unknown; two families at a tie give 0.5.
-LEAST = 0.4
+#: A text's score under which keep_identified takes its language for unknown: what a tie of families and one of languages give together.
+LEAST = 0.25
 
 
 def family(lang: str) -> str:
@@ -216,4 +216,4 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     model = fit(docs.where(~held_out(id_col) & F.col(id_col).isNotNull()), lang_col, text_col, id_col, per_language)
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(_keep(ship(docs.sparkSession, model), docs.columns.index(text_col), docs.columns.index(lang_col), least), docs.schema)
+    return docs.mapInArrow(tidy(_keep(ship(docs.sparkSession, model), docs.columns.index(text_col), docs.columns.index(lang_col), least)), docs.schema)

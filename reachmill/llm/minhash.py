@@ -26,13 +26,13 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.common import cut, small_batches
+from reachmill.llm.common import cut, small_batches, tidy
 
 #: Runs of at most so many documents give all their pairs at once.
 SHORT_RUN = 16
 #: Band keys in a task, about.
 PART_ROWS = 2_000_000
-#: An id in more than this many links, and in more than a thousandth of all, is joined by broadcast.
+#: The set of an id in more than this many pairs, and in more than a thousandth of all, is dealt to several tasks.
 HOT_LINKS = 1000
 
 
@@ -202,23 +202,6 @@ def _runs(short, percent):
     return run
 
 
-def _with_lowest(edges: DataFrame, total: int) -> DataFrame:
-    """edges(u, v) with m, the smallest v of u.
-
-    At most 2,000 ids are in over a thousandth of the edges (which the caller
-    has at most twice ``total`` of): theirs are broadcast, so that no task gets
-    all edges of one id.
-    """
-    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c"))
-    bar = max(HOT_LINKS, total // 1000)
-    hot = low.where(F.col("c") > bar).select("u", F.col("m").alias("h"))
-    cold = low.where(F.col("c") <= bar).select(F.col("u").alias("k"), "m")
-    out = edges.join(F.broadcast(hot), "u", "left")
-    # rows of hot ids are dealt by their other end and meet nothing
-    out = out.withColumn("k", F.when(F.col("h").isNull(), F.col("u")).otherwise(-F.abs("v") - 1)).join(cold, "k", "left")
-    return out.select("u", "v", F.coalesce("h", "m").alias("m"))
-
-
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for every id in links(a, b): the smallest id reachable.
 
@@ -227,18 +210,18 @@ def components(links: DataFrame) -> DataFrame:
     ids are pre-aggregated; each round is checkpointed.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark, total = None, edges.count()
+    mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_lowest(both, total).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u <> v").distinct()
-        large = cut(large)
-        low = large.groupBy("u").agg(F.min("v").alias("v"))
-        small = _with_lowest(large, total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.unionByName(low).distinct())
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count("*"), F.expr("sum(cast(xxhash64(u, v) as decimal(38, 0)))")).first()
         if now == mark:
             break
-        mark, total = now, now[0]
+        mark = now
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
 
 
@@ -258,17 +241,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     small_batches(spark)
     rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sig = cut(rows_in.mapInArrow(_signatures(bands, rows, width), "doc_id long, n_shingles long, set_key binary, bands array<long>"))
+    sig = cut(rows_in.mapInArrow(tidy(_signatures(bands, rows, width)), "doc_id long, n_shingles long, set_key binary, bands array<long>"))
     # equal sets: one representative each
     classes = sig.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = cut(classes)
     members = classes.select(F.explode("bands").alias("key"), F.col("rep").alias("id"), "n")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), classes.count() * bands // PART_ROWS + 1)
-    runs = cut(members.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id").mapInArrow(_runs(short, percent), "kind int, x long, y long"))
+    runs = cut(members.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id").mapInArrow(tidy(_runs(short, percent)), "kind int, x long, y long"))
     border = runs.where("kind = 1").groupBy("x").agg(F.min("y").alias("a"), F.collect_set("y").alias("ys")).where("size(ys) > 1").select("a", F.explode("ys").alias("b")).where("a <> b")
     loose = runs.where("kind = 2").select(F.col("x").alias("key"), F.col("y").alias("id"))
     pairs = cut(runs.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(border).distinct())
-    links = cut(confirm(pairs, rows_in, percent, width).unionByName(shared_ids(sig, classes)))
+    links, shared = confirm(pairs, rows_in, percent, width), shared_ids(sig, classes)
+    links = cut(links if shared is None else links.unionByName(shared))
     found = cut(components(links))
     # members of long runs and of runs at a border that are still apart
     apart = loose.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
@@ -293,10 +277,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def shared_ids(sig: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) from the representative of each class to every doc_id in it that is in another class too."""
+def shared_ids(sig: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links (a, b) from the representative of each class to every doc_id in it that is in another class too; None if there is no such doc_id."""
     rows = sig.where("set_key is not null and doc_id is not null")
     several = rows.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo <> hi").select("doc_id")
+    if not several.limit(1).count():
+        return None
     own = rows.select("doc_id", "set_key").join(several, "doc_id", "left_semi").distinct()
     return own.join(classes.select("set_key", "rep"), "set_key").select(F.least("rep", "doc_id").alias("a"), F.greatest("rep", "doc_id").alias("b")).where("a <> b").distinct()
 
@@ -308,7 +294,7 @@ def between(members: DataFrame, rows_in: DataFrame, percent: int, width: int, bl
     id; each pair of blocks is one group of bounded size, in which exact
     intersection sizes come from matrix products.  Only links leave it.
     """
-    sets = cut(rows_in.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<long>"))
+    sets = cut(rows_in.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(tidy(_sets(width)), "id long, shingles array<long>"))
     size = members.groupBy("family").agg(F.ceil(F.count("*") / block).alias("blocks"))
     dealt = members.join(size, "family").withColumn("own", F.pmod(F.xxhash64("id"), "blocks")).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     dealt = dealt.select("family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "component")
@@ -349,7 +335,7 @@ def _between(percent, columns=8192):
 def confirm(pairs: DataFrame, rows_in: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     nodes = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = cut(rows_in.join(nodes, "doc_id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<long>"))
+    sets = cut(rows_in.join(nodes, "doc_id", "left_semi").mapInArrow(tidy(_sets(width)), "id long, shingles array<long>"))
     # the centre of a large star: its set is copied once for every HOT_LINKS of its pairs, so that no task gets all of them
     bar = max(HOT_LINKS, pairs.count() // 1000)
     hot = F.broadcast(pairs.groupBy("a").agg(F.count("*").alias("c")).where(F.col("c") > bar).select("a", F.ceil(F.col("c") / HOT_LINKS).alias("copies")))

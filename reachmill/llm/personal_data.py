@@ -20,7 +20,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.common import ship, small_batches, unpack
+from reachmill.llm.common import ship, small_batches, tidy, unpack
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 32
@@ -143,9 +143,12 @@ def _sort(c: str) -> str:
 def segments(text: str, start: int, end: int):
     """Token bounds of a place and its candidate segments (first token, last token + 1, kinds, features)."""
     bounds = [(start + m.start(), start + m.end()) for m in _TOKEN.finditer(text[start:end])]
-    out = []
+    return bounds, _candidates(text, bounds)
+
+
+def _candidates(text, bounds):
     alnum = lambda i: 0 <= i < len(text) and text[i].isalnum()
-    for i, (a, a_end) in enumerate(bounds):
+    for i, (a, _) in enumerate(bounds):
         if not (text[a].isalnum() or text[a] in "+(") or alnum(a - 1):
             continue
         digits, letters, at, before = 0, False, False, ""
@@ -162,10 +165,9 @@ def segments(text: str, start: int, end: int):
             if not c.isalnum() or alnum(q):
                 continue
             if digits >= 4 and not letters and not at:
-                out.append((i, j + 1, (1, 2, 3), segment_features(text, a, q)))
+                yield i, j + 1, (1, 2, 3), segment_features(text, a, q)
             elif at and _LOOSE_EMAIL.fullmatch(text, a, q):
-                out.append((i, j + 1, (0,), segment_features(text, a, q)))
-    return bounds, out
+                yield i, j + 1, (0,), segment_features(text, a, q)
 
 
 def segment_features(text: str, a: int, b: int) -> list[str]:
@@ -253,19 +255,19 @@ class Field:
         w = self.w
         return sum([w.get((kind, f), 0.0) for f in features])
 
-    def lattice(self, text, start, end, fixed=()):
-        """(tokens, arcs by end): arcs (from, kind or None, score, features); fixed spans exclude what crosses them."""
+    def lattice(self, text, start, end, fixed=(), learn=True):
+        """(tokens, arcs by end): arcs (from, kind or None, score, features to learn from); fixed spans exclude what crosses them."""
         bounds, found = segments(text, start, end)
         arcs: list[list] = [[] for _ in range(len(bounds) + 1)]
         for i, (p, q) in enumerate(bounds):
             features = [f"out={_sort(text[p])}"]
-            arcs[i + 1].append((i, None, self.score(None, features), features))
+            arcs[i + 1].append((i, None, self.score(None, features), features if learn else None))
         for i, j, kinds, features in found:
             p, q = bounds[i][0], bounds[j - 1][1]
             if any(p < e and s < q for _, s, e in fixed):
                 continue
             for k in kinds:
-                arcs[j].append((i, k, self.score(k, features), features))
+                arcs[j].append((i, k, self.score(k, features), features if learn else None))
         return bounds, arcs
 
     @staticmethod
@@ -313,7 +315,7 @@ class Field:
 
     def best(self, text, start, end, fixed=(), sure=SURE):
         """The segments of the best path that the field is sure of."""
-        bounds, arcs = self.lattice(text, start, end, fixed)
+        bounds, arcs = self.lattice(text, start, end, fixed, learn=False)
         if all(len(into) < 2 for into in arcs[1:]):
             return []
         score, back = [0.0], [None]
@@ -436,7 +438,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     field = fit(rows, sample)
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string" + ", text string" * with_masked
-    return rows.mapInArrow(_scan(ship(spark, field), with_masked), schema)
+    return rows.mapInArrow(tidy(_scan(ship(spark, field), with_masked)), schema)
 
 
 def _mask(shared, text_at, size_at):
@@ -461,4 +463,4 @@ def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small_batches(spark)
     field = fit(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), sample)
     size_at = docs.columns.index(size_col) if size_col in docs.columns else None
-    return docs.mapInArrow(_mask(ship(spark, field), docs.columns.index(text_col), size_at), docs.schema)
+    return docs.mapInArrow(tidy(_mask(ship(spark, field), docs.columns.index(text_col), size_at)), docs.schema)

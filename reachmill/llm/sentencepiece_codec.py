@@ -21,11 +21,11 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.common import small_batches
+from reachmill.llm.common import small_batches, tidy
 
 MARK = "▁"
 #: Units in one generation of an executor process's table, and characters of the longest unit that it takes.
-TABLE_WORDS, LONGEST = 150_000, 64
+TABLE_WORDS, LONGEST = 100_000, 64
 
 
 class CharacterMap:
@@ -284,7 +284,7 @@ def encode(docs: DataFrame, model_file: str | None = None, id_col: str = "doc_id
     repeat as in docs, null ids stay null, other columns are not read; an empty
     table gives an empty table.
     """
-    return _rows(docs, id_col, text_col).mapInArrow(_encoder(model_file, False), "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string")
+    return _rows(docs, id_col, text_col).mapInArrow(tidy(_encoder(model_file, False)), "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, model_file: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -292,4 +292,4 @@ def encode_digests(docs: DataFrame, model_file: str | None = None, id_col: str =
 
     spans_sha256 is of the spans' begins and ends in turn, as little-endian unsigned 32-bit numbers.
     """
-    return _rows(docs, id_col, text_col).mapInArrow(_encoder(model_file, True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
+    return _rows(docs, id_col, text_col).mapInArrow(tidy(_encoder(model_file, True)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
