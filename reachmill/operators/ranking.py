@@ -5,28 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Values sampled to place the bounds, and stretches between bounds, at most; both are fixed whatever the size of the table.
-SAMPLE, STRETCHES = 4096, 256
+from reachmill.sources.lineage import cut
 
+#: monotonically_increasing_id holds the partition above this many bits and the row's place in it below.
+_PLACE_BITS = 33
 
-def numbered(df: DataFrame, order: str, name: str = "place", source: DataFrame | None = None) -> DataFrame:
-    """df with a column ``name``: 1, 2, ... by the column ``order``, nulls first; equal values are numbered in any order.
 
-    Bounds from a sample of ``order`` (of ``source``, if that is cheaper to
-    read) deal the rows into stretches; each is numbered by itself, after the
-    counts of those before it.  The bounds are constants of the plan, so a
-    repeated task deals its rows alike.
+def numbered(df: DataFrame, order: str, name: str = "place") -> DataFrame:
+    """df with a column ``name``: 1, 2, ... by the column ``order``, nulls first; equal values are numbered by a hash of the other columns.
+
+    The rows are dealt by ranges of (order, hash, row), so a value that a third
+    of them share is dealt to several tasks too, and sorted within each; a row's
+    number is its place in its partition after the counts of those before it.
+    Fan-out is the session's: spark.sql.shuffle.partitions, joined to partitions
+    of the advisory size by adaptive execution.  The dealt rows are written to
+    the shared folder once, so a repeated task can't number them otherwise.
     """
-    value = F.col(order)
-    picked = (source or df).where(value.isNotNull()).select(value.alias("v")).orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()
-    values = sorted({r[0] for r in picked})
-    bounds = values[:: max(1, -(-len(values) // STRETCHES))][1:]
-    inner = Window.partitionBy("_stretch").orderBy(value)
-    if not bounds:
-        return df.withColumn("_stretch", F.lit(0)).withColumn(name, F.row_number().over(inner)).drop("_stretch")
-    limits = F.array(*[F.lit(b) for b in bounds])
-    rows = df.withColumn("_stretch", F.size(F.filter(limits, lambda b: b <= value)))
-    counts = rows.groupBy("_stretch").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    skips = counts.select("_stretch", before.alias("_skip"))  # one row a stretch
-    return rows.join(F.broadcast(skips), "_stretch").withColumn(name, F.row_number().over(inner) + F.col("_skip")).drop("_stretch", "_skip")
+    tie, row, at = (f"_{name}_{x}" for x in ("tie", "row", "at"))
+    others = [F.col(f"`{c}`") for c, t in df.dtypes if c != order and "map<" not in t and "variant" not in t]
+    by = [F.col(order).asc_nulls_first(), F.col(tie), F.col(row)]
+    rows = df.withColumn(tie, F.xxhash64(*others) if others else F.lit(0)).withColumn(row, F.monotonically_increasing_id())
+    dealt = cut(rows.repartitionByRange(*by).sortWithinPartitions(*by).drop(tie, row).withColumn(at, F.monotonically_increasing_id()))
+    part = F.shiftright(at, _PLACE_BITS)
+    counts = dealt.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    skips = counts.select("_part", before.alias("_skip"))  # one row a partition
+    place = F.col(at).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + F.col("_skip") + 1
+    return dealt.withColumn("_part", part).join(F.broadcast(skips), "_part").withColumn(name, place.cast("long")).drop("_part", "_skip", at)

@@ -25,7 +25,7 @@ def coordinate_plan(points: DataFrame, prefix: str, order: str = "ord") -> tuple
     Only the distinct coordinates are numbered, not the identities.
     """
     first = points.groupBy("lon", "lat").agg(F.min(order).alias("first"))
-    planned = numbered(first, "first", "number", points.select(F.col(order).alias("first")))
+    planned = numbered(first, "first", "number")
     planned = planned.select("lon", "lat", F.format_string(f"{prefix}_%06d", "number").alias("point_id"))
     link = points.join(planned, ["lon", "lat"]).select("id", "point_id")
     return planned.select(F.col("point_id").alias("id"), "lon", "lat"), link

@@ -109,7 +109,7 @@ def listing_registry(universe: DataFrame, columns, order: str = "universe_row",
     """Every routable row with the id of its listing: equal rows (nulls equal) share the id of their first appearance."""
     routable = universe.dropna("any", subset=["LONGITUDE", "LATITUDE"])
     firsts = routable.groupBy(*columns).agg(F.min(order).alias("_first"))
-    firsts = numbered(firsts, "_first", "_number", universe.select(F.col(order).alias("_first")))
+    firsts = numbered(firsts, "_first", "_number")
     firsts = firsts.select(*columns, F.format_string(f"{prefix}_%06d", "_number").alias("id"))
     same = reduce(lambda a, b: a & b, [F.col(f"u.{c}").eqNullSafe(F.col(f"l.{c}")) for c in columns])
     return routable.alias("u").join(firsts.alias("l"), same).select("u.*", "l.id")

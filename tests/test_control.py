@@ -111,3 +111,25 @@ def test_numbered_runs_over_stretches(spark):
     words = spark.createDataFrame([(str(v),) for v in values], "v string")
     assert [r.v for r in sorted(numbered(words, "v", "n").collect(), key=lambda r: r.n)] == sorted(map(str, values))
     assert numbered(words.limit(0), "v").count() == 0
+
+
+def test_numbered_deals_ties_to_several_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from reachmill.operators.ranking import numbered
+
+    # two thirds of the rows share one value, a third are equal in all columns
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(7).alias("v"), F.when(F.col("id") % 3 != 1, F.col("id")).alias("w"))
+    with_parts = lambda: numbered(rows, "v")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = with_parts().withColumn("part", F.spark_partition_id())
+        sizes = [r[1] for r in got.groupBy("part").count().collect()]
+        places = [(r.place, r.v) for r in got.select("place", "v").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sorted(p for p, _ in places) == list(range(1, 30_001)) and [v for _, v in sorted(places)] == sorted(v for _, v in places)
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 2 * 30_000 / len(sizes)
+    again = {(r.v, r.w, r.place) for r in with_parts().where("w is not null").collect()}
+    assert again == {(r.v, r.w, r.place) for r in numbered(rows.repartition(7, "w"), "v").where("w is not null").collect()}
