@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reachmill.llm import best_fit, binary_output, chat, exact_dedup, language_id, minhash, nearest, personal_data, quality, sentencepiece_codec
+from reachmill.llm import best_fit, binary_output, chat, exact_dedup, hard_negatives, language_id, minhash, mixing, nearest, personal_data, quality, sentencepiece_codec, whitening
 from reachmill.llm.common import table
 
 
@@ -51,6 +51,30 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op11_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform(F.col("embedding").cast("array<double>"), _floored(256))
+    return hard_negatives.hard_negatives(rows.select("vec_id", label.alias("label"), whole.alias("embedding")), F.col("vec_id") % 50 == 0)
+
+
+def op12_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda c: _floored(64)(c) + 1_000_000)
+    white = whitening.whiten(rows.select("vec_id", whole.alias("embedding")), 32, shift=1e6)
+    each = white.select("vec_id", F.posexplode(F.arrays_zip("whitened", "explained")).alias("i", "c"), "n", "deviation", "identity_error")
+    return each.select("vec_id", (F.col("i") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
+def _floored(times):
+    """floor(times c) as a double; null and non-finite entries stay what they are, so that their rows are told."""
+    return lambda c: F.when(F.abs(c) < float("inf"), F.floor(times * c).cast("double")).otherwise(c)
+
+
 def queries():
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()}
 
@@ -85,5 +109,22 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+_NEGATIVES_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [CAST(floor(256 * CAST(c AS DOUBLE)) AS DOUBLE) for c in embedding] AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len([c for c in embedding if isfinite(c)])
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.x, c.x) AS BIGINT) AS score
+  FROM e a JOIN e c ON a.vec_id <> c.vec_id AND len(a.x) = len(c.x) WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT * FROM (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM s WHERE same) t WHERE n <= 5
+)
+SELECT * FROM (
+  SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+) t WHERE rank <= 3
+"""
+
+
 def oracle_sql():
-    return {"op7_chat_format": _CHAT_SQL, "op10_exact_dedup": _EXACT_SQL}
+    return {"op7_chat_format": _CHAT_SQL, "op10_exact_dedup": _EXACT_SQL, "op11_hard_negatives": _NEGATIVES_SQL}
