@@ -22,14 +22,19 @@ def _without(docs, dropped):
     return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
-def _joined(keyed, texts, how):
-    """keyed joined with texts on (doc_id, _norm), where null ids are equal."""
-    texts = texts.select(F.col("doc_id").alias("_id"), F.col("_norm").alias("_text")).distinct()
-    return keyed.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_norm") == F.col("_text")), how)
+def _private(docs, name):
+    """name, or the first of name_, name__, ... that is no column of docs, whatever its case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
-def _without_texts(keyed, dropped):
-    return _joined(keyed, dropped, "left_anti")
+def _joined(keyed, norm, texts, how):
+    """keyed, whose digests are in the column ``norm``, joined with texts(doc_id, digest), where null ids are equal."""
+    own, digest = _private(keyed, "_id"), _private(keyed, "_digest")
+    texts = texts.select(F.col("doc_id").alias(own), F.col("digest").alias(digest)).distinct()
+    return keyed.join(texts, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(norm) == F.col(digest)), how)
 
 
 def identify_language(spark, docs, sf_dir):
@@ -37,19 +42,21 @@ def identify_language(spark, docs, sf_dir):
 
     Null texts, texts without a letter (empty ones too) and texts whose score is
     under language_id.LEAST go.  Repeated rows and null ids are judged by their text.
+    Without a column lang there is nothing to learn: every text with a letter stays.
     """
     return language_id.keep_identified(docs)
 
 
 def drop_exact_copies(spark, docs, sf_dir):
-    """One row of each group of equal texts; rows are told apart by doc_id, null or not, and text."""
-    found = cut(exact_dedup.exact_duplicates(docs)).where("group_size > 1").select("doc_id", F.col("text_sha256").alias("_norm"), "kept")
-    keyed = docs.withColumn("_norm", F.sha2(exact_dedup.normalise(F.col("text")).cast("binary"), 256))
-    out = _without_texts(keyed, found.where("not kept"))
-    repeated = found.where("kept").groupBy("doc_id", "_norm").count().where("count > 1")
+    """One row of each group of equal texts; rows are told apart by doc_id, null or not, and text.  Other columns may have any names."""
+    found = cut(exact_dedup.exact_duplicates(docs)).where("group_size > 1").select("doc_id", F.col("text_sha256").alias("digest"), "kept")
+    norm = _private(docs, "_norm")
+    keyed = docs.withColumn(norm, F.sha2(exact_dedup.normalise(F.col("text")).cast("binary"), 256))
+    out = _joined(keyed, norm, found.where("not kept"), "left_anti")
+    repeated = found.where("kept").groupBy("doc_id", "digest").count().where("count > 1")
     if repeated.limit(1).count():
-        again = _joined(keyed, repeated, "left_semi").dropDuplicates(["doc_id", "_norm"])
-        out = _without_texts(out, repeated).unionByName(again)
+        again = _joined(keyed, norm, repeated, "left_semi").dropDuplicates(["doc_id", norm])
+        out = _joined(out, norm, repeated, "left_anti").unionByName(again)
     return out.select(docs.columns)
 
 
