@@ -211,9 +211,11 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of docs, all columns, whose language can be told, with that language in lang_col.
 
     Rejected are null texts, texts without a letter and texts whose score is
-    under ``least``.  If no row teaches a language, every text with a letter
-    stays as it is.  Repeated rows are judged alike.
+    under ``least``.  If no row teaches a language, or there is no lang_col, every
+    text with a letter stays as it is.  Repeated rows are judged alike.
     """
-    model = fit(docs.where(~held_out(id_col) & F.col(id_col).isNotNull()), lang_col, text_col, id_col, per_language)
+    lang_at = docs.columns.index(lang_col) if lang_col in docs.columns else None
+    taught = docs if lang_at is not None else docs.withColumn(lang_col, F.lit(None).cast("string"))
+    model = fit(taught.where(~held_out(id_col) & F.col(id_col).isNotNull()), lang_col, text_col, id_col, per_language)
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(tidy(_keep(ship(docs.sparkSession, model), docs.columns.index(text_col), docs.columns.index(lang_col), least)), docs.schema)
+    return docs.mapInArrow(tidy(_keep(ship(docs.sparkSession, model), docs.columns.index(text_col), lang_at, least)), docs.schema)

@@ -140,9 +140,11 @@ def _sets(width):
 
         for batch in batches:
             sets = [shingle_set(text.as_py() or "", width).view(np.int64) for text in batch.column(1)]
+            there = np.array([len(s) > 0 for s in sets], bool)  # an empty set is alike to nothing
+            sets = [s for s in sets if len(s)]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(there)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "shingles"])
 
     return run
 
@@ -251,7 +253,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     border = runs.where("kind = 1").groupBy("x").agg(F.min("y").alias("a"), F.collect_set("y").alias("ys")).where("size(ys) > 1").select("a", F.explode("ys").alias("b")).where("a <> b")
     loose = runs.where("kind = 2").select(F.col("x").alias("key"), F.col("y").alias("id"))
     pairs = cut(runs.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(border).distinct())
-    links, shared = confirm(pairs, rows_in, percent, width), shared_ids(sig, classes)
+    texts = rows_in
+    if sig.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        texts = rows_in.dropDuplicates(["doc_id", "text"])  # a repeated row gives its set once
+    links, shared = confirm(pairs, texts, percent, width), shared_ids(sig, classes)
     links = cut(links if shared is None else links.unionByName(shared))
     found = cut(components(links))
     # members of long runs and of runs at a border that are still apart
@@ -262,7 +267,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         stars = apart.join(apart.groupBy("key").agg(F.min("id").alias("a")), "key").select("a", F.col("id").alias("b"))
         family = components(stars).withColumnRenamed("component", "family")
         members = cut(apart.select("id", "component").distinct().join(family, "id"))
-        links = cut(links.unionByName(between(members, rows_in, percent, width)))
+        links = cut(links.unionByName(between(members, texts, percent, width)))
         found = cut(components(links))
     label = classes.join(found, classes.rep == found.id, "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     # one key may hold a third of the rows: the few keys with over a thousandth of them are broadcast

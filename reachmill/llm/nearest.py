@@ -33,8 +33,9 @@ QUERY_BLOCK = 8192
 ENOUGH = 0.6
 #: Entries besides, for each neighbour that is asked for: small blocks need more.
 FLOOR = 25
-#: Rows in a forest, about, where lengths differ.
-STRATUM = 2048
+#: Lengths in a forest differ by this factor at most, but for strata of fewer than FEWEST rows, which join their neighbour.
+SPREAD = 1.2
+FEWEST = 64
 
 
 class Forest:
@@ -105,21 +106,32 @@ class Forest:
             yield self.rows[np.repeat(seen, self.counts) if self.several else seen]
 
 
-def forests(x, trees, stratum):
-    """(forest, share of entries): one forest if lengths are alike, else one for each stretch of about ``stratum`` rows in order of length.
+def forests(x, trees, spread=SPREAD, fewest=FEWEST):
+    """(forest, share of entries): one forest for each stretch of lengths within a factor of ``spread``, the longest first.
 
-    Long vectors are nearest more often, so entries are shared by the cube of the mean length.
+    How many there are follows from the lengths alone, not from the number of
+    rows.  Long vectors are nearest more often, so entries are shared by the square of the mean length.
     """
     import numpy as np
 
     size = np.sqrt((x * x).sum(1))
-    order = np.argsort(size, kind="stable")
-    parts = np.array_split(order, max(1, len(x) // stratum)) if size.max() > 1.05 * size.min() else [order]
-    weight = np.array([(size[rows].mean() / size.max()) ** 3 for rows in parts])
-    return [(Forest(x[rows], rows, trees, seed), w) for seed, (rows, w) in enumerate(zip(parts, weight / weight.mean()), 1)]
-
-
-def _search(k, trees, enough, stratum):
+    order = np.argsort(-size, kind="stable")
+    falling = size[order]
+    level = np.floor(np.log(falling[0] / np.maximum(falling, falling[0] * 1e-9)) / np.log(spread) + 1e-9)
+    parts = []
+    for stretch in np.split(order, np.flatnonzero(np.diff(level)) + 1):
+        if parts and len(parts[-1]) < fewest:
+            parts[-1] = np.concatenate([parts[-1], stretch])
+        else:
+            parts.append(stretch)
+    if len(parts) > 1 and len(parts[-1]) < fewest:
+        parts[-2:] = [np.concatenate(parts[-2:])]
+    weight = np.array([(size[rows].mean() / falling[0]) ** 2 for rows in parts])
+    weight *= len(x) / (weight * [len(rows) for rows in parts]).sum()
+    return [(Forest(x[rows], rows, trees, seed), w) for seed, (rows, w) in enumerate(zip(parts, weight), 1)]
+
+
+def _search(k, trees, enough, spread):
     def run(_, index, queries):
         import numpy as np
         import pyarrow as pa
@@ -132,7 +144,7 @@ def _search(k, trees, enough, stratum):
             ids, own = index.column("vec_id").to_numpy(), index.column("row").to_numpy()
             qids, asked = queries.column("vec_id").to_numpy(), queries.column("row").to_numpy()
             everything = np.arange(len(x))
-            grown = forests(x, trees, stratum)
+            grown = forests(x, trees, spread)
             found_by = [f.candidates(q, w * (enough * len(f.rows) + FLOOR * k / len(grown))) for f, w in grown]
             for i, found in enumerate(zip(*found_by)):
                 rows = np.concatenate(found)
@@ -166,7 +178,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(finite & F.exists("v", lambda c: c != 0)).withColumn("dim", F.size("v"))
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", trees: int = TREES, block: int = BLOCK, query_block: int = QUERY_BLOCK, stratum: int = STRATUM, enough: float = ENOUGH) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", trees: int = TREES, block: int = BLOCK, query_block: int = QUERY_BLOCK, spread: float = SPREAD, enough: float = ENOUGH) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of largest inner product found for each query.
 
     ``is_query`` is a condition on vec_id.  A query row is no candidate of its
@@ -184,6 +196,6 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     # columns of its own, or Spark takes the two sides' columns for the same ones when it prunes them
     queries = rows.where(is_query).select(*[F.col(c).alias(f"{c}_") for c in rows.columns]).withColumnsRenamed({f"{c}_": c for c in rows.columns})
     queries = queries.withColumn("q", F.pmod(F.xxhash64("row", F.lit(3)), F.lit(query_blocks))).withColumn("b", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")))
-    found = index.groupBy("dim", "b", "q").cogroup(queries.groupBy("dim", "b", "q")).applyInArrow(_search(k, trees, enough, stratum), "asked long, query_id long, vec_id long, score double")
+    found = index.groupBy("dim", "b", "q").cogroup(queries.groupBy("dim", "b", "q")).applyInArrow(_search(k, trees, enough, spread), "asked long, query_id long, vec_id long, score double")
     best = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

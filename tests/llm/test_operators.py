@@ -115,6 +115,24 @@ def test_near_duplicates_with_shared_ids(spark):
         assert got == want
 
 
+def test_shared_ids_link_by_like_texts_only(spark):
+    random = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(5, " ".join(base)), (5, ""), (7, " ".join(base[:110] + [f"y{i}" for i in range(10)])), (7, None), (7, " \t")]  # 0.83
+    for i in range(295):
+        words = list(base) if i % 3 else [f"v{i}w{j}" for j in range(60)]
+        for at in random.integers(0, len(words), int(random.integers(0, 9))):
+            words[at] = f"z{i}x{at}"
+        rows.append((int(random.integers(100, 220)) if i % 7 else None, " ".join(words) if i % 11 else ["", None][i % 2]))
+    rows += [rows[20]] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(df).collect()
+    want = brute_components(rows)
+    assert {(r.doc_id, r.component_id) for r in got if r.doc_id is not None and r.n_shingles} == {(i, want[i]) for i, t in rows if i is not None and shingles(t)}
+    pair = {r.doc_id: r.component_id for r in minhash.near_duplicates(df.limit(5)).collect()}
+    assert pair == {5: 5, 7: 7}
+
+
 def test_components_with_hot_ids(spark, monkeypatch):
     monkeypatch.setattr(minhash, "HOT_LINKS", 3)
     random = np.random.default_rng(8)
@@ -371,14 +389,14 @@ def test_nearest_with_unlike_lengths(spark):
     longer = F.exp(0.6 * F.randn(3))
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").withColumn("by", longer)
     vectors = spark.createDataFrame(vectors.select("vec_id", F.transform("embedding", lambda c: c * F.col("by")).alias("embedding")).collect())
-    assert nearest_recall(spark, vectors, stratum=256) >= 0.9
+    assert nearest_recall(spark, vectors) >= 0.9
 
 
 def test_nearest_visits_less_than_half():
     random = np.random.default_rng(4)
     x = random.standard_normal((6000, 64))
     x /= np.linalg.norm(x, axis=1)[:, None]
-    ((forest, _),) = nearest.forests(x, nearest.TREES, nearest.STRATUM)
+    ((forest, _),) = nearest.forests(x, nearest.TREES)
     visited, hits = 0, 0
     for q, rows in zip(x[:60], forest.candidates(x[:60], nearest.ENOUGH * len(x) + nearest.FLOOR * 20)):
         visited += len(rows)
@@ -386,6 +404,23 @@ def test_nearest_visits_less_than_half():
     assert visited < 0.45 * 60 * 6000 and hits >= 0.9 * 60 * 21
 
 
+@pytest.mark.parametrize("rows", [500, 1000, 3000, 4095, 5000, 8000])
+@pytest.mark.parametrize("sigma", [0.0, 0.5, 0.8, 1.5])
+def test_recall_of_blocks_at_any_size_and_spread(rows, sigma):
+    random = np.random.default_rng(rows)
+    x = random.standard_normal((rows, 64))
+    x *= (np.exp(sigma * random.standard_normal(rows)) / np.linalg.norm(x, axis=1))[:, None]
+    grown, hits, visited = nearest.forests(x, nearest.TREES), 0, 0
+    found = zip(*[f.candidates(x[:60], w * (nearest.ENOUGH * len(f.rows) + nearest.FLOOR * 20 / len(grown))) for f, w in grown])
+    for i, parts in enumerate(found):
+        near = np.concatenate(parts)
+        visited += len(near)
+        score = x @ x[i]
+        score[i] = -np.inf
+        hits += np.isin(np.argsort(-score)[:20], near).sum()
+    assert hits >= 0.9 * 60 * 20 and visited < (0.75 if rows < 2000 else 0.5) * 60 * rows
+
+
 def test_nearest_repeated_ids(spark):
     rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 1.0]), (1, [2.0, 1.0])]
     got = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
@@ -582,6 +617,16 @@ def test_exact_copies_by_id_and_text(spark):
     assert sorted((r.doc_id or 0, r.text.lower()) for r in got) == [(0, "only null"), (0, "own"), (5, "y"), (7, "z"), (9, "x")]
 
 
+def test_stages_with_clashing_and_missing_columns(spark):
+    rows = [(1, "some words here", "n", "i", "t", "d", "g"), (2, "SOME words here", "n", "i", "t", "d", "g"), (2, "some WORDS here", "n", "i", "t", "d", "g"), (3, "12", "n", "i", "t", "d", "g"), (4, "mail a.b@c.de", "n", "i", "t", "d", "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _norm string, _id string, _text string, _Digest string, digest string")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        df = stage(spark, df, SF)
+        assert df.columns == ["doc_id", "text", "_norm", "_id", "_text", "_Digest", "digest"]
+    got = df.collect()
+    assert sorted((r.doc_id, r.text.lower()) for r in got) == [(2, "some words here"), (4, "mail <email>")] and {tuple(r[2:]) for r in got} == {("n", "i", "t", "d", "g")}
+
+
 def test_pipeline_stages(spark, docs, awkward, nothing):
     kept = docs
     for _, stage in corpus_pipeline.STAGES[:-1]:
