@@ -83,27 +83,32 @@ def haversine_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colum
 
 
 def distance_to_ring_m(lon: Column, lat: Column, ring) -> Column:
-    """Metres from a point to a polygon given as a short list of (lon, lat), closed or not; 0 inside.
+    """Metres from a point to a polygon given as a list of (lon, lat), closed or not; 0 inside.
 
-    Distances to the edges are taken in the plane that touches the point, which
-    is within 0.1 % over the few tens of kilometres of a border strip.
+    One fold over the edges, for rings of a few hundred vertices; the regions of
+    ``operators.region`` have any number.  Distances to the edges are taken in
+    the plane that touches the point, which is within 0.1 % over the few tens of
+    kilometres of a border strip.
     """
     ring = [tuple(map(float, p)) for p in ring]
     if ring[0] != ring[-1]:
         ring.append(ring[0])
+    corners = [F.lit([p[i] for p in points]).alias(f"{axis}{n}") for n, points in ((1, ring[:-1]), (2, ring[1:])) for i, axis in ((0, "x"), (1, "y"))]
     kx = F.cos(F.radians(lat)) * (math.pi / 180 * EARTH_M)
     ky = math.pi / 180 * EARTH_M
-    best, inside = None, F.lit(False)
-    for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
-        ax, ay, bx, by = (F.lit(x1) - lon) * kx, (F.lit(y1) - lat) * ky, (F.lit(x2) - lon) * kx, (F.lit(y2) - lat) * ky
+
+    def edge(so_far, e):
+        ax, ay, bx, by = (e["x1"] - lon) * kx, (e["y1"] - lat) * ky, (e["x2"] - lon) * kx, (e["y2"] - lat) * ky
         dx, dy = bx - ax, by - ay
         u = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(-(ax * dx + ay * dy), dx * dx + dy * dy), F.lit(0.0))))
         d = F.sqrt(F.pow(ax + u * dx, 2) + F.pow(ay + u * dy, 2))
-        best = d if best is None else F.least(best, d)
-        if y1 != y2:
-            crosses = (F.lit(y1) > lat) != (F.lit(y2) > lat)
-            inside = inside != (crosses & (lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1))
-    return F.when(inside, F.lit(0.0)).otherwise(best)
+        spans = (e["y1"] > lat) != (e["y2"] > lat)
+        crossed = spans & F.coalesce(lon < F.try_divide((e["x2"] - e["x1"]) * (lat - e["y1"]), e["y2"] - e["y1"]) + e["x1"], F.lit(False))
+        return F.struct(F.least(so_far["best"], d).alias("best"), (so_far["inside"] != crossed).alias("inside"))
+
+    start = F.struct(F.lit(None).cast("double").alias("best"), F.lit(False).alias("inside"))
+    found = F.aggregate(F.arrays_zip(*corners), start, edge)
+    return F.when(lon.isNotNull() & lat.isNotNull(), F.when(found["inside"], F.lit(0.0)).otherwise(found["best"]))
 
 
 def resolve_geometry(min_fiabilite: int = 0) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reachmill.functions.contracts import BORDER_WIDTH_M, ContractError, require, require_none, require_unique
-from reachmill.functions.geo import distance_to_ring_m, lambert93_to_wgs84, resolve_geometry, wkt_centroid
+from reachmill.functions.geo import lambert93_to_wgs84, resolve_geometry, wkt_centroid
 from reachmill.operators.ranking import numbered
+from reachmill.operators.region import region_distance
 
 # Usages that count as residential, quality codes of a location that are kept.
 RESIDENTIAL_USAGES = ["Résidentiel individuel", "Résidentiel collectif"]
@@ -175,9 +176,10 @@ def one_feature(layer: DataFrame, column: str, code: str) -> DataFrame:
     return found
 
 
-def region_universe(equipment: DataFrame, ring, departements, width: float = BORDER_WIDTH_M) -> DataFrame:
-    """equipment_universe with distances computed from the region's ring of (lon, lat)."""
-    return equipment_universe(equipment, distance_to_ring_m(F.col("LONGITUDE").cast("double"), F.col("LATITUDE").cast("double"), ring), departements, width)
+def region_universe(equipment: DataFrame, edges: DataFrame, departements, width: float = BORDER_WIDTH_M) -> DataFrame:
+    """equipment_universe with distance_m from the region's edges (operators.region), of any number of vertices, rings and holes."""
+    located = region_distance(equipment.withColumns({c: F.col(c).cast("double") for c in ("LONGITUDE", "LATITUDE")}), edges, width, "LONGITUDE", "LATITUDE")
+    return equipment_universe(located, F.col("distance_m"), departements, width)
 
 
 def address_universe(origins: DataFrame, links: DataFrame, address_points: DataFrame, existing_points: DataFrame, strict: bool = False) -> DataFrame:

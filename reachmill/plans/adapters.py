@@ -76,6 +76,11 @@ SQL = {
                CASE WHEN s_suppkey % 31 = 0 THEN NULL ELSE CAST(s_suppkey % 20 AS DOUBLE) / 8 END AS LONGITUDE, 48.0 + CAST(s_suppkey % 10 AS DOUBLE) / 16 AS LATITUDE,
                CAST(s_nationkey AS STRING) AS DEP, CAST(s_suppkey % 40 AS STRING) AS QUALITE_GEOLOC, CASE WHEN s_suppkey % 3 = 0 THEN 'rue' WHEN s_suppkey % 3 = 1 THEN '' ELSE NULL END AS LIBVOIE,
                CAST(s_suppkey * 997 % 50000 AS DOUBLE) AS distance_m FROM {supplier}""",
+    "region_vertices": """
+        SELECT ring, ord, cx + r * cos(2 * pi() * ord / n) AS lon, cy + r * sin(2 * pi() * ord / n) AS lat FROM (
+          SELECT ring, ord, count(*) OVER (PARTITION BY ring) AS n, CASE WHEN ring = 2 THEN 2.1 ELSE 0.9 END AS cx, CASE WHEN ring = 2 THEN 48.5 ELSE 48.3 END AS cy,
+                 CASE ring WHEN 0 THEN 0.6 WHEN 1 THEN 0.1 ELSE 0.12 END * (1 + CAST(k * 7919 % 97 AS DOUBLE) / 400) AS r
+          FROM (SELECT CAST(c_custkey AS BIGINT) AS k, CASE WHEN c_custkey % 10 = 1 THEN 1 WHEN c_custkey % 10 = 2 THEN 2 ELSE 0 END AS ring, row_number() OVER (PARTITION BY CASE WHEN c_custkey % 10 = 1 THEN 1 WHEN c_custkey % 10 = 2 THEN 2 ELSE 0 END ORDER BY c_custkey) - 1 AS ord FROM {customer}) v) w""",
     "reroute_origins": "SELECT CAST(o_orderkey AS STRING) AS origin_id, CAST(o_custkey AS STRING) AS batiment_groupe_id, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderkey % 4 = 0 END AS is_dependance_candidate, lpad(CAST(o_custkey % 25 AS STRING), 5, '0') AS code_commune_insee, CAST(o_custkey % 5 AS STRING) AS code_departement_insee FROM {orders}",
     "reroute_links": "SELECT DISTINCT CAST(l_orderkey AS STRING) AS origin_id, lpad(CAST(l_partkey % 25 AS STRING), 5, '0') || '_' || CAST(l_partkey AS STRING) AS address_id FROM {lineitem} WHERE l_linenumber < 3",
     "address_points": "SELECT lpad(CAST(p_partkey % 25 AS STRING), 5, '0') || '_' || CAST(p_partkey AS STRING) AS address_id, CAST(p_partkey % 101 AS DOUBLE) / 64 AS lon, CAST(p_partkey % 53 AS DOUBLE) / 64 AS lat FROM {part}",

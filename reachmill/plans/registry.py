@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reachmill.functions import geo
 from reachmill.functions.contracts import ATOMIC, LEVELS, MODES, RUNGS, ContractError, gain_report, matrix_report
-from reachmill.operators import aggregates, deltas, gtfs, matrix, monolith, routing, universe
+from reachmill.operators import aggregates, deltas, gtfs, matrix, monolith, region, routing, universe
 from reachmill.plans import publisher, reroute
 from reachmill.plans.adapters import CLUSTERS, KEPT, METRICS, as_query, frame
 from reachmill.plans.runner import Run, run_metadata
@@ -401,6 +401,35 @@ def zone_classify(get):
     return e.select("universe_row", universe.classify_zone(F.col("DEP"), F.col("distance_m"), ["1", "2", "3"]).alias("zone")).where("zone is not null")
 
 
+# every point against every edge: crossings to the east, and the distance in the plane that touches the point
+_METRES = "CAST(3.141592653589793 AS DOUBLE) / 180 * 6371010"
+_REGION = f"""e AS (SELECT ring, lon AS x1, lat AS y1, coalesce(lead(lon) OVER (PARTITION BY ring ORDER BY ord), first_value(lon) OVER (PARTITION BY ring ORDER BY ord)) AS x2,
+    coalesce(lead(lat) OVER (PARTITION BY ring ORDER BY ord), first_value(lat) OVER (PARTITION BY ring ORDER BY ord)) AS y2 FROM {{region_vertices}}),
+  t AS (SELECT universe_row, (y1 > LATITUDE) <> (y2 > LATITUDE) AND LONGITUDE < (x2 - x1) * (LATITUDE - y1) / (CASE WHEN y1 <> y2 THEN y2 - y1 ELSE 1 END) + x1 AS crossed,
+      (x1 - LONGITUDE) * k AS ax, (y1 - LATITUDE) * ky AS ay, (x2 - x1) * k AS dx, (y2 - y1) * ky AS dy
+    FROM (SELECT *, cos(radians(LATITUDE)) * {_METRES} AS k, {_METRES} AS ky FROM {{equipment}} WHERE LONGITUDE IS NOT NULL AND LATITUDE IS NOT NULL) q, e WHERE x1 <> x2 OR y1 <> y2),
+  near AS (SELECT universe_row, CASE WHEN count(CASE WHEN crossed THEN 1 END) % 2 = 1 THEN 0 ELSE min(sqrt((ax + u * dx) * (ax + u * dx) + (ay + u * dy) * (ay + u * dy))) END AS m
+    FROM (SELECT *, greatest(CAST(0 AS DOUBLE), least(CAST(1 AS DOUBLE), -(ax * dx + ay * dy) / (dx * dx + dy * dy))) AS u FROM t) s GROUP BY universe_row)"""
+
+
+def _region_edges(get):
+    return region.vertex_edges(get("region_vertices"))
+
+
+@query(f"WITH {_REGION} SELECT q.universe_row, round(CASE WHEN m <= 25000 THEN m END, 3) AS distance_m FROM {{equipment}} q LEFT JOIN near n ON q.universe_row = n.universe_row", "region_distance")
+def _region_distance(get):
+    points = get("equipment").select("universe_row", "LONGITUDE", "LATITUDE")
+    found = region.region_distance(points, _region_edges(get), lon="LONGITUDE", lat="LATITUDE")
+    return found.select("universe_row", F.round("distance_m", 3).alias("distance_m"))
+
+
+@query(f"""WITH {_REGION} SELECT q.universe_row, TYPEQU, CASE WHEN DEP IN ('1', '2', '3') THEN 'region' ELSE 'strip' END AS zone, round(CASE WHEN m <= 25000 THEN m END, 3) AS distance_m FROM {{equipment}} q LEFT JOIN near n ON q.universe_row = n.universe_row
+  WHERE (DEP IN ('1', '2', '3') OR m < 25000) AND (QUALITE_GEOLOC IN ('11', '12', '21', '22', '_U') OR coalesce(length(LIBVOIE) > 0, false))""")
+def region_universe(get):
+    kept = universe.region_universe(get("equipment").drop("distance_m"), _region_edges(get), ["1", "2", "3"])
+    return kept.select("universe_row", "TYPEQU", "zone", F.round("distance_m", 3).alias("distance_m"))
+
+
 def _equipment(get):
     return universe.equipment_universe(get("equipment"), F.col("distance_m"), ["1", "2", "3"])
 

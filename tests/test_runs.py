@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reachmill.functions.contracts import RUNGS, ContractError, validate_gains
-from reachmill.operators import aggregates, gtfs, matrix, monolith, routing, universe
+from reachmill.operators import aggregates, gtfs, matrix, monolith, region, routing, universe
 from reachmill.plans import publisher, requests, reroute, roots
 from reachmill.plans.runner import Run
 from reachmill.sources import io
@@ -270,8 +270,8 @@ def test_equipment_reader(spark, tmp_path):
     (tmp_path / "bpe.csv").write_text("\n".join(text))
     rows = io.read_equipment(spark, str(tmp_path / "bpe.csv"))
     assert rows.columns == io.EQUIPMENT_COLUMNS and rows.first().SIRET == "00123" and rows.where("LONGITUDE is null").count() == 1
-    ring = [(-1.4, 48.1), (-1.2, 48.1), (-1.2, 48.3), (-1.4, 48.3)]
-    assert [(r.DEP, r.zone) for r in universe.region_universe(rows, ring, ["01"]).orderBy("DEP").collect()] == [("01", "region"), ("99", "strip")]
+    edges = region.wkt_edges(spark.createDataFrame([("POLYGON((-1.4 48.1, -1.2 48.1, -1.2 48.3, -1.4 48.3, -1.4 48.1))",)], "wkt string"))
+    assert [(r.DEP, r.zone) for r in universe.region_universe(rows, edges, ["01"]).orderBy("DEP").collect()] == [("01", "region"), ("99", "strip")]
 
 
 def test_residential_universe(spark):
