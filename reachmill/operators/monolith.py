@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachmill.functions.contracts import ATOMIC, MONOLITH_KEY, RUNGS, ContractError, atomic_count_columns, gain_columns, monolith_gain_columns, nearest_columns, require, require_none
+from reachmill.sources.stored import StoredTable
 
 
 def normalise_atomic(rows: DataFrame, mode: str, strict: bool = False) -> DataFrame:
@@ -91,6 +92,16 @@ def _fold(rows, key, columns, strict):
     return out.select(*columns)
 
 
+def upsert_stored(table: StoredTable, sides: list[DataFrame], strict: bool = True) -> int:
+    """Merges families into a stored address table under the rules of merge, and returns the new version.
+
+    Only the buckets of the incoming addresses are read and written.  With
+    ``strict`` a value that differs from the stored one raises, and nothing is changed.
+    """
+    incoming = merge(sides, strict=strict)
+    return table.upsert(incoming, lambda existing, new: merge([existing, new] if existing.columns else [new], strict=strict))
+
+
 def merge_conflicts(sides: list[DataFrame], key=tuple(MONOLITH_KEY)) -> DataFrame:
     """key, column, n_values: where sides supply different values."""
     rows = sides[0]

@@ -16,6 +16,8 @@ from reachmill.operators import aggregates, deltas, gtfs, matrix, monolith, regi
 from reachmill.plans import publisher, reroute
 from reachmill.plans.adapters import CLUSTERS, KEPT, METRICS, as_query, frame
 from reachmill.plans.runner import Run, run_metadata
+from reachmill.sources.stored import StoredTable
+from reachmill.streaming import incremental
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -670,18 +672,24 @@ def zip_members(spark, sf_dir):
 _QUERIES["zip_members"] = zip_members
 
 
-def resume_runner(spark, sf_dir):
-    """A run of several chunks that stops after one and is taken up again; its matrix is that of one pass."""
-    origins, destinations, types = (frame(spark, sf_dir, n) for n in ("origins", "destinations", "dest_map"))
-    parent = (spark.sparkContext.getConf().get("spark.checkpoint.dir") or "").removeprefix("file:") or None  # the folder that driver and executors share
+def _folder(spark, prefix):
+    """A new folder that driver and executors share; it goes when the driver ends."""
+    parent = (spark.sparkContext.getConf().get("spark.checkpoint.dir") or "").removeprefix("file:") or None
     if parent and "://" in parent.removeprefix("//"):
-        raise ContractError(f"a run needs a mounted folder, not {parent}")
+        raise ContractError(f"a mounted folder is needed, not {parent}")
     if parent:
         os.makedirs(parent, exist_ok=True)
     elif not spark.sparkContext.master.startswith("local"):
         raise ContractError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    folder = tempfile.mkdtemp(prefix="run-", dir=parent)
+    folder = tempfile.mkdtemp(prefix=prefix, dir=parent)
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def resume_runner(spark, sf_dir):
+    """A run of several chunks that stops after one and is taken up again; its matrix is that of one pass."""
+    origins, destinations, types = (frame(spark, sf_dir, n) for n in ("origins", "destinations", "dest_map"))
+    folder = _folder(spark, "run-")
     size = max(1, -(-origins.select("lon", "lat").distinct().count() // 3))
     for limit in (1, None):
         run = Run(folder, origins, destinations, types, modes=["car"], chunk_size=size)
@@ -689,6 +697,26 @@ def resume_runner(spark, sf_dir):
     return run.matrix().select("batiment_id", "TYPEQU", F.lit("car").alias("mode"), "tt_nearest", *[f"count_{r}" for r in RUNGS])
 
 
-_QUERIES["resume_runner"] = resume_runner
+def stored_upsert(spark, sf_dir):
+    """Walking times are stored, then biking times are merged into the buckets of their addresses."""
+    rows = _matrix(lambda n: frame(spark, sf_dir, n)).withColumnRenamed("batiment_id", "address_id")
+    table = StoredTable(spark, _folder(spark, "stored-"), "address_id", 16)
+    for mode in ("walk", "bike"):
+        monolith.upsert_stored(table, [monolith.normalise_atomic(rows.where(f"mode = '{mode}'"), mode)])
+    return table.read()
+
+
+def incremental_matrix(spark, sf_dir):
+    """Pairs that come in three batches, so that most origins come again, and the matrix that is kept up to date."""
+    get = lambda n: frame(spark, sf_dir, n)
+    folder, pairs = _folder(spark, "stream-"), get("pairs").withColumn("travel_time", F.col("travel_time").cast("double"))
+    for n in range(3):
+        pairs.where(F.pmod(F.xxhash64("to_id", "travel_time"), F.lit(3)) == n).write.mode("append").parquet(f"{folder}/in")
+        incremental.derive_new_pairs(spark, f"{folder}/in", "from_id string, to_id string, mode string, travel_time double", get("dest_map"), f"{folder}/out", f"{folder}/checkpoint", 16)
+    return incremental.stored_matrix(spark, f"{folder}/out")
+
+
+_QUERIES |= {"resume_runner": resume_runner, "stored_upsert": stored_upsert, "incremental_matrix": incremental_matrix}
+_SQL |= {"stored_upsert": as_query(_WIDE), "incremental_matrix": as_query("SELECT * FROM {matrix}")}
 _SQL["resume_runner"] = as_query(f"SELECT p.from_id AS batiment_id, d.TYPEQU, 'car' AS mode, CAST(min(travel_time) AS DOUBLE) AS tt_nearest, {_ladder('travel_time')} FROM ({_ROUTE}) p JOIN {{dest_map}} d ON p.to_id = d.id WHERE travel_time <= 20 GROUP BY p.from_id, d.TYPEQU")
 _SQL["zip_members"] = as_query("SELECT service_id, wednesday FROM {calendar}")

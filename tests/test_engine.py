@@ -268,20 +268,6 @@ def test_runner_resumes(spark, tmp_path):
         Run(str(tmp_path / "r"), o, d, types, modes=["walk"], chunk_size=3)
 
 
-def test_incremental(spark, tmp_path):
-    from reachmill.streaming.incremental import derive_new_pairs
-
-    types = spark.createDataFrame([("d", "A")], "id string, TYPEQU string")
-    schema = "from_id string, to_id string, mode string, travel_time double"
-    for n in (1, 2, 3):
-        rows = [(f"o{n}", "d", "walk", float(n)), ("again", "d", "walk", 9.0 - n), ("again", f"e{n}", "walk", 7.0)]
-        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(tmp_path / "in"))
-        assert derive_new_pairs(spark, str(tmp_path / "in"), schema, types.unionByName(spark.createDataFrame([(f"e{i}", "A") for i in (1, 2, 3)], types.schema)), str(tmp_path / "out"), str(tmp_path / "cp")) == 1
-    assert derive_new_pairs(spark, str(tmp_path / "in"), schema, types, str(tmp_path / "out"), str(tmp_path / "cp")) == 0
-    got = {r.batiment_id: (r.tt_nearest, r.count_5, r.count_20) for r in spark.read.parquet(str(tmp_path / "out" / "matrix")).collect()}
-    assert got == {"o1": (1.0, 1, 1), "o2": (2.0, 1, 1), "o3": (3.0, 1, 1), "again": (6.0, 0, 4)}
-
-
 def test_universe_examples(spark):
     g = spark.createDataFrame([(10.0, 20.0, 30.0, 0, 0, 20), (None, 21.0, 31.0, 0, 0, 20), (None, None, None, 0, 0, None), (40.0, 42.0, 44.0, 1, 1, 20), (None, None, None, 0, 1, None)], "x double, gx double, ax double, fictive_cstr int, fictive_groupe int, fiabilite int")
     g = g.withColumn("y", F.col("x")).withColumn("gy", F.col("gx")).withColumn("ay", F.col("ax"))
