@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 MODES = ("walk", "transit", "bike", "car")
@@ -103,8 +104,8 @@ def off_ladder(columns) -> list[str]:
     return [c for c in columns if re.match(r"count_\d+", c) and c not in allowed]
 
 
-def matrix_report(matrix: DataFrame) -> DataFrame:
-    """violation, n: the number of rows against each rule of the matrix contract, in one pass (duplicates in a second)."""
+def matrix_rules() -> dict:
+    """name: a condition that holds for rows against the rule, for every rule of a matrix row."""
     whole = lambda c: F.col(c).isNull() | (F.col(c) < 0) | (F.col(c) != F.floor(F.col(c)))
     rules = {
         "empty_id": F.coalesce(F.col("batiment_id"), F.lit("")).eqNullSafe("") | F.coalesce(F.col("TYPEQU"), F.lit("")).eqNullSafe(""),
@@ -120,37 +121,73 @@ def matrix_report(matrix: DataFrame) -> DataFrame:
         rules["nearest"] = rules["nearest"] | F.coalesce((F.col(c) >= 1) != (F.col("tt_nearest") <= r), F.lit(False))
     for a, b in zip(RUNGS, RUNGS[1:]):
         rules["monotone"] = rules["monotone"] | F.coalesce(F.col(f"count_{a}") > F.col(f"count_{b}"), F.lit(False))
-    one = matrix.agg(*[F.count_if(v).alias(k) for k, v in rules.items()])
-    long = one.unpivot([], list(rules), "violation", "n")
-    twice = duplicates(matrix, MATRIX_KEY).agg(F.count("*").alias("n")).select(F.lit("duplicate_key").alias("violation"), "n")
-    return long.unionByName(twice)
+    return rules
+
+
+def _report(rows: DataFrame, rules: dict, key) -> DataFrame:
+    """violation, n: row rules and the uniqueness of the key, in one pass over the rows.
+
+    Rows are counted by key, which tells keys that occur twice, and the rules
+    are summed along with that.
+    """
+    by = rows.groupBy(*key).agg(F.count("*").alias("_n"), *[F.count_if(v).alias(f"_{k}") for k, v in rules.items()])
+    one = by.agg(*[F.coalesce(F.sum(f"_{k}"), F.lit(0)).cast("long").alias(k) for k in rules], F.count_if(F.col("_n") > 1).alias("duplicate_key"))
+    return one.unpivot([], [*rules, "duplicate_key"], "violation", "n")
+
+
+def observed(rows: DataFrame, rules: dict, name: str) -> tuple[DataFrame, Observation]:
+    """rows, whose number and violations of rules are counted by the job that writes them; see broken."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    return rows.observe(seen, F.count("*").alias("n_rows"), *[F.count_if(v).alias(k) for k, v in rules.items()]), seen
+
+
+def broken(seen: Observation) -> list[str]:
+    """Every rule that the written rows broke, with the number of rows."""
+    return [f"{k} ({n} rows)" for k, n in seen.get.items() if k != "n_rows" and n]
+
+
+def matrix_report(matrix: DataFrame) -> DataFrame:
+    """violation, n: the number of rows against each rule of the matrix contract, and of keys that occur twice."""
+    return _report(matrix, matrix_rules(), MATRIX_KEY)
+
+
+def require_matrix_columns(matrix: DataFrame) -> None:
+    """Raises unless all columns of a matrix are there, and none off the ladder."""
+    require(matrix, [*MATRIX_KEY, "tt_nearest", *ladder()], "matrix")
+    extra = off_ladder(matrix.columns)
+    if extra:
+        raise ContractError("matrix: " + "; ".join(f"{c} is off the ladder" for c in extra))
 
 
 def validate_matrix(matrix: DataFrame) -> DataFrame:
     """The matrix itself, or a ContractError that names every rule it breaks.  A matrix without rows is valid."""
     require(matrix, [*MATRIX_KEY, "tt_nearest", *ladder()], "matrix")
     extra = off_ladder(matrix.columns)
-    broken = [f"{r[0]} ({r[1]} rows)" for r in matrix_report(matrix).where("n > 0").collect()]
-    if extra or broken:
-        raise ContractError("matrix: " + "; ".join([*broken, *(f"{c} is off the ladder" for c in extra)]))
+    found = [f"{r[0]} ({r[1]} rows)" for r in matrix_report(matrix).where("n > 0").collect()]
+    if extra or found:
+        raise ContractError("matrix: " + "; ".join([*found, *(f"{c} is off the ladder" for c in extra)]))
     return matrix
 
 
-def gain_report(gains: DataFrame) -> DataFrame:
+def gain_rules() -> dict:
+    """name: a condition that holds for rows against the rule, for every rule of a gain row."""
     times, counts = ["time_gain_p1", "time_gain_p50"], [c for c in gain_columns() if c.startswith("count_")]
     bad_time, part = F.lit(False), F.lit(False)
     for c in times:
         bad_time = bad_time | (F.col(c).isNull() == F.coalesce(F.col("walk_available"), F.lit(False)))
     for c in counts:
         part = part | F.coalesce(F.col(c) != F.floor(c), F.lit(True))
-    rules = {"mode": ~F.coalesce(F.col("mode") == "transit_gain", F.lit(False)), "time_gain": bad_time, "whole": part}
-    one = gains.agg(*[F.count_if(v).alias(k) for k, v in rules.items()]).unpivot([], list(rules), "violation", "n")
-    return one.unionByName(duplicates(gains, ["batiment_id", "TYPEQU"]).agg(F.count("*").alias("n")).select(F.lit("duplicate_key").alias("violation"), "n"))
+    return {"mode": ~F.coalesce(F.col("mode") == "transit_gain", F.lit(False)), "time_gain": bad_time, "whole": part}
+
+
+def gain_report(gains: DataFrame) -> DataFrame:
+    """violation, n: the number of rows against each rule of the gains' contract, and of keys that occur twice."""
+    return _report(gains, gain_rules(), ["batiment_id", "TYPEQU"])
 
 
 def validate_gains(gains: DataFrame) -> DataFrame:
     require(gains, ["batiment_id", "TYPEQU", "mode", *gain_columns()], "transit gains")
-    broken = [f"{r[0]} ({r[1]} rows)" for r in gain_report(gains).where("n > 0").collect()]
-    if broken:
-        raise ContractError("transit gains: " + "; ".join(broken))
+    found = [f"{r[0]} ({r[1]} rows)" for r in gain_report(gains).where("n > 0").collect()]
+    if found:
+        raise ContractError("transit gains: " + "; ".join(found))
     return gains

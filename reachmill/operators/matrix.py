@@ -45,20 +45,21 @@ def pair_views(pairs: DataFrame, keys=("from_id", "to_id")) -> tuple[DataFrame,
     return pairs, collapse_pairs(pairs, keys)
 
 
-def derive_matrix(pairs: DataFrame, dest_map: DataFrame, mode: str | None = None, strict: bool = False) -> DataFrame:
+def derive_matrix(pairs: DataFrame, dest_map: DataFrame, mode: str | None = None, strict: bool = False, carry=()) -> DataFrame:
     """Nearest time and counts per rung of each (origin, type, mode); unmapped destinations are dropped.
 
     ``pairs`` holds one time per pair and, without ``mode``, a mode column.  The
     type map is joined by id; an id that it holds twice raises when strict.
+    ``carry`` names columns of pairs that have one value for an origin and are kept.
     """
     if strict:
         require_unique(dest_map, ["id"], "destination types")
     rows = pairs if mode is None else pairs.withColumn("mode", F.lit(mode))
     typed = rows.join(dest_map.select(F.col("id").alias("to_id"), "TYPEQU"), "to_id")
-    return typed.groupBy(F.col("from_id").alias("batiment_id"), "TYPEQU", "mode").agg(F.min("travel_time").alias("tt_nearest"), *_counts("travel_time"))
+    return typed.groupBy(F.col("from_id").alias("batiment_id"), "TYPEQU", "mode", *carry).agg(F.min("travel_time").alias("tt_nearest"), *_counts("travel_time"))
 
 
-def derive_transit_matrix(pairs: DataFrame, dest_map: DataFrame, strict: bool = False) -> DataFrame:
+def derive_transit_matrix(pairs: DataFrame, dest_map: DataFrame, strict: bool = False, carry=()) -> DataFrame:
     """The transit matrix: rows with either percentile null are dropped, both minima are taken on their own, pairs are not collapsed first."""
     p1, p50 = percentile_column(pairs.columns, 1), percentile_column(pairs.columns, 50)
     rows = pairs.withColumnsRenamed({p1: "travel_time_p1", p50: "travel_time_p50"}).dropna("any", subset=["travel_time_p1", "travel_time_p50"])
@@ -66,7 +67,7 @@ def derive_transit_matrix(pairs: DataFrame, dest_map: DataFrame, strict: bool =
         require_unique(dest_map, ["id"], "destination types")
         require_none(rows.where("travel_time_p1 > travel_time_p50"), "percentile 1 above percentile 50")
     typed = rows.join(dest_map.select(F.col("id").alias("to_id"), "TYPEQU"), "to_id")
-    out = typed.groupBy(F.col("from_id").alias("batiment_id"), "TYPEQU").agg(
+    out = typed.groupBy(F.col("from_id").alias("batiment_id"), "TYPEQU", *carry).agg(
         F.min("travel_time_p1").alias("tt_nearest"), F.min("travel_time_p50").alias("travel_time_p50"), *_counts("travel_time_p1"), *_counts("travel_time_p50", "_p50")
     )
     return out.withColumn("mode", F.lit("transit")).withColumn("travel_time_p1", F.col("tt_nearest"))

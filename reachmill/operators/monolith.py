@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachmill.functions.contracts import ATOMIC, MONOLITH_KEY, RUNGS, ContractError, atomic_count_columns, gain_columns, monolith_gain_columns, nearest_columns, require, require_none
+from reachmill.operators.joins import fan_out
 from reachmill.sources.stored import StoredTable
 
 
@@ -117,7 +118,7 @@ def project_base(matrix: DataFrame, origin_link: DataFrame, addresses: DataFrame
     at_point = matrix.join(origin_link.select(F.col("id").alias("batiment_id"), "point_id"), "batiment_id").drop("batiment_id")
     at_point = collapse(at_point, ["point_id", "TYPEQU", *(["mode"] if "mode" in matrix.columns else [])], strict)
     existing = addresses.where("routing_source = 'existing'").select("address_id", F.col("routing_point_id").alias("point_id"))
-    return at_point.join(existing, "point_id").drop("point_id")
+    return fan_out(at_point, existing, "point_id").drop("point_id")
 
 
 def project_reroute(rows: DataFrame, addresses: DataFrame, strict: bool = False) -> DataFrame:
@@ -183,7 +184,7 @@ def build_wide(matrix: DataFrame, transit: DataFrame, origin_link: DataFrame, ad
     rows = with_gains(widen(matrix), transit).join(origin_link.select(F.col("id").alias("batiment_id"), "point_id"), "batiment_id").drop("batiment_id")
     at_point = merge([rows], ["point_id", "TYPEQU"], strict)
     existing = addresses.where("routing_source = 'existing'").select("address_id", F.col("routing_point_id").alias("point_id"))
-    out = at_point.join(existing, "point_id").drop("point_id")
+    out = fan_out(at_point, existing, "point_id").drop("point_id")
     if rerouted is not None:
         out = out.unionByName(project_reroute(rerouted, addresses, strict), allowMissingColumns=True)
     return finish(out, addresses, strict)

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachmill.functions.contracts import CAP, MODES, ContractError, assert_within_cap, require_none
+from reachmill.operators.joins import fan_out
 from reachmill.operators.ranking import numbered
+from reachmill.sources.lineage import cut
 
 
 class Router(Protocol):
@@ -32,14 +34,14 @@ def coordinate_plan(points: DataFrame, prefix: str, order: str = "ord") -> tuple
 
 
 def expand_pairs(pairs: DataFrame, origin_link: DataFrame, destination_link: DataFrame, strict: bool = False) -> DataFrame:
-    """Pairs of coordinates to pairs of identities; ids unknown to a link raise when strict."""
+    """Pairs of coordinates to pairs of identities, however many share a coordinate; ids unknown to a link raise when strict."""
     if strict:
         require_none(pairs.join(origin_link.select(F.col("point_id").alias("from_id")), "from_id", "left_anti").select("from_id"), "unknown origin point")
         require_none(pairs.join(destination_link.select(F.col("point_id").alias("to_id")), "to_id", "left_anti").select("to_id"), "unknown destination point")
     o = origin_link.select(F.col("point_id").alias("from_id"), F.col("id").alias("origin"))
     d = destination_link.select(F.col("point_id").alias("to_id"), F.col("id").alias("destination"))
     rest = [c for c in pairs.columns if c not in ("from_id", "to_id")]
-    return pairs.join(o, "from_id").join(d, "to_id").select(F.col("origin").alias("from_id"), F.col("destination").alias("to_id"), *rest)
+    return fan_out(fan_out(pairs, o, "from_id"), d, "to_id").select(F.col("origin").alias("from_id"), F.col("destination").alias("to_id"), *rest)
 
 
 def stub_route(origins: DataFrame, destinations: DataFrame, cap: float = CAP, base_minutes: float = 2, km_per_degree=(80.0, 111.0), speed_kmh: float = 30.0) -> DataFrame:
@@ -133,15 +135,29 @@ def plan_key(tables: dict[str, DataFrame]) -> str:
 
 
 def universe_key(points: DataFrame) -> DataFrame:
-    """content_key: an order-free digest of (id, lon, lat): the sha-256 of the sorted row digests of each of 4,096 groups, sorted again.
-
-    Two levels keep what one task collects to a share of the table.
-    """
+    """content_key: a digest of the rows (id, lon, lat) that doesn't depend on their order."""
     line = F.sha2(F.concat_ws("|", "id", F.col("lon").cast("string"), F.col("lat").cast("string")), 256)
     return _set_digest(points.select(line.alias("h")))
 
 
+#: Children of a node of a digest tree, about.
+CHILDREN = 256
+
+
 def _set_digest(lines: DataFrame) -> DataFrame:
-    rows = lines.withColumn("g", F.substring("h", 1, 3))
-    some = rows.groupBy("g").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ","), 256).alias("d"))
-    return some.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "d"))), lambda x: x["d"]), ","), 256).alias("content_key"))
+    """content_key of the digests h, equal ones counted: a tree of SHA-256 whose depth follows the number of rows.
+
+    A leaf hashes the sorted lines h:count whose digests share a prefix, which is as
+    long as it takes to leave about CHILDREN of them.  Above, a node hashes its
+    children as prefix:digest, two hexadecimal digits less at every level.
+    """
+    counted = cut(lines.groupBy("h").agg(F.count("*").alias("n")))
+    total, length = counted.count(), 0
+    while total > CHILDREN * 16**length:
+        length += 1
+    joined = lambda: F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat("h", F.lit(":"), F.col("n").cast("string")))), ","), 256).alias("n")
+    nodes = counted.groupBy(F.substring("h", 1, length).alias("h")).agg(joined())
+    while length > 2:
+        length -= 2
+        nodes = nodes.groupBy(F.substring("h", 1, length).alias("h")).agg(joined())
+    return nodes.agg(joined().alias("content_key"))

@@ -106,6 +106,10 @@ def validate_matrix_broken(get):
 
 # routing
 
+# up to 65,536 rows: leaves by a prefix of the digest, and the root
+_TREE = """c AS (SELECT h, count(*) AS n FROM r GROUP BY h), p AS (SELECT CASE WHEN count(*) <= 256 THEN 0 WHEN count(*) <= 4096 THEN 1 ELSE 2 END AS p FROM c),
+  g AS (SELECT substr(h, 1, p) AS h, sha256(string_agg(h || ':' || CAST(n AS STRING), ',' ORDER BY h)) AS n FROM c, p GROUP BY 1) SELECT sha256(string_agg(h || ':' || n, ',' ORDER BY h)) AS content_key FROM g"""
+
 
 @query("SELECT printf('coord_o_%06d', row_number() OVER (ORDER BY first)) AS id, lon, lat FROM (SELECT lon, lat, min(ord) AS first FROM {origins} GROUP BY lon, lat) x")
 def coord_plan_points(get):
@@ -160,8 +164,8 @@ def plan_census(get):
     return routing.census(get("origins"), routing.coordinate_plan(get("origins"), "c")[0], 100)
 
 
-@query("""WITH r AS (SELECT sha256(id || '|' || CAST(CAST(ord AS BIGINT) AS STRING) || '|' || CAST(CAST(ord AS BIGINT) % 7 AS STRING)) AS h FROM {origins}),
-  g AS (SELECT substr(h, 1, 3) AS g, sha256(string_agg(h, ',' ORDER BY h)) AS d FROM r GROUP BY 1) SELECT sha256(string_agg(d, ',' ORDER BY g)) AS content_key FROM g""")
+@query(f"""WITH r AS (SELECT sha256(id || '|' || CAST(CAST(ord AS BIGINT) AS STRING) || '|' || CAST(CAST(ord AS BIGINT) % 7 AS STRING)) AS h FROM {{origins}}),
+  {_TREE}""")
 def content_key(get):
     return routing.universe_key(get("origins").select("id", F.col("ord").alias("lon"), (F.col("ord") % 7).alias("lat")))
 
@@ -562,8 +566,8 @@ def feed_selection(get):
 # publishing and reroutes
 
 
-@query("""WITH r AS (SELECT sha256('lat=' || '''' || CAST(CAST(ord AS BIGINT) % 7 AS STRING) || '|lon=' || '''' || CAST(CAST(ord AS BIGINT) AS STRING) || '|name=' || CASE WHEN CAST(ord AS BIGINT) % 5 = 0 THEN '-' ELSE '''' || id END) AS h FROM {origins}),
-  g AS (SELECT substr(h, 1, 3) AS g, sha256(string_agg(h, ',' ORDER BY h)) AS d FROM r GROUP BY 1) SELECT sha256(string_agg(d, ',' ORDER BY g)) AS content_key FROM g""")
+@query(f"""WITH r AS (SELECT sha256('lat=' || '''' || CAST(CAST(ord AS BIGINT) % 7 AS STRING) || '|lon=' || '''' || CAST(CAST(ord AS BIGINT) AS STRING) || '|name=' || CASE WHEN CAST(ord AS BIGINT) % 5 = 0 THEN '-' ELSE '''' || id END) AS h FROM {{origins}}),
+  {_TREE}""")
 def table_fingerprint(get):
     o = get("origins").select(F.when(F.col("ord") % 5 != 0, F.col("id")).alias("name"), F.col("ord").alias("lon"), (F.col("ord") % 7).alias("lat"))
     return routing.table_fingerprint(o)

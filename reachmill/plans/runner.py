@@ -1,9 +1,11 @@
 """Resumable runs: chunks of routed points, committed one by one under a manifest.
 
 The manifest is a document on the driver; a chunk's rows are a partition of a
-Parquet data set.  A run that is started again with another identity is
-refused; chunks whose files are gone or differ are done again; files that a
-broken run left complete are taken over.
+Parquet data set.  All chunks that a mode owes are written by one job, which
+also counts what breaks the contract; if it fails, they are tried one by one.
+A run that is started again with another identity is refused; chunks whose
+files are gone or differ are done again; files that a broken run left complete
+are taken over.
 """
 
 from __future__ import annotations
@@ -11,11 +13,13 @@ from __future__ import annotations
 import datetime
 import hashlib
 import os
+import shutil
+import urllib.parse
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.functions.contracts import MATRIX_KEY, ContractError, ladder, validate_gains, validate_matrix
+from reachmill.functions.contracts import MATRIX_KEY, ContractError, broken, gain_rules, ladder, matrix_rules, observed, require_matrix_columns, validate_matrix
 from reachmill.operators import matrix, routing
 from reachmill.plans.identity import digest, first_mismatch
 from reachmill.sources import io
@@ -29,12 +33,16 @@ def _now() -> str:
     return datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def folder_sha(path: str) -> str | None:
-    """A digest of the data files below a folder, by name; None without any."""
+def file_digests(spark, path: str) -> dict[str, str]:
+    """folder: a digest of its data files by name and content, for every folder below path that has any; files are hashed where they are read, unreadable ones left out."""
     if not os.path.isdir(path):
-        return None
-    files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
-    return hashlib.sha256("".join(f"{f}:{io.sha256_file(os.path.join(path, f))};" for f in files).encode()).hexdigest() if files else None
+        return {}
+    files = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    found: dict[str, list[str]] = {}
+    for r in files.select("path", F.sha2("content", 256).alias("h")).collect():  # a line a file
+        folder, name = os.path.split(urllib.parse.unquote(urllib.parse.urlparse(r.path).path))
+        found.setdefault(folder, []).append(f"{name}:{r.h};")
+    return {folder: hashlib.sha256("".join(sorted(lines)).encode()).hexdigest() for folder, lines in found.items()}
 
 
 class Run:
@@ -78,58 +86,95 @@ class Run:
 
     def sweep(self) -> None:
         """Back to pending: complete chunks whose files differ; to complete: valid files of others."""
+        digests = file_digests(self.spark, os.path.join(self.folder, "chunks"))
         for e in self.manifest["entries"]:
-            sha = folder_sha(self.chunk_path(e["mode"], e["chunk_id"]))
+            sha = digests.get(os.path.abspath(self.chunk_path(e["mode"], e["chunk_id"])))
             if e["status"] == COMPLETE and sha != e["sha256"]:
                 e.update(status=PENDING, error="files differ from the manifest")
             elif e["status"] != COMPLETE and sha:
                 try:
-                    self._accept(e)
-                except ContractError as broken:
-                    e.update(status=PENDING, error=str(broken))
+                    self._take_over(e, sha)
+                except ContractError as refused:
+                    e.update(status=PENDING, error=str(refused))
             elif e["status"] == RUNNING:
                 e.update(status=PENDING)
         self.save()
 
-    def owed(self) -> list[dict]:
-        return [e for e in self.manifest["entries"] if e["status"] != COMPLETE]
-
-    def _rows(self, mode: str, chunk_id: int) -> DataFrame:
-        read = lambda n: self.spark.read.parquet(self._plan(n))
-        points = read("points").where(F.col("chunk_id") == chunk_id).drop("chunk_id")
-        routed = self.router(points, read("dest_points"), cap=self.cap, mode=mode, departure=self.departure)
-        pairs = routing.expand_pairs(routed, read("link"), read("dest_link"))
-        if mode == "transit":
-            return matrix.derive_transit_matrix(pairs, self.dest_map)
-        return matrix.derive_matrix(matrix.collapse_pairs(pairs), self.dest_map, mode)
-
-    def _accept(self, entry: dict) -> None:
+    def _take_over(self, entry: dict, sha: str) -> None:
         path = self.chunk_path(entry["mode"], entry["chunk_id"])
         try:
             rows = self.spark.read.parquet(path).withColumn("mode", F.lit(entry["mode"]))
             validate_matrix(rows)
-            entry.update(status=COMPLETE, sha256=folder_sha(path), n_rows=rows.count(), validated_at=_now(), error=None)
+            entry.update(status=COMPLETE, sha256=sha, n_rows=rows.count(), validated_at=_now(), error=None)
         except ContractError:
             raise
-        except Exception as broken:
-            raise ContractError(f"unreadable chunk: {broken}") from broken
+        except Exception as unreadable:
+            raise ContractError(f"unreadable chunk: {unreadable}") from unreadable
+
+    def owed(self) -> list[dict]:
+        return [e for e in self.manifest["entries"] if e["status"] != COMPLETE]
+
+    def _rows(self, mode: str, chunks: list[int]) -> DataFrame:
+        """The rows of some chunks of a mode, with chunk_id."""
+        read = lambda n: self.spark.read.parquet(self._plan(n))
+        points = read("points").where(F.col("chunk_id").isin(chunks))
+        routed = self.router(points.drop("chunk_id"), read("dest_points"), cap=self.cap, mode=mode, departure=self.departure)
+        routed = routed.join(points.select(F.col("id").alias("from_id"), "chunk_id"), "from_id")
+        pairs = routing.expand_pairs(routed, read("link"), read("dest_link"))
+        if mode == "transit":
+            return matrix.derive_transit_matrix(pairs, self.dest_map, carry=["chunk_id"])
+        return matrix.derive_matrix(matrix.collapse_pairs(pairs, ["from_id", "to_id", "chunk_id"]), self.dest_map, mode, carry=["chunk_id"])
+
+    def _write(self, mode: str, entries: list[dict]) -> None:
+        """Writes the chunks of entries by one job, which counts the rows against each rule, and marks them complete.
+
+        Keys can't occur twice, since the rows come from an aggregation by them.
+        """
+        chunks = [e["chunk_id"] for e in entries]
+        for c in chunks:
+            shutil.rmtree(self.chunk_path(mode, c), ignore_errors=True)
+        rows = self._rows(mode, chunks)
+        require_matrix_columns(rows)
+        rows, seen = observed(rows, matrix_rules(), f"chunks-{mode}")
+        folder = os.path.join(self.folder, "chunks")
+        io.write_chunks(rows, folder)
+        found = broken(seen)
+        if found:
+            raise ContractError("matrix: " + "; ".join(found))
+        digests = file_digests(self.spark, os.path.join(folder, f"mode={mode}"))
+        paths = {c: os.path.abspath(self.chunk_path(mode, c)) for c in chunks}
+        there = [p for p in paths.values() if p in digests]
+        counts = {}
+        if there:
+            counts = {r[0]: r[1] for r in self.spark.read.option("basePath", folder).parquet(*there).groupBy("chunk_id").count().collect()}
+        for e in entries:  # a chunk from which nothing is reached has no files
+            e.update(status=COMPLETE, sha256=digests.get(paths[e["chunk_id"]]), n_rows=counts.get(e["chunk_id"], 0), validated_at=_now(), error=None)
 
     def execute(self, limit: int | None = None) -> list[dict]:
-        """Does the owed chunks, at most ``limit`` of them; a failing chunk is recorded and the others go on."""
+        """Does the owed chunks, at most ``limit`` of them, by one job a mode; a failing chunk is recorded and the others go on."""
         self.sweep()
-        for e in self.owed()[:limit]:
-            e.update(status=RUNNING, attempts=e["attempts"] + 1)
+        owed = self.owed()[:limit]
+        for mode in dict.fromkeys(e["mode"] for e in owed):
+            own = [e for e in owed if e["mode"] == mode]
+            for e in own:
+                e.update(status=RUNNING, attempts=e["attempts"] + 1)
             self.save()
             try:
-                io.write_chunks(self._rows(e["mode"], e["chunk_id"]), os.path.join(self.folder, "chunks"), e["mode"], e["chunk_id"])
-                self._accept(e)
+                self._write(mode, own)
             except Exception as failed:
-                e.update(status=FAILED, error=str(failed)[:500])
+                for e in own:  # which of them is it?
+                    try:
+                        if len(own) == 1:
+                            raise failed
+                        self._write(mode, [e])
+                    except Exception as alone:
+                        e.update(status=FAILED, error=str(alone)[:500])
+                        shutil.rmtree(self.chunk_path(mode, e["chunk_id"]), ignore_errors=True)
             self.save()
         return self.manifest["entries"]
 
     def _chunks(self, modes) -> DataFrame:
-        paths = [self.chunk_path(e["mode"], e["chunk_id"]) for e in self.manifest["entries"] if e["status"] == COMPLETE and e["mode"] in modes]
+        paths = [self.chunk_path(e["mode"], e["chunk_id"]) for e in self.manifest["entries"] if e["status"] == COMPLETE and e["mode"] in modes and e["n_rows"]]
         if not paths:
             raise ContractError(f"no complete chunk of {', '.join(modes)}")
         return self.spark.read.option("basePath", os.path.join(self.folder, "chunks")).parquet(*paths)
@@ -146,21 +191,31 @@ class Run:
         return self._chunks(["transit"])
 
     def gains(self) -> DataFrame:
-        """The gains of transit over the walk of all complete chunks, kept by chunk; chunks that are there and valid are not done again."""
-        path = os.path.join(self.folder, "gains")
-        transit, done = self.transit(), []
-        if os.path.isdir(path):
-            kept = self.spark.read.parquet(path)
-            try:
-                validate_gains(kept)
-                done = [r[0] for r in kept.select("chunk_id").distinct().collect()]
-            except ContractError:
-                done = []
-        owed = transit.where(~F.col("chunk_id").isin(done)) if done else transit
-        if owed.limit(1).count():
-            walk = self._chunks(["walk"]).where(~F.col("chunk_id").isin(done)) if done else self._chunks(["walk"])
-            made = matrix.transit_gains(owed, walk).join(owed.select("batiment_id", "TYPEQU", "chunk_id"), ["batiment_id", "TYPEQU"])
+        """The gains of transit over the walk of all complete chunks, kept by chunk.
+
+        A chunk's gains are made anew when its transit or its walk was, or when
+        their own files are not those that the manifest names.
+        """
+        path, kept = os.path.join(self.folder, "gains"), self.manifest.setdefault("gains", {})
+        digests = file_digests(self.spark, path)
+        at = lambda c: digests.get(os.path.abspath(os.path.join(path, f"chunk_id={c}")))
+        by = {(e["mode"], e["chunk_id"]): e["sha256"] for e in self.manifest["entries"] if e["status"] == COMPLETE}
+        wanted = {str(c): f"{sha} {by.get(('walk', c))}" for (mode, c), sha in by.items() if mode == "transit" and sha}
+        owed = [int(c) for c, made_of in wanted.items() if kept.get(c, {}).get("of") != made_of or kept[c]["sha256"] != at(c)]
+        for c in {n.removeprefix("chunk_id=") for n in (os.listdir(path) if os.path.isdir(path) else []) if n.startswith("chunk_id=")} - {c for c in wanted if int(c) not in owed}:
+            shutil.rmtree(os.path.join(path, f"chunk_id={c}"))
+            kept.pop(c, None)
+        if owed:
+            transit = self.transit().where(F.col("chunk_id").isin(owed))
+            made = matrix.transit_gains(transit, self._chunks(["walk"]).where(F.col("chunk_id").isin(owed)))
+            made, seen = observed(made.join(transit.select("batiment_id", "TYPEQU", "chunk_id"), ["batiment_id", "TYPEQU"]), gain_rules(), "gains")
             made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_id").parquet(path)
+            found = broken(seen)
+            if found:
+                raise ContractError("transit gains: " + "; ".join(found))
+            digests = file_digests(self.spark, path)
+            kept |= {str(c): {"of": wanted[str(c)], "sha256": at(c)} for c in owed}
+            self.save()
         return self.spark.read.parquet(path)
 
     @staticmethod

@@ -1,15 +1,15 @@
-"""Runs by mode, requests and receipts, reroutes, publishing, lasting folders, and the smaller readers and checks."""
+"""Runs by mode, reroutes, publishing, lasting folders, and the smaller readers and checks."""
 
 import datetime
-import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from reachmill.functions import contracts
 from reachmill.functions.contracts import RUNGS, ContractError, validate_gains
 from reachmill.operators import aggregates, gtfs, matrix, monolith, region, routing, universe
-from reachmill.plans import publisher, requests, reroute, roots
+from reachmill.plans import publisher, reroute, roots
 from reachmill.plans.runner import Run
 from reachmill.sources import io
 
@@ -62,6 +62,96 @@ def test_gains_of_chunks(base):
     assert before == {f: os.path.getmtime(os.path.join(p, f)) for p, _, files in os.walk(os.path.join(base.folder, "gains")) for f in files if f.endswith(".parquet")}
 
 
+def test_gains_follow_their_chunks(town, tmp_path):
+    far = []
+
+    def router(origins, destinations, cap=20, mode="car", departure=None):
+        return routing.stub_dispatch(origins, destinations, cap=cap, mode=mode, departure=departure).withColumns({c: F.col(c) + 1 for c in ("travel_time", "travel_time_p1", "travel_time_p50") if far and mode == "walk" and c == "travel_time"})
+
+    make = lambda: Run(str(tmp_path / "r"), *town, modes=["walk", "transit"], chunk_size=2, departure=NOON, router=router)
+    run = make()
+    run.execute()
+    before = {(r.batiment_id, r.TYPEQU): r.time_gain_p1 for r in run.gains().collect()}
+    far.append(1)  # the walk of one chunk is made anew, and takes longer
+    victim = run.chunk_path("walk", 2)
+    os.remove(next(os.path.join(victim, f) for f in os.listdir(victim) if f.endswith(".parquet")))
+    again = make()
+    again.execute()
+    moved = {r.batiment_id for r in again._chunks(["walk"]).where("chunk_id = 2").collect()}
+    after = {(r.batiment_id, r.TYPEQU): r.time_gain_p1 for r in again.gains().collect()}
+    assert moved and after == {k: v + 1 if k[0] in moved and v is not None else v for k, v in before.items()}
+
+
+def test_one_job_a_mode_and_failures_apart(spark, town, tmp_path, monkeypatch):
+    written = []
+    real = io.write_chunks
+    monkeypatch.setattr(io, "write_chunks", lambda rows, path: (written.append(1), real(rows, path)))
+    run = Run(str(tmp_path / "a"), *town, modes=["walk", "car"], chunk_size=1)
+    run.execute()
+    assert len(written) == 2 and not run.owed() and len(run.manifest["entries"]) == 10
+    assert sum(e["n_rows"] for e in run.manifest["entries"]) == run.matrix().count()
+
+    def beyond(origins, destinations, cap=20, mode="car", departure=None):
+        # one origin's times break the contract
+        return routing.stub_dispatch(origins, destinations, cap=cap, mode=mode).withColumn("travel_time", F.when(F.col("from_id") == "coord_o_000003", -1.0).otherwise(F.col("travel_time")))
+
+    run = Run(str(tmp_path / "b"), *town, modes=["car"], chunk_size=1, router=beyond)
+    run.execute()
+    assert {e["chunk_id"]: e["status"] for e in run.manifest["entries"]} == {1: "complete", 2: "complete", 3: "failed", 4: "complete", 5: "complete"}
+    assert "cap (" in run.manifest["entries"][2]["error"] and run.matrix().where("tt_nearest < 0").count() == 0
+    # a chunk from which nothing is reached is complete without rows
+    lost = town[0].unionByName(spark.createDataFrame([("o9", 9, 5.0, 45.0)], town[0].schema))
+    run = Run(str(tmp_path / "c"), lost, *town[1:], modes=["car"], chunk_size=1)
+    run.execute()
+    assert not run.owed() and [e["n_rows"] for e in run.manifest["entries"]][-1] == 0 and run.matrix().count() > 0
+    run.sweep()
+    assert not run.owed()
+
+
+def test_contract_reports_count_in_one_pass(spark):
+    rows = [("b1", "A", "walk", 8.0, 0, 1, 1, 2), ("b1", "A", "walk", 8.0, 0, 1, 1, 2), ("", "A", "boat", 21.0, 0, 1, 0, 2), ("b2", "A", "car", 4.0, 0, 1, 1, 1)]
+    df = spark.createDataFrame(rows, "batiment_id string, TYPEQU string, mode string, tt_nearest double, count_5 int, count_10 int, count_15 int, count_20 int")
+    report = {r[0]: r[1] for r in contracts.matrix_report(df).collect()}
+    assert report == {"empty_id": 1, "mode": 1, "cap": 1, "count": 0, "nearest": 2, "monotone": 1, "duplicate_key": 1}
+    seen, counts = contracts.observed(df, contracts.matrix_rules(), "x")
+    seen.write.format("noop").mode("overwrite").save()
+    assert counts.get["n_rows"] == 4 and contracts.broken(counts) == ["empty_id (1 rows)", "mode (1 rows)", "cap (1 rows)", "nearest (2 rows)", "monotone (1 rows)"]
+
+
+def test_digest_tree_of_any_depth(spark, monkeypatch):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 7).alias("lon"), F.lit(1).alias("lat"))
+    for children in (256, 16, 2):  # two levels, and more
+        monkeypatch.setattr(routing, "CHILDREN", children)
+        key = routing.universe_key(rows).first()[0]
+        assert key == routing.universe_key(rows.repartition(7, "lon")).first()[0]
+        assert key != routing.universe_key(rows.where("id <> '5'")).first()[0] and key != routing.universe_key(rows.unionByName(rows.limit(1))).first()[0]
+    assert routing.universe_key(rows.limit(0)).count() == 1
+
+
+def test_hot_coordinates_spread_over_tasks(spark, monkeypatch):
+    from reachmill.operators import joins
+
+    monkeypatch.setattr(joins, "PER_TASK", 20)
+    # half of all identities stand at one point, on both sides
+    origins = spark.range(2000).select(F.concat(F.lit("o"), "id").alias("id"), F.concat(F.lit("p"), F.when(F.col("id") < 1000, 0).otherwise(F.col("id") % 90)).alias("point_id"))
+    destinations = spark.range(60).select(F.concat(F.lit("d"), "id").alias("id"), F.concat(F.lit("q"), F.when(F.col("id") < 30, 0).otherwise(F.col("id"))).alias("point_id"))
+    pairs = spark.createDataFrame([(f"p{i}", f"q{j}", float(i + j), i) for i in range(0, 90, 3) for j in (0, 31, 45)] + [("p0", "nowhere", 1.0, 0)], "from_id string, to_id string, travel_time double, extra int")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = routing.expand_pairs(pairs, origins, destinations)
+        rows = sorted(map(tuple, got.collect()))
+        sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    o, d = ({} for _ in range(2))
+    for at, link in ((o, origins), (d, destinations)):
+        for r in link.collect():
+            at.setdefault(r.point_id, []).append(r.id)
+    assert rows == sorted((a, b, r.travel_time, r.extra) for r in pairs.collect() for a in o.get(r.from_id, []) for b in d.get(r.to_id, []))
+    assert len(rows) > 30_000 and max(sizes) < 2 * len(rows) / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_dry_run(town):
     assert Run.dry_run(*town[:2], modes=["walk", "car"], chunk_size=2) == {
         "kind": "dry_run", "modes": ["walk", "car"], "origins": {"n_identities": 5, "n_coordinates": 5, "n_chunks": 3}, "destinations": {"n_identities": 3, "n_coordinates": 3, "n_chunks": 2}, "chunks": 6,
@@ -104,45 +194,6 @@ def test_wide_build_folds_points(spark):
     assert fast.count() == 4 and {tuple(r) for r in fast.collect()} == {tuple(r) for r in slow.collect()}
 
 
-def test_requests(tmp_path):
-    paths = {"artifacts_dirs": {"walk": "w", "transit": "t"}}
-    request = requests.build_request(1, 10, 7, ["walk", "transit"], paths, {"departure_datetime": "2026-09-16T12:00:00+02:00"})
-    assert request["routing"] == {"departure_epoch": NOON.timestamp()}
-    requests.save_request(request, str(tmp_path / "a" / "request.json"))
-    back = requests.load_request(str(tmp_path / "a" / "request.json"))
-    assert back["routing"]["departure_datetime"] == NOON and back["routing"]["walk_speed"] == 4 and back["routing"]["percentiles"] == [1, 50]
-    assert requests.artifact_folder(back, "walk") == "w"
-    with pytest.raises(ContractError, match="bike"):
-        requests.artifact_folder(back, "bike")
-    for change, word in (({"kind": "x"}, "not a chunk request"), ({"modes": ["boat"]}, "boat"), ({"routing": {"departure_datetime": "2026-09-16"}}, "without a time"), ({"routing": {"max_trip_duration": 60, "departure_epoch": 1}}, "trip duration"), ({"routing": {}}, "departure"), ({"routing": {"departure_datetime": "soon"}}, "no instant")):
-        with pytest.raises(ContractError, match=word):
-            requests.as_request({**request, **change})
-    with pytest.raises(ContractError, match="no paths"):
-        requests.as_request({k: v for k, v in request.items() if k != "paths"})
-    assert requests.layout({"walk": "a/w"}, str(tmp_path)) == {"walk": "a/w"}
-    for outside in ("../x", ".", "/tmp"):
-        with pytest.raises(ContractError, match="not below"):
-            requests.layout({"walk": outside}, str(tmp_path))
-
-
-def test_receipts(spark, base, tmp_path):
-    path = str(tmp_path / "walk_1.parquet")
-    base.matrix().where("mode = 'walk' and chunk_id = 1").coalesce(1).write.parquet(str(tmp_path / "out"))
-    os.replace(next(str(p) for p in (tmp_path / "out").glob("*.parquet")), path)
-    n = spark.read.parquet(path).count()
-    receipt = requests.build_receipt(path, "walk", 1, n, n, n, 0.5)
-    requests.check_artifact(spark, path, json.loads(json.dumps(receipt)))
-    for change, word in (({"mode": "car"}, "path"), ({"status": "failed"}, "not of walk"), ({"n_rows": -1}, "n_rows"), ({"sha256": "ABC"}, "sha-256"), ({"n_rows": n + 1}, "number of rows")):
-        with pytest.raises(ContractError, match=word):
-            requests.check_artifact(spark, path, {**receipt, **change})
-    with pytest.raises(ContractError, match="without sha256"):
-        requests.check_receipt({k: v for k, v in receipt.items() if k != "sha256"}, "walk", 1)
-    with open(path, "ab") as f:
-        f.write(b"x")
-    with pytest.raises(ContractError, match="digest differs"):
-        requests.check_artifact(spark, path, receipt)
-
-
 def test_publisher(spark, tmp_path):
     spine = spark.createDataFrame([("a1", "c1", "C1", "e1", "d1", "r"), ("a2", "c1", "C1", "e1", "d1", "r"), ("a3", "c2", "C2", None, "d1", "r")], "address_id string, code_insee string, nom_commune string, epci string, code_departement string, region string")
     metrics = spark.createDataFrame([("a1", "T", 4, 2), ("a3", "U", 1, 1)], "address_id string, TYPEQU string, count_5_walk int, transit_gain_count_5_p1 int")
