@@ -77,8 +77,12 @@ def activity_window(window) -> tuple[int, int]:
     return start, end
 
 
-def active_services(calendar: DataFrame | None, calendar_dates: DataFrame | None, date) -> DataFrame:
-    """service_id of the services that run on a date: the weekday's calendar, less removals, plus additions."""
+def active_services(calendar: DataFrame | None, calendar_dates: DataFrame | None, date, by=()) -> DataFrame:
+    """service_id of the services that run on a date: the weekday's calendar, less removals, plus additions.
+
+    ``by``, here and below, names columns that tell feeds apart: every table
+    has them, and nothing of one feed meets another's.
+    """
     if calendar is None and calendar_dates is None:
         raise ContractError("a feed needs calendar or calendar_dates")
     date = service_date(date)
@@ -87,51 +91,54 @@ def active_services(calendar: DataFrame | None, calendar_dates: DataFrame | None
     if calendar is not None:
         number = lambda c: F.replace(column_of(calendar, c), F.lit("-"), F.lit("")).try_cast("int")
         runs = (column_of(calendar, DAYS[date.weekday()]).try_cast("int") == 1) & (number("start_date") <= day) & (number("end_date") >= day)
-        sides.append(calendar.where(runs).select(column_of(calendar, "service_id").alias("service_id")))
+        sides.append(calendar.where(runs).select(*by, column_of(calendar, "service_id").alias("service_id")))
     if calendar_dates is not None:
         kind = F.coalesce(column_of(calendar_dates, "exception_type"), column_of(calendar_dates, "exception_date"))
         own = calendar_dates.where(F.replace(column_of(calendar_dates, "date"), F.lit("-"), F.lit("")).try_cast("int") == day)
-        ids = column_of(calendar_dates, "service_id").alias("service_id")
-        added, removed = own.where(kind == "1").select(ids), own.where(kind == "2").select(ids)
-        sides = [s.join(removed, "service_id", "left_anti") for s in sides] + [added]
+        ids = [*by, column_of(calendar_dates, "service_id").alias("service_id")]
+        added, removed = own.where(kind == "1").select(*ids), own.where(kind == "2").select(*ids)
+        sides = [s.join(removed, [*by, "service_id"], "left_anti") for s in sides] + [added]
     out = sides[0]
     for s in sides[1:]:
         out = out.unionByName(s)
     return out.where("service_id is not null").distinct()
 
 
-def activity(active: DataFrame, trips: DataFrame, stop_times: DataFrame, window=WINDOW) -> DataFrame:
+def activity(active: DataFrame, trips: DataFrame, stop_times: DataFrame, window=WINDOW, by=()) -> DataFrame:
     """n_active_trips, n_window_trips, n_active_stops; the window is half open and does not restrict stops."""
     start, end = activity_window(window)
-    running = trips.join(active, "service_id", "left_semi").select("trip_id").distinct()
-    calls = stop_times.join(running, "trip_id", "left_semi").withColumn("at", seconds(F.col("departure_time")))
+    running = trips.join(active, [*by, "service_id"], "left_semi").select(*by, "trip_id").distinct()
+    calls = stop_times.join(running, [*by, "trip_id"], "left_semi").withColumn("at", seconds(F.col("departure_time")))
     inside = (F.col("at") >= start) & (F.col("at") < end)
-    one = running.agg(F.count("*").alias("n_active_trips"))
-    two = calls.agg(F.count_distinct(F.when(inside, F.col("trip_id"))).alias("n_window_trips"), F.count_distinct("stop_id").alias("n_active_stops"))
-    return one.join(two)
+    one = running.groupBy(*by).agg(F.count("*").alias("n_active_trips"))
+    two = calls.groupBy(*by).agg(F.count_distinct(F.when(inside, F.col("trip_id"))).alias("n_window_trips"), F.count_distinct("stop_id").alias("n_active_stops"))
+    if not by:
+        return one.join(two)
+    counts = ["n_active_trips", "n_window_trips", "n_active_stops"]
+    return one.join(two, list(by), "left").select(*by, *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts])
 
 
-def project_services(calendar_dates: DataFrame, active: DataFrame, target) -> DataFrame:
+def project_services(calendar_dates: DataFrame, active: DataFrame, target, by=()) -> DataFrame:
     """calendar_dates with the target date's exceptions replaced by additions of the active services."""
     target = service_date(target).strftime("%Y%m%d")
-    kept = calendar_dates.where(~(F.replace("date", F.lit("-"), F.lit("")) == target)).select("service_id", "date", "exception_type")
-    return kept.unionByName(active.select("service_id", F.lit(target).alias("date"), F.lit("1").alias("exception_type")))
+    kept = calendar_dates.where(~(F.replace("date", F.lit("-"), F.lit("")) == target)).select(*by, "service_id", "date", "exception_type")
+    return kept.unionByName(active.select(*by, "service_id", F.lit(target).alias("date"), F.lit("1").alias("exception_type")))
 
 
-def parent_orphans(stops: DataFrame) -> DataFrame:
+def parent_orphans(stops: DataFrame, by=()) -> DataFrame:
     """Stops whose parent station is no stop of the feed."""
     children = stops.where("parent_station is not null and parent_station <> ''")
-    return children.join(stops.select(F.col("stop_id").alias("parent_station")), "parent_station", "left_anti").select("stop_id", "parent_station")
+    return children.join(stops.select(*by, F.col("stop_id").alias("parent_station")), [*by, "parent_station"], "left_anti").select(*by, "stop_id", "parent_station")
 
 
-def route_type_cascade(routes: DataFrame, trips: DataFrame, stop_times: DataFrame, excluded=tuple(EXCLUDED_ROUTE_TYPES), frequencies: DataFrame | None = None) -> dict[str, DataFrame]:
+def route_type_cascade(routes: DataFrame, trips: DataFrame, stop_times: DataFrame, excluded=tuple(EXCLUDED_ROUTE_TYPES), frequencies: DataFrame | None = None, by=()) -> dict[str, DataFrame]:
     """The tables without routes of the excluded types and all that hangs on them."""
-    gone = routes.where(F.col("route_type").cast("string").isin(*excluded)).select("route_id")
-    kept_routes = routes.join(gone, "route_id", "left_anti")
-    gone_trips = trips.join(gone, "route_id", "left_semi").select("trip_id")
-    out = {"routes": kept_routes, "trips": trips.join(gone, "route_id", "left_anti"), "stop_times": stop_times.join(gone_trips, "trip_id", "left_anti")}
+    gone = routes.where(F.col("route_type").cast("string").isin(*excluded)).select(*by, "route_id")
+    kept_routes = routes.join(gone, [*by, "route_id"], "left_anti")
+    gone_trips = trips.join(gone, [*by, "route_id"], "left_semi").select(*by, "trip_id")
+    out = {"routes": kept_routes, "trips": trips.join(gone, [*by, "route_id"], "left_anti"), "stop_times": stop_times.join(gone_trips, [*by, "trip_id"], "left_anti")}
     if frequencies is not None:
-        out["frequencies"] = frequencies.join(gone_trips, "trip_id", "left_anti")
+        out["frequencies"] = frequencies.join(gone_trips, [*by, "trip_id"], "left_anti")
     return out
 
 

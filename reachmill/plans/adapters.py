@@ -62,6 +62,11 @@ SQL = {
                lpad(CAST(l_partkey % 26 AS STRING), 2, '0') || ':' || lpad(CAST(l_suppkey % 61 AS STRING), 2, '0') || ':00' AS departure_time FROM {lineitem}""",
     "routes": "SELECT CAST(k AS STRING) AS route_id, CASE WHEN k % 10 = 7 THEN '715' ELSE '3' END AS route_type, CASE WHEN k % 9 = 0 THEN 'p' ELSE 'L' END || CAST(k AS STRING) AS route_short_name FROM (SELECT DISTINCT o_custkey % 40 AS k FROM {orders}) x",
     "stops": "SELECT CAST(s_suppkey AS STRING) AS stop_id, CASE WHEN s_suppkey % 5 = 0 THEN CAST(s_suppkey * 2 AS STRING) WHEN s_suppkey % 5 = 1 THEN '' ELSE NULL END AS parent_station FROM {supplier}",
+    "feed_calendar": "SELECT 'f' || CAST(CAST(service_id AS INT) % 7 AS STRING) AS feed_id, CAST(CAST(floor(CAST(service_id AS INT) / 7) AS INT) AS STRING) AS service_id, wednesday, start_date, end_date FROM {calendar}",
+    "feed_dates": "SELECT 'f' || CAST(CAST(service_id AS INT) % 7 AS STRING) AS feed_id, CAST(CAST(floor(CAST(service_id AS INT) / 7) AS INT) AS STRING) AS service_id, date, exception_type FROM {calendar_dates}",
+    "feed_trips": "SELECT 'f' || CAST(CAST(service_id AS INT) % 7 AS STRING) AS feed_id, trip_id, CAST(CAST(floor(CAST(service_id AS INT) / 7) AS INT) AS STRING) AS service_id, route_id FROM {trips}",
+    "feed_stop_times": "SELECT t.feed_id, s.trip_id, s.stop_id, s.stop_sequence, s.departure_time FROM {stop_times} s JOIN {feed_trips} t ON s.trip_id = t.trip_id",
+    "feed_routes": "SELECT feed_id, route_id, route_type FROM (SELECT DISTINCT feed_id, route_id FROM {feed_trips}) f JOIN (SELECT route_id AS r, route_type FROM {routes}) x ON f.route_id = x.r",
     "groups": "SELECT CAST(c_custkey AS STRING) AS batiment_groupe_id FROM {customer}",
     "usage": "SELECT CAST(c_custkey AS STRING) AS batiment_groupe_id, c_mktsegment AS usage_principal_bdnb_open FROM {customer} WHERE c_custkey % 7 <> 0",
     "relations": "SELECT CAST(o_custkey AS STRING) AS batiment_groupe_id, CAST(o_orderkey AS STRING) AS address_id, CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE CAST(o_orderkey % 7 AS INT) END AS fiabilite, o_orderkey AS ord FROM {orders}",

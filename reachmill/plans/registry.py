@@ -7,15 +7,17 @@ import io as _bytes
 import os
 import shutil
 import tempfile
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from reachmill.functions import geo
 from reachmill.functions.contracts import ATOMIC, LEVELS, MODES, RUNGS, ContractError, gain_report, matrix_report
-from reachmill.operators import aggregates, deltas, gtfs, matrix, monolith, region, routing, universe
+from reachmill.operators import aggregates, deltas, feeds, gtfs, matrix, monolith, region, routing, universe
 from reachmill.plans import publisher, reroute
 from reachmill.plans.adapters import CLUSTERS, KEPT, METRICS, as_query, frame
 from reachmill.plans.runner import Run, run_metadata
+from reachmill.sources import timetables
 from reachmill.sources.stored import StoredTable
 from reachmill.streaming import incremental
 
@@ -701,6 +703,32 @@ def resume_runner(spark, sf_dir):
     return run.matrix().select("batiment_id", "TYPEQU", F.lit("car").alias("mode"), "tt_nearest", *[f"count_{r}" for r in RUNGS])
 
 
+def _feed_lines(spark, sf_dir):
+    """Timetables of several feeds, written as archives and read again."""
+    get = lambda n: frame(spark, sf_dir, n)
+    members = (("calendar.txt", "feed_calendar", ["service_id"]), ("calendar_dates.txt", "feed_dates", ["service_id", "date"]), ("routes.txt", "feed_routes", ["route_id"]), ("trips.txt", "feed_trips", ["trip_id"]), ("stop_times.txt", "feed_stop_times", ["trip_id", "stop_sequence"]))
+    lines = reduce(lambda a, b: a.unionByName(b), [timetables.member_lines(get(table), member, order) for member, table, order in members])
+    folder = _folder(spark, "feeds-")
+    timetables.write_timetables(lines, folder)
+    return timetables.read_timetables(spark, folder), folder
+
+
+def feed_set_summary(spark, sf_dir):
+    return feeds.summary(_feed_lines(spark, sf_dir)[0], DATE)
+
+
+def feed_set_projected(spark, sf_dir):
+    """The services of one date moved to another, in archives of their own; what runs there then is what ran before."""
+    lines, folder = _feed_lines(spark, sf_dir)
+    timetables.write_timetables(feeds.project(lines, DATE, "20260917"), f"{folder}/projected")
+    return feeds.summary(timetables.read_timetables(spark, f"{folder}/projected"), "20260917")
+
+
+def feed_set_cascade(spark, sf_dir):
+    lines = feeds.without_route_types(_feed_lines(spark, sf_dir)[0])
+    return lines.groupBy("feed_id", "member").agg(F.count("*").alias("n_lines"))
+
+
 def stored_upsert(spark, sf_dir):
     """Walking times are stored, then biking times are merged into the buckets of their addresses."""
     rows = _matrix(lambda n: frame(spark, sf_dir, n)).withColumnRenamed("batiment_id", "address_id")
@@ -721,6 +749,19 @@ def incremental_matrix(spark, sf_dir):
 
 
 _QUERIES |= {"resume_runner": resume_runner, "stored_upsert": stored_upsert, "incremental_matrix": incremental_matrix}
+_QUERIES |= {f.__name__: f for f in (feed_set_summary, feed_set_projected, feed_set_cascade)}
+_FEEDS = """WITH a AS (SELECT feed_id, service_id FROM (SELECT feed_id, service_id FROM {feed_calendar} WHERE wednesday = '1' AND start_date <= '20260916' AND end_date >= '20260916'
+    EXCEPT SELECT feed_id, service_id FROM {feed_dates} WHERE replace(date, '-', '') = '20260916' AND exception_type = '2') x UNION SELECT feed_id, service_id FROM {feed_dates} WHERE replace(date, '-', '') = '20260916' AND exception_type = '1'),
+  t AS (SELECT DISTINCT t.feed_id, t.trip_id FROM {feed_trips} t JOIN a ON a.feed_id = t.feed_id AND a.service_id = t.service_id),
+  c AS (SELECT s.*, CASE WHEN CAST(substr(departure_time, 4, 2) AS INT) < 60 THEN CAST(substr(departure_time, 1, 2) AS INT) * 3600 + CAST(substr(departure_time, 4, 2) AS INT) * 60 END AS secs FROM {feed_stop_times} s JOIN t ON t.feed_id = s.feed_id AND t.trip_id = s.trip_id),
+  n AS (SELECT feed_id, count(*) AS n FROM t GROUP BY 1), m AS (SELECT feed_id, count(DISTINCT CASE WHEN secs >= 36000 AND secs < 39600 THEN trip_id END) AS w, count(DISTINCT stop_id) AS s FROM c GROUP BY 1)
+  SELECT f.feed_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_active_trips, CAST(coalesce(m.w, 0) AS BIGINT) AS n_window_trips, CAST(coalesce(m.s, 0) AS BIGINT) AS n_active_stops
+  FROM (SELECT feed_id FROM {feed_trips} UNION SELECT feed_id FROM {feed_calendar} UNION SELECT feed_id FROM {feed_dates}) f LEFT JOIN n ON n.feed_id = f.feed_id LEFT JOIN m ON m.feed_id = f.feed_id"""
+_CASCADE = """WITH g AS (SELECT feed_id, route_id FROM {feed_routes} WHERE route_type = '715'), t AS (SELECT t.* FROM {feed_trips} t LEFT JOIN g ON g.feed_id = t.feed_id AND g.route_id = t.route_id WHERE g.feed_id IS NULL)
+  SELECT feed_id, member, CAST(count(*) AS BIGINT) AS n_lines FROM (
+    SELECT feed_id, 'calendar.txt' AS member FROM {feed_calendar} UNION ALL SELECT feed_id, 'calendar_dates.txt' FROM {feed_dates} UNION ALL SELECT feed_id, 'routes.txt' FROM {feed_routes} WHERE route_type <> '715'
+    UNION ALL SELECT feed_id, 'trips.txt' FROM t UNION ALL SELECT s.feed_id, 'stop_times.txt' FROM {feed_stop_times} s JOIN t ON t.feed_id = s.feed_id AND t.trip_id = s.trip_id) x GROUP BY 1, 2"""
+_SQL |= {"feed_set_summary": as_query(_FEEDS), "feed_set_projected": as_query(_FEEDS), "feed_set_cascade": as_query(_CASCADE)}
 _SQL |= {"stored_upsert": as_query(_WIDE), "incremental_matrix": as_query("SELECT * FROM {matrix}")}
 _SQL["resume_runner"] = as_query(f"SELECT p.from_id AS batiment_id, d.TYPEQU, 'car' AS mode, CAST(min(travel_time) AS DOUBLE) AS tt_nearest, {_ladder('travel_time')} FROM ({_ROUTE}) p JOIN {{dest_map}} d ON p.to_id = d.id WHERE travel_time <= 20 GROUP BY p.from_id, d.TYPEQU")
 _SQL["zip_members"] = as_query("SELECT service_id, wednesday FROM {calendar}")

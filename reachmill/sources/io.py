@@ -1,4 +1,4 @@
-"""Sources and sinks: tables, delimited files, archives, geopackages, documents, atomic writes."""
+"""Sources and sinks: tables, delimited files, archives, documents, atomic writes."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import io
 import json
 import os
 import re
-import struct
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -211,52 +210,6 @@ def check_timetable_zip(path: str, required=("stops.txt", "trips.txt", "stop_tim
         raise ContractError(f"{path}: missing or empty {', '.join(bad)}")
 
 
-def wkb_to_wkt(blob: bytes) -> str:
-    """WKT of a geopackage geometry: points, polygons and multipolygons."""
-    at = 8 + {0: 0, 1: 32, 2: 48, 3: 48, 4: 64}[blob[3] >> 1 & 7] if blob[:2] == b"GP" else 0
-
-    def number(form, size):
-        nonlocal at
-        value = struct.unpack_from(order + form, blob, at)
-        at += size
-        return value
-
-    def ring(n):
-        return "(" + ", ".join("{:.15g} {:.15g}".format(*number("2d", 16)) for _ in range(n)) + ")"
-
-    def body():
-        nonlocal at, order
-        order = "<" if blob[at] else ">"
-        at += 1
-        kind = number("I", 4)[0] % 1000
-        if kind == 1:
-            return "POINT", "({:.15g} {:.15g})".format(*number("2d", 16))
-        if kind == 3:
-            return "POLYGON", "(" + ", ".join(ring(number("I", 4)[0]) for _ in range(number("I", 4)[0])) + ")"
-        if kind == 6:
-            return "MULTIPOLYGON", "(" + ", ".join(body()[1] for _ in range(number("I", 4)[0])) + ")"
-        raise ContractError(f"geometry kind {kind} is not read")
-
-    order = "<"
-    return " ".join(body())
-
-
-def read_geopackage(spark: SparkSession, path: str, layer: str, columns, geometry: str | None = None) -> DataFrame:
-    """Columns of a layer, and its geometry as WKT where asked for."""
-    import sqlite3
-
-    names = [*columns, *([geometry] if geometry else [])]
-    with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
-        known = {r[1] for r in db.execute(f'PRAGMA table_info("{layer}")')}
-        missing = [c for c in names if c not in known]
-        if missing:
-            raise ContractError(f"{layer}: missing column(s) {', '.join(missing)}")
-        rows = db.execute("SELECT " + ", ".join(f'"{c}"' for c in names) + f' FROM "{layer}"').fetchall()
-    text = lambda v: None if v is None else str(v)
-    rows = [tuple([*map(text, r[: len(columns)]), *([wkb_to_wkt(r[-1]) if r[-1] else None] if geometry else [])]) for r in rows]
-    return spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in names))
-
-
 def acquire(url: str, folder: str, sha256: str | None = None) -> str:
     """The local copy of a file, fetched once and checked against its digest before it is kept."""
     import urllib.request

@@ -12,7 +12,7 @@ from reachmill.functions.contracts import CLUSTERS, ContractError, assert_probs,
 from reachmill.operators import aggregates, deltas, gtfs, matrix, monolith, routing, universe
 from reachmill.plans import registry
 from reachmill.plans.runner import Run
-from reachmill.sources import io
+from reachmill.sources import geopackage, io
 
 SF = "/root/testdata/sf0.001"
 MATRIX = "batiment_id string, TYPEQU string, mode string, tt_nearest double, count_5 int, count_10 int, count_15 int, count_20 int"
@@ -236,7 +236,7 @@ def test_sources(spark, tmp_path):
     with sqlite3.connect(tmp_path / "g.gpkg") as db:
         db.execute("create table commune (code text, geom blob)")
         db.execute("insert into commune values ('35001', ?)", (blob,))
-    assert io.read_geopackage(spark, str(tmp_path / "g.gpkg"), "commune", ["code"], "geom").first()[1] == "POLYGON ((0 0, 1 0, 1 1))"
+    assert geopackage.read_geopackage(spark, str(tmp_path / "g.gpkg"), "commune", ["code"], "geom").first()[1] == "POLYGON ((0 0, 1 0, 1 1))"
     source = tmp_path / "data.bin"
     source.write_bytes(b"abc")
     (tmp_path / "got").mkdir()
