@@ -112,15 +112,20 @@ def distance_to_ring_m(lon: Column, lat: Column, ring) -> Column:
 
 
 def resolve_geometry(min_fiabilite: int = 0) -> Column:
-    """struct(x, y, geometry_source) by precedence, of columns x, y (construction), gx, gy (group), ax, ay (address), fictive_cstr, fictive_groupe and fiabilite."""
+    """struct(x, y, geometry_source) by precedence, of columns x, y (construction), gx, gy (group), ax, ay (address), fictive_cstr, fictive_groupe and fiabilite.
+
+    An address counts with a known reliability of at least ``min_fiabilite``; a
+    construction or group whose flag is null is neither real nor fictive, and isn't used.
+    """
     pick = lambda x, y, s: F.struct(F.col(x).alias("x"), F.col(y).alias("y"), F.lit(s).alias("geometry_source"))
-    there = lambda c: F.col(c).isNotNull()
-    sure = there("ax") & F.coalesce(F.col("fiabilite") >= min_fiabilite, F.lit(False))
-    made_up = lambda c: F.coalesce(F.col(c).cast("boolean"), F.lit(False))
+    there = lambda x, y: F.col(x).isNotNull() & F.col(y).isNotNull()
+    flag = lambda c, v: F.coalesce(F.col(c).cast("int") == v, F.lit(False))
+    sure = there("ax", "ay") & F.coalesce(F.col("fiabilite") >= min_fiabilite, F.lit(False))
     nothing = F.struct(F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(None).cast("string").alias("geometry_source"))
+    own, group = there("x", "y"), there("gx", "gy")
     return (
-        F.when(sure, pick("ax", "ay", "geom_adresse")).when(there("x") & ~made_up("fictive_cstr"), pick("x", "y", "geom_cstr")).when(there("gx") & ~made_up("fictive_groupe"), pick("gx", "gy", "geom_groupe"))
-        .when(there("x"), pick("x", "y", "geom_cstr_fictive")).when(there("gx"), pick("gx", "gy", "geom_groupe_fictive")).otherwise(nothing)
+        F.when(sure, pick("ax", "ay", "geom_adresse")).when(own & flag("fictive_cstr", 0), pick("x", "y", "geom_cstr")).when(group & flag("fictive_groupe", 0), pick("gx", "gy", "geom_groupe"))
+        .when(own & flag("fictive_cstr", 1), pick("x", "y", "fictive")).when(group & flag("fictive_groupe", 1), pick("gx", "gy", "fictive")).otherwise(nothing)
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.functions.contracts import CLUSTERS, LEVELS, MODES, RUNGS, ContractError, require, require_none, require_unique
+from reachmill.functions.contracts import ATOMIC, CLUSTERS, LEVELS, MODES, RUNGS, ContractError, require, require_none, require_unique
 
 # Accepted spellings of the percentile columns, the first found wins.
 P1_NAMES = ["travel_time_p1", "travel_time_p01", "travel_time_p001", "tt_p1", "p1"]
@@ -83,6 +83,8 @@ def building_metrics(matrix: DataFrame, kept, threshold: int = 20, ref_mode: str
     the result is made.  ``with_ref`` adds the building's flags in ref_mode as
     ref_<cluster>.
     """
+    if ref_mode not in ATOMIC:
+        raise ContractError(f"the reference must be one of {', '.join(ATOMIC)}, not {ref_mode}")
     if threshold not in RUNGS or ref_mode not in MODES:
         raise ContractError("threshold must be a rung and ref_mode a mode")
     clusters, grid = clusters or CLUSTERS, tuple(modes or MODES)

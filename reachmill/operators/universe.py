@@ -15,6 +15,7 @@ from reachmill.operators.region import region_distance
 
 # Usages that count as residential, quality codes of a location that are kept.
 RESIDENTIAL_USAGES = ["Résidentiel individuel", "Résidentiel collectif"]
+UNDIFFERENTIATED = "Résidentiel indifférencié"
 KEEP_CODES = ["11", "12", "21", "22", "_U"]
 
 
@@ -61,28 +62,51 @@ def group_address_metrics(groups: DataFrame, relations: DataFrame) -> DataFrame:
     return by.join(total).select("n_addresses", "n_groups", F.bround(F.lit(100.0) * F.col("n_groups") / F.col("all"), 2).alias("pct"))
 
 
-def residential_groups(groups: DataFrame, usage: DataFrame, departements=None, communes=None) -> DataFrame:
+def residential_groups(groups: DataFrame, usage: DataFrame, departements=None, communes=None, residential=tuple(RESIDENTIAL_USAGES)) -> DataFrame:
     rows = groups
     if departements:
         rows = rows.where(F.col("code_departement_insee").isin(*departements))
     if communes:
         rows = rows.where(F.col("code_commune_insee").isin(*communes))
-    kept = usage_status(rows, usage).where("usage_status = 'residential'").select("batiment_groupe_id")
+    kept = usage_status(rows, usage, residential).where("usage_status = 'residential'").select("batiment_groupe_id")
     return rows.join(kept, "batiment_groupe_id", "left_semi")
 
 
-def residential_universe(groups: DataFrame, usage: DataFrame, constructions: DataFrame, relations: DataFrame, address_points: DataFrame, departements=None, communes=None, min_fiabilite: int = 0) -> DataFrame:
-    """One row per construction of a residential group with its geometry by precedence, or per group without constructions."""
-    own = residential_groups(groups, usage, departements, communes)
+CONSTRUCTION, GROUP = "batiment_construction", "groupe"
+
+
+def residential_universe(
+    groups: DataFrame, usage: DataFrame, constructions: DataFrame, relations: DataFrame, address_points: DataFrame, departements=None, communes=None, min_fiabilite: int = 0,
+    granularity: str = CONSTRUCTION, include_indifferencie: bool = False, drop_fictive_only: bool = True, residential=tuple(RESIDENTIAL_USAGES),
+) -> DataFrame:
+    """The origins: one row per construction of a residential group, or per group without any; with granularity "groupe" one per group.
+
+    Geometry is taken by precedence (resolve_geometry); a group's construction is
+    the first real one by id.  Origins without usable geometry are left out, and
+    those that have a fictive one only, unless drop_fictive_only is False.
+    Candidates of outbuildings are flagged, not left out.
+    """
+    if granularity not in (CONSTRUCTION, GROUP):
+        raise ContractError(f"granularity must be {CONSTRUCTION} or {GROUP}")
+    residential = (*residential, UNDIFFERENTIATED) if include_indifferencie else tuple(residential)
+    own = residential_groups(groups, usage, departements, communes, residential)
     within = lambda df: df.join(own.select("batiment_groupe_id"), "batiment_groupe_id", "left_semi")
     rel = within(relations)
     best = best_relation(rel).join(address_points, "address_id", "left").select("batiment_groupe_id", "fiabilite", F.col("x").alias("ax"), F.col("y").alias("ay"))
-    cons = dependance_flags(within(constructions)).select("batiment_groupe_id", F.col("batiment_construction_id").alias("origin_id"), "x", "y", F.col("fictive").alias("fictive_cstr"), "is_dependance_candidate")
-    bare = own.select("batiment_groupe_id").join(cons.select("batiment_groupe_id").distinct(), "batiment_groupe_id", "left_anti")
-    bare = bare.select("batiment_groupe_id", F.col("batiment_groupe_id").alias("origin_id"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(None).cast("boolean").alias("fictive_cstr"), F.lit(False).alias("is_dependance_candidate"))
-    meta = own.select("batiment_groupe_id", "code_commune_insee", "code_departement_insee", F.col("x").alias("gx"), F.col("y").alias("gy"), F.col("fictive").alias("fictive_groupe"))
-    rows = cons.unionByName(bare).join(meta, "batiment_groupe_id", "left").join(relation_stats(rel), "batiment_groupe_id", "left").join(best, "batiment_groupe_id", "left")
-    return rows.withColumn("geometry", resolve_geometry(min_fiabilite)).select("origin_id", "batiment_groupe_id", "code_commune_insee", "code_departement_insee", "n_addresses", "max_fiabilite", "is_dependance_candidate", "geometry.*")
+    cons = within(constructions)
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("x", "double"), ("y", "double"), ("fictive_cstr", "int"))]
+    if granularity == CONSTRUCTION:
+        flagged = dependance_flags(cons).select("batiment_groupe_id", F.col("batiment_construction_id").alias("origin_id"), "x", "y", F.col("fictive").cast("int").alias("fictive_cstr"), "is_dependance_candidate", F.lit(CONSTRUCTION).alias("granularity"))
+        bare = own.select("batiment_groupe_id").join(cons.select("batiment_groupe_id").distinct(), "batiment_groupe_id", "left_anti")
+        rows = flagged.unionByName(bare.select("batiment_groupe_id", F.col("batiment_groupe_id").alias("origin_id"), *nothing, F.lit(False).alias("is_dependance_candidate"), F.lit(GROUP).alias("granularity")))
+    else:
+        first = first_construction(cons.where("fictive is not null")).select("batiment_groupe_id", "x", "y", F.col("fictive").cast("int").alias("fictive_cstr"))
+        rows = own.select("batiment_groupe_id").join(first, "batiment_groupe_id", "left").select("batiment_groupe_id", F.col("batiment_groupe_id").alias("origin_id"), "x", "y", "fictive_cstr", F.lit(False).alias("is_dependance_candidate"), F.lit(GROUP).alias("granularity"))
+    used = usage.select("batiment_groupe_id", "usage_principal_bdnb_open").where(F.col("usage_principal_bdnb_open").isin(*residential))
+    meta = own.select("batiment_groupe_id", "code_commune_insee", "code_departement_insee", F.col("x").alias("gx"), F.col("y").alias("gy"), F.col("fictive").alias("fictive_groupe")).join(used, "batiment_groupe_id", "left")
+    rows = rows.join(meta, "batiment_groupe_id", "left").join(relation_stats(rel), "batiment_groupe_id", "left").join(best, "batiment_groupe_id", "left")
+    out = rows.withColumn("geometry", resolve_geometry(min_fiabilite)).select("origin_id", "batiment_groupe_id", "code_commune_insee", "code_departement_insee", "usage_principal_bdnb_open", "granularity", "n_addresses", "max_fiabilite", "is_dependance_candidate", "geometry.*")
+    return out.where(F.col("geometry_source") != "fictive") if drop_fictive_only else out.where(F.col("geometry_source").isNotNull())
 
 
 def classify_zone(dep: Column, distance_m: Column, departements, width: float = BORDER_WIDTH_M) -> Column:

@@ -62,6 +62,15 @@ SQL = {
                lpad(CAST(l_partkey % 26 AS STRING), 2, '0') || ':' || lpad(CAST(l_suppkey % 61 AS STRING), 2, '0') || ':00' AS departure_time FROM {lineitem}""",
     "routes": "SELECT CAST(k AS STRING) AS route_id, CASE WHEN k % 10 = 7 THEN '715' ELSE '3' END AS route_type, CASE WHEN k % 9 = 0 THEN 'p' ELSE 'L' END || CAST(k AS STRING) AS route_short_name FROM (SELECT DISTINCT o_custkey % 40 AS k FROM {orders}) x",
     "stops": "SELECT CAST(s_suppkey AS STRING) AS stop_id, CASE WHEN s_suppkey % 5 = 0 THEN CAST(s_suppkey * 2 AS STRING) WHEN s_suppkey % 5 = 1 THEN '' ELSE NULL END AS parent_station FROM {supplier}",
+    "res_groups": """
+        SELECT CAST(c_custkey AS STRING) AS batiment_groupe_id, CAST(c_nationkey AS STRING) AS code_commune_insee, CAST(c_nationkey % 4 AS STRING) AS code_departement_insee, CAST(c_custkey AS DOUBLE) AS x,
+               CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE CAST(c_custkey % 50 AS DOUBLE) END AS y, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(c_custkey % 3 = 0 AS INT) END AS fictive FROM {customer}""",
+    "res_constructions": """
+        SELECT CAST(o_orderkey AS STRING) AS batiment_construction_id, CAST(o_custkey AS STRING) AS batiment_groupe_id, o_orderkey % 3 = 0 AS has_address, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey % 5 = 0 END AS fictive,
+               CAST(o_orderkey AS DOUBLE) AS x, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 90 AS DOUBLE) END AS y FROM {orders} WHERE o_custkey % 10 <> 0""",
+    "res_relations": "SELECT CAST(l_suppkey AS STRING) AS batiment_groupe_id, CAST(l_partkey AS STRING) AS address_id, CASE WHEN l_partkey % 19 = 0 THEN NULL ELSE CAST(l_partkey % 30 AS INT) END AS fiabilite, l_orderkey * 10 + l_linenumber AS ord FROM {lineitem}",
+    "res_points": "SELECT CAST(p_partkey AS STRING) AS address_id, CAST(p_partkey AS DOUBLE) AS x, CAST(p_partkey % 70 AS DOUBLE) AS y FROM {part} WHERE p_partkey % 6 <> 0",
+    "findings": "SELECT n_name AS code_insee, 'avg_diversity' AS metric, 'seen in ' || n_name AS reason FROM {nation} WHERE n_nationkey % 4 = 1",
     "feed_calendar": "SELECT 'f' || CAST(CAST(service_id AS INT) % 7 AS STRING) AS feed_id, CAST(CAST(floor(CAST(service_id AS INT) / 7) AS INT) AS STRING) AS service_id, wednesday, start_date, end_date FROM {calendar}",
     "feed_dates": "SELECT 'f' || CAST(CAST(service_id AS INT) % 7 AS STRING) AS feed_id, CAST(CAST(floor(CAST(service_id AS INT) / 7) AS INT) AS STRING) AS service_id, date, exception_type FROM {calendar_dates}",
     "feed_trips": "SELECT 'f' || CAST(CAST(service_id AS INT) % 7 AS STRING) AS feed_id, trip_id, CAST(CAST(floor(CAST(service_id AS INT) / 7) AS INT) AS STRING) AS service_id, route_id FROM {trips}",

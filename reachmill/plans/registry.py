@@ -391,14 +391,45 @@ def group_address_metrics(get):
     return universe.group_address_metrics(get("groups"), get("relations"))
 
 
-@query("""SELECT origin_id, CASE WHEN s = 'geom_adresse' THEN ax WHEN s IN ('geom_cstr', 'geom_cstr_fictive') THEN x WHEN s IS NOT NULL THEN gx END AS x,
-  CASE WHEN s = 'geom_adresse' THEN ay WHEN s IN ('geom_cstr', 'geom_cstr_fictive') THEN y WHEN s IS NOT NULL THEN gy END AS y, s AS geometry_source
+@query("""SELECT origin_id, CASE WHEN s = 'geom_adresse' THEN ax WHEN s = 'geom_cstr' OR (s = 'fictive' AND x IS NOT NULL) THEN x WHEN s IS NOT NULL THEN gx END AS x,
+  CASE WHEN s = 'geom_adresse' THEN ay WHEN s = 'geom_cstr' OR (s = 'fictive' AND x IS NOT NULL) THEN y WHEN s IS NOT NULL THEN gy END AS y, s AS geometry_source
   FROM (SELECT *, CASE WHEN ax IS NOT NULL AND fiabilite >= 12 THEN 'geom_adresse' WHEN x IS NOT NULL AND fictive_cstr = 0 THEN 'geom_cstr' WHEN gx IS NOT NULL AND fictive_groupe = 0 THEN 'geom_groupe'
-        WHEN x IS NOT NULL THEN 'geom_cstr_fictive' WHEN gx IS NOT NULL THEN 'geom_groupe_fictive' END AS s FROM {geometry_candidates}) q""")
+        WHEN x IS NOT NULL THEN 'fictive' WHEN gx IS NOT NULL THEN 'fictive' END AS s FROM {geometry_candidates}) q""")
 def geometry_precedence(get):
     return get("geometry_candidates").withColumn("g", geo.resolve_geometry(12)).select("origin_id", "g.*")
 
 
+_HOMES = ["HOUSEHOLD", "FURNITURE"]
+_GROUPS = """own AS (SELECT g.*, u.usage_principal_bdnb_open FROM {res_groups} g JOIN {usage} u ON g.batiment_groupe_id = u.batiment_groupe_id WHERE u.usage_principal_bdnb_open IN (USAGES) AND g.code_departement_insee IN ('0', '1', '2')),
+  rel AS (SELECT r.* FROM {res_relations} r JOIN own ON own.batiment_groupe_id = r.batiment_groupe_id), st AS (SELECT batiment_groupe_id, CAST(count(*) AS BIGINT) AS n_addresses, max(fiabilite) AS max_fiabilite FROM rel GROUP BY 1),
+  best AS (SELECT b.batiment_groupe_id, b.fiabilite, p.x AS ax, p.y AS ay FROM (SELECT *, row_number() OVER (PARTITION BY batiment_groupe_id ORDER BY fiabilite DESC NULLS LAST, ord) AS n FROM rel) b LEFT JOIN {res_points} p ON p.address_id = b.address_id WHERE b.n = 1),
+  con AS (SELECT c.* FROM {res_constructions} c JOIN own ON own.batiment_groupe_id = c.batiment_groupe_id)"""
+_PLACED = """SELECT origin_id, q.batiment_groupe_id, own.code_commune_insee, own.code_departement_insee, own.usage_principal_bdnb_open, granularity, n_addresses, max_fiabilite, is_dependance_candidate,
+    CASE WHEN ax IS NOT NULL AND ay IS NOT NULL AND fiabilite >= 15 THEN 'geom_adresse' WHEN q.x IS NOT NULL AND q.y IS NOT NULL AND f = 0 THEN 'geom_cstr' WHEN own.x IS NOT NULL AND own.y IS NOT NULL AND own.fictive = 0 THEN 'geom_groupe'
+      WHEN q.x IS NOT NULL AND q.y IS NOT NULL AND f = 1 THEN 'fictive' WHEN own.x IS NOT NULL AND own.y IS NOT NULL AND own.fictive = 1 THEN 'fictive' END AS geometry_source, q.x AS qx, q.y AS qy, f, own.x AS gx, own.y AS gy, ax, ay
+  FROM q JOIN own ON own.batiment_groupe_id = q.batiment_groupe_id LEFT JOIN st ON st.batiment_groupe_id = q.batiment_groupe_id LEFT JOIN best ON best.batiment_groupe_id = q.batiment_groupe_id"""
+_RESOLVED = """SELECT origin_id, batiment_groupe_id, code_commune_insee, code_departement_insee, usage_principal_bdnb_open, granularity, n_addresses, max_fiabilite, is_dependance_candidate,
+  CASE WHEN geometry_source = 'geom_adresse' THEN ax WHEN geometry_source = 'geom_cstr' OR (geometry_source = 'fictive' AND qx IS NOT NULL AND qy IS NOT NULL AND f = 1) THEN qx ELSE gx END AS x,
+  CASE WHEN geometry_source = 'geom_adresse' THEN ay WHEN geometry_source = 'geom_cstr' OR (geometry_source = 'fictive' AND qx IS NOT NULL AND qy IS NOT NULL AND f = 1) THEN qy ELSE gy END AS y, geometry_source FROM w WHERE geometry_source IS NOT NULL"""
+
+
+def _residential(get, **how):
+    return universe.residential_universe(get("res_groups"), get("usage"), get("res_constructions"), get("res_relations"), get("res_points"), ["0", "1", "2"], min_fiabilite=15, residential=_HOMES, **how)
+
+
+@query(f"""WITH {_GROUPS.replace("USAGES", "'HOUSEHOLD', 'FURNITURE'")}, q AS (
+    SELECT batiment_construction_id AS origin_id, batiment_groupe_id, x, y, CAST(fictive AS INT) AS f, 'batiment_construction' AS granularity, count(*) OVER g >= 2 AND sum(CAST(has_address AS INT)) OVER g >= 1 AND NOT has_address AS is_dependance_candidate FROM con WINDOW g AS (PARTITION BY batiment_groupe_id)
+    UNION ALL SELECT batiment_groupe_id, batiment_groupe_id, NULL, NULL, NULL, 'groupe', false FROM own WHERE batiment_groupe_id NOT IN (SELECT batiment_groupe_id FROM con)), w AS ({_PLACED}) {_RESOLVED} AND geometry_source <> 'fictive'""")
+def residential_constructions(get):
+    return _residential(get)
+
+
+@query(f"""WITH {_GROUPS.replace("USAGES", "'HOUSEHOLD', 'FURNITURE'")}, c AS (SELECT *, row_number() OVER (PARTITION BY batiment_groupe_id ORDER BY batiment_construction_id) AS n FROM con WHERE NOT fictive),
+  q AS (SELECT own.batiment_groupe_id AS origin_id, own.batiment_groupe_id, c.x, c.y, CASE WHEN c.n = 1 THEN 0 END AS f, 'groupe' AS granularity, false AS is_dependance_candidate FROM own LEFT JOIN c ON c.batiment_groupe_id = own.batiment_groupe_id AND c.n = 1), w AS ({_PLACED}) {_RESOLVED}""")
+def residential_groups(get):
+    return _residential(get, granularity="groupe", drop_fictive_only=False)
+
+
 _ZONED = f"SELECT *, CASE WHEN DEP IN ('1', '2', '3') THEN 'region' WHEN distance_m < 25000 THEN 'strip' END AS zone FROM {{equipment}}"
 _KEPT_EQUIPMENT = f"SELECT * FROM ({_ZONED}) z WHERE zone IS NOT NULL AND (QUALITE_GEOLOC IN ('11', '12', '21', '22', '_U') OR coalesce(length(LIBVOIE) > 0, false))"
 
@@ -489,9 +520,9 @@ def territory_crosswalk(get):
 # deltas
 
 
-def _deltas(get):
-    agg = matrix.territory_aggregates(_building(get), get("crosswalk"), "commune", "car", CLUSTERS)
-    return deltas.deltas(agg, get("snapshot"), nb_prior=1.2, border=["NATION_1", "NATION_2", "NATION_3"])
+def _deltas(get, accepted=None):
+    agg = matrix.territory_aggregates(_building(get, True), get("crosswalk"), "commune", "car", CLUSTERS)
+    return deltas.deltas(agg, get("snapshot"), nb_prior=1.2, border=["NATION_1", "NATION_2", "NATION_3"], accepted=accepted)
 
 
 _D_OURS = " UNION ALL ".join(f"SELECT code_insee, '{m}' AS metric, CAST({m} AS DOUBLE) AS derived FROM agg WHERE mode = 'car'" for m in deltas.SNAPSHOT_MAP)
@@ -514,6 +545,21 @@ def _deltas_query(get):
     return _deltas(get).drop("reason").withColumn("delta_abs", F.round("delta_abs", 9)).withColumn("delta_rel", F.round("delta_rel", 9))
 
 
+_LIMIT = "CASE WHEN metric LIKE 'share%' OR metric = 'pct_iso_full' THEN '10 points' WHEN metric = 'avg_total' THEN '40 %' WHEN metric = 'avg_diversity' THEN '25 %' ELSE '30 %' END"
+_SIGNED = lambda c: f"CASE WHEN round(100 * {c}) > 0 THEN '+' ELSE '' END || CAST(CAST(round(100 * {c}) AS BIGINT) AS STRING)"
+_CHANGE = f"CASE WHEN metric LIKE 'share%' OR metric = 'pct_iso_full' THEN {_SIGNED('delta_abs')} || ' points' ELSE coalesce({_SIGNED('delta_rel')} || ' %', 'from zero') END"
+
+
+@query(_DELTAS + f""" SELECT k.code_insee, k.metric, CASE WHEN k.classification <> 'missing' AND f.reason IS NOT NULL THEN 'expected' ELSE k.classification END AS classification,
+  CASE WHEN snapshot IS NULL THEN 'absent from the snapshot' WHEN derived IS NULL THEN 'not derived' WHEN f.reason IS NOT NULL THEN 'accepted before: ' || f.reason
+    WHEN k.metric = 'nb_buildings' THEN CAST(CAST(round(100 * (derived / snapshot)) AS BIGINT) AS STRING) || ' % of the snapshot, ' || CASE WHEN k.classification = 'expected' THEN 'within ' ELSE 'beyond ' END || '30 % around the prior of 120 %'
+    ELSE CASE WHEN k.classification = 'flag' THEN 'beyond ' || {_LIMIT.replace("metric", "k.metric")} || ': ' WHEN k.metric IN ('avg_diversity', 'avg_total') AND NOT abs(delta_rel) <= CASE WHEN k.metric = 'avg_total' THEN CAST(0.4 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END
+      THEN 'beyond ' || {_LIMIT.replace("metric", "k.metric")} || ', a border commune that gained: ' ELSE 'within ' || {_LIMIT.replace("metric", "k.metric")} || ': ' END || {_CHANGE.replace("metric", "k.metric")} END AS reason
+  FROM k LEFT JOIN {{findings}} f ON f.code_insee = k.code_insee AND f.metric = k.metric""")
+def delta_reasons(get):
+    return _deltas(get, get("findings")).select("code_insee", "metric", "classification", "reason")
+
+
 @query(_DELTAS + " SELECT metric, classification, CAST(count(*) AS BIGINT) AS n FROM k GROUP BY metric, classification")
 def delta_counts(get):
     return deltas.delta_counts(_deltas(get))

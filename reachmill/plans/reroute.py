@@ -24,8 +24,14 @@ def reroute_key(addresses: DataFrame, links: DataFrame) -> str:
     return routing.plan_key({"addresses": addresses, "links": links.select("origin_id", "address_id").distinct()})
 
 
-def reroute_run(base: Run, folder: str, addresses: DataFrame, destinations: DataFrame, dest_map: DataFrame, plan_key: str, chunk_size: int | None = None) -> Run:
-    """The run of the rerouted addresses under their own ids, with the base run's modes, cap, router and departure.
+def base_destinations(base: Run) -> DataFrame:
+    """id, ord, lon, lat of the destinations as the base run planned them, from its own tables."""
+    points = base.plan_table("dest_points").select(F.col("id").alias("point_id"), "lon", "lat")
+    return base.plan_table("dest_link").join(points, "point_id").select("id", F.col("id").alias("ord"), "lon", "lat")
+
+
+def reroute_run(base: Run, folder: str, addresses: DataFrame, dest_map: DataFrame, plan_key: str, chunk_size: int | None = None) -> Run:
+    """The run of the rerouted addresses under their own ids, with the base run's destinations, modes, cap, router and departure.
 
     The key freezes the plan: the run cannot be taken up with another one.  A base run that is not complete raises.
     """
@@ -33,7 +39,7 @@ def reroute_run(base: Run, folder: str, addresses: DataFrame, destinations: Data
     if owed:
         raise ContractError(f"the base run owes {len(owed)} chunk(s)")
     points = addresses.where("routing_source = 'reroute' and lon is not null and lat is not null").select(F.col("address_id").alias("id"), F.col("address_id").alias("ord"), "lon", "lat")
-    return Run(folder, points, destinations, dest_map, base.modes, chunk_size or base.chunk_size, base.cap, base.router, base.identity["router"], base.departure, plan_key)
+    return Run(folder, points, base_destinations(base), dest_map, base.modes, chunk_size or base.chunk_size, base.cap, base.router, base.identity["router"], base.departure, plan_key)
 
 
 def address_table(base: Run, rerouted: Run | None, origin_link: DataFrame, addresses: DataFrame, strict: bool = False) -> DataFrame:

@@ -78,6 +78,10 @@ class Run:
     def _plan(self, name: str) -> str:
         return os.path.join(self.folder, "plan", name)
 
+    def plan_table(self, name: str) -> DataFrame:
+        """A table of the plan: points, link, dest_points or dest_link."""
+        return self.spark.read.parquet(self._plan(name))
+
     def chunk_path(self, mode: str, chunk_id: int) -> str:
         return os.path.join(self.folder, "chunks", f"mode={mode}", f"chunk_id={chunk_id}")
 
@@ -116,7 +120,7 @@ class Run:
 
     def _rows(self, mode: str, chunks: list[int]) -> DataFrame:
         """The rows of some chunks of a mode, with chunk_id."""
-        read = lambda n: self.spark.read.parquet(self._plan(n))
+        read = self.plan_table
         points = read("points").where(F.col("chunk_id").isin(chunks))
         routed = self.router(points.drop("chunk_id"), read("dest_points"), cap=self.cap, mode=mode, departure=self.departure)
         routed = routed.join(points.select(F.col("id").alias("from_id"), "chunk_id"), "from_id")

@@ -174,6 +174,34 @@ def test_deltas_example(spark):
     assert "| nb_buildings | 1 | 1 | 1 |" in report and "35002" in report
 
 
+def test_deltas_name_their_figures_and_findings(spark):
+    m = list(deltas.SNAPSHOT_MAP)
+    columns = ", ".join(f"{c} double" for c in m)
+    derived = spark.createDataFrame([(c, "car", *v) for c, v in (("1", [150.0, 0.5, 0.5, 0.75, 0.5, 0.5, 5.0, 2.0, 0.0]), ("2", [90.0, 0.5, 0.5, 0.5, 0.5, 0.5, 9.0, 2.0, 0.0]))], "code_insee string, mode string, " + columns)
+    snapshot = spark.createDataFrame([(c, "n", 100.0, 0.5, 0.5, 0.5, 0.5, 0.5, 4.0, 0.0, 0.0) for c in ("1", "2")], "code_insee string, nom_commune string, " + ", ".join(f"{c} double" for c in deltas.SNAPSHOT_MAP.values()))
+    accepted = spark.createDataFrame([("2", "avg_diversity", "measured twice")], "code_insee string, metric string, reason string")
+    got = {(r.code_insee, r.metric): (r.classification, r.reason) for r in deltas.deltas(derived, snapshot, nb_prior=1.4, border=["1"], accepted=accepted).collect()}
+    assert got["1", "nb_buildings"] == ("expected", "150 % of the snapshot, within 30 % around the prior of 140 %")
+    assert got["2", "nb_buildings"] == ("flag", "90 % of the snapshot, beyond 30 % around the prior of 140 %")
+    assert got["1", "share_administration"] == ("flag", "beyond 10 points: +25 points") and got["2", "share_administration"] == ("expected", "within 10 points: 0 points")
+    assert got["1", "avg_diversity"] == ("expected", "within 25 %: +25 %") and got["2", "avg_diversity"] == ("expected", "accepted before: measured twice")
+    assert got["1", "avg_total"] == ("flag", "beyond 40 %: from zero")
+    for rows, word in (([("2", "avg_diversity", " ")], "empty value"), ([("2", "height", "x")], "unknown metric"), ([("2", "avg_total", "x")] * 2, "duplicate"), ([(None, "avg_total", "x")], "empty value")):
+        with pytest.raises(ContractError, match=word):
+            deltas.deltas(derived, snapshot, nb_prior=1.4, accepted=spark.createDataFrame(rows, accepted.schema))
+    with pytest.raises(ContractError, match="reason"):
+        deltas.require_findings(accepted.drop("reason"))
+    with pytest.raises(ContractError, match="no mode boat"):
+        deltas.deltas(derived, snapshot, ref_mode="boat")
+    assert len(deltas.ROUTED_TYPES) == len(set(deltas.ROUTED_TYPES)) == 53 and set(deltas.DIVERGENCE["routed_but_not_recorded"]) < set(deltas.ROUTED_TYPES)
+    assert "a wider strip around the region" in deltas.drift_of("avg_total", True) and "a wider strip around the region" not in deltas.drift_of("avg_total", False) and deltas.drift_of("pct_iso_full") == []
+
+
+def test_a_reference_mode_is_atomic(spark):
+    with pytest.raises(ContractError, match="must be one of walk, bike, car"):
+        matrix.building_metrics(spark.createDataFrame([], MATRIX), ["A"], ref_mode="transit")
+
+
 def test_metrics_refuse_an_unknown_mode(spark):
     rows = [("b1", "T", "car", 1), ("b1", "T", "boat", 1)]
     for broken in (rows, [*rows[:1], ("b2", "T", None, 1)]):
@@ -272,7 +300,7 @@ def test_universe_examples(spark):
     g = spark.createDataFrame([(10.0, 20.0, 30.0, 0, 0, 20), (None, 21.0, 31.0, 0, 0, 20), (None, None, None, 0, 0, None), (40.0, 42.0, 44.0, 1, 1, 20), (None, None, None, 0, 1, None)], "x double, gx double, ax double, fictive_cstr int, fictive_groupe int, fiabilite int")
     g = g.withColumn("y", F.col("x")).withColumn("gy", F.col("gx")).withColumn("ay", F.col("ax"))
     assert [r.g.x for r in g.select(geo.resolve_geometry(0).alias("g")).collect()] == [30.0, 31.0, None, 44.0, None]
-    assert [r.g.geometry_source for r in g.select(geo.resolve_geometry(21).alias("g")).collect()] == ["geom_cstr", "geom_groupe", None, "geom_cstr_fictive", None]
+    assert [r.g.geometry_source for r in g.select(geo.resolve_geometry(21).alias("g")).collect()] == ["geom_cstr", "geom_groupe", None, "fictive", None]
     origins = spark.createDataFrame([("c1", "g1", "35001", "35"), ("c2", "g1", "35002", "35")], "origin_id string, batiment_groupe_id string, code_commune_insee string, code_departement_insee string")
     for address, want in (("35001_x", "35001"), ("99999_x", None)):
         links = spark.createDataFrame([("c1", address), ("c2", address)], "origin_id string, address_id string")

@@ -166,12 +166,14 @@ def test_reroutes(spark, base, town, tmp_path):
     links = spark.createDataFrame([("o0", "a0"), ("o1", "a1"), ("o2", "a2")], "origin_id string, address_id string")
     key = reroute.reroute_key(addresses, links)
     assert key == reroute.reroute_key(addresses.orderBy(F.desc("address_id")).select(*addresses.columns[::-1]), links.unionByName(links))
-    run = reroute.reroute_run(base, str(tmp_path / "r"), addresses, *town[1:], key)
+    run = reroute.reroute_run(base, str(tmp_path / "r"), addresses, town[2], key)
     run.execute()
+    same = lambda df: sorted((r.id, r.lon, r.lat) for r in df.collect())
+    assert same(reroute.base_destinations(base)) == same(town[1])
     assert {r[0] for r in run.matrix().select("batiment_id").distinct().collect()} == {"a1", "a2"}
     changed = reroute.reroute_key(addresses, links.limit(2))
     with pytest.raises(ContractError, match="plan_key"):
-        reroute.reroute_run(base, str(tmp_path / "r"), addresses, *town[1:], changed)
+        reroute.reroute_run(base, str(tmp_path / "r"), addresses, town[2], changed)
     link = spark.read.parquet(os.path.join(base.folder, "plan", "link"))
     wide = reroute.address_table(base, run, link, addresses)
     assert {r[0] for r in wide.select("address_id").distinct().collect()} == {"a0", "a1", "a2"}
@@ -342,6 +344,22 @@ def test_residential_universe(spark):
     assert set(got) == {"c1", "c2", "g2"}
     assert (got["c1"].x, got["c1"].geometry_source, got["c1"].n_addresses, got["c1"].is_dependance_candidate) == (9.0, "geom_adresse", 2, False)
     assert got["c2"].is_dependance_candidate and (got["g2"].x, got["g2"].geometry_source) == (2.0, "geom_groupe")
+    assert (got["c1"].granularity, got["g2"].granularity, got["g2"].usage_principal_bdnb_open) == ("batiment_construction", "groupe", "Résidentiel collectif")
+    # one origin a group; the address is too unsure, so the first real construction gives the place
+    by_group = {r.origin_id: r for r in universe.residential_universe(groups, usage, constructions, relations, points, ["35"], min_fiabilite=50, granularity="groupe").collect()}
+    assert set(by_group) == {"g1", "g2"} and (by_group["g1"].x, by_group["g1"].geometry_source, by_group["g1"].is_dependance_candidate) == (5.0, "geom_cstr", False)
+    fictive = groups.withColumn("fictive", F.lit(True))
+    assert {r.origin_id for r in universe.residential_universe(fictive, usage, constructions, relations, points, ["35"]).collect()} == {"c1", "c2"}
+    kept = universe.residential_universe(fictive, usage, constructions, relations, points, ["35"], drop_fictive_only=False).collect()
+    assert {(r.origin_id, r.geometry_source) for r in kept} == {("c1", "geom_adresse"), ("c2", "geom_adresse"), ("g2", "fictive")}
+    unknown = fictive.withColumn("fictive", F.lit(None).cast("boolean"))  # neither real nor fictive: not used
+    assert {r.origin_id for r in universe.residential_universe(unknown, usage, constructions, relations, points, ["35"], drop_fictive_only=False).collect()} == {"c1", "c2"}
+    mixed = usage.unionByName(spark.createDataFrame([("g5", "Résidentiel indifférencié")], usage.schema))
+    more = groups.unionByName(groups.where("batiment_groupe_id = 'g2'").withColumn("batiment_groupe_id", F.lit("g5")))
+    for wanted in (False, True):
+        assert ("g5" in {r.origin_id for r in universe.residential_universe(more, mixed, constructions, relations, points, include_indifferencie=wanted).collect()}) == wanted
+    with pytest.raises(ContractError, match="granularity"):
+        universe.residential_universe(groups, usage, constructions, relations, points, granularity="street")
 
 
 def test_territories(spark):
