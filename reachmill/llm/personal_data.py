@@ -2,13 +2,14 @@
 
 The field scores whole candidate segments (digit groups, separators, checks,
 neighbouring characters) rather than single tokens.  Dynamic programming over
-segments of at most MAX_TOKENS tokens chooses boundaries and kinds jointly and
+segments of at most MAX_TOKENS tokens (a parameter) chooses boundaries and kinds jointly and
 gives their posterior probabilities; found patterns are held fixed.  It works on
 places with digits, "@" or a written-out "at" or "dot", since no entity can lie
 elsewhere.  It is there for what the patterns miss: it is fitted on a bounded
 sample of places of the corpus, with the patterns as labels, and on examples of
 disguised entities (blanks and line breaks inside, other separators, a missing
-plus, "[at]", " dot ") and of look-alikes, which are made by rule.
+plus, local numbers of several countries, "[at]", " dot ") and of look-alikes
+(dates, clocks, scores, sums, lists), which are made by rule.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from reachmill.llm.common import ship, small_batches, tidy, unpack
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 32
 #: Places of the corpus and made examples that the field is fitted on, about, and the posterior that an added span needs.
-SAMPLE_PLACES, MADE, SURE = 1500, 1200, 0.9
+SAMPLE_PLACES, MADE, SURE = 1500, 3200, 0.9
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -33,7 +34,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_PLACE = re.compile(r"[0-9@]+|[(\[{<] ?(?i:at|dot) ?[)\]}>]|(?<=\s)(?i:dot)(?=\s)")
+_PLACE = re.compile(r"[0-9@]+|[(\[{<] ?(?i:at|dot|\.) ?[)\]}>]|(?<=\s)(?i:dot)(?=\s)|(?<=\s)(?i:at)(?=\s[A-Za-z0-9-]+\.[A-Za-z])")
 _MARK_WORD = re.compile(r"@|\.|[(\[{<]?(?i:at|dot|\.)[)\]}>]?")
 _WORD = re.compile(r"\S+")
 _AT = r"(?:\s?@\s?|\s?[(\[{<] ?(?i:at) ?[)\]}>]\s?|\s(?i:at)\s)"
@@ -91,12 +92,13 @@ def places(text: str, gap: int = 3):
         low = out[-1][1] if out else 0
         a, b = _begin(text, a, low), _end(text, b)
         bare = not m[0].isdigit()
+        alone = (bare and "@" not in m[0] and a == m.start(), bare and "@" not in m[0] and b == m.end())
         while bare and a > low:  # a word is taken in next to a mark word
             before = _end_before(text, a, low)
             if before is None:
                 break
             at = _begin(text, before, low)
-            if not (text[a] == "@" or _MARK_WORD.fullmatch(text, a, _end(text, a)) or _MARK_WORD.fullmatch(text, at, before)):
+            if not ((alone[0] and a == m.start()) or text[a] == "@" or _MARK_WORD.fullmatch(text, a, _end(text, a)) or _MARK_WORD.fullmatch(text, at, before)):
                 break
             a = at
         while bare:
@@ -104,7 +106,7 @@ def places(text: str, gap: int = 3):
             if not after:
                 break
             till = _end(text, after.start())
-            if not (text[b - 1] == "@" or _MARK_WORD.fullmatch(text, max(a, _begin(text, b, a)), b) or _MARK_WORD.fullmatch(text, after.start(), till)):
+            if not ((alone[1] and b == m.end()) or text[b - 1] == "@" or _MARK_WORD.fullmatch(text, max(a, _begin(text, b, a)), b) or _MARK_WORD.fullmatch(text, after.start(), till)):
                 break
             b = till
         if out and a - out[-1][1] <= gap:
@@ -140,19 +142,19 @@ def _sort(c: str) -> str:
     return "edge" if not c else "blank" if c.isspace() else "digit" if c.isdigit() else "letter" if c.isalpha() else "mark"
 
 
-def segments(text: str, start: int, end: int):
-    """Token bounds of a place and its candidate segments (first token, last token + 1, kinds, features)."""
+def segments(text: str, start: int, end: int, most: int = MAX_TOKENS):
+    """Token bounds of a place and its candidate segments of ``most`` tokens (first token, last token + 1, kinds, features)."""
     bounds = [(start + m.start(), start + m.end()) for m in _TOKEN.finditer(text[start:end])]
-    return bounds, _candidates(text, bounds)
+    return bounds, _candidates(text, bounds, most)
 
 
-def _candidates(text, bounds):
+def _candidates(text, bounds, most):
     alnum = lambda i: 0 <= i < len(text) and text[i].isalnum()
     for i, (a, _) in enumerate(bounds):
         if not (text[a].isalnum() or text[a] in "+(") or alnum(a - 1):
             continue
         digits, letters, at, before = 0, False, False, ""
-        for j in range(i, min(len(bounds), i + MAX_TOKENS)):
+        for j in range(i, min(len(bounds), i + most)):
             p, q = bounds[j]
             c = text[p]
             if c in "\r\t" or c == before == "\n":
@@ -170,73 +172,139 @@ def _candidates(text, bounds):
                 yield i, j + 1, (0,), segment_features(text, a, q)
 
 
+_DATE = re.compile(r"(?<![0-9])(?:(?:1[89]|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:1[89]|20)[0-9]{2})(?![0-9])")
+_LABEL = re.compile(r"[A-Za-z0-9-]+$")
+
+
 def segment_features(text: str, a: int, b: int) -> list[str]:
     span = text[a:b]
+    if re.search("[A-Za-z]", span):
+        return _mail_features(text, a, b, span)
     groups = re.findall("[0-9]+", span)
     digits = "".join(groups)
-    between = sorted(set(re.findall("[^0-9A-Za-z]+", span[1:])))
+    between = sorted(set(re.findall("[^0-9]+", span[1:])))
     n = len(digits)
     size = next(s for s in (3, 7, 10, 15, 19, 10**9) if n <= s)
     shape = "-".join([str(len(g)) for g in groups[:6]])
+    joined = "|".join(between)[:12]
     octets = len(groups) == 4 and all(len(g) < 4 and int(g) <= 255 for g in groups) and all("." in s for s in between)
     even = len(set(map(len, groups[:-1]))) == 1
-    letters = bool(re.search("[A-Za-z]", span))
+    trunk = digits[0] == "0" and digits[1:2] != "0" and 7 <= n <= 12
+    good = 16 <= n <= 19 and even and luhn(digits)
+    marks = re.sub("[0-9]+", "", span)
     return [
         "one",
         f"digits<={size}",
         f"groups={min(len(groups), 6)}",
-        f"between={'|'.join(between)[:12]}" if not letters else f"at={'@' in span} dot={'.' in span}",
+        f"between={joined}",
         f"unlike={min(len(between), 4)}",
-        f"first={span[0] if span[0] in '+(' else _sort(span[0])}",
+        f"first={span[0] if span[0] in '+(' else 'digit'}",
         f"before={_sort(text[a - 1 : a])}",
         f"after={_sort(text[b : b + 1])}",
         f"plus={span[0] == '+' and 8 <= n <= 15}",
-        f"luhn={16 <= n <= 19 and even and luhn(digits)}",
+        f"luhn={good}",
+        f"luhn={good} shape={shape} issuer={digits[0] in '3456'}",
+        f"luhn={good} between={joined}",
         f"octets={octets}",
-        f"shape={shape if not letters else 'letters'}",
-        f"zeros={digits.startswith('00') and 10 <= n <= 15}",
+        f"shape={shape}",
+        f"shape={shape} between={joined}",
+        f"zeros={digits.startswith('00') and 9 <= n <= 15}",
+        f"trunk={trunk}",
+        f"trunk={trunk} n={n if 7 <= n <= 12 else 0}",
+        f"trunk={trunk} between={joined}",
+        f"date={bool(_DATE.search(span))}",
+        f"clock={':' in marks} list={', ' in marks}",
+        f"length<={next(s for s in (8, 12, 16, 20, 32, 10**9) if len(span) <= s)}",
+    ]
+
+
+def _mail_features(text, a, b, span):
+    at = "@" if "@" in span else "bracket" if re.search(r"[(\[{<] ?at", span, re.I) else "word"
+    words = len(re.findall(r"\sdot\s", span, re.I))
+    dot = "bracket" if re.search(r"[(\[{<] ?(?:dot|\.)", span, re.I) else "word" if words else "."
+    last = _LABEL.search(span)[0].lower()
+    upper = bool(re.search(r"\s(?:AT|DOT)\s", span))
+    return [
+        "one",
+        f"at={at}",
+        f"dot={dot}",
+        f"at={at} dot={dot} upper={upper}",
+        f"dots={min(3, words + span.count('.') + len(re.findall('dot[)\\]}>]', span, re.I)))}",
+        f"blanks={min(6, len(re.findall(chr(92) + 's', span)))}",
+        f"top={last if len(last) <= 4 else len(last)}",
+        f"top<={min(5, len(last))} alpha={last.isalpha()}",
+        f"before={_sort(text[a - 1 : a])}",
+        f"after={_sort(text[b : b + 1])}",
         f"length<={next(s for s in (8, 12, 16, 20, 32, 10**9) if len(span) <= s)}",
     ]
 
 
+# Top-level domains that made addresses end in, besides made-up ones.
+TOPS = ["com", "org", "net", "de", "fr", "uk", "it", "es", "nl", "eu", "io", "edu", "info", "ch", "at", "be", "ru", "pl"]
+
+
+def _card(dice, good=True):
+    own = str(dice.choice([3, 4, 5, 6])) + "".join(dice.choice("0123456789") for _ in range(14))
+    return own + next(d for d in "0123456789" if luhn(own + d) == good)
+
+
 def disguised(kind: str, dice: random.Random) -> str:
     """An entity of a kind in a form that its pattern does not find as a whole."""
     digits = lambda n: "".join(dice.choice("0123456789") for _ in range(n))
+    some = lambda n: str(dice.randint(1, 9)) + digits(n - 1)
     name = lambda a, b: "".join(dice.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(dice.randint(a, b)))
     if kind == "email":
-        local, host, top = name(3, 9) + dice.choice(["", "." + name(3, 7), digits(2)]), name(4, 9), name(2, 3)
-        at, dot = dice.choice([(" @ ", "."), ("@ ", "."), (" @", "."), ("[at]", "."), ("(at)", "."), (" [at] ", "[dot]"), (" at ", " dot "), ("@", " dot "), ("@\n", "."), ("(at)", "(dot)"), ("@", "[.]"), (" AT ", " DOT ")])
-        return f"{local}{at}{host}{dot}{top}"
+        local = name(2, 9) + dice.choice(["", "", dice.choice("._-") + name(1, 7), digits(2)])
+        labels = [name(2, 9) for _ in range(dice.choice([1, 1, 1, 2]))] + [dice.choice(TOPS) if dice.random() < 0.75 else name(2, 3)]
+        left, right = dice.choice(["()", "[]", "{}", "<>"])
+        gap, inner = dice.choice(["", "", " "]), dice.choice(["", "", " "])
+        wrapped = lambda word: f"{gap}{left}{inner}{word}{inner}{right}{gap}"
+        at, dot = dice.choice([
+            (dice.choice([" @ ", "@ ", " @", "@\n"]), "."), (wrapped("at"), "."), (wrapped("at"), wrapped("dot")), (" at ", " dot "), (" AT ", " DOT "), ("@", " dot "), ("@", wrapped(".")), ("@", wrapped("dot")), (wrapped("AT"), wrapped("DOT")), (" at ", "."),
+        ])
+        return local + at + dot.join(labels)
     if kind == "ip":
-        return dice.choice([" . ", ". ", "[.]", "(.)", " ."]).join(str(dice.randint(0, 255)) for _ in range(4))
+        odd = [" . ", ". ", " .", "[.]", "(.)"]
+        marks = [dice.choice(odd)] * 3 if dice.random() < 0.5 else dice.sample([dice.choice(odd), dice.choice([".", dice.choice(odd)]), "."], 3)
+        parts = [str(dice.choice([dice.randint(0, 255), dice.randint(0, 20), dice.choice([10, 127, 168, 172, 192])])) for _ in range(4)]
+        return "".join(p + m for p, m in zip(parts, [*marks, ""]))
     if kind == "card":
-        own = digits(15)
-        own += next(d for d in "0123456789" if luhn(own + d))
-        return dice.choice([".", "/", "  ", " - ", "\n", "_", ", "]).join(own[i : i + 4] for i in range(0, 16, 4))
-    area, middle, last = str(dice.randint(200, 999)), digits(3), digits(4)
-    pairs = [digits(2) for _ in range(4)]
-    return dice.choice([f"({area}) {middle}-{last}", f"{area}-{middle}-{last}", f"1 ({area}) {middle}-{last}", f"1-{area}-{middle}-{last}", f"00{dice.randint(30, 49)} {digits(1)} {' '.join(pairs)}", f"+{dice.randint(30, 49)}/{digits(1)}/{'/'.join(pairs)}", f"+1\n{area}\n{middle}-{last}"])
+        own = _card(dice)
+        return dice.choice([".", "/", "  ", " - ", "\n", "_", ", ", " / "]).join(own[i : i + 4] for i in range(0, 16, 4))
+    area, middle, last, mark = str(dice.randint(200, 999)), digits(3), digits(4), dice.choice(" -")
+    pairs, country = [digits(2) for _ in range(4)], dice.randint(30, 49)
+    return dice.choice([
+        f"({area}) {middle}-{last}", f"{area}-{middle}-{last}", f"{area}.{middle}.{last}", f"1 ({area}) {middle}-{last}", f"1-{area}-{middle}-{last}", f"00{country} {digits(1)} {' '.join(pairs)}", f"00{country} {some(2)} {digits(6)}",
+        f"+{country}/{digits(1)}/{'/'.join(pairs)}", f"+1\n{area}\n{middle}-{last}", mark.join([f"0{some(1)}", *pairs]), mark.join([f"0{some(1)}", *pairs]), f"0{some(3)}{dice.choice(['/', ' / ', '-', ' '])}{some(dice.randint(5, 8))}", f"0{some(2)}{dice.choice(['/', ' / ', '-', ' '])}{some(dice.randint(5, 8))}",
+        f"0{some(2)} {digits(4)} {last}", f"0{some(1)}{dice.choice('- ')}{digits(4)}{dice.choice('- ')}{last}", f"0{some(4)} {digits(6)}", f"0{some(3)} {digits(3)} {last}", f"(0{some(dice.randint(2, 4))}) {some(dice.randint(5, 8))}", f"(0{some(2)}) {digits(3)}-{digits(dice.randint(3, 5))}",
+    ])
 
 
 def look_alike(dice: random.Random) -> str:
     """Digits and marks that are no personal data."""
     digits = lambda n: "".join(dice.choice("0123456789") for _ in range(n))
-    bad = digits(15)
-    bad += next(d for d in "0123456789" if not luhn(bad + d))
-    year, month, day = dice.randint(1900, 2099), dice.randint(1, 12), dice.randint(1, 28)
+    some = lambda n: str(dice.randint(1, 9)) + digits(n - 1)
+    word = lambda: dice.choice(["look", "noon", "the", "home", "ten", "over", "line", "we", "met", "end", "last", "page"])
+    bad, year, month, day = _card(dice, False), dice.randint(1800, 2099), dice.randint(1, 12), dice.randint(1, 28)
+    clock, mark = f"{dice.randint(0, 23):02}:{dice.randint(0, 59):02}", dice.choice("-/.")
+    date = dice.choice([f"{year}{mark}{month:02}{mark}{day:02}", f"{day:02}{mark}{month:02}{mark}{year}", f"{day}{mark}{month}{mark}{year % 100:02}"])
+    score = lambda: f"{dice.randint(0, 25)}{dice.choice('-:')}{dice.randint(0, 25)}"
     return dice.choice([
-        dice.choice([".", "/", "  ", " - ", " "]).join(bad[i : i + 4] for i in range(0, 16, 4)), dice.choice([" . ", "[.]", "."]).join(str(dice.randint(256, 999)) for _ in range(4)),
-        f"{year}-{month:02}-{day:02}", f"{day:02}/{month:02}/{year}", f"{day}.{month}.{year}", f"{dice.randint(0, 23):02}:{dice.randint(0, 59):02}", f"{year} - {year + 5}", f"978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}",
-        f"{digits(2)}.{digits(3)}.{digits(3)},{digits(2)}", f"{digits(1)},{digits(3)},{digits(3)}", f"v{digits(1)}.{digits(1)}.{digits(2)}", f"at {digits(4)} dot {digits(3)}", f"look at the dot over the i {digits(2)}", f"see @ {digits(4)}", f"{digits(5)}", f"{digits(8)}", f"{digits(10)}", f"{digits(16)}", f"{digits(3)} {digits(3)} {digits(4)}", f"({year}) {digits(3)}-{digits(3)}",
+        dice.choice([".", "/", "  ", " - ", " ", "-", "_"]).join(bad[i : i + 4] for i in range(0, 16, 4)), dice.choice([" . ", "[.]", "."]).join(str(dice.randint(256, 999)) for _ in range(4)),
+        date, f"{date} {clock}", f"{date} {clock}:{digits(2)}", f"{date}, {clock}", f"{date}T{clock}:{digits(2)}", clock, f"{clock}:{digits(2)}", f"{clock}:{digits(2)},{digits(3)}", f"{clock} - {clock}", f"{year} - {year + 5}", f"{year}-{year + 4}", f"978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}",
+        dice.choice([" ", ", "]).join(score() for _ in range(dice.randint(2, 5))), ", ".join(str(year + i) for i in range(4)), ", ".join(some(dice.randint(1, 2)) for _ in range(dice.randint(3, 6))), f"{some(3)}-{some(3)}",
+        f"{digits(2)}.{digits(3)}.{digits(3)},{digits(2)}", f"{some(1)}.{digits(3)}.{digits(3)}", f"{some(1)} {digits(3)} {digits(3)}", f"{some(3)} {digits(3)} {digits(3)}", f"{some(1)} {digits(3)} {digits(3)},{digits(2)}", f"{digits(1)},{digits(3)},{digits(3)}", f"{some(2)},{digits(3)},{digits(3)}",
+        f"{some(2)}.{digits(4)}, {some(1)}.{digits(4)}", f"0,{digits(1)} 0,{digits(2)} 0,{digits(3)}", f"0.{digits(dice.randint(4, 9))}", f"{some(1)}.{digits(dice.randint(4, 9))}", f"v{digits(1)}.{digits(1)}.{digits(2)}", f"{some(2)}.{digits(1)}.{digits(2)}", f"{some(2)}-{digits(3)}", f"{some(3)} x {some(3)}",
+        f"at {digits(4)} dot {digits(3)}", f"{word()} at {word()} dot {word()}", f"{word()} at {word()} dot", f"{word()} at {word()}.{word().title()}", f"{word()} at {word()}.", f"look at the dot over the i {digits(2)}", f"see @ {digits(4)}", f"{digits(5)}", f"{some(8)}", f"{some(10)}", f"{digits(16)}", f"{some(3)} {digits(3)} {digits(4)}", f"({year}) {digits(3)}-{digits(3)}", f"{some(2)} {some(2)} {some(2)} {some(2)}",
     ])
 
 
 def made_examples(n: int, seed: int = 1) -> list:
-    """n texts as (text, start, end, gold) of their places: three in four with a disguised entity."""
+    """n texts as (text, start, end, gold) of their places: half of them with a disguised entity."""
     dice, out = random.Random(seed), []
     words = ["call", "the", "und", "pour", "is", "de", "mail:", "number", "from", "por", "a", "(see", "Tel."]
     for i in range(n):
-        kind = i % 4 if i % 16 < 12 else None
+        kind = i % 4 if i % 8 < 4 else None
         before, after = dice.choice(words) + " ", dice.choice(["", ".", ",", ")"]) + " " + dice.choice(words)
         span = disguised(KINDS[kind], dice) if kind is not None else look_alike(dice)
         text = before + span + after
@@ -248,8 +316,9 @@ def made_examples(n: int, seed: int = 1) -> list:
 class Field:
     """Weights of segment features by kind; every token outside a segment scores its own weight."""
 
-    def __init__(self):
+    def __init__(self, max_tokens=MAX_TOKENS):
         self.w: dict = {}
+        self.max_tokens = max_tokens
 
     def score(self, kind, features):
         w = self.w
@@ -257,7 +326,7 @@ class Field:
 
     def lattice(self, text, start, end, fixed=(), learn=True):
         """(tokens, arcs by end): arcs (from, kind or None, score, features to learn from); fixed spans exclude what crosses them."""
-        bounds, found = segments(text, start, end)
+        bounds, found = segments(text, start, end, self.max_tokens)
         arcs: list[list] = [[] for _ in range(len(bounds) + 1)]
         for i, (p, q) in enumerate(bounds):
             features = [f"out={_sort(text[p])}"]
@@ -385,7 +454,7 @@ def _examples(batches):
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.string())], names=["place", "start", "gold"])
 
 
-def fit(rows: DataFrame, sample: int = SAMPLE_PLACES) -> Field:
+def fit(rows: DataFrame, sample: int = SAMPLE_PLACES, max_tokens: int = MAX_TOKENS) -> Field:
     """The field, from about ``sample`` places of the rows(doc_id, text), chosen by a hash of the place, and from made examples."""
     marked = rows.where(F.col("text").rlike("[0-9@]"))
     n = marked.count()
@@ -398,7 +467,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE_PLACES) -> Field:
         text = r[0]
         end = len(text) - (1 if text and text[-1:].isspace() else 0)
         examples.append((text, r[1], end, [(KINDS.index(k), int(s), int(e)) for k, s, e in gold]))
-    return Field().fit(examples + made_examples(MADE))
+    return Field(max_tokens).fit(examples + made_examples(MADE))
 
 
 def _scan(shared, masked):
@@ -425,7 +494,7 @@ def _scan(shared, masked):
     return run
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_masked: bool = False, sample: int = SAMPLE_PLACES) -> DataFrame:
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_masked: bool = False, sample: int = SAMPLE_PLACES, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (and the masked text) of every row of docs.
 
     Counts and base_sha256 are those of the patterns; spans holds all spans as
@@ -436,7 +505,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    field = fit(rows, sample)
+    field = fit(rows, sample, max_tokens)
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string" + ", text string" * with_masked
     return rows.mapInArrow(tidy(_scan(ship(spark, field), with_masked)), schema)
 
@@ -457,10 +526,10 @@ def _mask(shared, text_at, size_at):
     return run
 
 
-def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", sample: int = SAMPLE_PLACES) -> DataFrame:
+def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", sample: int = SAMPLE_PLACES, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """The rows of docs, all columns, with every span of personal_data masked; size_col, where there is one, becomes the new length."""
     spark = docs.sparkSession
     small_batches(spark)
-    field = fit(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), sample)
+    field = fit(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), sample, max_tokens)
     size_at = docs.columns.index(size_col) if size_col in docs.columns else None
     return docs.mapInArrow(tidy(_mask(ship(spark, field), docs.columns.index(text_col), size_at)), docs.schema)
