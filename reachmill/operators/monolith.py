@@ -40,6 +40,14 @@ def conflicts(rows: DataFrame, key) -> DataFrame:
     return rows.groupBy(*key).agg(F.count_distinct(F.struct(*rest)).alias("n_versions")).where("n_versions > 1")
 
 
+def single_values(rows: DataFrame, key, column: str, strict: bool = True) -> DataFrame:
+    """key and the one value of a column that is present for it, null without any; several values raise when strict."""
+    out = rows.groupBy(*key).agg(F.max(column).alias(column), (F.min(column) != F.max(column)).alias("_clash"))
+    if strict:
+        require_none(out.where("_clash").select(*key), f"several values of {column}")
+    return out.drop("_clash")
+
+
 def collapse(rows: DataFrame, key=tuple(MONOLITH_KEY), strict: bool = False) -> DataFrame:
     """One row per key.  Rows of a key must be equal (raises when strict)."""
     key = list(key)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from reachmill.functions import geo
 from reachmill.functions.contracts import ATOMIC, LEVELS, MODES, RUNGS, ContractError, gain_report, matrix_report
 from reachmill.operators import aggregates, deltas, feeds, gtfs, matrix, monolith, region, routing, universe
-from reachmill.plans import publisher, reroute
+from reachmill.plans import inputs, publisher, reroute
 from reachmill.plans.adapters import CLUSTERS, KEPT, METRICS, as_query, frame
 from reachmill.plans.runner import Run, run_metadata
 from reachmill.sources import timetables
@@ -469,6 +469,43 @@ def region_universe(get):
     return kept.select("universe_row", "TYPEQU", "zone", F.round("distance_m", 3).alias("distance_m"))
 
 
+_KEPT = ["TYPEQU", "SIRET", "LONGITUDE", "LATITUDE", "DEP", "QUALITE_GEOLOC", "LIBVOIE", "DEPCOM", "NOMRS", "zone"]
+_ORDERED = ["DEP", "DEPCOM", "TYPEQU", "SIRET", "LONGITUDE", "LATITUDE", "QUALITE_GEOLOC", "LIBVOIE", "NOMRS", "zone"]
+_UNIVERSE = f"""{_REGION}, z AS (SELECT q.*, CASE WHEN DEP IN ('1', '2', '3') THEN 'region' ELSE 'strip' END AS zone FROM (
+    SELECT *, DEP || '0' AS DEPCOM, CASE WHEN SIRET = '4' THEN '' ELSE 'n' END AS NOMRS FROM (SELECT * FROM {{equipment}} UNION ALL SELECT * FROM {{equipment}} WHERE universe_row % 5 = 0) d) q LEFT JOIN near n ON q.universe_row = n.universe_row
+    WHERE (DEP IN ('1', '2', '3') OR (m < 25000 AND DEP IN ('4', '5', '6', '7'))) AND (QUALITE_GEOLOC IN ('11', '12', '21', '22', '_U') OR coalesce(length(LIBVOIE) > 0, false))),
+  kept AS (SELECT {", ".join(_KEPT)}, row_number() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in _ORDERED)}) AS universe_row FROM z)"""
+
+
+def _kept_universe(get):
+    towns = get("equipment").unionByName(get("equipment").where("universe_row % 5 = 0")).drop("distance_m", "universe_row")
+    towns = towns.withColumn("DEPCOM", F.concat("DEP", F.lit("0"))).withColumn("NOMRS", F.when(F.col("SIRET") == "4", "").otherwise("n"))
+    kept = inputs.destination_universe(towns, _region_edges(get), ["1", "2", "3"], ["4", "5", "6", "7"])
+    return kept.select("universe_row", *_KEPT)
+
+
+@query(f"""WITH {_UNIVERSE}, f AS (SELECT {", ".join(_KEPT)}, min(universe_row) AS first FROM kept WHERE LONGITUDE IS NOT NULL AND LATITUDE IS NOT NULL GROUP BY ALL),
+  i AS (SELECT *, printf('bpe_listing_%06d', row_number() OVER (ORDER BY first)) AS id FROM f)
+  SELECT k.universe_row, i.id, i.id AS base_id, k.TYPEQU, k.SIRET, k.NOMRS, k.DEP, k.DEPCOM, k.LONGITUDE AS lon, k.LATITUDE AS lat, k.zone FROM kept k JOIN i ON {" AND ".join(f"k.{c} IS NOT DISTINCT FROM i.{c}" for c in _KEPT)}""")
+def destination_registry(get):
+    return inputs.destination_plan(_kept_universe(get))["registry"]
+
+
+@query(f"""WITH {_UNIVERSE}, r AS (SELECT *, LONGITUDE IS NOT NULL AND LATITUDE IS NOT NULL AS there FROM kept)
+  SELECT CAST(count(*) AS BIGINT) AS n_universe, CAST(count(CASE WHEN there THEN 1 END) AS BIGINT) AS n_routable, CAST(count(CASE WHEN NOT there THEN 1 END) AS BIGINT) AS n_na_coord, CAST(count(CASE WHEN zone = 'region' THEN 1 END) AS BIGINT) AS n_region,
+  CAST(count(CASE WHEN zone = 'strip' THEN 1 END) AS BIGINT) AS n_strip, CAST(count(CASE WHEN SIRET IS NULL THEN 1 END) AS BIGINT) AS n_siret_na, CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT SIRET FROM kept) x) AS BIGINT) AS n_siret_shared,
+  CAST(count(CASE WHEN there AND SIRET = '' THEN 1 END) AS BIGINT) AS n_empty_siret, CAST(count(DISTINCT CASE WHEN there THEN (LONGITUDE, LATITUDE) END) AS BIGINT) AS n_pts, CAST(count(DISTINCT CASE WHEN there AND SIRET = '' THEN (LONGITUDE, LATITUDE) END) AS BIGINT) AS n_empty_pts FROM r""")
+def universe_facts(get):
+    return inputs.universe_facts(_kept_universe(get))
+
+
+@query("SELECT o_custkey AS k, CASE WHEN count(DISTINCT o_orderstatus) > 0 THEN max(o_orderstatus) END AS v FROM {orders} WHERE o_orderkey % 4 = 0 GROUP BY 1 HAVING count(DISTINCT o_orderstatus) <= 1")
+def single_values(get):
+    rows = get("orders").where("o_orderkey % 4 = 0").select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("v"))
+    several = monolith.conflicts(rows, ["k"]).select("k")
+    return monolith.single_values(rows.join(several, "k", "left_anti"), ["k"], "v")
+
+
 def _equipment(get):
     return universe.equipment_universe(get("equipment"), F.col("distance_m"), ["1", "2", "3"])
 

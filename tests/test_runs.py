@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reachmill.functions import contracts
 from reachmill.functions.contracts import RUNGS, ContractError, validate_gains
 from reachmill.operators import aggregates, gtfs, matrix, monolith, region, routing, universe
-from reachmill.plans import publisher, reroute, roots
+from reachmill.plans import inputs, publisher, reroute, roots
 from reachmill.plans.runner import Run
 from reachmill.sources import io
 
@@ -408,6 +408,47 @@ def test_tables_and_chunks(spark, tmp_path):
     assert lines[:2] == ["crop", "1"] and lines[2] == lines[5] == "   -1.5000000E+00   4.8000000E+01" and lines[-2:] == ["END", "END"]
 
 
+def test_inputs_from_files(spark, tmp_path):
+    import sqlite3
+
+    path = str(tmp_path / "admin.gpkg")
+    with sqlite3.connect(path) as db:
+        db.execute("create table commune (" + ", ".join(f"{c} text" for c in inputs.COMMUNES) + ")")
+        db.executemany("insert into commune values (?, ?, ?, ?, ?)", [("35001", "A", "35", "53", "1"), ("22001", "B", "22", "53", "")])
+    got = inputs.commune_crosswalk(spark, path, str(tmp_path / "kept"), ["35"]).collect()
+    assert [(r.code_insee, r.nom_commune, r.epci) for r in got] == [("35001", "A", "1")]
+    made = os.listdir(tmp_path / "kept")
+    assert inputs.commune_crosswalk(spark, path, str(tmp_path / "kept")).count() == 2 and os.listdir(tmp_path / "kept") == made
+    assert inputs.label_folder("  été 2026/run#1  ") == "-t-2026-run-1-"
+
+
+def test_destinations_from_equipment(spark):
+    columns = "DEP string, DEPCOM string, TYPEQU string, SIRET string, NOMRS string, QUALITE_GEOLOC string, LIBVOIE string, LONGITUDE double, LATITUDE double"
+    rows = [("2", "2b", "B", "", "n", "11", None, 0.5, 0.5), ("1", "1a", "A", "s", "n", "11", None, 0.5, 0.5), ("1", "1a", "A", "s", "n", "11", None, 0.5, 0.5), ("1", "1a", "A", "t", "n", "11", None, None, 0.5), ("9", "9z", "C", "u", "n", "11", None, 1.01, 0.5), ("8", "8z", "C", "u", "n", "11", None, 1.01, 0.5), ("1", "1a", "A", "x", "n", "99", "", 0.5, 0.5)]
+    edges = region.wkt_edges(spark.createDataFrame([("POLYGON((0 0, 1 0, 1 1, 0 1, 0 0))",)], "wkt string"))
+    kept = inputs.destination_universe(spark.createDataFrame(rows, columns), edges, ["1", "2"], ["9"])
+    assert [(r.universe_row, r.DEP, r.zone) for r in kept.orderBy("universe_row").collect()] == [(1, "1", "region"), (2, "1", "region"), (3, "1", "region"), (4, "2", "region"), (5, "9", "strip")]
+    plan = inputs.destination_plan(kept)
+    assert sorted((r.universe_row, r.id) for r in plan["registry"].collect()) == [(1, "bpe_listing_000001"), (2, "bpe_listing_000001"), (4, "bpe_listing_000002"), (5, "bpe_listing_000003")]
+    assert plan["destinations"].count() == plan["dest_map"].count() == 3
+    facts = plan["facts"].first().asDict()
+    assert facts == {"n_universe": 5, "n_routable": 4, "n_na_coord": 1, "n_region": 4, "n_strip": 1, "n_siret_na": 0, "n_siret_shared": 1, "n_empty_siret": 1, "n_pts": 2, "n_empty_pts": 1}
+
+
+def test_single_values(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", None), ("a", 1), ("b", None)], "k string, v int")
+    assert {r.k: r.v for r in monolith.single_values(rows, ["k"], "v").collect()} == {"a": 1, "b": None}
+    with pytest.raises(ContractError, match="several values of v"):
+        monolith.single_values(rows.unionByName(spark.createDataFrame([("a", 2)], rows.schema)), ["k"], "v")
+
+
+def test_tables_are_read_lazily(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        io.read_table(spark, str(tmp_path / "nowhere"))
+    io.write_table(spark.range(5), str(tmp_path / "t"))
+    assert io.read_table(spark, str(tmp_path / "t")).where("id > 2").count() == 2
+
+
 def test_sets(spark):
     a, b = spark.createDataFrame([(1,), (1,), (2,)], "k int"), spark.createDataFrame([(2,), (1,)], "k int")
     aggregates.same_set(a, b, "axis")
