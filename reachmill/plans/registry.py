@@ -106,6 +106,32 @@ def validate_matrix_broken(get):
     return matrix_report(rows).where("violation in ('cap', 'nearest', 'count')")
 
 
+_ODD = """SELECT CASE WHEN k % 17 = 0 THEN '' ELSE batiment_id END AS batiment_id, CASE WHEN k % 29 = 0 THEN NULL ELSE TYPEQU END AS TYPEQU, CASE WHEN k % 13 = 0 THEN 'boat' ELSE mode END AS mode,
+  CASE WHEN k % 11 = 0 THEN 40 WHEN k % 23 = 0 THEN NULL ELSE tt_nearest END AS tt_nearest, CASE WHEN k % 7 = 0 THEN -1 ELSE count_5 END AS count_5, CASE WHEN k % 5 = 0 THEN count_15 + 1 ELSE count_10 END AS count_10, count_15, CASE WHEN k % 31 = 0 THEN NULL ELSE count_20 END AS count_20
+  FROM (SELECT *, CAST(batiment_id AS INT) AS k FROM {m}) x"""
+_COUNTS = ["count_5", "count_10", "count_15", "count_20"]
+_RULES = {
+    "empty_id": "coalesce(batiment_id, '') = '' OR coalesce(TYPEQU, '') = ''",
+    "mode": "mode NOT IN ('walk', 'transit', 'bike', 'car')",
+    "cap": "NOT coalesce(tt_nearest BETWEEN 0 AND 20, false)",
+    "count": " OR ".join(f"{c} IS NULL OR {c} < 0" for c in _COUNTS),
+    "nearest": " OR ".join(f"coalesce(({c} >= 1) <> (tt_nearest <= {r}), false)" for c, r in zip(_COUNTS, RUNGS)),
+    "monotone": " OR ".join(f"coalesce({a} > {b}, false)" for a, b in zip(_COUNTS, _COUNTS[1:])),
+}
+
+
+@query(
+    f"WITH o AS ({_ODD.format(m='{matrix}')} UNION ALL SELECT batiment_id, TYPEQU, mode, tt_nearest, count_5, count_10, count_15, count_20 FROM {{matrix}} WHERE CAST(batiment_id AS INT) % 19 = 0) "
+    + " UNION ALL ".join(f"SELECT '{k}' AS violation, CAST(count(CASE WHEN {v} THEN 1 END) AS BIGINT) AS n FROM o" for k, v in _RULES.items())
+    + " UNION ALL SELECT 'duplicate_key', CAST(count(*) AS BIGINT) FROM (SELECT 1 FROM o GROUP BY batiment_id, TYPEQU, mode HAVING count(*) > 1) d"
+)
+def validate_matrix_rules(get):
+    """Every rule broken by some rows, and some keys given twice."""
+    rows = _matrix(get)
+    odd = rows.sparkSession.sql(_ODD, m=rows)
+    return matrix_report(odd.unionByName(rows.where("CAST(batiment_id AS INT) % 19 = 0").select(odd.columns)))
+
+
 # routing
 
 # up to 65,536 rows: leaves by a prefix of the digest, and the root
@@ -227,6 +253,22 @@ def validate_gain_report(get):
     return gain_report(_gains(get))
 
 
+_ODD_GAINS = """SELECT batiment_id, TYPEQU, CASE WHEN k % 13 = 0 THEN 'walk' ELSE mode END AS mode, CASE WHEN k % 5 = 0 THEN NOT walk_available WHEN k % 23 = 0 THEN NULL ELSE walk_available END AS walk_available, time_gain_p1, time_gain_p50,
+  CASE WHEN k % 7 = 0 THEN NULL ELSE count_gain_5_p1 END AS count_gain_5_p1, count_gain_10_p1, count_gain_15_p1, count_gain_20_p1, count_gain_5_p50, count_gain_10_p50, count_gain_15_p50, count_gain_20_p50 FROM (SELECT *, CAST(batiment_id AS INT) AS k FROM {g}) x"""
+
+
+@query(f"""WITH o AS ({_ODD_GAINS.format(g=f"({_GAIN}) y")} UNION ALL SELECT batiment_id, TYPEQU, mode, walk_available, time_gain_p1, time_gain_p50, {", ".join(f"count_gain_{r}_{p}" for p in ("p1", "p50") for r in RUNGS)} FROM ({_GAIN}) z WHERE CAST(batiment_id AS INT) % 19 = 0)
+  SELECT 'mode' AS violation, CAST(count(CASE WHEN mode <> 'transit_gain' THEN 1 END) AS BIGINT) AS n FROM o
+  UNION ALL SELECT 'time_gain', CAST(count(CASE WHEN (time_gain_p1 IS NULL) = coalesce(walk_available, false) OR (time_gain_p50 IS NULL) = coalesce(walk_available, false) THEN 1 END) AS BIGINT) FROM o
+  UNION ALL SELECT 'whole', CAST(count(CASE WHEN count_gain_5_p1 IS NULL THEN 1 END) AS BIGINT) FROM o
+  UNION ALL SELECT 'duplicate_key', CAST(count(*) AS BIGINT) FROM (SELECT 1 FROM o GROUP BY batiment_id, TYPEQU HAVING count(*) > 1) d""")
+def validate_gain_rules(get):
+    """Every rule of the gains broken by some rows, and some keys given twice."""
+    rows = _gains(get)
+    odd = rows.sparkSession.sql(_ODD_GAINS, g=rows)
+    return gain_report(odd.unionByName(rows.where("CAST(batiment_id AS INT) % 19 = 0").select(odd.columns)))
+
+
 # the address table
 
 
@@ -793,7 +835,7 @@ def _feed_lines(spark, sf_dir):
     lines = reduce(lambda a, b: a.unionByName(b), [timetables.member_lines(get(table), member, order) for member, table, order in members])
     folder = _folder(spark, "feeds-")
     timetables.write_timetables(lines, folder)
-    return timetables.read_timetables(spark, folder), folder
+    return timetables.archives(spark, folder), folder
 
 
 def feed_set_summary(spark, sf_dir):
@@ -804,7 +846,7 @@ def feed_set_projected(spark, sf_dir):
     """The services of one date moved to another, in archives of their own; what runs there then is what ran before."""
     lines, folder = _feed_lines(spark, sf_dir)
     timetables.write_timetables(feeds.project(lines, DATE, "20260917"), f"{folder}/projected")
-    return feeds.summary(timetables.read_timetables(spark, f"{folder}/projected"), "20260917")
+    return feeds.summary(timetables.archives(spark, f"{folder}/projected"), "20260917")
 
 
 def feed_set_cascade(spark, sf_dir):

@@ -197,9 +197,23 @@ def write_timetables(lines: DataFrame, path: str) -> None:
     dealt.write.format("timetable_archives").mode("append").save(path)
 
 
-def member_table(lines: DataFrame, member: str, columns) -> DataFrame:
+def archives(spark: SparkSession, path: str):
+    """A function of members that reads the lines of these alone, of all without any; what works on lines takes it in their place."""
+    return lambda members=(): read_timetables(spark, path, members)
+
+
+def of_members(lines, *members: str) -> DataFrame:
+    """The lines of some members; ``lines`` is a table of them or archives()."""
+    return lines(members) if callable(lines) else lines.where(F.col("member").isin(*members))
+
+
+def all_lines(lines) -> DataFrame:
+    return lines() if callable(lines) else lines
+
+
+def member_table(lines, member: str, columns) -> DataFrame:
     """feed_id and columns of one member of all feeds; a column that a feed doesn't have is null."""
-    return lines.where(F.col("member") == member).select("feed_id", *[F.col("fields")[c].alias(c) for c in columns])
+    return of_members(lines, member).select("feed_id", *[F.col("fields")[c].alias(c) for c in columns])
 
 
 def member_lines(table: DataFrame, member: str, order) -> DataFrame:

@@ -41,6 +41,8 @@ def test_a_hundred_feeds_in_one_plan(spark, many):
     got = {r.feed_id: (r.n_active_trips, r.n_window_trips, r.n_active_stops) for r in feeds.summary(lines, "2026-09-16").collect()}
     # y runs everywhere; x on even feeds, but for every tenth
     assert got == {f"f{i:03d}": (3, 2, 4) if i % 2 == 0 and i % 10 else (1, 1, 2) for i in range(100)}
+    each = timetables.archives(spark, many)  # every member read by itself
+    assert {r.feed_id: (r.n_active_trips, r.n_window_trips, r.n_active_stops) for r in feeds.summary(each, "2026-09-16").collect()} == got
     gtfs.feed_gate(feeds.summary(lines, "2026-09-16"), [f"f{i:03d}" for i in range(100)])
     with pytest.raises(ContractError, match="without service"):
         gtfs.feed_gate(feeds.summary(lines, "2020-09-16"), ["f001"])
