@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import atexit
+import datetime
 import io as _bytes
 import os
 import shutil
 import tempfile
+import warnings
 from functools import reduce
 
 from pyspark.sql import functions as F
 
 from reachmill.functions import geo
-from reachmill.functions.contracts import ATOMIC, LEVELS, MODES, RUNGS, ContractError, gain_report, matrix_report
+from reachmill.functions.contracts import ATOMIC, LEVELS, MODES, RUNGS, ContractError, duplicates, gain_report, matrix_report
 from reachmill.operators import aggregates, deltas, feeds, gtfs, matrix, monolith, region, routing, universe
 from reachmill.plans import inputs, publisher, reroute
 from reachmill.plans.adapters import CLUSTERS, KEPT, METRICS, as_query, frame
 from reachmill.plans.runner import Run, run_metadata
-from reachmill.sources import timetables
+from reachmill.sources import io, timetables
 from reachmill.sources.stored import StoredTable
 from reachmill.streaming import incremental
 
@@ -596,9 +598,53 @@ def territory_crosswalk(get):
     return universe.territory_crosswalk(get("address_points"), get("reroute_links"), get("reroute_origins"), "prefix")
 
 
+@query("SELECT universe_row AS id, LONGITUDE AS lon, LATITUDE AS lat FROM {equipment} WHERE LONGITUDE IS NOT NULL AND LATITUDE IS NOT NULL")
+def routable_points(get):
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # it tells how many are dropped
+        return universe.routable(get("equipment").select(F.col("universe_row").alias("id"), F.col("LONGITUDE").alias("lon"), F.col("LATITUDE").alias("lat")), "listing")
+
+
+_COMMUNES = "SELECT n_name AS code_insee, 'Commune ' || n_name AS nom_officiel, CAST(n_regionkey AS STRING) AS code_insee_du_departement, '53' AS code_insee_de_la_region, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE CAST(n_nationkey % 4 AS STRING) || '/x' END AS codes_siren_des_epci FROM {nation}"
+
+
+@query("SELECT code_insee, nom_officiel AS nom_commune, code_insee_du_departement AS code_departement, code_insee_de_la_region AS region, nullif(codes_siren_des_epci, '') AS epci FROM (" + _COMMUNES + ") c WHERE code_insee_du_departement IN ('1', '2', '3')")
+def commune_crosswalk(get):
+    return universe.commune_crosswalk(get("nation").sparkSession.sql(_COMMUNES, nation=get("nation")), ["1", "2", "3"], strict=True)
+
+
+@query("SELECT code_insee FROM (" + _COMMUNES + ") c WHERE codes_siren_des_epci LIKE '%2/x%'")
+def communes_of_body(get):
+    return universe.communes_of_body(get("nation").sparkSession.sql(_COMMUNES, nation=get("nation")), "2/x").select("code_insee")
+
+
+@query("SELECT c.*, CASE WHEN c.epci IS NOT NULL THEN 'Body of ' || c.epci END AS nom_epci, 'Dep ' || c.code_departement AS nom_departement FROM {crosswalk} c")
+def territory_names(get):
+    look = lambda column, words: get("crosswalk").where(F.col(column).isNotNull()).select(F.col(column).alias("code"), F.concat(F.lit(words), column).alias("nom")).distinct()
+    return universe.territory_names(get("crosswalk"), {"epci": look("epci", "Body of "), "departement": look("code_departement", "Dep ")}, strict=True)
+
+
+@query("SELECT t.TYPEQU, 'Type ' || t.TYPEQU AS nom_typequ FROM {types} t")
+def labelled_types(get):
+    labels = get("part").select(F.col("p_brand").alias("TYPEQU"), F.concat(F.lit("Type "), "p_brand").alias("nom_typequ")).distinct()
+    return publisher.labelled_types(get("types").unionByName(get("types")), labels.unionByName(labels.limit(1).select(F.lit("other").alias("TYPEQU"), "nom_typequ")))
+
+
+@query("SELECT o_custkey, CAST(count(*) AS BIGINT) AS n FROM {orders} GROUP BY 1 HAVING count(*) > 1")
+def duplicate_keys(get):
+    return duplicates(get("orders"), ["o_custkey"])
+
+
 # deltas
 
 
+@query("SELECT round((SELECT count(DISTINCT c.batiment_id) FROM {crosswalk} c JOIN {matrix} m ON m.batiment_id = c.batiment_id) / (SELECT sum(nb_buildings) FROM {snapshot}), 9) AS prior")
+def granularity_prior(get):
+    agg = matrix.territory_aggregates(_building(get, True), get("crosswalk"), "commune", "car", CLUSTERS).where("mode = 'car'")
+    prior = deltas.granularity_prior(agg, get("snapshot"))
+    return agg.limit(1).select(F.round(F.lit(prior), 9).alias("prior"))
+
+
 def _deltas(get, accepted=None):
     agg = matrix.territory_aggregates(_building(get, True), get("crosswalk"), "commune", "car", CLUSTERS)
     return deltas.deltas(agg, get("snapshot"), nb_prior=1.2, border=["NATION_1", "NATION_2", "NATION_3"], accepted=accepted)
@@ -786,8 +832,6 @@ def strip_distance(get):
 
 def zip_members(spark, sf_dir):
     """A timetable archive written and read back; the table is small by its nature."""
-    from reachmill.sources import io
-
     text = _bytes.StringIO()
     text.write("﻿service_id,wednesday\n")
     for r in frame(spark, sf_dir, "calendar").orderBy("service_id").collect():
@@ -854,6 +898,93 @@ def feed_set_cascade(spark, sf_dir):
     return lines.groupBy("feed_id", "member").agg(F.count("*").alias("n_lines"))
 
 
+# readers and writers: files made of the tables, read again
+
+
+def snapshot_file(spark, sf_dir):
+    """The snapshot as a delimited file whose codes lost their zeros, of some communes only."""
+    get, folder = (lambda n: frame(spark, sf_dir, n)), _folder(spark, "files-")
+    columns = list(deltas.SNAPSHOT_MAP.values())
+    rows = get("customer").select(F.col("c_custkey").alias("code_insee"), F.col("c_name").alias("nom_commune"), *[(F.col("c_custkey") % (i + 2) / 2).alias(c) for i, c in enumerate(columns)])
+    rows.write.option("header", True).csv(f"{folder}/snapshot")
+    return io.read_snapshot(spark, f"{folder}/snapshot", columns, [f"{i:05}" for i in range(0, 100, 3)])
+
+
+def nomenclature_file(spark, sf_dir):
+    get, folder = (lambda n: frame(spark, sf_dir, n)), _folder(spark, "files-")
+    get("types").select("TYPEQU", F.concat(F.lit("Type; "), "TYPEQU").alias("LIB"), F.lit("x").alias("UNREAD")).write.option("header", True).csv(f"{folder}/types")
+    return io.read_nomenclature(spark, f"{folder}/types")
+
+
+def equipment_file(spark, sf_dir):
+    """The equipment table as a wide delimited file, of which the columns of the contract are read."""
+    get, folder = (lambda n: frame(spark, sf_dir, n)), _folder(spark, "files-")
+    rows = get("equipment")
+    wide = rows.select(*[F.col(c).cast("string").alias(c) if c in rows.columns else F.lit("_Z" if c.startswith("LAMBERT") else "x").alias(c) for c in io.EQUIPMENT_COLUMNS], F.lit("y").alias("OTHER"))
+    wide.write.option("header", True).option("sep", ";").option("emptyValue", "").csv(f"{folder}/bpe")
+    return io.read_equipment(spark, f"{folder}/bpe").select("TYPEQU", "SIRET", "DEP", "QUALITE_GEOLOC", "LONGITUDE", "LATITUDE", "LAMBERT_X")
+
+
+def pair_files(spark, sf_dir):
+    """Raw pairs written chunk by chunk, one chunk twice: the second time replaces the first."""
+    get, folder = (lambda n: frame(spark, sf_dir, n)), _folder(spark, "files-")
+    pairs = get("pairs").where("mode = 'bike'").withColumn("n", F.pmod(F.col("from_id").cast("int"), F.lit(2)))
+    for n in (0, 1, 0):
+        io.write_pairs(pairs.where(F.col("n") == n), f"{folder}/pairs", "bike", n, "run")
+    return spark.read.parquet(f"{folder}/pairs").select("from_id", "to_id", "travel_time", "run_label", "mode", "chunk_id")
+
+
+def checkpoint_parts(spark, sf_dir):
+    """Parts of a table by departement, one of them written again, read as one with its key checked."""
+    get, folder = (lambda n: frame(spark, sf_dir, n)), _folder(spark, "files-")
+    rows = get("monolith_addresses").withColumn("part_of", F.pmod(F.xxhash64("address_id"), F.lit(3)))
+    for part in (0, 1, 2, 1):
+        io.write_checkpoint(rows.where(F.col("part_of") == part).drop("part_of"), f"{folder}/parts", str(part))
+    return io.read_checkpoint(spark, f"{folder}/parts", ["address_id"])
+
+
+def cached_table(spark, sf_dir):
+    """A table kept under a key: the second call reads what the first one made."""
+    get, folder = (lambda n: frame(spark, sf_dir, n)), _folder(spark, "files-")
+    make = [lambda: get("spine"), lambda: get("spine").limit(0)]
+    for once in make:
+        kept = io.cached(spark, folder, {"table": "spine"}, once)
+    return kept
+
+
+def run_gains(spark, sf_dir):
+    """The gains of a run of several chunks, taken up after one of them was made anew."""
+    origins, destinations, types = (frame(spark, sf_dir, n) for n in ("origins", "destinations", "dest_map"))
+    folder = _folder(spark, "run-")
+    noon = datetime.datetime(2026, 9, 16, 10, tzinfo=datetime.timezone.utc)
+    size = max(1, -(-origins.select("lon", "lat").distinct().count() // 3))
+    make = lambda: Run(folder, origins, destinations, types, modes=["walk", "transit"], chunk_size=size, departure=noon)
+    run = make()
+    run.execute()
+    run.gains()
+    shutil.rmtree(run.chunk_path("walk", 2), ignore_errors=True)
+    run = make()
+    run.execute()
+    return run.gains().drop("chunk_id")
+
+
+_QUERIES |= {f.__name__: f for f in (snapshot_file, nomenclature_file, equipment_file, pair_files, checkpoint_parts, cached_table, run_gains)}
+_SNAPSHOT_COLUMNS = ", ".join(f"CAST(c_custkey % {i + 2} AS DOUBLE) / 2 AS {c}" for i, c in enumerate(deltas.SNAPSHOT_MAP.values()))
+_WALK = _ROUTE.replace("/ 30 * 60", "/ 4 * 60")
+_SQL |= {
+    "snapshot_file": as_query(f"SELECT lpad(CAST(c_custkey AS STRING), 5, '0') AS code_insee, c_name AS nom_commune, {_SNAPSHOT_COLUMNS} FROM {{customer}} WHERE c_custkey < 100 AND c_custkey % 3 = 0"),
+    "nomenclature_file": as_query("SELECT TYPEQU, 'Type; ' || TYPEQU AS nom_typequ FROM {types}"),
+    "equipment_file": as_query("SELECT TYPEQU, SIRET, DEP, QUALITE_GEOLOC, LONGITUDE, LATITUDE, CAST(NULL AS DOUBLE) AS LAMBERT_X FROM {equipment}"),
+    "pair_files": as_query("SELECT from_id, to_id, CAST(travel_time AS DOUBLE) AS travel_time, 'run' AS run_label, mode, CAST(CAST(from_id AS INT) % 2 AS INT) AS chunk_id FROM {pairs} WHERE mode = 'bike'"),
+    "checkpoint_parts": as_query("SELECT * FROM {monolith_addresses}"),
+    "cached_table": as_query("SELECT * FROM {spine}"),
+    "run_gains": as_query(f"""WITH w AS (SELECT p.from_id AS batiment_id, d.TYPEQU, CAST(min(travel_time) AS DOUBLE) AS tt_nearest, {_ladder('travel_time')} FROM ({_WALK}) p JOIN {{dest_map}} d ON p.to_id = d.id WHERE travel_time <= 20 GROUP BY 1, 2),
+      t AS (SELECT p.from_id AS batiment_id, d.TYPEQU, CAST(min(travel_time) AS DOUBLE) AS p1, CAST(min(travel_time + 5) AS DOUBLE) AS p50, {_ladder('travel_time')}, {_ladder('(travel_time + 5)', '_p50')} FROM ({_ROUTE}) p JOIN {{dest_map}} d ON p.to_id = d.id WHERE travel_time <= 20 GROUP BY 1, 2)
+      SELECT t.batiment_id, t.TYPEQU, 'transit_gain' AS mode, w.tt_nearest IS NOT NULL AS walk_available, w.tt_nearest - t.p1 AS time_gain_p1, w.tt_nearest - t.p50 AS time_gain_p50,
+      {", ".join(f"CAST(t.count_{r} - coalesce(w.count_{r}, 0) AS INT) AS count_gain_{r}_p1, CAST(t.count_{r}_p50 - coalesce(w.count_{r}, 0) AS INT) AS count_gain_{r}_p50" for r in RUNGS)} FROM t LEFT JOIN w ON w.batiment_id = t.batiment_id AND w.TYPEQU = t.TYPEQU"""),
+}
+
+
 def stored_upsert(spark, sf_dir):
     """Walking times are stored, then biking times are merged into the buckets of their addresses."""
     rows = _matrix(lambda n: frame(spark, sf_dir, n)).withColumnRenamed("batiment_id", "address_id")

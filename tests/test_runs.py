@@ -220,6 +220,24 @@ def test_publisher(spark, tmp_path):
         publisher.located_spine(spine, territories, communes.unionByName(communes))
 
 
+def test_all_levels_come_from_one_reading(spark, tmp_path):
+    from reachmill.sources.lineage import cut
+
+    spine = spark.createDataFrame([(f"a{i}", f"c{i % 4}", f"C{i % 4}", f"e{i % 3}" if i % 5 else None, f"d{i % 2}", "r") for i in range(60)], "address_id string, code_insee string, nom_commune string, epci string, code_departement string, region string")
+    io.write_table(spark.createDataFrame([(f"a{i}", t, i % 7, i % 3 - 1) for i in range(0, 60, 2) for t in "TU"], "address_id string, TYPEQU string, count_5_walk int, gain int"), str(tmp_path / "metrics"))
+    metrics, types = spark.read.parquet(str(tmp_path / "metrics")), spark.createDataFrame([("T",), ("U",), ("V",)], "TYPEQU string")
+    reads = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    one = aggregates.dense_levels(metrics, spine, types, ["count_5_walk", "gain"], probs=(0.5,))
+    assert {reads(df) for df in one.values()} == {1}
+    kept = aggregates.dense_levels(metrics, spine, types, ["count_5_walk", "gain"], probs=(0.5,), stored=cut)
+    assert {reads(df) for df in kept.values()} == {0}
+    for level, df in one.items():
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, kept[level].select(df.columns).collect()))
+    # metrics are columns when they meet the spine, and rows only after that
+    plan = one["commune"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Expand") < plan.rindex("Join Inner")
+
+
 def test_lasting_folders(tmp_path):
     root = tmp_path / "root"
     roots.mark_root(str(root))
