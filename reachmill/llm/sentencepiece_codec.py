@@ -6,26 +6,16 @@ at each place, and records for every normalised character the source byte it
 came from.  What is cut into pieces is the normalised text, by the model without
 its own normaliser; the pieces are then projected through the record to byte
 spans of the original text.  A model without a map keeps its characters.
-
-A byte-pair model whose pieces hold the space mark only at their start can never
-merge across the start of a unit (space marks and what follows up to the next
-one), so a text's pieces are those of its units in sequence.  Units are cut and
-projected once and kept in a bounded table.  Texts of other models are cut as a
-whole.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachmill.llm.common import small_batches, tidy
 
 MARK = "▁"
-#: Units in one generation of an executor process's table, and characters of the longest unit that it takes.
-TABLE_WORDS, LONGEST = 100_000, 64
 
 
 class CharacterMap:
@@ -63,7 +53,7 @@ class CharacterMap:
 class Codec:
     """encode(text) and decode(ids) of one model file."""
 
-    def __init__(self, model_file, table_words=TABLE_WORDS):
+    def __init__(self, model_file):
         import numpy as np
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
@@ -82,13 +72,9 @@ class Codec:
         #: bytes that a piece takes up in the normalised text; a byte piece takes one, an unknown piece's are not known
         self.widths = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in proto.pieces], np.int64)
         self.unknown = {i for i, p in enumerate(proto.pieces) if p.type == 2}
-        pieces = [p.piece for p in proto.pieces if p.type in (1, 4, 5)]
-        self.by_unit = proto.trainer_spec.model_type == 2 and proto.trainer_spec.byte_fallback and not self.symbols and not any(MARK in p.lstrip(MARK) for p in pieces)
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces = b"", False, False, False
         self.bare = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-        self.young: dict = {}
-        self.old: dict = {}
-        self.table_words = table_words
+        self.decimals = [str(i) for i in range(len(proto.pieces))]
 
     def normalise(self, text):
         """(normalised text, source byte of each of its characters and of its end)."""
@@ -128,47 +114,6 @@ class Codec:
             source.append(at)
         return "".join(out), np.array([*source, end], np.int64)
 
-    def _learn(self, missing):
-        """Put units that start with a mark, given without it, into the table.
-
-        A unit's entry is its rows (id, begin, end) as 32-bit numbers, its ids
-        in decimals and the bytes it takes up in a text where each of its marks
-        is a blank; places count from the first blank.
-        """
-        import numpy as np
-
-        if len(self.young) + len(missing) > self.table_words:
-            self.young, self.old = {}, self.young
-        fresh = [w for w in missing if w not in self.old]
-        for w in missing:
-            if w in self.old:
-                self.young[w] = self.old[w]
-        if not fresh:
-            return {}
-        cut = self.bare.encode([MARK + w for w in fresh], num_threads=1)
-        blank = MARK + MARK.join(fresh)
-        points = np.frombuffer(blank.encode("utf-32-le"), "<u4")
-        width = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
-        width[points == ord(MARK)] = 1
-        begins, ends = self._project([i for own in cut for i in own], blank, np.concatenate([[0], np.cumsum(width)]))
-        n = np.fromiter(map(len, cut), np.int64, len(cut))
-        size = np.array([len(w.encode()) - 2 * w.count(MARK) + 1 for w in fresh], np.int64)
-        start = np.repeat(np.cumsum(size) - size, n)
-        data = np.column_stack([np.concatenate(cut), begins - start, ends - start]).astype("<i4").tobytes()
-        stops = (12 * np.cumsum(n)).tolist()
-        long = {}
-        for w, ids, a, b, bytes_ in zip(fresh, cut, [0, *stops], stops, size.tolist()):
-            (self.young if len(w) <= LONGEST else long)[w] = data[a:b], ",".join(map(str, ids)).encode(), bytes_
-        return long
-
-    def _entries(self, units):
-        got = list(map(self.young.get, units))
-        if None in got:
-            long = self._learn(list(dict.fromkeys(w for w, own in zip(units, got) if own is None)))
-            young = self.young
-            got = [own or young.get(w) or long[w] for w, own in zip(units, got)]
-        return zip(*got)
-
     def encode(self, text):
         """(rows, decimals): rows of id, begin and end, byte spans of the original text, end exclusive; the ids' decimals joined by commas.
 
@@ -176,29 +121,11 @@ class Codec:
         """
         import numpy as np
 
-        if not text:
-            return np.empty((0, 3), np.int64), b""
-        if self.plain and self.by_unit and MARK not in text:
-            units = text.split(" ") if "  " not in text and text[0] != " " and text[-1] != " " else [u[1:] for u in _units(MARK + text.replace(" ", MARK))]
-            data, decimals, size = self._entries(units)
-            rows = np.frombuffer(b"".join(data), "<i4").reshape(-1, 3).astype(np.int64)
-            size = np.array(size, np.int64)
-            start = np.repeat(np.cumsum(size) - size - 1, np.fromiter(map(len, data), np.int64, len(data)) // 12)  # the first mark is no blank
-            rows[:, 1] += start
-            rows[:, 2] += start
-            np.maximum(rows, 0, out=rows)
-            return rows, b",".join(decimals)
-        normal, source = self.normalise(text)
+        normal, source = self.normalise(text) if text else ("", None)
         if not normal:
             return np.empty((0, 3), np.int64), b""
-        if self.by_unit:
-            units = _units(normal)
-            first = self.bare.encode(units.pop(0), num_threads=1) if normal[0] != MARK else []
-            data = next(self._entries([u[1:] for u in units])) if units else ()
-            ids = [*first, *np.frombuffer(b"".join(data), "<i4").reshape(-1, 3)[:, 0].tolist()]
-        else:
-            ids = self.bare.encode(normal, num_threads=1)
-        return np.column_stack([np.array(ids, np.int64), *self._project(ids, normal, source)]), ",".join(map(str, ids)).encode()
+        ids, decimals = self.bare.encode(normal, num_threads=1), self.decimals
+        return np.column_stack([np.array(ids, np.int64), *self._project(ids, normal, source)]), ",".join([decimals[i] for i in ids]).encode()
 
     def _project(self, ids, normal, source):
         """Source bytes at which the pieces of a normalised text begin and end."""
@@ -239,10 +166,6 @@ def _model_file(model_file):
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-#: Units of a normalised text: marks and what follows them, or what comes before the first mark.
-_units = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
-
-
 def _encoder(model_file, digests):
     def run(batches):
         import hashlib
