@@ -73,7 +73,7 @@ def granularity_prior(derived: DataFrame, snapshot: DataFrame) -> float | None:
     return None if a is None or not b else float(a) / float(b)
 
 
-def deltas(derived: DataFrame, snapshot: DataFrame, mapping=None, bands=None, ref_mode: str = "car", nb_prior: float | None = None, border=(), accepted: DataFrame | None = None) -> DataFrame:
+def deltas(derived: DataFrame, snapshot: DataFrame, mapping=None, bands=None, ref_mode: str = "car", nb_prior: float | None = None, border=(), accepted: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """code_insee, nom_commune, metric, snapshot, derived, delta_abs, delta_rel, classification.
 
     Both sides are unpivoted and joined in full; the first rule that holds
@@ -81,13 +81,14 @@ def deltas(derived: DataFrame, snapshot: DataFrame, mapping=None, bands=None, re
     before, the building count's own band around the prior, no band, within the
     band, a border commune that gained, else a flag.  Reasons carry the change and
     the band in whole percent, or the words of the finding that was ``accepted``
-    (see require_findings).  A mode that isn't there raises.
+    (see require_findings).  A mode that isn't there raises when strict, and leaves
+    every comparison missing otherwise.
     """
     mapping = mapping or SNAPSHOT_MAP
     require(derived, ["code_insee", "mode", *mapping], "derived aggregates")
     require(snapshot, ["code_insee", "nom_commune", *mapping.values()], "snapshot")
     own = derived.where(F.col("mode") == ref_mode)
-    if not own.limit(1).count():
+    if strict and not own.limit(1).count():
         raise ContractError(f"derived aggregates have no mode {ref_mode}")
     if nb_prior is None:
         nb_prior = granularity_prior(own, snapshot)

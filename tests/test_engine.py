@@ -192,7 +192,8 @@ def test_deltas_name_their_figures_and_findings(spark):
     with pytest.raises(ContractError, match="reason"):
         deltas.require_findings(accepted.drop("reason"))
     with pytest.raises(ContractError, match="no mode boat"):
-        deltas.deltas(derived, snapshot, ref_mode="boat")
+        deltas.deltas(derived, snapshot, ref_mode="boat", nb_prior=1.4, strict=True)
+    assert {r.reason for r in deltas.deltas(derived, snapshot, ref_mode="boat", nb_prior=1.4).collect()} == {"not derived"}
     assert len(deltas.ROUTED_TYPES) == len(set(deltas.ROUTED_TYPES)) == 53 and set(deltas.DIVERGENCE["routed_but_not_recorded"]) < set(deltas.ROUTED_TYPES)
     assert "a wider strip around the region" in deltas.drift_of("avg_total", True) and "a wider strip around the region" not in deltas.drift_of("avg_total", False) and deltas.drift_of("pct_iso_full") == []
 
