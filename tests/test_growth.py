@@ -8,7 +8,7 @@ from reachmill.plans import registry
 def test_content_keys_of_more_rows_than_two_digits_take(spark, tmp_path):
     # the SQL has prefixes of two digits at most, however many rows there are
     spark.range(70_000).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
-    for name in ("content_key",):
+    for name in ("content_key", "table_fingerprint"):
         sql = registry.oracle_sql()[name].replace("FROM customer", f"FROM '{tmp_path}/customer.parquet/*.parquet'")
         wanted = duckdb.connect().execute(sql).fetchone()[0]
         assert registry.queries()[name](spark, str(tmp_path)).first()[0] == wanted
