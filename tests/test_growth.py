@@ -1,10 +1,14 @@
 """What held at small sizes only: results and shares of work when tables grow."""
 
+import math
+
 import duckdb
 from pyspark.sql import functions as F
 
+from reachmill.operators import routing
 from reachmill.plans import registry
 
+
 def test_content_keys_of_more_rows_than_two_digits_take(spark, tmp_path):
     # the SQL has prefixes of two digits at most, however many rows there are
     spark.range(70_000).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
@@ -12,3 +16,29 @@ def test_content_keys_of_more_rows_than_two_digits_take(spark, tmp_path):
         sql = registry.oracle_sql()[name].replace("FROM customer", f"FROM '{tmp_path}/customer.parquet/*.parquet'")
         wanted = duckdb.connect().execute(sql).fetchone()[0]
         assert registry.queries()[name](spark, str(tmp_path)).first()[0] == wanted
+
+
+def _crowd(spark):
+    """Many identities at few coordinates: little data, of which much becomes."""
+    at = lambda n, copies: spark.range(n * copies).select(F.col("id").cast("string").alias("id"), F.col("id").alias("ord"), (F.col("id") % n / 8.0 - 1.5).alias("lon"), F.lit(48.0).alias("lat")).coalesce(1)
+    return at(12, 300), at(6, 40)
+
+
+def _spread(spark, rows):
+    """Rows, and the share of the largest task, as adaptive execution deals them."""
+    sizes = [r[0] for r in rows.rdd.mapPartitions(lambda x: [(sum(1 for _ in x),)]).collect()]
+    return sum(sizes), max(sizes) / sum(sizes)
+
+
+def test_pairs_of_few_coordinates_are_dealt_to_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(routing, "PAIRS_A_TASK", 10_000, raising=False)
+    origins, destinations = _crowd(spark)
+    wanted = sum(300 * 40 for i in range(12) for j in range(6) if 2 + math.ceil(abs(i - j) / 8 * 80 / 30 * 60) <= 20)
+    n, largest = _spread(spark, routing.stub_route(origins, destinations))
+    assert n == wanted and largest < 0.6
+
+
+def test_identities_meet_after_the_last_shuffle(spark):
+    origins, destinations = _crowd(spark)
+    n, largest = _spread(spark, routing.route_unique(origins, destinations, routing.stub_route))
+    assert n == sum(300 * 40 for i in range(12) for j in range(6) if i == j or abs(i - j) / 8 * 80 / 30 * 60 <= 18) and largest < 0.6
