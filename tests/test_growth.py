@@ -60,3 +60,8 @@ def test_a_matrix_by_points_is_that_of_identities(spark):
     both = lambda df: df.withColumn("travel_time_p1", F.col("travel_time")).withColumn("travel_time_p50", F.col("travel_time") + 4).drop("travel_time")
     plain = matrix.derive_transit_matrix(both(expanded), types, carry=["chunk_id"])
     assert same(plain, matrix.derive_shared_matrix(both(routed), link, destinations, types, "transit", carry=["chunk_id"]))
+
+
+def test_transit_pairs_are_dealt_as_well(spark, monkeypatch):
+    monkeypatch.setattr(routing, "PAIRS_A_TASK", 10_000, raising=False)
+    assert _spread(spark, routing.stub_transit_route(*_crowd(spark)))[1] < 0.8
