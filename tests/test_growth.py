@@ -5,8 +5,10 @@ import math
 import duckdb
 from pyspark.sql import functions as F
 
-from reachmill.operators import matrix, routing
+from reachmill.operators import joins, matrix, routing
 from reachmill.plans import registry
+from reachmill.sources import stored
+from reachmill.streaming import incremental
 
 
 def test_content_keys_of_more_rows_than_two_digits_take(spark, tmp_path):
@@ -65,3 +67,47 @@ def test_a_matrix_by_points_is_that_of_identities(spark):
 def test_transit_pairs_are_dealt_as_well(spark, monkeypatch):
     monkeypatch.setattr(routing, "PAIRS_A_TASK", 10_000, raising=False)
     assert _spread(spark, routing.stub_transit_route(*_crowd(spark)))[1] < 0.8
+
+
+def test_blocks_meet_in_runs(spark, monkeypatch):
+    # Spark holds all rows that one row is exploded into, so no two arrays that meet may be long
+    monkeypatch.setattr(joins, "SLICE", 7)
+    origins, destinations = _crowd(spark)
+    held = joins.sliced(joins.blocks(origins.select("lon", "lat", "id"), ["lon", "lat"], "ids"), "ids")
+    assert held.agg(F.max(F.size("ids")), F.sum(F.size("ids"))).first()[:] == (7, 3600)
+    assert routing.stub_route(origins, destinations).count() == sum(300 * 40 for i in range(12) for j in range(6) if 2 + math.ceil(abs(i - j) / 8 * 80 / 30 * 60) <= 20)
+
+
+def test_shuffles_begin_with_more_partitions_than_the_session_has(spark):
+    rows = registry.queries()["pair_collapse"](spark, "/root/testdata/sf0.01")
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10k"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        assert rows.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_batch_of_the_stream_is_planned_adaptively(spark, tmp_path, monkeypatch):
+    seen, take = [], incremental.take_pairs
+    monkeypatch.setattr(incremental, "take_pairs", lambda pairs, rows: (seen.append(rows.sparkSession.conf.get("spark.sql.adaptive.enabled")), take(pairs, rows)))
+    pairs = spark.range(50).select(F.col("id").cast("string").alias("from_id"), F.lit("d").alias("to_id"), F.lit("car").alias("mode"), F.lit(4.0).alias("travel_time"))
+    pairs.write.parquet(str(tmp_path / "in"))
+    types = spark.sql("SELECT 'd' AS id, 't' AS TYPEQU")
+    incremental.derive_new_pairs(spark, str(tmp_path / "in"), "from_id string, to_id string, mode string, travel_time double", types, str(tmp_path / "out"), str(tmp_path / "c"), 4)
+    assert seen == ["true"] and incremental.stored_matrix(spark, str(tmp_path / "out")).count() == 50
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100k")
+    try:
+        table = stored.StoredTable(spark, str(tmp_path), "id", 1)
+        table.replace(spark.range(0, 200_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")), [0])
+    finally:
+        spark.conf.set(name, before)
+    assert len(list((tmp_path / "data/version=1/bucket=0").glob("*.parquet"))) > 1 and table.read().count() == 200_000
