@@ -144,3 +144,24 @@ def test_layers_of_a_geopackage(spark, tmp_path, monkeypatch):
     assert geopackage.read_geopackage(spark, path, "other", ["name"]).collect() == []
     with pytest.raises(ContractError, match="missing column"):
         geopackage.read_geopackage(spark, path, "kinds", ["nope"])
+
+
+def test_members_are_written_as_pieces_in_order(spark, tmp_path):
+    import csv
+    import io as texts
+    import zipfile
+
+    rows = [("f", f"t{i:05}", i % 7, [None, "a,b", 'say "x"', "plain", "two\nlines"][i % 5]) for i in range(3000)]
+    table = spark.createDataFrame(rows[::-1], "feed_id string, trip_id string, n int, words string").repartition(5)
+    one = table.select("feed_id", F.col("words").alias("only"), "trip_id").where("trip_id < 't00005'").drop("trip_id")
+    timetables.write_members([(table, "stop_times.txt", ["trip_id"]), (one, "single.txt", ["only"])], str(tmp_path))
+    want = texts.StringIO()
+    out = csv.writer(want, lineterminator="\n")
+    out.writerows([("n", "trip_id", "words"), *((n, t, w) for _, t, n, w in rows)])
+    with zipfile.ZipFile(tmp_path / "f.zip") as archive:
+        assert archive.namelist() == ["single.txt", "stop_times.txt"]
+        assert archive.read("stop_times.txt").decode() == want.getvalue()
+        assert archive.read("single.txt").decode().startswith('only\n""\n')
+    assert [p.name for p in tmp_path.iterdir()] == ["f.zip"]
+    back = timetables.read_timetables(spark, str(tmp_path), ["stop_times.txt"]).orderBy("line").collect()
+    assert [(r.line, r.fields["trip_id"], r.fields["words"]) for r in back] == [(i + 1, t, w) for i, (_, t, _, w) in enumerate(rows)]
