@@ -11,8 +11,9 @@ meridian's place on the line is inside.  From there to the point the way stays w
 the cell, and each edge of the cell that it crosses changes sides.  Edges of
 all rings count alike, so holes and islands need no order or orientation.
 
-Points and lists meet in groups of one cell; a cell with more than ``SLICE_ROWS``
-points is dealt to several groups, each with the cell's list.
+Places (points that differ) and lists meet in groups of one cell.  A cell with more
+than ``SLICE_ROWS`` places or a list of more than ``LIST_ROWS`` is dealt to several
+groups: crossings add up and the smallest distance wins, so each may see a part of the list.
 """
 
 from __future__ import annotations
@@ -26,8 +27,12 @@ from reachmill.functions.contracts import BORDER_WIDTH_M
 from reachmill.functions.geo import EARTH_M, wkt_rings
 from reachmill.sources.lineage import cut
 
-#: Points of a cell in one group, about.
+#: Places of a cell in one group, about.
 SLICE_ROWS = 50_000
+#: Rows of a cell's list in one group, about.
+LIST_ROWS = 50_000
+#: Edges that follow each other and stay together, at most.
+STRETCH = 512
 #: Edges that follow each other and are tried together.
 RUN = 32
 #: Metres in a degree of latitude.
@@ -136,47 +141,61 @@ def nearest_m(px, py, edges, width):
     return np.where(best <= width, best, np.nan)
 
 
-def _measure(lon, lat, names, width, side):
-    def run(key, points, near):
+def _measure(width, side):
+    def run(key, places, near):
         import numpy as np
         import pyarrow as pa
 
-        points = points.select([points.schema.names.index(n) for n in names])
-        px, py = (points.column(c).cast(pa.float64()).to_numpy() for c in (lon, lat))
+        px, py = (places.column(c).to_numpy() for c in ("px", "py"))
         near = near.sort_by([("ring", "ascending"), ("ord", "ascending")])
         line = near.column("x2").is_null().to_numpy()
         columns = [near.column(c).fill_null(np.nan).to_numpy() for c in _EDGE]
         crossings, edges = columns[0][line], np.stack([c[~line] for c in columns], 1)
         cx, cy = key[0].as_py(), key[1].as_py()
         touch = edges[(np.maximum(edges[:, 0], edges[:, 2]) >= cx * side) & (np.minimum(edges[:, 0], edges[:, 2]) <= (cx + 1) * side) & (np.maximum(edges[:, 1], edges[:, 3]) >= cy * side) & (np.minimum(edges[:, 1], edges[:, 3]) <= (cy + 1) * side)]
-        within = inside(px, py, (cy + CENTRE) * side, crossings, touch)
-        metres = np.zeros(len(px))
-        metres[~within] = nearest_m(px[~within], py[~within], edges, width)
-        return points.append_column("distance_m", pa.array(metres, mask=np.isnan(metres)))
+        odd = inside(px, py, (cy + CENTRE) * side, crossings, touch)
+        metres = nearest_m(px, py, edges, width)
+        return pa.table({"px": px, "py": py, "odd": pa.array(odd.astype(np.int32)), "metres": pa.array(metres, mask=np.isnan(metres))})
 
     return run
 
 
+def _dealt(places: DataFrame, edges: DataFrame, width: float, side: float) -> tuple[DataFrame, DataFrame]:
+    """(places, lists) with cx, cy, part and block: a group of the one meets that of the other, and neither is large.
+
+    A cell's places are dealt to parts and its list to blocks, in stretches of
+    edges that follow each other; each part meets each block.
+    """
+    cells = cut(places.groupBy("cx", "cy").agg(F.ceil(F.count("*") / SLICE_ROWS).alias("parts")))
+    listed = _listed(edges, width, side).join(cells, ["cx", "cy"]).select("cx", "cy", "parts", "ring", "ord", *_EDGE)
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("ring", "long"), ("ord", "long"))]
+    lines = _crossings(edges, side).join(cells, "cy").select("cx", "cy", "parts", *nothing, "x1", *[F.lit(None).cast("double").alias(c) for c in _EDGE[1:]])
+    lists = listed.unionByName(lines)
+    sizes = cut(lists.groupBy("cx", "cy").agg(F.ceil(F.count("*") / LIST_ROWS).alias("blocks")))
+    stretch = F.when(F.col("ord").isNull(), F.xxhash64("x1")).otherwise(F.xxhash64("ring", F.floor(F.col("ord") / STRETCH)))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    lists = lists.join(sizes, ["cx", "cy"]).withColumn("block", F.pmod(stretch, "blocks")).withColumn("part", every("parts"))
+    places = places.join(cells, ["cx", "cy"]).join(sizes, ["cx", "cy"]).withColumn("part", F.pmod(F.xxhash64("px", "py"), "parts")).withColumn("block", every("blocks"))
+    return places.drop("parts", "blocks"), lists.drop("parts", "blocks")
+
+
 def region_distance(points: DataFrame, edges: DataFrame, width: float = BORDER_WIDTH_M, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """points with distance_m: 0 inside the region, metres to its boundary up to ``width``, else null; null without finite coordinates.
 
     ``edges`` are those of wkt_edges or vertex_edges, of any number of rings and
     regions (of overlapping ones, what an odd number of them covers is inside).
     Distances are taken in the plane that touches the point.  An empty region has no inside.
+    Points that share coordinates are measured once.
     """
     names, side = points.columns, width / 2 / DEGREE_M
     known = F.coalesce(F.abs(F.col(lon)) < float("inf"), F.lit(False)) & F.coalesce(F.abs(F.col(lat)) < float("inf"), F.lit(False)) & ~F.isnan(lon) & ~F.isnan(lat)
-    cx, cy, part = "_cell_x", "_cell_y", "_cell_part"
-    place = F.floor(F.col(lon).cast("double") / side).alias(cx), F.floor(F.col(lat).cast("double") / side).alias(cy)
-    cells = cut(points.where(known).select(*place).groupBy(cx, cy).agg(F.ceil(F.count("*") / SLICE_ROWS).alias("parts")))
-    edges = edges.where("x1 is not null and y1 is not null and x2 is not null and y2 is not null")
-    listed = _listed(edges, width, side).join(cells.toDF("cx", "cy", "parts"), ["cx", "cy"]).select("cx", "cy", "parts", "ring", "ord", *_EDGE)
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("ring", "long"), ("ord", "long"))]
-    lines = _crossings(edges, side).join(cells.toDF("cx", "cy", "parts"), "cy").select("cx", "cy", "parts", *nothing, "x1", *[F.lit(None).cast("double").alias(c) for c in _EDGE[1:]])
-    lists = listed.unionByName(lines).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))).drop("parts")
-    located = points.where(known).select("*", *place).join(cells, [cx, cy])
-    tied = F.xxhash64(*[F.col(f"`{c}`") for c, t in points.dtypes if "map<" not in t and "variant" not in t], F.monotonically_increasing_id())
-    located = located.withColumn(part, F.pmod(tied, "parts")).drop("parts")
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in points.dtypes), "distance_m double"])
-    measured = located.groupBy(cx, cy, part).cogroup(lists.groupBy("cx", "cy", "part")).applyInArrow(_measure(lon, lat, names, width, side), schema)
-    return measured.unionByName(points.where(~known).withColumn("distance_m", F.lit(None).cast("double")))
+    px, py = F.col(lon).cast("double"), F.col(lat).cast("double")
+    places = cut(points.where(known).select(px.alias("px"), py.alias("py")).distinct().withColumn("cx", F.floor(F.col("px") / side)).withColumn("cy", F.floor(F.col("py") / side)))
+    edges = cut(edges.where("x1 is not null and y1 is not null and x2 is not null and y2 is not null"))
+    by = ["cx", "cy", "part", "block"]
+    places, lists = _dealt(places, edges, width, side)
+    measured = places.groupBy(*by).cogroup(lists.groupBy(*by)).applyInArrow(_measure(width, side), "px double, py double, odd int, metres double")
+    metres = F.when(F.sum("odd") % 2 == 1, 0.0).otherwise(F.min("metres"))
+    found = measured.groupBy(F.col("px").alias("_place_x"), F.col("py").alias("_place_y")).agg(metres.alias("distance_m"))
+    located = points.where(known).join(found, (px == F.col("_place_x")) & (py == F.col("_place_y")), "left").select(*[F.col(f"`{c}`") for c in names], "distance_m")
+    return located.unionByName(points.where(~known).withColumn("distance_m", F.lit(None).cast("double")))

@@ -99,3 +99,21 @@ def test_ring_of_several_hundred_vertices_as_an_expression(spark):
     df = spark.createDataFrame([*points, (None, 47.0)], "lon double, lat double")
     got = df.select("lon", "lat", geo.distance_to_ring_m(F.col("lon"), F.col("lat"), ring.tolist()).alias("d")).collect()
     assert [r.d for r in got[:-1]] == pytest.approx([slow_distance(x, y, [ring]) for x, y in points], abs=1e-6) and got[-1].d is None
+
+
+def test_no_group_holds_a_long_list(spark, monkeypatch):
+    # 40,000 edges around a few cells, in parts of 2,000: as exact as in one
+    monkeypatch.setattr(region, "LIST_ROWS", 2_000, raising=False)
+    monkeypatch.setattr(region, "STRETCH", 100, raising=False)
+    rings = [star(2, 46, 0.4, 40_000, 11), star(2.1, 46.1, 0.1, 3000, 12)]
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(np.random.default_rng(13).uniform([1.3, 45.4], [2.7, 46.6], (150, 2)))]
+    points += [(i + 150, x, y) for i, x, y in points[:50]]
+    df, edges = spark.createDataFrame(points, "id int, lon double, lat double"), edges_of(spark, rings)
+    got = {r.id: r.distance_m for r in region.region_distance(df, edges).collect()}
+    want = {i: slow_distance(x, y, rings) for i, x, y in points}
+    assert got == {i: pytest.approx(d, abs=1e-6) if d <= 25_000 else None for i, d in want.items()}
+    side = 12_500 / region.DEGREE_M
+    places = df.select(F.col("lon").alias("px"), F.col("lat").alias("py")).distinct().withColumn("cx", F.floor(F.col("px") / side)).withColumn("cy", F.floor(F.col("py") / side))
+    lists = region._dealt(places, edges, 25_000, side)[1]
+    by = lists.groupBy("cx", "cy", "part", "block").count().agg(F.max("count"), F.countDistinct("cx", "cy"), F.count("*")).first()
+    assert by[0] < 4_000 and by[2] > 3 * by[1]
