@@ -7,7 +7,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from reachmill.operators import joins, matrix, routing
-from reachmill.plans import registry
+from reachmill.plans import adapters, registry
 from reachmill.plans.runner import Run
 from reachmill.sources import stored
 from reachmill.streaming import incremental
@@ -135,3 +135,17 @@ def test_gains_of_an_identity_in_two_chunks(spark, tmp_path):
     run.execute()
     got = sorted((r.batiment_id, r.chunk_id, r.walk_available) for r in run.gains().collect())
     assert got == [("a", 1, True), ("a", 2, True), ("b", 2, True)]
+
+
+def test_a_task_reads_a_small_split(spark, monkeypatch):
+    # lineitem of sf0.1 has 10 MB; rows are aggregated where they are read, so the split bounds a task's memory
+    name = "spark.sql.files.maxPartitionBytes"
+    monkeypatch.setattr(joins, "SPLIT", "1m", raising=False)
+    spark.conf.unset(name)
+    try:
+        assert adapters.frame(spark, "/root/testdata/sf0.1", "lineitem").rdd.getNumPartitions() >= 10
+        spark.conf.set(name, "5m")
+        adapters.frame(spark, "/root/testdata/sf0.1", "lineitem")
+        assert spark.conf.get(name) == "5m"
+    finally:
+        spark.conf.unset(name)
