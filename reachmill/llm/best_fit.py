@@ -17,13 +17,11 @@ def _pieces(size, end_id, tokenizer_file, with_ids, with_crc):
         import numpy as np
         import pyarrow as pa
 
-        tokenizer, end = WordTokenizer(tokenizer_file), end_id.to_bytes(4, "little")
+        tokenizer = WordTokenizer(tokenizer_file)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, last in stretches(texts):
-                ids = [tokenizer.ids(t) for t in texts[first:last]]
-                data = end.join([*ids, b""])  # every text's ids and the end id
-                n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4 + 1
+                ids, n = tokenizer.closed(texts[first:last], end_id)
                 pieces = -(-n // size)
                 doc = np.repeat(np.arange(len(n)), pieces)
                 piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -31,11 +29,11 @@ def _pieces(size, end_id, tokenizer_file, with_ids, with_crc):
                 length = np.minimum(size, n[doc] - start)
                 out = [batch.column(0).slice(first).take(pa.array(doc)), *map(pa.array, (piece, start, length))]
                 if with_crc:
-                    ends = 4 * np.cumsum(length)
-                    out.append(pa.array([zlib.crc32(data[a:b]) for a, b in zip((ends - 4 * length).tolist(), ends.tolist())], pa.int64()))
+                    ends = np.cumsum(length)
+                    out.append(pa.array([zlib.crc32(ids[a:b]) for a, b in zip((ends - length).tolist(), ends.tolist())], pa.int64()))
                 if with_ids:
                     offsets = np.concatenate([[0], np.cumsum(2 * length)]).astype(np.int32)
-                    out.append(pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(offsets), pa.py_buffer(np.frombuffer(data, "<u4").astype("<u2"))]))
+                    out.append(pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u2"))]))
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "piece", "start", "length"] + ["ids_crc32"] * with_crc + ["ids"] * with_ids)
 
     return run

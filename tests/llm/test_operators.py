@@ -544,6 +544,33 @@ def test_word_tokenizer_is_the_library(rows):
         assert tokenizer.ids(text or "") == tokenizer.whole(text or "")
 
 
+def test_texts_are_encoded_together(monkeypatch):
+    # the table is too small for the words, so text by text each would be made again in every text
+    import pyarrow as pa
+
+    words = [f"{a}{b}" for a in "stuvwxyzäß" for b in "abcdefghij"]
+    texts = ["", *[" ".join(words[i:] + words[:i]) for i in range(0, 100, 10)], "日本 go", "<|endoftext|>", " \t", *[" ".join(words[::-1]) + ", it's 12.5\n"] * 3]
+    library, made = word_tokens.WordTokenizer(), []
+
+    class Counted(word_tokens.WordTokenizer):
+        def __init__(self, file=None):
+            super().__init__(file, table_words=8)
+
+        def _run(self, run):
+            made.append(run)
+            return super()._run(run)
+
+    monkeypatch.setattr(best_fit, "WordTokenizer", Counted)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": texts})
+    got = pa.Table.from_batches(best_fit._pieces(64, 1, None, True, True)([batch])).to_pylist()
+    for i, text in enumerate(texts):
+        ids = np.append(np.frombuffer(library.whole(text), "<u4"), 1).astype("<u4")
+        own = [r for r in got if r["doc_id"] == i]
+        assert b"".join(r["ids"] for r in own) == ids.astype("<u2").tobytes()
+        assert [(r["start"], r["length"], r["ids_crc32"]) for r in own] == [(k, len(ids[k : k + 64]), zlib.crc32(ids[k : k + 64].tobytes())) for k in range(0, len(ids), 64)]
+    assert len(made) <= 120
+
+
 def test_matrices_round_trip(docs, rows, awkward, nothing):
     tokenizer = word_tokens.WordTokenizer()
     got = binary_output.packed_matrices(docs, size=256).collect()
