@@ -868,7 +868,7 @@ def resume_runner(spark, sf_dir):
     for limit in (1, None):
         run = Run(folder, origins, destinations, types, modes=["car"], chunk_size=size)
         run.execute(limit)
-    return run.matrix().select("batiment_id", "TYPEQU", F.lit("car").alias("mode"), "tt_nearest", *[f"count_{r}" for r in RUNGS])
+    return run.matrix(strict=True).select("batiment_id", "TYPEQU", F.lit("car").alias("mode"), "tt_nearest", *[f"count_{r}" for r in RUNGS])
 
 
 def _feed_lines(spark, sf_dir):

@@ -43,7 +43,7 @@ def reroute_run(base: Run, folder: str, addresses: DataFrame, dest_map: DataFram
 
 
 def address_table(base: Run, rerouted: Run | None, origin_link: DataFrame, addresses: DataFrame, strict: bool = False) -> DataFrame:
-    """The wide address table of a base run and the run of its rerouted addresses."""
-    wide = lambda run: monolith.with_gains(monolith.widen(run.matrix()), run.transit())
+    """The wide address table of a base run and the run of its rerouted addresses; a run that owes chunks raises."""
+    wide = lambda run: monolith.with_gains(monolith.widen(run.matrix(strict=True)), run.transit())
     other = wide(rerouted) if rerouted is not None else None
-    return monolith.build_wide(base.matrix(), base.transit(), origin_link, addresses, other, strict)
+    return monolith.build_wide(base.matrix(strict=True), base.transit(), origin_link, addresses, other, strict)

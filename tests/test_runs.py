@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reachmill.functions import contracts
 from reachmill.functions.contracts import RUNGS, ContractError, validate_gains
 from reachmill.operators import aggregates, gtfs, matrix, monolith, region, routing, universe
-from reachmill.plans import inputs, publisher, reroute, roots
+from reachmill.plans import inputs, publisher, registry, reroute, roots, runner
 from reachmill.plans.runner import Run
 from reachmill.sources import io
 
@@ -108,6 +108,97 @@ def test_one_job_a_mode_and_failures_apart(spark, town, tmp_path, monkeypatch):
     assert not run.owed()
 
 
+def _second_fails(monkeypatch, *modes):
+    """Chunk 2 of the modes fails, alone and with others."""
+    real = Run._rows
+
+    def rows(run, mode, chunks):
+        if mode in modes and 2 in chunks:
+            raise RuntimeError("the router broke down")
+        return real(run, mode, chunks)
+
+    monkeypatch.setattr(Run, "_rows", rows)
+
+
+@pytest.mark.parametrize("name, mode", [("resume_runner", "car"), ("run_gains", "walk"), ("run_gains", "transit")])
+def test_a_failed_chunk_is_no_result_of_a_query(spark, monkeypatch, name, mode):
+    _second_fails(monkeypatch, mode)
+    with pytest.raises(ContractError, match=rf"owes 1 of \d chunk\(s\) of {mode}: {mode} 2 failed \(the router broke down\)"):
+        registry.queries()[name](spark, "/root/testdata/sf0.001")
+
+
+def test_a_failed_chunk_is_no_result_of_a_run(base, town, tmp_path, monkeypatch):
+    make = lambda: Run(str(tmp_path / "r"), *town, modes=["walk", "transit"], chunk_size=2, departure=NOON)
+    with monkeypatch.context() as patched:
+        _second_fails(patched, "walk")
+        run = make()
+        run.execute()
+    assert [(e["mode"], e["chunk_id"], e["status"]) for e in run.owed()] == [("walk", 2, "failed")]
+    for result in (lambda: run.matrix(strict=True), run.gains, lambda: run._chunks(["walk"]), lambda: reroute.address_table(run, None, None, None), lambda: reroute.address_table(base, run, None, None)):
+        with pytest.raises(ContractError, match="walk 2 failed"):
+            result()
+    with pytest.warns(UserWarning, match=r"owes 1 of 3 chunk\(s\) of walk"):
+        some = run.gains(strict=False)  # no walk is known there, which isn't that there is none
+    assert {r[0] for r in some.select("chunk_id").distinct().collect()} == {1, 3}
+    with pytest.warns(UserWarning, match="walk 2 failed"):
+        assert {r[0] for r in run.matrix().where("mode = 'walk'").select("chunk_id").distinct().collect()} == {1, 3}
+    with pytest.raises(ContractError, match="no bike"):
+        run.require_complete(["bike"])
+    run = make()
+    run.execute()
+    both = lambda r: {tuple(x) for x in r.gains().collect()}
+    assert run.matrix(strict=True).count() == base.matrix().where("mode in ('walk', 'transit')").count() and both(run) == both(base)
+
+
+def test_what_is_left_of_a_chunk_is_no_chunk(town, tmp_path, monkeypatch):
+    real = io.write_chunks
+    monkeypatch.setattr(io, "write_chunks", lambda rows, path: real(rows.repartition(3, "batiment_id"), path))
+    make = lambda: Run(str(tmp_path / "r"), *town, modes=["walk"], chunk_size=5)
+    run = make()
+    run.execute()
+    n, folder = run.matrix().count(), run.chunk_path("walk", 1)
+    files = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    assert len(files) > 1
+    os.remove(os.path.join(folder, files[0]))
+    for _ in range(2):  # the first one finds the difference, the second one valid rows
+        run.sweep()
+        assert [e["status"] for e in run.manifest["entries"]] == ["pending"] and run.metadata()["modes"]["walk"] == {"chunks": 1, "complete": 0, "n_rows": 0}
+    run.execute()
+    assert run.matrix(strict=True).count() == run.metadata()["modes"]["walk"]["n_rows"] == n
+    run.manifest["entries"][0].update(status="running", sha256=None, n_rows=None)  # a run that broke before it could say so
+    run.save()
+    again = make()
+    again.sweep()
+    assert not again.owed() and again.matrix(strict=True).count() == n
+
+
+def test_unreadable_files_are_no_empty_chunk(town, tmp_path, monkeypatch):
+    run = Run(str(tmp_path / "r"), *town, modes=["walk"], chunk_size=5)
+    with monkeypatch.context() as patched:
+        patched.setattr(runner, "file_digests", lambda *_: {})
+        run.execute()
+    assert run.manifest["entries"][0]["status"] == "failed" and "of which 0 can be read" in run.manifest["entries"][0]["error"]
+    with pytest.raises(ContractError, match="walk 1 failed"):
+        run.matrix()
+
+
+def test_runs_without_rows(town, tmp_path):
+    o, d, types = town
+    far = d.withColumn("lon", F.lit(60.0))
+    for name, origins, destinations in (("nowhere", o, far), ("nobody", o.limit(0), d)):
+        run = Run(str(tmp_path / name), origins, destinations, types, modes=["walk", "transit"], chunk_size=2, departure=NOON)
+        run.execute()
+        assert not run.owed() and run.matrix(strict=True).count() == run.transit().count() == run.gains().count() == 0
+        assert set(run.matrix().columns) == {*contracts.MATRIX_KEY, "chunk_id", "tt_nearest", *contracts.ladder()}
+
+    def idle(origins, destinations, cap=20, mode="car", departure=None):
+        return routing.stub_dispatch(origins, destinations, cap=cap, mode=mode, departure=departure).where(F.lit(mode != "walk"))
+
+    run = Run(str(tmp_path / "idle"), *town, modes=["walk", "transit"], chunk_size=2, departure=NOON, router=idle)
+    run.execute()
+    assert run.gains().where("not walk_available").count() == run.matrix().count() == run.transit().count() > 0
+
+
 def test_contract_reports_count_in_one_pass(spark):
     rows = [("b1", "A", "walk", 8.0, 0, 1, 1, 2), ("b1", "A", "walk", 8.0, 0, 1, 1, 2), ("", "A", "boat", 21.0, 0, 1, 0, 2), ("b2", "A", "car", 4.0, 0, 1, 1, 1)]
     df = spark.createDataFrame(rows, "batiment_id string, TYPEQU string, mode string, tt_nearest double, count_5 int, count_10 int, count_15 int, count_20 int")
